@@ -27,50 +27,95 @@ _WORD = "[A-Z][a-z]{1,30}"
 
 @dataclass(frozen=True)
 class Entity:
-    """An entity type. ``body`` must not need lookaround; ``bounded`` asks for word boundaries."""
+    """An entity type. ``body`` must not need lookaround.
+
+    ``first`` lists the characters it can start with. Testing those first lets the matcher pass over
+    ordinary text several times faster; it does not change what matches. Without ``first`` the body
+    matches anywhere, otherwise only between word boundaries.
+    """
 
     label: str
     body: str
-    bounded: bool = True
+    first: str | None
 
     @property
     def pattern(self) -> str:
-        # spelled out instead of \b, which in Java 17 also counts non-ASCII letters as word characters
-        return f"(?<![0-9A-Za-z_]){self.body}(?![0-9A-Za-z_])" if self.bounded else self.body
+        if self.first is None:
+            return self.body
+        # boundaries spelled out: \b of Java 17 also counts non-ASCII letters as word characters
+        return f"(?={self.first})(?<![0-9A-Za-z_]){self.body}(?![0-9A-Za-z_])"
 
 
 # In the order of replacement: the longer and more specific forms first.
 ENTITIES = (
-    Entity("EMAIL", "[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9.-]{1,255}[.][A-Za-z]{2,24}", bounded=False),
-    Entity("US_SOCIAL_SECURITY_NUMBER", "[0-9]{3}-[0-9]{2}-[0-9]{4}"),
-    Entity("CREDIT_CARD_NUMBER", "(?:[0-9]{4}[ -]?){3}[0-9]{4}"),
-    Entity("PHONE_NUMBER", "(?:[+]?1[ .-]?)?(?:[(][0-9]{3}[)] ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}"),
-    Entity("IP_ADDRESS", "(?:[0-9]{1,3}[.]){3}[0-9]{1,3}"),
-    Entity("DATE_OF_BIRTH", "(?:[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}|(?:19|20)[0-9]{2}-[0-9]{2}-[0-9]{2})"),
+    Entity("EMAIL", "[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9.-]{1,255}[.][A-Za-z]{2,24}", None),
+    Entity("US_SOCIAL_SECURITY_NUMBER", "[0-9]{3}-[0-9]{2}-[0-9]{4}", "[0-9]"),
+    Entity("CREDIT_CARD_NUMBER", "(?:[0-9]{4}[ -]?){3}[0-9]{4}", "[0-9]"),
+    Entity("PHONE_NUMBER", "(?:[+]?1[ .-]?)?(?:[(][0-9]{3}[)] ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}", "[0-9(+]"),
+    Entity("IP_ADDRESS", "(?:[0-9]{1,3}[.]){3}[0-9]{1,3}", "[0-9]"),
+    Entity("DATE_OF_BIRTH", "(?:[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}|(?:19|20)[0-9]{2}-[0-9]{2}-[0-9]{2})", "[0-9]"),
     Entity(
         "STREET_ADDRESS",
         f"[0-9]{{1,5}} {_WORD} (?:{_STREET_WORDS})(?:, {_WORD}(?: {_WORD}){{0,2}} [A-Z]{{2}} [0-9]{{5}})?",
+        "[0-9]",
     ),
-    Entity("NAME", f"(?:(?:{'|'.join(GIVEN_NAMES)})|(?:Mr|Mrs|Ms|Dr)[.]?) {_WORD}(?:-{_WORD})?"),
+    Entity("NAME", f"(?:(?:{'|'.join(GIVEN_NAMES)})|(?:Mr|Mrs|Ms|Dr)[.]?) {_WORD}(?:-{_WORD})?", "[A-Z]"),
 )
 LABELS = tuple(e.label for e in ENTITIES)
 
 
+def _maybe_email(text: Column) -> Column:
+    return F.contains(text, F.lit("@"))
+
+
+def _maybe_number(text: Column) -> Column:
+    return text.rlike("[0-9]")
+
+
+_NUMERIC = frozenset(e.label for e in ENTITIES if e.first and "0-9" in e.first)
+
+
 def redact(text: Column, labels: Sequence[str] | None = None) -> Column:
-    """Replace entities by their ``[LABEL]``; all types, or only the chosen ones."""
+    """Replace entities by their ``[LABEL]``; all types, or only the chosen ones.
+
+    Texts without an ``@`` skip the e-mail pass, texts without a digit all numeric passes.
+    """
     unknown = set(labels or ()) - set(LABELS)
     if unknown:
         raise ValueError(f"unknown entity types: {sorted(unknown)}")
+
+    def replace(value: Column, entity: Entity) -> Column:
+        return F.regexp_replace(value, F.lit(entity.pattern), F.lit(f"[{entity.label}]"))
+
+    chosen = [e for e in ENTITIES if labels is None or e.label in labels]
     out = text
-    for entity in ENTITIES:
-        if labels is None or entity.label in labels:
-            out = F.regexp_replace(out, F.lit(entity.pattern), F.lit(f"[{entity.label}]"))
+    for entity in chosen:
+        if entity.label == "EMAIL":
+            out = F.when(_maybe_email(text), replace(out, entity)).otherwise(out)
+    numeric = [e for e in chosen if e.label in _NUMERIC]
+    if numeric:
+        replaced = out
+        for entity in numeric:
+            replaced = replace(replaced, entity)
+        out = F.when(_maybe_number(text), replaced).otherwise(out)
+    for entity in chosen:
+        if entity.label == "NAME":
+            out = replace(out, entity)
     return out
 
 
 def entity_counts(text: Column) -> list[Column]:
     """One count column per entity type, each on the original text."""
-    return [F.regexp_count(text, F.lit(e.pattern)).cast("bigint").alias(e.label) for e in ENTITIES]
+
+    def count(entity: Entity) -> Column:
+        found = F.regexp_count(text, F.lit(entity.pattern))
+        if entity.label == "EMAIL":
+            found = F.when(_maybe_email(text), found).otherwise(0)
+        elif entity.label in _NUMERIC:
+            found = F.when(_maybe_number(text), found).otherwise(0)
+        return found.cast("bigint").alias(entity.label)
+
+    return [count(e) for e in ENTITIES]
 
 
 POSITIVE = (
@@ -85,22 +130,28 @@ NEGATIVE = (
 )
 
 
-def word_pattern(words: Sequence[str]) -> str:
-    return f"(?<![0-9A-Za-z_])(?:{'|'.join(words)})(?![0-9A-Za-z_])"
+_LISTED = "|".join(sorted((*POSITIVE, *NEGATIVE)))
+_INITIALS = "".join(sorted({w[0] for w in (*POSITIVE, *NEGATIVE)}))
+WORDS_PATTERN = f"(?=[{_INITIALS}])(?<![0-9A-Za-z_])(?:{_LISTED})(?![0-9A-Za-z_])"
 
 
-def sentiment_of_counts(positive: Column, negative: Column) -> Column:
-    """(p - n) / (p + n) in [-1, 1]; 0 when no listed word occurs."""
-    total = positive + negative
-    return F.when(total == 0, F.lit(0.0)).otherwise(F.round((positive - negative) / total, 4))
+def sentiment(text: Column) -> Column:
+    """(p - n) / (p + n) over listed words, in [-1, 1]; 0 when none occurs, NULL for NULL.
 
+    One pass finds the listed words; only those few are then told apart. Placeholders hold no
+    listed word, so redaction does not move the score.
+    """
+    words = F.regexp_extract_all(F.lower(text), F.lit(WORDS_PATTERN), F.lit(0))
 
-def sentiment(text: Column) -> Column:
-    """Score from listed words; placeholders hold no listed word, so redaction does not move it."""
-    lower = F.lower(text)
-    return sentiment_of_counts(
-        F.regexp_count(lower, F.lit(word_pattern(POSITIVE))), F.regexp_count(lower, F.lit(word_pattern(NEGATIVE)))
-    )
+    def score(c: Column) -> Column:
+        total = c["p"] + c["n"]
+        return F.when(total == 0, 0.0).otherwise(F.round((c["p"] - c["n"]) / total, 4))
+
+    def add(c: Column, word: Column) -> Column:
+        positive = word.isin(list(POSITIVE)).cast("int")
+        return F.struct((c["p"] + positive).alias("p"), (c["n"] + 1 - positive).alias("n"))
+
+    return F.aggregate(words, F.struct(F.lit(0).alias("p"), F.lit(0).alias("n")), add, score)
 
 
 def sentiment_label(score: Column, threshold: float) -> Column:

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from custodia.functions.masks import severity_rank
 from custodia.operators.tags import apply_tags, tags_of
+from custodia.sources.tables import literal_rows
 
 # Semantic category -> classification level (the standard profile).
 LEVEL_OF_CATEGORY = {
@@ -146,7 +147,7 @@ def classify(df: DataFrame, detectors: Sequence[Detector] = BUILT_IN) -> DataFra
 def with_levels(classified: DataFrame, level_of: dict[str, str] = LEVEL_OF_CATEGORY) -> DataFrame:
     """Map categories to levels; unmapped categories get none."""
     spark = classified.sparkSession
-    mapping = spark.createDataFrame(list(level_of.items()), "semantic_category string, classification_level string")
+    mapping = literal_rows(spark, list(level_of.items()), "semantic_category string, classification_level string")
     return classified.join(mapping, "semantic_category", "left")
 
 

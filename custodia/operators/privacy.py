@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from custodia.functions.keyed import laplace
 from custodia.operators.governance import FULL_CLEAR, PolicyError
+from custodia.sources.tables import literal_rows
 
 DEFAULT_ALPHA = 0.05
 
@@ -91,8 +92,8 @@ class PrivateTable:
 
     def _all_groups(self, aggregated: DataFrame, group: str) -> DataFrame:
         """Every group of the public domain, also empty ones, and no other."""
-        domain = self.rows.sparkSession.createDataFrame(
-            [(g,) for g in self.policy.groups[group]], f"{group} string"
+        domain = literal_rows(
+            self.rows.sparkSession, [(g,) for g in self.policy.groups[group]], f"{group} string"
         )
         return domain.join(aggregated, group, "left")
 
@@ -182,7 +183,7 @@ class Ledger:
 
     def __init__(self, spark: SparkSession, path: str, policy: PrivacyPolicy, as_of: str):
         self._spark, self._path, self._policy, self._as_of = spark, path, policy, as_of
-        spark.createDataFrame([], self.SCHEMA).write.mode("ignore").parquet(path)
+        literal_rows(spark, [], self.SCHEMA).write.mode("ignore").parquet(path)
 
     def charges(self) -> DataFrame:
         return self._spark.read.schema(self.SCHEMA).parquet(self._path)
@@ -204,7 +205,8 @@ class Ledger:
         if self.spent_this_week() + epsilon > self._policy.weekly_budget + 1e-9:
             raise PolicyError(f"privacy budget {self._policy.budget_name!r} is used up for this week")
         (
-            self._spark.createDataFrame(
+            literal_rows(
+                self._spark,
                 [(self._policy.budget_name, user, float(epsilon))],
                 "budget_name string, user_name string, epsilon double",
             )

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from custodia.functions.masks import most_severe, severity_rank
+from custodia.sources.tables import literal_rows
 
 METADATA_KEY = "classification"
 UNTAGGED = "NONE"  # a column known to need no tag, as opposed to one whose tag was lost
@@ -88,7 +89,7 @@ def tag_rows(
 ) -> DataFrame:
     """One ``tag_references`` row per tagged column of one table."""
     rows = [(database, schema, name, c, "COLUMN", TAG_NAME, level) for c, level in sorted(tags.items())]
-    return spark.createDataFrame(rows, TAG_SCHEMA)
+    return literal_rows(spark, rows, TAG_SCHEMA)
 
 
 def list_column_tags(tag_references: DataFrame) -> DataFrame:

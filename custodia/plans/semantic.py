@@ -13,6 +13,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from custodia.sources.tables import literal_rows
+
 # Metrics that can be rebuilt from partial results: partial columns, then the final expression.
 _PARTIAL = {
     "count": lambda x: [F.count(x)],
@@ -178,7 +180,8 @@ class SemanticModel:
             profiles.append(long.withColumn("logical_table", F.lit(table.name)))
         profile = reduce(DataFrame.unionByName, profiles)
         spark = profile.sparkSession
-        listing = spark.createDataFrame(
+        listing = literal_rows(
+            spark,
             self.catalog(), "kind string, logical_table string, name string, definition string, synonyms string"
         )
         return listing.join(profile, ["logical_table", "name"], "left").select(

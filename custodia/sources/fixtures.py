@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from custodia.sources.generators import COMPANIES, pick
-from custodia.sources.tables import read_table
+from custodia.sources.tables import literal_rows, read_for_row_work, read_table
 
 AS_OF_TEXT = "2024-01-31 00:00:00"
 DATABASE = "LAKE"
@@ -51,16 +51,18 @@ PEOPLE_TAGS = {
 JOBS = ("Clerk", "Nurse", "Teacher", "Engineer", "Driver", "Analyst", "Cook")
 
 
-def people(spark: SparkSession, base: str) -> DataFrame:
+def people(spark: SparkSession, base: str, row_work: bool = False) -> DataFrame:
+    """Customers with personal columns; ``row_work`` if every value is going to be examined."""
     k = F.col("c_custkey")
     nation = read_table(spark, base, "nation").select("n_nationkey", F.col("n_name").alias("state"))
     digits = lambda n: F.lpad(k.cast("string"), n, "0")
     ssn = digits(9)
     born = F.date_add(F.lit("1950-01-01").cast("date"), (k % 20000).cast("int"))
+    customers = (
+        read_for_row_work(spark, base, "customer", "c_custkey") if row_work else read_table(spark, base, "customer")
+    )
     return (
-        read_table(spark, base, "customer")
-        .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
-        .select(
+        customers.join(nation, F.col("c_nationkey") == F.col("n_nationkey")).select(
             "c_custkey",
             text("First", k).alias("first_name"),
             text("Last", k % 1000).alias("last_name"),
@@ -89,7 +91,7 @@ def people(spark: SparkSession, base: str) -> DataFrame:
 def row_policy_map(spark: SparkSession) -> DataFrame:
     """Which states each role may see."""
     rows = [("DATA_USER", "NATION_3"), ("DATA_USER", "NATION_7"), ("DATA_USER", "NATION_11")]
-    return spark.createDataFrame(rows, "role string, visible_value string")
+    return literal_rows(spark, rows, "role string, visible_value string")
 
 
 def sales(spark: SparkSession, base: str) -> DataFrame:
@@ -141,7 +143,7 @@ def feedback_text(key: Column) -> Column:
 
 
 def feedback(spark: SparkSession, base: str) -> DataFrame:
-    return read_table(spark, base, "orders").select(
+    return read_for_row_work(spark, base, "orders", "o_orderkey").select(
         "o_orderkey", "o_custkey", "o_orderdate", feedback_text(F.col("o_orderkey")).alias("feedback")
     )
 

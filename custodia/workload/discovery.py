@@ -59,13 +59,13 @@ _WITHOUT_CARD = [e for e in _EXPECTED if e[0] != "card"]
 @query(duck.with_tables("people", sql=_classified_sql(cl.BUILT_IN, _WITHOUT_CARD)))
 def classify_columns(spark: SparkSession, base: str) -> DataFrame:
     """The built-in detectors; they do not know the card formats used here."""
-    return cl.classify(fx.people(spark, base))
+    return cl.classify(fx.people(spark, base, row_work=True))
 
 
 @query(duck.with_tables("people", sql=_classified_sql(cl.BUILT_IN + cl.CARD_CLASSIFIER, _EXPECTED)))
 def custom_classifier(spark: SparkSession, base: str) -> DataFrame:
     """With the custom card patterns the card column is found as well."""
-    return cl.classify(fx.people(spark, base), cl.BUILT_IN + cl.CARD_CLASSIFIER)
+    return cl.classify(fx.people(spark, base, row_work=True), cl.BUILT_IN + cl.CARD_CLASSIFIER)
 
 
 @query(
@@ -76,7 +76,7 @@ def custom_classifier(spark: SparkSession, base: str) -> DataFrame:
     )
 )
 def classification_levels(spark: SparkSession, base: str) -> DataFrame:
-    levels = cl.with_levels(cl.classify(fx.people(spark, base), cl.BUILT_IN + cl.CARD_CLASSIFIER))
+    levels = cl.with_levels(cl.classify(fx.people(spark, base, row_work=True), cl.BUILT_IN + cl.CARD_CLASSIFIER))
     return cl.by_severity(levels).select("column_name", "semantic_category", "classification_level")
 
 
@@ -89,7 +89,7 @@ def classification_levels(spark: SparkSession, base: str) -> DataFrame:
 )
 def classification_flatten(spark: SparkSession, base: str) -> DataFrame:
     """The result as one object per table and back to rows."""
-    found = cl.classify(fx.people(spark, base), cl.BUILT_IN + cl.CARD_CLASSIFIER)
+    found = cl.classify(fx.people(spark, base, row_work=True), cl.BUILT_IN + cl.CARD_CLASSIFIER)
     return cl.flatten_result(cl.as_result_map(found)).orderBy("column_name")
 
 

@@ -47,7 +47,7 @@ def bounded(body: str) -> str:
 def redact(text: str, labels=None) -> str:
     for e in ENTITIES:
         if labels is None or e.label in labels:
-            if e.bounded:
+            if e.first:
                 text = rf"regexp_replace({text}, '{bounded(e.body)}', '\1[{e.label}]', 'g')"
             else:
                 text = f"regexp_replace({text}, '{e.body}', '[{e.label}]', 'g')"
@@ -56,7 +56,7 @@ def redact(text: str, labels=None) -> str:
 
 def entity_count(text: str, label: str) -> str:
     e = next(e for e in ENTITIES if e.label == label)
-    return f"len(regexp_extract_all({text}, '{bounded(e.body) if e.bounded else e.body}'))"
+    return f"len(regexp_extract_all({text}, '{bounded(e.body) if e.first else e.body}'))"
 
 
 def sentiment(text: str) -> str:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from custodia.functions import text as tx
 from custodia.sources import fixtures as fx
-from custodia.sources.tables import read_table
+from custodia.sources.tables import read_for_row_work
 from custodia.workload import duck
 from custodia.workload.registry import query
 
@@ -15,14 +15,14 @@ from custodia.workload.registry import query
 @query(f"SELECT doc_id, {duck.redact('text')} AS redacted FROM documents")
 def redact_full(spark: SparkSession, base: str) -> DataFrame:
     """Whole documents, all entity types."""
-    return read_table(spark, base, "documents").select("doc_id", tx.redact(F.col("text")).alias("redacted"))
+    return read_for_row_work(spark, base, "documents", "doc_id").select("doc_id", tx.redact(F.col("text")).alias("redacted"))
 
 
 @query(
     f"SELECT conv_id, turn, role, {duck.redact('text')} AS redacted FROM conversations"
 )
 def redact_conversations(spark: SparkSession, base: str) -> DataFrame:
-    return read_table(spark, base, "conversations").select(
+    return read_for_row_work(spark, base, "conversations", "conv_id").select(
         "conv_id", "turn", "role", tx.redact(F.col("text")).alias("redacted")
     )
 
@@ -74,7 +74,7 @@ _INVENTORY = ", ".join(f"{duck.entity_count('text', e)} AS {e}" for e in tx.LABE
 )
 def pii_inventory(spark: SparkSession, base: str) -> DataFrame:
     """Occurrences per entity type and source; each task sums before the shuffle."""
-    counted = read_table(spark, base, "documents").select("source", *tx.entity_counts(F.col("text")))
+    counted = read_for_row_work(spark, base, "documents", "doc_id").select("source", *tx.entity_counts(F.col("text")))
     sums = []
     for label in tx.LABELS:
         sums += [F.sum(label).alias(label), F.count_if(F.col(label) > 0).alias(f"{label}_documents")]
@@ -105,7 +105,7 @@ def sentiment_rows(spark: SparkSession, base: str) -> DataFrame:
 
 @query(f"SELECT doc_id, {duck.sentiment('text')} AS sentiment_score FROM documents")
 def sentiment_documents(spark: SparkSession, base: str) -> DataFrame:
-    return read_table(spark, base, "documents").select("doc_id", tx.sentiment(F.col("text")).alias("sentiment_score"))
+    return read_for_row_work(spark, base, "documents", "doc_id").select("doc_id", tx.sentiment(F.col("text")).alias("sentiment_score"))
 
 
 @query(duck.with_tables("feedback", sql=f"SELECT o_orderkey, {duck.topic('feedback')} AS topic FROM feedback"))
