@@ -7,13 +7,17 @@ All of them grow with the tables they come from.
 
 from __future__ import annotations
 
+import re
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from custodia.sources.generators import COMPANIES, pick
+from custodia.sources.generators import COMPANIES
 from custodia.sources.tables import literal_rows, read_for_row_work, read_table
 
 AS_OF_TEXT = "2024-01-31 00:00:00"
+AS_OF_SQL = f"TIMESTAMP_NTZ '{AS_OF_TEXT}'"
 DATABASE = "LAKE"
 
 
@@ -21,12 +25,15 @@ def as_of() -> Column:
     return F.lit(AS_OF_TEXT).cast("timestamp_ntz")
 
 
-def days(n: Column) -> Column:
-    return F.make_dt_interval(n.cast("int"))
+def pick_sql(values: Sequence[str], index: str) -> str:
+    """The value at a computed position of a list."""
+    listed = ", ".join(f"'{v}'" for v in values)
+    return f"element_at(array({listed}), CAST({index} AS INT) + 1)"
 
 
-def text(*parts: Column | str) -> Column:
-    return F.concat(*[p.cast("string") if isinstance(p, Column) else F.lit(p) for p in parts])
+def back(days: str) -> str:
+    """The moment some days before the reference time."""
+    return f"{AS_OF_SQL} - make_dt_interval(CAST({days} AS INT))"
 
 
 # --- people -------------------------------------------------------------------------------------
@@ -53,38 +60,33 @@ JOBS = ("Clerk", "Nurse", "Teacher", "Engineer", "Driver", "Analyst", "Cook")
 
 def people(spark: SparkSession, base: str, row_work: bool = False) -> DataFrame:
     """Customers with personal columns; ``row_work`` if every value is going to be examined."""
-    k = F.col("c_custkey")
-    nation = read_table(spark, base, "nation").select("n_nationkey", F.col("n_name").alias("state"))
-    digits = lambda n: F.lpad(k.cast("string"), n, "0")
-    ssn = digits(9)
-    born = F.date_add(F.lit("1950-01-01").cast("date"), (k % 20000).cast("int"))
+    nation = read_table(spark, base, "nation").selectExpr("n_nationkey", "n_name AS state")
     customers = (
         read_for_row_work(spark, base, "customer", "c_custkey") if row_work else read_table(spark, base, "customer")
     )
-    return (
-        customers.join(nation, F.col("c_nationkey") == F.col("n_nationkey")).select(
-            "c_custkey",
-            text("First", k).alias("first_name"),
-            text("Last", k % 1000).alias("last_name"),
-            text(k % 900 + 100, " Oak Street").alias("street_address"),
-            "state",
-            text("City", k % 100).alias("city"),
-            F.lpad((k % 90000 + 10000).cast("string"), 5, "0").alias("zip"),
-            text("555-", F.lpad((k % 10000).cast("string"), 4, "0")).alias("phone"),
-            text("cust", k, "@example.com").alias("email"),
-            text(F.substring(ssn, 1, 3), "-", F.substring(ssn, 4, 2), "-", F.substring(ssn, 6, 4)).alias("ssn"),
-            born.cast("string").alias("birthdate"),
-            born.alias("birth_date"),
-            (F.lit("2020-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(mins=(k % 1000000).cast("int"))).alias(
-                "created_at"
-            ),
-            pick(JOBS, k % len(JOBS)).alias("job"),
-            F.when(k % 2 == 0, text("34", digits(13))).otherwise(text("51", digits(14))).alias("card"),
-            pick(COMPANIES, k % len(COMPANIES)).alias("company"),
-            F.when(k % 10 == 9, F.lit(None)).when(k % 3 == 0, "N").otherwise("Y").alias("optin"),
-            "c_acctbal",
-            "c_mktsegment",
-        )
+    ssn = "lpad(CAST(c_custkey AS STRING), 9, '0')"
+    born = "date_add(DATE '1950-01-01', CAST(c_custkey % 20000 AS INT))"
+    return customers.join(nation, customers["c_nationkey"] == nation["n_nationkey"]).selectExpr(
+        "c_custkey",
+        "concat('First', c_custkey) AS first_name",
+        "concat('Last', c_custkey % 1000) AS last_name",
+        "concat(c_custkey % 900 + 100, ' Oak Street') AS street_address",
+        "state",
+        "concat('City', c_custkey % 100) AS city",
+        "lpad(CAST(c_custkey % 90000 + 10000 AS STRING), 5, '0') AS zip",
+        "concat('555-', lpad(CAST(c_custkey % 10000 AS STRING), 4, '0')) AS phone",
+        "concat('cust', c_custkey, '@example.com') AS email",
+        f"concat(substring({ssn}, 1, 3), '-', substring({ssn}, 4, 2), '-', substring({ssn}, 6, 4)) AS ssn",
+        f"CAST({born} AS STRING) AS birthdate",
+        f"{born} AS birth_date",
+        "TIMESTAMP_NTZ '2020-01-01 00:00:00' + make_dt_interval(0, 0, CAST(c_custkey % 1000000 AS INT)) AS created_at",
+        f"{pick_sql(JOBS, f'c_custkey % {len(JOBS)}')} AS job",
+        """CASE WHEN c_custkey % 2 = 0 THEN concat('34', lpad(CAST(c_custkey AS STRING), 13, '0'))
+             ELSE concat('51', lpad(CAST(c_custkey AS STRING), 14, '0')) END AS card""",
+        f"{pick_sql(COMPANIES, f'c_custkey % {len(COMPANIES)}')} AS company",
+        "CASE WHEN c_custkey % 10 = 9 THEN NULL WHEN c_custkey % 3 = 0 THEN 'N' ELSE 'Y' END AS optin",
+        "c_acctbal",
+        "c_mktsegment",
     )
 
 
@@ -96,12 +98,12 @@ def row_policy_map(spark: SparkSession) -> DataFrame:
 
 def sales(spark: SparkSession, base: str) -> DataFrame:
     """Orders with the amounts and currency of the order model."""
-    total = F.col("o_totalprice")
-    return read_table(spark, base, "orders").select(
+    amount = "round(o_totalprice / 1.1D, 2)"
+    return read_table(spark, base, "orders").selectExpr(
         "*",
-        F.round(total / 1.1, 2).alias("order_amount"),
-        F.round(total - F.round(total / 1.1, 2), 2).alias("order_tax"),
-        pick(("USD", "EUR", "GBP"), F.col("o_custkey") % 3).alias("order_currency"),
+        f"{amount} AS order_amount",
+        f"round(o_totalprice - {amount}, 2) AS order_tax",
+        f"{pick_sql(('USD', 'EUR', 'GBP'), 'o_custkey % 3')} AS order_currency",
     )
 
 
@@ -121,120 +123,111 @@ FEEDBACK = (
 )
 
 
-def feedback_text(key: Column) -> Column:
+SURNAMES = ("Keller", "Moreau", "Santos", "Novak", "Hansen", "Rossi", "Weber")
+
+
+def feedback_text(key: str) -> Column:
     """One of ten notes with personal details that vary with the key."""
+    digits = lambda modulus, width: f"lpad(CAST({key} % {modulus} AS STRING), {width}, '0')"
     parts = {
-        "{L}": pick(("Keller", "Moreau", "Santos", "Novak", "Hansen", "Rossi", "Weber"), key % 7),
-        "{E}": text("user.", key, "@mail", key % 10, ".example.com"),
-        "{P}": text("555-", F.lpad((key % 1000).cast("string"), 3, "0"), "-", F.lpad((key % 10000).cast("string"), 4, "0")),
-        "{S}": text("9", F.lpad((key % 100).cast("string"), 2, "0"), "-12-", F.lpad((key % 10000).cast("string"), 4, "0")),
-        "{A}": text(key % 900 + 1, " Maple Street, Dover NH 0", key % 9000 + 1000),
-        "{C}": text("4000 1234 5678 ", F.lpad((key % 10000).cast("string"), 4, "0")),
-        "{B}": text(key % 12 + 1, "/", key % 28 + 1, "/", key % 50 + 1950),
+        "{L}": pick_sql(SURNAMES, f"{key} % {len(SURNAMES)}"),
+        "{E}": f"concat('user.', {key}, '@mail', {key} % 10, '.example.com')",
+        "{P}": f"concat('555-', {digits(1000, 3)}, '-', {digits(10000, 4)})",
+        "{S}": f"concat('9', {digits(100, 2)}, '-12-', {digits(10000, 4)})",
+        "{A}": f"concat({key} % 900 + 1, ' Maple Street, Dover NH 0', {key} % 9000 + 1000)",
+        "{C}": f"concat('4000 1234 5678 ', {digits(10000, 4)})",
+        "{B}": f"concat({key} % 12 + 1, '/', {key} % 28 + 1, '/', {key} % 50 + 1950)",
     }
-    out = None
+    cases = []
     for i, template in enumerate(FEEDBACK):
-        note = F.lit(template)
-        for mark, value in parts.items():
-            if mark in template:
-                note = F.replace(note, F.lit(mark), value)
-        out = F.when(key % 10 == i, note) if out is None else out.when(key % 10 == i, note)
-    return out
+        pieces = [parts.get(piece, f"'{piece}'") for piece in re.split(r"(\{[A-Z]\})", template) if piece]
+        cases.append(f"WHEN {i} THEN concat({', '.join(pieces)})")
+    return F.expr(f"CASE {key} % 10 {' '.join(cases)} END")
 
 
 def feedback(spark: SparkSession, base: str) -> DataFrame:
     return read_for_row_work(spark, base, "orders", "o_orderkey").select(
-        "o_orderkey", "o_custkey", "o_orderdate", feedback_text(F.col("o_orderkey")).alias("feedback")
+        "o_orderkey", "o_custkey", "o_orderdate", feedback_text("o_orderkey").alias("feedback")
     )
 
 
 # --- logs from events ---------------------------------------------------------------------------
 
 
-def object_name(index: Column) -> Column:
-    return text(f"{DATABASE}.S", index % 5, ".T", index)
+def object_sql(index: str) -> str:
+    """Full name of the catalog table with this number."""
+    return f"concat('{DATABASE}.S', ({index}) % 5, '.T', {index})"
 
 
 def _events(spark: SparkSession, base: str) -> DataFrame:
-    return read_table(spark, base, "events").withColumn("k", F.get_json_object("props", "$.k").cast("int"))
+    events = read_for_row_work(spark, base, "events", "event_id")
+    return events.selectExpr("*", "CAST(get_json_object(props, '$.k') AS INT) AS k")
 
 
 def access_history(spark: SparkSession, base: str) -> DataFrame:
     """One log row per event: direct and base objects, DDL mark for signups, modified columns for purchases."""
-    k = F.col("k")
-    named = lambda i: F.struct(object_name(i).alias("objectName"))
-    source = lambda i, c: F.struct(
-        text("id", i).alias("objectId"), object_name(i).alias("objectName"), F.lit(c).alias("columnName")
+    named = lambda i: f"named_struct('objectName', {object_sql(i)})"
+    source = lambda i, c: (
+        f"named_struct('objectId', concat('id', {i}), 'objectName', {object_sql(i)}, 'columnName', '{c}')"
     )
-    nothing = F.array().cast("array<struct<objectId:string,objectName:string,columnName:string>>")
-    # C1 always has a direct source and, for odd k, a base source; C2 has neither for k divisible by 3
-    c1 = F.struct(
-        F.lit("C1").alias("columnName"),
-        F.array(source(k % 8, "C1"), source((k + 1) % 8, "C2")).alias("directSources"),
-        F.when(k % 2 == 1, F.array(source(k % 4, "C1"))).otherwise(nothing).alias("baseSources"),
-    )
-    c2 = F.struct(
-        F.lit("C2").alias("columnName"),
-        F.when(k % 3 == 0, nothing).otherwise(F.array(source(k % 8, "C2"))).alias("directSources"),
-        F.when(k % 3 == 0, nothing).otherwise(F.array(source(k % 4, "C3"))).alias("baseSources"),
-    )
-    modified = F.struct(object_name((k + 3) % 8).alias("objectName"), F.array(c1, c2).alias("columns"))
-    return _events(spark, base).select(
-        F.col("event_id").alias("query_id"),
-        F.col("ts").alias("query_start_time"),
-        F.when(F.col("event_type") == "signup", "CREATE").alias("object_modified_by_ddl"),
-        F.when(F.col("event_id") % 3 == 0, F.array(named(k % 8), named((k + 1) % 8)))
-        .otherwise(F.array(named(k % 8)))
-        .alias("direct_objects_accessed"),
-        F.array(named(k % 4)).alias("base_objects_accessed"),
-        F.when(F.col("event_type") == "purchase", F.array(modified)).alias("objects_modified"),
+    nothing = "CAST(array() AS ARRAY<STRUCT<objectId: STRING, objectName: STRING, columnName: STRING>>)"
+    # C1 always has two direct sources and, for odd k, a base source; C2 has neither for k divisible by 3
+    c1 = f"""named_struct('columnName', 'C1', 'directSources', array({source('k % 8', 'C1')}, {source('(k + 1) % 8', 'C2')}),
+             'baseSources', CASE WHEN k % 2 = 1 THEN array({source('k % 4', 'C1')}) ELSE {nothing} END)"""
+    c2 = f"""named_struct('columnName', 'C2',
+             'directSources', CASE WHEN k % 3 = 0 THEN {nothing} ELSE array({source('k % 8', 'C2')}) END,
+             'baseSources', CASE WHEN k % 3 = 0 THEN {nothing} ELSE array({source('k % 4', 'C3')}) END)"""
+    return _events(spark, base).selectExpr(
+        "event_id AS query_id",
+        "ts AS query_start_time",
+        "CASE WHEN event_type = 'signup' THEN 'CREATE' END AS object_modified_by_ddl",
+        f"""CASE WHEN event_id % 3 = 0 THEN array({named('k % 8')}, {named('(k + 1) % 8')})
+            ELSE array({named('k % 8')}) END AS direct_objects_accessed""",
+        f"array({named('k % 4')}) AS base_objects_accessed",
+        f"""CASE WHEN event_type = 'purchase' THEN
+            array(named_struct('objectName', {object_sql('(k + 3) % 8')}, 'columns', array({c1}, {c2}))) END AS objects_modified""",
     )
 
 
 def query_history(spark: SparkSession, base: str) -> DataFrame:
-    value = F.col("value")
-    return _events(spark, base).select(
-        F.col("event_id").alias("query_id"),
-        text("user_", F.col("user_id")).alias("user_name"),
-        F.when(F.col("event_id") < 4, "R_RARE").otherwise(text("R_", F.col("user_id") % 4)).alias("role_name"),
-        F.col("ts").alias("start_time"),
-        text("select * from ", object_name(F.col("k") % 8)).alias("query_text"),
-        F.when(F.col("event_type") == "error", "FAIL").otherwise("SUCCESS").alias("execution_status"),
-        F.round(value * 100).cast("bigint").alias("total_elapsed_time"),
-        F.round(value * 1000000).cast("bigint").alias("bytes_scanned"),
+    return _events(spark, base).selectExpr(
+        "event_id AS query_id",
+        "concat('user_', user_id) AS user_name",
+        "CASE WHEN event_id < 4 THEN 'R_RARE' ELSE concat('R_', user_id % 4) END AS role_name",
+        "ts AS start_time",
+        f"concat('select * from ', {object_sql('k % 8')}) AS query_text",
+        "CASE WHEN event_type = 'error' THEN 'FAIL' ELSE 'SUCCESS' END AS execution_status",
+        "CAST(round(value * 100) AS BIGINT) AS total_elapsed_time",
+        "CAST(round(value * 1000000) AS BIGINT) AS bytes_scanned",
     )
 
 
 def login_history(spark: SparkSession, base: str) -> DataFrame:
     """Signups are logins, errors failed ones; some users' events lie 20 or 40 days further back."""
-    return (
-        read_table(spark, base, "events")
-        .filter(F.col("event_type").isin("signup", "error"))
-        .select(
-            text("user_", F.col("user_id")).alias("user_name"),
-            (F.col("ts") - days(F.col("user_id") % 3 * 20)).alias("event_timestamp"),
-            F.when(F.col("event_type") == "signup", "YES").otherwise("NO").alias("is_success"),
-        )
+    events = read_table(spark, base, "events").filter("event_type IN ('signup', 'error')")
+    return events.selectExpr(
+        "concat('user_', user_id) AS user_name",
+        "ts - make_dt_interval(CAST(user_id % 3 * 20 AS INT)) AS event_timestamp",
+        "CASE WHEN event_type = 'signup' THEN 'YES' ELSE 'NO' END AS is_success",
     )
 
 
 def metering(spark: SparkSession, base: str) -> DataFrame:
-    credits = F.col("value") / 100
-    return read_table(spark, base, "events").select(
-        text("W", F.col("user_id") % 3).alias("warehouse_name"),
-        F.col("ts").alias("start_time"),
-        credits.alias("credits_used"),
-        (credits * 0.9).alias("credits_used_compute"),
-        (credits * 0.1).alias("credits_used_cloud_services"),
+    return read_table(spark, base, "events").selectExpr(
+        "concat('W', user_id % 3) AS warehouse_name",
+        "ts AS start_time",
+        "value / 100 AS credits_used",
+        "value / 100 * 0.9D AS credits_used_compute",
+        "value / 100 * 0.1D AS credits_used_cloud_services",
     )
 
 
 def attribution(spark: SparkSession, base: str) -> DataFrame:
-    return read_table(spark, base, "events").select(
-        F.col("event_id").alias("query_id"),
-        text("user_", F.col("user_id")).alias("user_name"),
-        F.col("ts").alias("start_time"),
-        (F.col("value") / 100).alias("credits_attributed_compute"),
+    return read_table(spark, base, "events").selectExpr(
+        "event_id AS query_id",
+        "concat('user_', user_id) AS user_name",
+        "ts AS start_time",
+        "value / 100 AS credits_attributed_compute",
     )
 
 
@@ -246,81 +239,66 @@ CATEGORIES = (
 _LEVELS = ("PII", "RESTRICTED", "SENSITIVE", "INTERNAL", "PUBLIC")
 
 
-def _part_object() -> list[Column]:
-    p = F.col("p_partkey")
-    return [
-        F.lit(DATABASE).alias("object_database"),
-        text("S", p % 5).alias("object_schema"),
-        text("T", p).alias("object_name"),
-    ]
-
-
 def catalog_tables(spark: SparkSession, base: str) -> DataFrame:
-    p = F.col("p_partkey")
-    return read_table(spark, base, "part").select(
-        F.lit(DATABASE).alias("table_catalog"),
-        text("S", p % 5).alias("table_schema"),
-        text("T", p).alias("table_name"),
-        F.when(p % 4 == 0, "VIEW").otherwise("BASE TABLE").alias("table_type"),
-        (as_of() - days(F.col("p_size") * 10)).alias("created_at"),
-        F.when(p % 7 != 0, as_of() - days(p % 200)).alias("classified_at"),
+    return read_table(spark, base, "part").selectExpr(
+        f"'{DATABASE}' AS table_catalog",
+        "concat('S', p_partkey % 5) AS table_schema",
+        "concat('T', p_partkey) AS table_name",
+        "CASE WHEN p_partkey % 4 = 0 THEN 'VIEW' ELSE 'BASE TABLE' END AS table_type",
+        f"{back('p_size * 10')} AS created_at",
+        f"CASE WHEN p_partkey % 7 <> 0 THEN {back('p_partkey % 200')} END AS classified_at",
     )
 
 
 def tag_references(spark: SparkSession, base: str) -> DataFrame:
     """A table tag and up to three column tags per part; every seventh table has none."""
-    p, i = F.col("p_partkey"), F.col("i")
-    return (
+    categorised = "i > 0 AND (p + i) % 2 = 0"
+    numbered = (
         read_table(spark, base, "part")
-        .filter(p % 7 != 6)
-        .withColumn("i", F.explode(F.sequence(F.lit(0), (F.col("p_size") % 4).cast("int"))))
-        .select(
-            *_part_object(),
-            F.when(i > 0, text("C", i)).alias("column_name"),
-            F.when(i > 0, "COLUMN").otherwise("TABLE").alias("domain"),
-            F.when((i > 0) & ((p + i) % 2 == 0), "SEMANTIC_CATEGORY").otherwise("DATA_CLASSIFICATION").alias("tag_name"),
-            F.when((i > 0) & ((p + i) % 2 == 0), pick(CATEGORIES, (p + i) % len(CATEGORIES)))
-            .otherwise(pick(_LEVELS, (p + i) % len(_LEVELS)))
-            .alias("tag_value"),
-        )
+        .filter("p_partkey % 7 <> 6")
+        .selectExpr("p_partkey AS p", "explode(sequence(0, CAST(p_size % 4 AS INT))) AS i")
+    )
+    return numbered.selectExpr(
+        f"'{DATABASE}' AS object_database",
+        "concat('S', p % 5) AS object_schema",
+        "concat('T', p) AS object_name",
+        "CASE WHEN i > 0 THEN concat('C', i) END AS column_name",
+        "CASE WHEN i > 0 THEN 'COLUMN' ELSE 'TABLE' END AS domain",
+        f"CASE WHEN {categorised} THEN 'SEMANTIC_CATEGORY' ELSE 'DATA_CLASSIFICATION' END AS tag_name",
+        f"""CASE WHEN {categorised} THEN {pick_sql(CATEGORIES, f'(p + i) % {len(CATEGORIES)}')}
+            ELSE {pick_sql(_LEVELS, f'(p + i) % {len(_LEVELS)}')} END AS tag_value""",
     )
 
 
 def policy_references(spark: SparkSession, base: str) -> DataFrame:
     """Masking or row policies on two of three tables, one in eleven inactive."""
-    p = F.col("p_partkey")
-    masking = p % 3 == 0
     return (
         read_table(spark, base, "part")
-        .filter(p % 3 != 2)
-        .select(
-            F.lit(DATABASE).alias("policy_db"),
-            F.when(masking, "MASKING_POLICY").otherwise("ROW_ACCESS_POLICY").alias("policy_kind"),
-            text("POL_", p % 4).alias("policy_name"),
-            F.when(p % 11 == 0, "INACTIVE").otherwise("ACTIVE").alias("policy_status"),
-            object_name(p).alias("ref_entity_name"),
-            F.lit("TABLE").alias("ref_entity_domain"),
-            F.when(masking, "C1").alias("ref_column_name"),
+        .filter("p_partkey % 3 <> 2")
+        .selectExpr(
+            f"'{DATABASE}' AS policy_db",
+            "CASE WHEN p_partkey % 3 = 0 THEN 'MASKING_POLICY' ELSE 'ROW_ACCESS_POLICY' END AS policy_kind",
+            "concat('POL_', p_partkey % 4) AS policy_name",
+            "CASE WHEN p_partkey % 11 = 0 THEN 'INACTIVE' ELSE 'ACTIVE' END AS policy_status",
+            f"{object_sql('p_partkey')} AS ref_entity_name",
+            "'TABLE' AS ref_entity_domain",
+            "CASE WHEN p_partkey % 3 = 0 THEN 'C1' END AS ref_column_name",
         )
     )
 
 
 def object_dependencies(spark: SparkSession, base: str) -> DataFrame:
     """Views (one per part) over tables (one per supplier), linked where a line item links them."""
-    return (
-        read_table(spark, base, "lineitem")
-        .select("l_partkey", "l_suppkey")
-        .distinct()
-        .select(
-            F.lit(DATABASE).alias("referencing_database"),
-            text("S", F.col("l_partkey") % 5).alias("referencing_schema"),
-            text("V", F.col("l_partkey")).alias("referencing_object_name"),
-            F.lit("VIEW").alias("referencing_object_domain"),
-            F.lit(DATABASE).alias("referenced_database"),
-            text("S", F.col("l_suppkey") % 5).alias("referenced_schema"),
-            text("T", F.col("l_suppkey")).alias("referenced_object_name"),
-            F.lit("TABLE").alias("referenced_object_domain"),
-        )
+    links = read_table(spark, base, "lineitem").select("l_partkey", "l_suppkey").distinct()
+    return links.selectExpr(
+        f"'{DATABASE}' AS referencing_database",
+        "concat('S', l_partkey % 5) AS referencing_schema",
+        "concat('V', l_partkey) AS referencing_object_name",
+        "'VIEW' AS referencing_object_domain",
+        f"'{DATABASE}' AS referenced_database",
+        "concat('S', l_suppkey % 5) AS referenced_schema",
+        "concat('T', l_suppkey) AS referenced_object_name",
+        "'TABLE' AS referenced_object_domain",
     )
 
 
@@ -330,50 +308,46 @@ PRIVILEGED = ("OWNERSHIP", "MANAGE GRANTS")
 
 def grants(spark: SparkSession, base: str) -> DataFrame:
     """One grant per part: an eighth to a rarely used role, an eighth to a dormant one, some deleted."""
-    p = F.col("p_partkey")
-    return read_table(spark, base, "part").select(
-        F.when(p % 8 == 0, "R_RARE").when(p % 8 == 1, "R_DORMANT").otherwise(text("R_", p % 4)).alias("grantee_name"),
-        pick(PRIVILEGES, F.col("p_size") % 4).alias("privilege"),
-        F.lit(DATABASE).alias("table_catalog"),
-        text("S", p % 5).alias("table_schema"),
-        text("T", p).alias("name"),
-        F.lit("TABLE").alias("granted_on"),
-        (as_of() - days(p % 60)).alias("created_on"),
-        F.when(p % 10 == 7, as_of()).alias("deleted_on"),
+    return read_table(spark, base, "part").selectExpr(
+        """CASE WHEN p_partkey % 8 = 0 THEN 'R_RARE' WHEN p_partkey % 8 = 1 THEN 'R_DORMANT'
+           ELSE concat('R_', p_partkey % 4) END AS grantee_name""",
+        f"{pick_sql(PRIVILEGES, f'p_size % {len(PRIVILEGES)}')} AS privilege",
+        f"'{DATABASE}' AS table_catalog",
+        "concat('S', p_partkey % 5) AS table_schema",
+        "concat('T', p_partkey) AS name",
+        "'TABLE' AS granted_on",
+        f"{back('p_partkey % 60')} AS created_on",
+        f"CASE WHEN p_partkey % 10 = 7 THEN {AS_OF_SQL} END AS deleted_on",
     )
 
 
 def column_snapshot(spark: SparkSession, base: str, later: bool) -> DataFrame:
     """Columns of the catalog tables before and after some drops, additions and type changes."""
-    p, c = F.col("p_partkey"), F.col("c")
-    columns = (
-        read_table(spark, base, "part")
-        .withColumn("c", F.explode(F.sequence(F.lit(1), (F.col("p_size") % 4 + 1).cast("int"))))
-        .withColumn("data_type", pick(("STRING", "BIGINT", "DATE"), (p + c) % 3))
+    columns = read_table(spark, base, "part").selectExpr(
+        "p_partkey AS p", "explode(sequence(1, CAST(p_size % 4 AS INT) + 1)) AS c"
     )
+    data_type = pick_sql(("STRING", "BIGINT", "DATE"), "(p + c) % 3")
     if later:
-        columns = columns.filter(~((p % 17 == 0) & (c == 1))).withColumn(
-            "data_type", F.when((p % 11 == 0) & (c == 2), "VARIANT").otherwise(F.col("data_type"))
-        )
+        columns = columns.filter("NOT (p % 17 = 0 AND c = 1)")
+        data_type = f"CASE WHEN p % 11 = 0 AND c = 2 THEN 'VARIANT' ELSE {data_type} END"
     else:
-        columns = columns.filter(~((p % 13 == 0) & (c == 1)))
-    return columns.select(
-        object_name(p).alias("table_name"), text("C", c).alias("column_name"), "data_type"
+        columns = columns.filter("NOT (p % 13 = 0 AND c = 1)")
+    return columns.selectExpr(
+        f"{object_sql('p')} AS table_name", "concat('C', c) AS column_name", f"{data_type} AS data_type"
     )
 
 
 def transfers(spark: SparkSession, base: str) -> DataFrame:
     """Every line item is a transfer to the region of its supplier."""
     supplier = read_table(spark, base, "supplier").select("s_suppkey", "s_nationkey")
-    nation = read_table(spark, base, "nation").select("n_nationkey", F.col("n_name").alias("target_region"))
+    nation = read_table(spark, base, "nation").selectExpr("n_nationkey", "n_name AS target_region")
+    lines = read_table(spark, base, "lineitem").selectExpr(
+        "l_suppkey",
+        "concat('SHARE_', l_partkey % 10) AS share_name",
+        "CAST(round(l_extendedprice * 100) AS BIGINT) AS bytes_transferred",
+    )
     return (
-        read_table(spark, base, "lineitem")
-        .select(
-            "l_suppkey",
-            text("SHARE_", F.col("l_partkey") % 10).alias("share_name"),
-            F.round(F.col("l_extendedprice") * 100).cast("bigint").alias("bytes_transferred"),
-        )
-        .join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
-        .join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
+        lines.join(supplier, lines["l_suppkey"] == supplier["s_suppkey"])
+        .join(nation, supplier["s_nationkey"] == nation["n_nationkey"])
         .select("share_name", "target_region", "bytes_transferred")
     )

@@ -14,7 +14,7 @@ from custodia.sources import fixtures as fx
 from custodia.sources.tables import read_table
 from custodia.workload import duck
 from custodia.workload.registry import query
-from custodia.workload.scenario import governance, optin_filter
+from custodia.workload.scenario import customer_governance, governance, optin_filter
 
 _ROLES = (GOVERNOR, DATA_USER, "OUTSIDER")
 
@@ -45,7 +45,7 @@ def row_filter_attribute(spark: SparkSession, base: str) -> DataFrame:
     )
 )
 def row_filter_map(spark: SparkSession, base: str) -> DataFrame:
-    gov = governance(spark, base)
+    gov = customer_governance(spark, base)
     return _by_role(lambda role: gov.table("customers", role).select("c_custkey", "state").to_df())
 
 
@@ -62,7 +62,7 @@ def row_filter_cascade(spark: SparkSession, base: str) -> DataFrame:
     )
 )
 def row_filter_group_counts(spark: SparkSession, base: str) -> DataFrame:
-    gov = governance(spark, base)
+    gov = customer_governance(spark, base)
     return _by_role(
         lambda role: gov.table("customers", role).to_df().groupBy("state").agg(F.count(F.lit(1)).alias("customers"))
     )
@@ -121,12 +121,12 @@ def mask_timestamp(spark: SparkSession, base: str) -> DataFrame:
 @query(duck.with_tables("visible", sql="SELECT * FROM visible"))
 def governed_select(spark: SparkSession, base: str) -> DataFrame:
     """What may the data user see: mapped states only, every tagged column masked by its type."""
-    return governance(spark, base).table("customers", DATA_USER).to_df()
+    return customer_governance(spark, base).table("customers", DATA_USER).to_df()
 
 
 @query(duck.with_tables("people", sql="SELECT * FROM people"))
 def governed_select_clear(spark: SparkSession, base: str) -> DataFrame:
-    return governance(spark, base).table("customers", GOVERNOR).to_df()
+    return customer_governance(spark, base).table("customers", GOVERNOR).to_df()
 
 
 @query(
@@ -137,7 +137,7 @@ def governed_select_clear(spark: SparkSession, base: str) -> DataFrame:
     )
 )
 def projection_guard(spark: SparkSession, base: str) -> DataFrame:
-    gov = governance(spark, base)
+    gov = customer_governance(spark, base)
     gov.limit_projection("customers", "zip")
     table = gov.table("customers", DATA_USER)
     return table.where_hidden_in("zip", ["10003", "10044"], negate=True).exclude("zip").to_df()
@@ -161,6 +161,6 @@ def role_switched_text(spark: SparkSession, base: str) -> DataFrame:
 @query(duck.with_tables("masked", sql="SELECT * FROM masked"))
 def governed_copy(spark: SparkSession, base: str) -> DataFrame:
     """A copy of the customers inherits tags, hence masks, but not the row filter."""
-    gov: Governance = governance(spark, base)
+    gov: Governance = customer_governance(spark, base)
     gov.register_derived("customer_copy", gov.raw("customers").select("*"), ["customers"])
     return gov.table("customer_copy", DATA_USER).to_df()

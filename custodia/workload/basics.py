@@ -109,7 +109,7 @@ def feedback_fill(spark: SparkSession, base: str) -> DataFrame:
     orders = read_table(spark, base, "orders").select("o_orderkey", "o_custkey")
     orders = snapshots.add_column_if_absent(orders, "feedback", T.StringType())
     return snapshots.update_where(
-        orders, {"feedback": fx.feedback_text(F.col("o_orderkey"))}, F.col("feedback").isNull()
+        orders, {"feedback": fx.feedback_text("o_orderkey")}, F.col("feedback").isNull()
     )
 
 

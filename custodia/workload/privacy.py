@@ -199,7 +199,7 @@ def dp_exempt_exact(spark: SparkSession, base: str) -> DataFrame:
 def dp_budget_remaining(spark: SparkSession, base: str) -> DataFrame:
     """Every event is a charge; what is left per user and week of a budget of 20."""
     charges = read_table(spark, base, "events").select(
-        fx.text("user_", F.col("user_id")).alias("user_name"),
+        F.concat(F.lit("user_"), "user_id").alias("user_name"),
         F.when(F.col("event_type") == "view", 1.0).otherwise(0.5).alias("epsilon"),
         F.col("ts").alias("charged_at"),
     )

@@ -21,13 +21,19 @@ def orders_filter(customers: DataFrame, states: MappingFilter) -> ParentFilter:
     return ParentFilter("orders_of_visible_customers", "o_custkey", customers, "c_custkey", states, FULL_CLEAR)
 
 
-def governance(spark: SparkSession, base: str, cascade: bool = True) -> Governance:
-    """Tagged customers filtered by state; with ``cascade`` their orders are filtered along."""
+def customer_governance(spark: SparkSession, base: str) -> Governance:
+    """Tagged customers, filtered by state."""
     gov = Governance()
     gov.register("customers", fx.people(spark, base), fx.PEOPLE_TAGS)
+    gov.add_row_filter("customers", state_filter(spark))
+    return gov
+
+
+def governance(spark: SparkSession, base: str, cascade: bool = True) -> Governance:
+    """Customers and their orders; with ``cascade`` the orders of hidden customers are hidden too."""
+    gov = customer_governance(spark, base)
     gov.register("orders", fx.sales(spark, base), {})
     states = state_filter(spark)
-    gov.add_row_filter("customers", states)
     if cascade:
         gov.add_row_filter("orders", orders_filter(gov.raw("customers"), states))
     return gov
