@@ -9,8 +9,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from custodia.functions.masks import mask
-from custodia.operators.row_filters import RowFilter, roles
-from custodia.operators.tags import METADATA_KEY, apply_tags, inherit, tags_of
+from custodia.operators.partials import first_step, second_step, splits
+from custodia.operators.row_filters import ParentFilter, RowFilter, roles
+from custodia.operators.tags import METADATA_KEY, apply_tags, inherit, level_of, tags_of
 
 # The roles of the reference scenario.
 ENGINEER, GOVERNOR, ADMIN = "DATA_ENGINEER", "DATA_GOVERNOR", "ACCOUNTADMIN"
@@ -84,13 +85,17 @@ _AGGREGATES = {
 }
 
 
-def build_aggregates(specs: Mapping[str, tuple[str, str | Column]]) -> list[Column]:
-    out = []
-    for name, (function, argument) in specs.items():
+def _check_allowed(specs: Mapping[str, tuple[str, str]]) -> None:
+    for function, _ in specs.values():
         if function not in _AGGREGATES:
             raise PolicyError(f"aggregate {function!r} is not allowed here; use {sorted(_AGGREGATES)}")
-        out.append(_AGGREGATES[function](F.lit(1) if argument == "*" else argument).alias(name))
-    return out
+
+
+def build_aggregates(specs: Mapping[str, tuple[str, str]]) -> list[Column]:
+    return [
+        _AGGREGATES[function](F.lit(1) if argument == "*" else argument).alias(name)
+        for name, (function, argument) in specs.items()
+    ]
 
 
 @dataclass(frozen=True)
@@ -100,6 +105,9 @@ class AggregateOnlyTable:
     rows: DataFrame
     role: str
     min_group: int
+    dimension: DataFrame | None = None
+    on: str = ""
+    key: str = ""
 
     def to_df(self) -> DataFrame:
         raise PolicyError(f"role {self.role} must aggregate this table")
@@ -108,17 +116,41 @@ class AggregateOnlyTable:
 
     def join_dimension(self, dimension: DataFrame, on: str, key: str) -> AggregateOnlyTable:
         """Add the columns of a dimension; ``key`` must be unique there or groups would inflate."""
-        joined = self.rows.join(dimension, self.rows[on] == dimension[key], "inner")
-        return replace(self, rows=joined)
+        if self.dimension is not None:
+            raise PolicyError("one dimension at a time; join dimensions with each other first")
+        return replace(self, dimension=dimension, on=on, key=key)
+
+    def _grouped(self, by: list[str], specs: Mapping[str, tuple[str, str]]) -> DataFrame:
+        """Aggregates per group and, as ``_rows``, the protected rows in it."""
+        specs = {**specs, "_rows": ("count", "*")}
+        if self.dimension is None:
+            return self.rows.groupBy(*by).agg(*build_aggregates(specs))
+        if not all(splits(function) for function, _ in specs.values()):
+            joined = self.rows.join(self.dimension, self.rows[self.on] == self.dimension[self.key])
+            return joined.groupBy(*by).agg(*build_aggregates(specs))
+        own = [c for c in by if c in self.rows.columns]
+        steps = [
+            column
+            for name, (function, argument) in specs.items()
+            for column in first_step(function, F.lit(1) if argument == "*" else F.col(argument), name)
+        ]
+        per_key = self.rows.groupBy(*dict.fromkeys([self.on, *own])).agg(*steps)
+        extra = [c for c in by if c not in own]
+        dimension = self.dimension.select(F.col(self.key).alias("_key"), *extra)
+        return (
+            per_key.join(dimension, per_key[self.on] == dimension["_key"])
+            .groupBy(*by)
+            .agg(*[second_step(function, name).alias(name) for name, (function, _) in specs.items()])
+        )
 
     def aggregate(self, by: list[str], merge_small: bool = False, **specs: tuple[str, str]) -> DataFrame:
         """Grouped aggregates; groups below the limit are dropped.
 
         With ``merge_small`` they are pooled into one group with NULL keys, kept if the pool itself
-        reaches the limit. The size test is part of the same hash aggregation. Pooling needs
-        aggregates that add up, so it takes count and sum only.
+        reaches the limit. Pooling needs aggregates that add up, so it takes count and sum only.
         """
-        grouped = self.rows.groupBy(*by).agg(*build_aggregates(specs), F.count(F.lit(1)).alias("_rows"))
+        _check_allowed(specs)
+        grouped = self._grouped(by, specs)
         if not merge_small:
             return grouped.filter(F.col("_rows") >= self.min_group).drop("_rows")
         if any(function not in ("count", "sum") for function, _ in specs.values()):
@@ -187,6 +219,21 @@ class Governance:
         return GovernedTable(rows, role, frozenset() if clear else entry.hidden, self.salt)
 
 
+def load_grouped(gov: Governance, name: str, role: str, key: str):
+    """Masked rows for grouping by ``key``, and the row filter to apply to the groups.
+
+    A filter that looks at the grouping key alone keeps or drops whole groups, so it gives the same
+    result after the grouping, when the rows of a very frequent key have become one. The rows
+    handed out are not filtered yet: for library code that groups them, not for callers.
+    """
+    entry = gov._tables[name]
+    row_filter = entry.row_filter
+    if isinstance(row_filter, ParentFilter) and row_filter.foreign_key == key and level_of(entry.df, key) is None:
+        unfiltered = GovernedTable(entry.df, role, frozenset(), gov.salt).to_df()
+        return unfiltered, lambda grouped: row_filter.apply(grouped, role)
+    return gov.table(name, role).to_df(), lambda grouped: grouped
+
+
 def switch_by_role(df: DataFrame, role: str, clear: str, redacted: str, name: str) -> DataFrame:
     """Show one of two stored columns, chosen when the plan is built; the other is never read."""
     chosen = clear if role in TEXT_CLEAR else redacted

@@ -38,7 +38,6 @@ def after_hours(
         access.select("query_id", F.explode(F.col("direct_objects_accessed.objectName")).alias("object_name"))
         .join(sensitive_objects, "object_name", "left_semi")
         .select("query_id")
-        .distinct()
     )
     return (
         queries.filter((hour < opens) | (hour >= closes))

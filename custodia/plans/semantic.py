@@ -13,23 +13,11 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from custodia.operators.partials import first_step, second_step
 from custodia.sources.tables import literal_rows
 
-# Metrics that can be rebuilt from partial results: partial columns, then the final expression.
-_PARTIAL = {
-    "count": lambda x: [F.count(x)],
-    "sum": lambda x: [F.sum(x)],
-    "min": lambda x: [F.min(x)],
-    "max": lambda x: [F.max(x)],
-    "avg": lambda x: [F.sum(x), F.count(x)],
-}
-_FINAL = {
-    "count": lambda p: F.coalesce(F.sum(p[0]), F.lit(0)),
-    "sum": lambda p: F.sum(p[0]),
-    "min": lambda p: F.min(p[0]),
-    "max": lambda p: F.max(p[0]),
-    "avg": lambda p: F.sum(p[0]) / F.nullif(F.sum(p[1]), F.lit(0)),
-}
+# rows, and what to apply once they are grouped by the key
+LateFilter = tuple[DataFrame, Callable[[DataFrame], DataFrame]]
 
 
 class SemanticError(Exception):
@@ -113,21 +101,34 @@ class SemanticModel:
         return F.expr(facts.get(metric.argument, metric.argument))
 
     def query(
-        self, load: Callable[[str], DataFrame], dimensions: Sequence[str], metrics: Sequence[str]
+        self,
+        load: Callable[[str], DataFrame],
+        dimensions: Sequence[str],
+        metrics: Sequence[str],
+        load_grouped: Callable[[str, str], LateFilter] | None = None,
     ) -> DataFrame:
-        """Group ``metrics`` by ``dimensions``; only the tables that are needed are read."""
+        """Group ``metrics`` by ``dimensions``; only the tables that are needed are read.
+
+        ``load_grouped(table, key)`` may give the rows together with a row filter that depends on
+        ``key`` alone; that filter then runs on the groups instead of the rows.
+        """
         dims = [self.resolve(d, Dimension) for d in dimensions]
         wanted = [self.resolve(m, MetricDef) for m in metrics]
         results = []
         for table in dict.fromkeys(m.table for m in wanted):
             own = [m for m in wanted if m.table == table]
-            results.append(self._at_grain(load, table, dims, own))
+            results.append(self._at_grain(load, load_grouped, table, dims, own))
         names = [d.name for d in dims]
         out = reduce(lambda a, b: _join_results(a, b, names), results)
         return out.select(*names, *[m.name for m in wanted])
 
     def _at_grain(
-        self, load: Callable[[str], DataFrame], table: str, dims: Sequence[Dimension], metrics: Sequence[MetricDef]
+        self,
+        load: Callable[[str], DataFrame],
+        load_grouped: Callable[[str, str], LateFilter] | None,
+        table: str,
+        dims: Sequence[Dimension],
+        metrics: Sequence[MetricDef],
     ) -> DataFrame:
         """Metrics of one table at its own grain, so that a join never multiplies them."""
         rel = self.relationship
@@ -140,10 +141,8 @@ class SemanticModel:
         keys = [F.expr(d.expression).alias(d.name) for d in own_dims]
         partial, final = [], []
         for m in metrics:
-            columns = _PARTIAL[m.function](self._argument(m))
-            names = [f"_{m.name}_{i}" for i in range(len(columns))]
-            partial += [c.alias(n) for c, n in zip(columns, names)]
-            value = _FINAL[m.function]([F.col(n) for n in names])
+            partial += first_step(m.function, self._argument(m), m.name)
+            value = second_step(m.function, m.name)
             final.append((value if m.digits is None else F.round(value, m.digits)).alias(m.name))
 
         if not foreign:
@@ -153,7 +152,9 @@ class SemanticModel:
         # parent, a parent with very many children is no hot key, and the shuffle on the key serves
         # both steps. The join is a left join: children without a visible parent keep a NULL
         # dimension, as they do in the raw data.
-        children = load(table).groupBy(F.col(rel.foreign_key).alias("_fk"), *keys).agg(*partial)
+        fk = rel.foreign_key
+        rows, late = load_grouped(table, fk) if load_grouped else (load(table), lambda df: df)
+        children = late(rows.groupBy(fk, *keys).agg(*partial)).withColumnRenamed(fk, "_fk")
         parent_key = next(t.primary_key for t in self.tables if t.name == rel.parent)
         parents = load(rel.parent).select(
             F.col(parent_key).alias("_pk"), *[F.expr(d.expression).alias(d.name) for d in foreign]

@@ -69,12 +69,13 @@ def _dp_count(entities: str, group: str, domain, query_id: str) -> str:
 def kanon_aggregate(spark: SparkSession, base: str) -> DataFrame:
     """Orders per state and priority; groups below 100 rows are suppressed."""
     gov = Governance()
-    states = fx.people(spark, base).select("c_custkey", "state")
-    orders = read_table(spark, base, "orders")
-    gov.register("orders", orders.join(states, orders["o_custkey"] == states["c_custkey"]).drop("c_custkey"))
+    gov.register("orders", read_table(spark, base, "orders"))
     gov.limit_aggregation("orders", K)
-    out = gov.table("orders", DATA_USER).aggregate(
-        ["state", "o_orderpriority"], orders=("count", "*"), total=("sum", "o_totalprice")
+    states = fx.people(spark, base).select("c_custkey", "state")
+    out = (
+        gov.table("orders", DATA_USER)
+        .join_dimension(states, on="o_custkey", key="c_custkey")
+        .aggregate(["state", "o_orderpriority"], orders=("count", "*"), total=("sum", "o_totalprice"))
     )
     return out.withColumn("total", F.round("total", 2))
 
