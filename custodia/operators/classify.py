@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -84,14 +85,28 @@ def detector_list(detectors: Sequence[Detector]) -> list[tuple[str, str, str | N
     return [(d.name, d.category, d.content) for d in detectors]
 
 
-def _hit(category: str, detectors: Sequence[Detector], value: Column) -> Column:
-    tests = [value.rlike(d.content) for d in detectors if d.category == category and d.content]
-    if not tests:
-        return F.lit(True)
-    combined = tests[0]
-    for test in tests[1:]:
-        combined = combined | test
-    return combined
+def _hinted_columns(category: str, detectors: Sequence[Detector], columns: Sequence[str]) -> list[str]:
+    hints = [d.hint for d in detectors if d.category == category]
+    return [c for c in columns if any(re.search(h, c.lower()) for h in hints)]
+
+
+def _hit(category: str, detectors: Sequence[Detector], columns: Sequence[str]) -> Column:
+    """Whether a (column_name, value) row counts for a category.
+
+    Categories that need a matching name are only tested on columns that have one; which these are
+    is known when the plan is built.
+    """
+    own = [d for d in detectors if d.category == category]
+    test = None
+    for d in own:
+        if d.content:
+            found = F.col("value").rlike(d.content)
+            test = found if test is None else test | found
+    test = F.col("value").isNotNull() if test is None else test
+    if not own[0].needs_hint:
+        return test
+    hinted = _hinted_columns(category, detectors, columns)
+    return F.when(F.col("column_name").isin(hinted), test) if hinted else F.lit(False)
 
 
 def match_counts(df: DataFrame, detectors: Sequence[Detector]) -> DataFrame:
@@ -105,18 +120,17 @@ def match_counts(df: DataFrame, detectors: Sequence[Detector]) -> DataFrame:
     long = df.unpivot([], columns, "column_name", "value")
     return long.groupBy("column_name").agg(
         F.count("value").alias("n_values"),
-        *[F.count_if(_hit(c, detectors, F.col("value"))).alias(c) for c in categories],
+        *[F.count_if(_hit(c, detectors, columns)).alias(c) for c in categories],
     )
 
 
 def classify(df: DataFrame, detectors: Sequence[Detector] = BUILT_IN) -> DataFrame:
     """Recommended category per column. A preview: nothing is tagged."""
     categories = list(dict.fromkeys(d.category for d in detectors))
-    name = F.lower(F.col("column_name"))
     candidates = []
     for priority, category in enumerate(categories):
         own = [d for d in detectors if d.category == category]
-        hinted = name.rlike("|".join(dict.fromkeys(d.hint for d in own)))
+        hinted = F.col("column_name").isin(_hinted_columns(category, detectors, df.columns))
         ratio = F.when(hinted | F.lit(not own[0].needs_hint), F.col(category) / F.col("n_values"))
         # a matching name breaks ties between categories that fit the content equally well
         candidates.append(

@@ -14,7 +14,7 @@ from custodia.sources import fixtures as fx
 from custodia.sources.tables import read_table
 from custodia.workload import duck
 from custodia.workload.registry import query
-from custodia.workload.scenario import customer_governance, governance, optin_filter
+from custodia.workload.scenario import customer_governance, governance, optin_filter, state_filter
 
 _ROLES = (GOVERNOR, DATA_USER, "OUTSIDER")
 
@@ -49,6 +49,28 @@ def row_filter_map(spark: SparkSession, base: str) -> DataFrame:
     return _by_role(lambda role: gov.table("customers", role).select("c_custkey", "state").to_df())
 
 
+@query(
+    duck.with_tables(
+        "people",
+        "policy_map",
+        sql="""SELECT c_custkey, 'opt-in' AS policy FROM people WHERE optin = 'Y'
+    UNION ALL SELECT c_custkey, 'none' FROM people
+    UNION ALL SELECT c_custkey, 'state' FROM people WHERE state IN (SELECT visible_value FROM policy_map)""",
+    )
+)
+def row_filter_swap(spark: SparkSession, base: str) -> DataFrame:
+    """What the data user sees as one row filter is dropped and another added."""
+    gov = Governance()
+    gov.register("customers", fx.people(spark, base), {})
+    see = lambda name: gov.table("customers", DATA_USER).select("c_custkey").to_df().withColumn("policy", F.lit(name))
+    gov.add_row_filter("customers", optin_filter())
+    first = see("opt-in")
+    gov.drop_row_filter("customers")
+    between = see("none")
+    gov.add_row_filter("customers", state_filter(spark))
+    return first.unionByName(between).unionByName(see("state"))
+
+
 @query(duck.with_tables("visible_sales", sql="SELECT o_orderkey, o_custkey, o_totalprice FROM visible_sales"))
 def row_filter_cascade(spark: SparkSession, base: str) -> DataFrame:
     return governance(spark, base).table("orders", DATA_USER).select("o_orderkey", "o_custkey", "o_totalprice").to_df()

@@ -103,11 +103,11 @@ _lead_amount = f"round(1000.0::DOUBLE + {uniform('i::VARCHAR', 'deal')} * 99000.
 
 def _leads(source: str) -> str:
     return f"""
-    SELECT i AS lead_id, 'Lead_' || i AS lead_name,
-      CASE WHEN i % 26 = 0 THEN NULL WHEN i % 41 = 0 THEN '{gen.DUPLICATE_EMAIL}' ELSE 'lead_' || i || '@example.com' END AS email,
+    SELECT i AS lead_id, 'Lead ' || i AS lead_name,
+      CASE WHEN i % 26 = 0 THEN NULL WHEN i % 41 = 0 THEN '{gen.DUPLICATE_EMAIL}' ELSE 'contact' || i || '@example.com' END AS email,
       CASE WHEN i % 29 = 0 THEN '' ELSE '555-' || lpad((i * 7 % 10000)::VARCHAR, 4, '0') END AS phone,
       {pick(gen.COMPANIES, 'i % 8')} AS company,
-      CASE WHEN i % 141 = 0 THEN 'YOLO' WHEN i % 141 = 47 THEN 'idk' WHEN i % 141 = 94 THEN 'maybe_later'
+      CASE WHEN i % 141 = 0 THEN 'tbd' WHEN i % 141 = 47 THEN 'n/a' WHEN i % 141 = 94 THEN 'ask later'
            ELSE {pick(gen.STATUSES, 'i % 5')} END AS status,
       CASE WHEN i % 158 = 0 THEN -5000.0::DOUBLE WHEN i % 79 = 0 THEN 2500000.0::DOUBLE ELSE {_lead_amount} END AS deal_amount,
       {pick(gen.LEAD_SOURCES, 'i % 5')} AS lead_source,
@@ -152,8 +152,8 @@ CTES = {
     "feedback": f"SELECT o_orderkey, o_custkey, o_orderdate, {_feedback('o_orderkey')} AS feedback FROM orders",
     "leads": _leads("SELECT o_orderkey + 1 AS i FROM orders"),
     "bad_leads": f"""
-    SELECT -1 - c_custkey AS lead_id, 'BadLead_' || (-1 - c_custkey) AS lead_name, NULL::VARCHAR AS email, '' AS phone,
-      'Fake Corp' AS company, 'GARBAGE' AS status, -99999.99::DOUBLE AS deal_amount, 'Unknown' AS lead_source, {AS_OF} AS created_at
+    SELECT -1 - c_custkey AS lead_id, 'Broken ' || (-1 - c_custkey) AS lead_name, NULL::VARCHAR AS email, '' AS phone,
+      'No Such Company' AS company, 'broken' AS status, -1.0::DOUBLE AS deal_amount, 'none' AS lead_source, {AS_OF} AS created_at
     FROM customer""",
     "employees": f"""
     SELECT c_custkey AS employee_id, {pick(gen.DEPARTMENTS, 'c_custkey % 6')} AS department,
