@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from custodia.functions.text import ENTITIES, NEGATIVE, POSITIVE, TOPICS, DEFAULT_TOPIC
+from custodia.functions.text import DEFAULT_TOPIC, ENTITIES, NEGATIVE, POSITIVE, TOPICS, Entity
 from custodia.sources import fixtures as fx
 from custodia.sources import generators as gen
 
@@ -40,23 +40,21 @@ def obj(index: str) -> str:
     return f"('{fx.DATABASE}.S' || (({index}) % 5) || '.T' || ({index}))"
 
 
-def bounded(body: str) -> str:
-    return rf"(^|[^0-9A-Za-z_]){body}\b"
+def entity_pattern(e: Entity) -> str:
+    """The same boundaries without lookaround: the character before becomes part of the match."""
+    return f"(^|[^{e.before}]){e.body}" + (r"\b" if e.closed else "")
 
 
 def redact(text: str, labels=None) -> str:
     for e in ENTITIES:
         if labels is None or e.label in labels:
-            if e.first:
-                text = rf"regexp_replace({text}, '{bounded(e.body)}', '\1[{e.label}]', 'g')"
-            else:
-                text = f"regexp_replace({text}, '{e.body}', '[{e.label}]', 'g')"
+            text = rf"regexp_replace({text}, '{entity_pattern(e)}', '\1[{e.label}]', 'g')"
     return text
 
 
 def entity_count(text: str, label: str) -> str:
     e = next(e for e in ENTITIES if e.label == label)
-    return f"len(regexp_extract_all({text}, '{bounded(e.body) if e.first else e.body}'))"
+    return f"len(regexp_extract_all({text}, '{entity_pattern(e)}'))"
 
 
 def sentiment(text: str) -> str:
