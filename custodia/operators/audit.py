@@ -28,6 +28,16 @@ def since(time: Column, as_of: Column, days: int | None) -> Column:
     return time >= as_of - F.make_dt_interval(F.lit(days))
 
 
+def _queries(one_row_per_query: bool) -> Column:
+    """Number of queries in a group of rows that name each object once.
+
+    Counting distinct ids shuffles every (group, id) pair. Where the log is known to hold one row per
+    query, rows can be counted instead and only one number per group and task travels.
+    """
+    counted = F.count(F.lit(1)) if one_row_per_query else F.count_distinct("query_id")
+    return counted.alias("number_of_queries")
+
+
 def _direct(access: DataFrame) -> DataFrame:
     """One row per query and object it names; a list naming an object twice counts once."""
     names = F.array_distinct(F.col("direct_objects_accessed.objectName"))
@@ -35,16 +45,26 @@ def _direct(access: DataFrame) -> DataFrame:
 
 
 def direct_access(
-    access: DataFrame, as_of: Column, days: int | None = 60, name_prefix: str | None = None
+    access: DataFrame,
+    as_of: Column,
+    days: int | None = 60,
+    name_prefix: str | None = None,
+    one_row_per_query: bool = False,
 ) -> DataFrame:
     """Queries per directly named object."""
     rows = _direct(access.filter(since(F.col("query_start_time"), as_of, days)))
     if name_prefix is not None:
         rows = rows.filter(F.startswith(F.col("object_name"), F.lit(name_prefix)))
-    return rows.groupBy("object_name").agg(F.count_distinct("query_id").alias("number_of_queries"))
+    return rows.groupBy("object_name").agg(_queries(one_row_per_query))
 
 
-def read_write(access: DataFrame, as_of: Column, days: int | None = 60, dml_as_write: bool = False) -> DataFrame:
+def read_write(
+    access: DataFrame,
+    as_of: Column,
+    days: int | None = 60,
+    dml_as_write: bool = False,
+    one_row_per_query: bool = False,
+) -> DataFrame:
     """Reads and writes per object with the last access.
 
     A write is a change by DDL; with ``dml_as_write`` also a query that modified any object.
@@ -55,14 +75,17 @@ def read_write(access: DataFrame, as_of: Column, days: int | None = 60, dml_as_w
     return (
         _direct(access.filter(since(F.col("query_start_time"), as_of, days)))
         .groupBy("object_name", F.when(write, "write").otherwise("read").alias("query_type"))
-        .agg(
-            F.count_distinct("query_id").alias("number_of_queries"),
-            F.max("query_start_time").alias("last_access"),
-        )
+        .agg(_queries(one_row_per_query), F.max("query_start_time").alias("last_access"))
     )
 
 
-def indirect_access(access: DataFrame, as_of: Column, days: int | None = 60, strict: bool = False) -> DataFrame:
+def indirect_access(
+    access: DataFrame,
+    as_of: Column,
+    days: int | None = 60,
+    strict: bool = False,
+    one_row_per_query: bool = False,
+) -> DataFrame:
     """Queries that reach a base object while naming a different one.
 
     Tested inside the row's arrays, so the two lists are never multiplied. A base object that is
@@ -77,9 +100,7 @@ def indirect_access(access: DataFrame, as_of: Column, days: int | None = 60, str
         other = (F.size("_direct") > 0) & ~F.array_contains("_direct", F.col("object_name"))
     else:
         other = F.exists("_direct", lambda d: d != F.col("object_name"))
-    return (
-        rows.filter(other).groupBy("object_name").agg(F.count_distinct("query_id").alias("number_of_queries"))
-    )
+    return rows.filter(other).groupBy("object_name").agg(_queries(one_row_per_query))
 
 
 def column_lineage(access: DataFrame) -> DataFrame:
@@ -87,33 +108,20 @@ def column_lineage(access: DataFrame) -> DataFrame:
 
     Both kinds leave one pass over the log. Columns and targets without sources stay, with NULLs.
     """
-    unknown = F.lit(None)
-    no_source = F.array(
-        F.struct(
-            unknown.cast("string").alias("objectId"),
-            unknown.cast("string").alias("objectName"),
-            unknown.cast("string").alias("columnName"),
-        )
+    kinds = F.array(
+        F.struct(F.lit("DIRECT").alias("kind"), F.col("c.directSources").alias("sources")),
+        F.struct(F.lit("BASE").alias("kind"), F.col("c.baseSources").alias("sources")),
     )
-
-    def sources(field: str, kind: str) -> Column:
-        listed = F.col(f"c.{field}")
-        listed = F.when(F.size(listed) > 0, listed).otherwise(no_source)
-        return F.transform(listed, lambda s: F.struct(F.lit(kind).alias("kind"), s.alias("source")))
-
     return (
         access.select(F.explode("objects_modified").alias("m"))
         .select(F.col("m.objectName").alias("target_object_name"), F.explode_outer("m.columns").alias("c"))
+        .select("target_object_name", F.col("c.columnName").alias("target_column_name"), F.explode(kinds).alias("k"))
+        .select("target_object_name", "target_column_name", "k.kind", F.explode_outer("k.sources").alias("s"))
         .select(
-            "target_object_name",
-            F.col("c.columnName").alias("target_column_name"),
-            F.explode(F.concat(sources("directSources", "DIRECT"), sources("baseSources", "BASE"))).alias("s"),
-        )
-        .select(
-            F.col("s.source.objectId").alias("source_object_id"),
-            F.col("s.source.objectName").alias("source_object_name"),
-            F.col("s.source.columnName").alias("source_column_name"),
-            F.col("s.kind").alias("source_column_type"),
+            F.col("s.objectId").alias("source_object_id"),
+            F.col("s.objectName").alias("source_object_name"),
+            F.col("s.columnName").alias("source_column_name"),
+            F.col("kind").alias("source_column_type"),
             "target_object_name",
             "target_column_name",
         )

@@ -159,6 +159,11 @@ def object_sql(index: str) -> str:
     return f"concat('{DATABASE}.S', ({index}) % 5, '.T', {index})"
 
 
+# The logs speak of the first eight catalog tables.
+LOG_OBJECTS = tuple(f"{DATABASE}.S{i % 5}.T{i}" for i in range(8))
+_LOG_IDS = tuple(f"id{i}" for i in range(8))
+
+
 def _events(spark: SparkSession, base: str) -> DataFrame:
     events = read_for_row_work(spark, base, "events", "event_id")
     return events.selectExpr("*", "CAST(get_json_object(props, '$.k') AS INT) AS k")
@@ -166,9 +171,9 @@ def _events(spark: SparkSession, base: str) -> DataFrame:
 
 def access_history(spark: SparkSession, base: str) -> DataFrame:
     """One log row per event: direct and base objects, DDL mark for signups, modified columns for purchases."""
-    named = lambda i: f"named_struct('objectName', {object_sql(i)})"
+    named = lambda i: f"named_struct('objectName', {pick_sql(LOG_OBJECTS, i)})"
     source = lambda i, c: (
-        f"named_struct('objectId', concat('id', {i}), 'objectName', {object_sql(i)}, 'columnName', '{c}')"
+        f"named_struct('objectId', {pick_sql(_LOG_IDS, i)}, 'objectName', {pick_sql(LOG_OBJECTS, i)}, 'columnName', '{c}')"
     )
     nothing = "CAST(array() AS ARRAY<STRUCT<objectId: STRING, objectName: STRING, columnName: STRING>>)"
     # C1 always has two direct sources and, for odd k, a base source; C2 has neither for k divisible by 3
@@ -185,7 +190,7 @@ def access_history(spark: SparkSession, base: str) -> DataFrame:
             ELSE array({named('k % 8')}) END AS direct_objects_accessed""",
         f"array({named('k % 4')}) AS base_objects_accessed",
         f"""CASE WHEN event_type = 'purchase' THEN
-            array(named_struct('objectName', {object_sql('(k + 3) % 8')}, 'columns', array({c1}, {c2}))) END AS objects_modified""",
+            array(named_struct('objectName', {pick_sql(LOG_OBJECTS, '(k + 3) % 8')}, 'columns', array({c1}, {c2}))) END AS objects_modified""",
     )
 
 
@@ -195,7 +200,7 @@ def query_history(spark: SparkSession, base: str) -> DataFrame:
         "concat('user_', user_id) AS user_name",
         "CASE WHEN event_id < 4 THEN 'R_RARE' ELSE concat('R_', user_id % 4) END AS role_name",
         "ts AS start_time",
-        f"concat('select * from ', {object_sql('k % 8')}) AS query_text",
+        f"concat('select * from ', {pick_sql(LOG_OBJECTS, 'k % 8')}) AS query_text",
         "CASE WHEN event_type = 'error' THEN 'FAIL' ELSE 'SUCCESS' END AS execution_status",
         "CAST(round(value * 100) AS BIGINT) AS total_elapsed_time",
         "CAST(round(value * 1000000) AS BIGINT) AS bytes_scanned",

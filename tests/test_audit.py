@@ -48,6 +48,12 @@ def test_direct(log):
     assert _pairs(audit.direct_access(log, as_of(), None, "v"), "object_name") == {("v",)}
 
 
+def test_one_row_per_query_gives_the_same(log):
+    for job in (audit.direct_access, audit.read_write, audit.indirect_access):
+        exact, fast = job(log, as_of(), None), job(log, as_of(), None, one_row_per_query=True)
+        assert sorted(map(tuple, exact.collect())) == sorted(map(tuple, fast.collect()))
+
+
 def test_read_write(log):
     columns = ("object_name", "query_type", "number_of_queries")
     assert _pairs(audit.read_write(log, as_of(), None), *columns) == {
