@@ -36,6 +36,11 @@ def laplace(value: str, scale: float, salt: str = "") -> str:
     return f"(-{scale!r}::DOUBLE * sign({u}) * ln(1.0::DOUBLE - 2.0::DOUBLE * abs({u})))"
 
 
+def hundreds(value: str) -> str:
+    """Rounded to hundreds; the checking engine keeps a minus sign on zero, which is no other number."""
+    return f"CASE WHEN abs({value}) < 50 THEN 0.0::DOUBLE ELSE round({value}, -2)::DOUBLE END"
+
+
 def obj(index: str) -> str:
     return f"('{fx.DATABASE}.S' || (({index}) % 5) || '.T' || ({index}))"
 
@@ -130,7 +135,7 @@ CTES = {
     FROM (SELECT *, c_custkey AS k FROM customer) JOIN nation ON c_nationkey = n_nationkey""",
     "policy_map": """
     SELECT * FROM (VALUES ('DATA_USER', 'NATION_3'), ('DATA_USER', 'NATION_7'), ('DATA_USER', 'NATION_11')) t(role, visible_value)""",
-    "masked": """
+    "masked": f"""
     SELECT c_custkey, left(first_name, 1) || repeat('*', length(first_name) - 1) AS first_name,
       left(last_name, 1) || repeat('*', length(last_name) - 1) AS last_name,
       left(street_address, 1) || repeat('*', length(street_address) - 1) AS street_address, state,
@@ -138,7 +143,7 @@ CTES = {
       left(zip, 1) || repeat('*', length(zip) - 1) AS zip, '***-' || right(phone, 4) AS phone,
       '***PII-REDACTED***' AS email, '***PII-REDACTED***' AS ssn, '***-' || right(birthdate, 4) AS birthdate,
       date_trunc('year', birth_date)::DATE AS birth_date, created_at, job, '***PII-REDACTED***' AS card, company, optin,
-      round(c_acctbal, -2)::DOUBLE AS c_acctbal, c_mktsegment
+      {hundreds('c_acctbal')} AS c_acctbal, c_mktsegment
     FROM people""",
     "visible": """
     SELECT masked.* FROM masked WHERE state IN (SELECT visible_value FROM policy_map WHERE role = 'DATA_USER')""",

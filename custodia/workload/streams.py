@@ -28,7 +28,7 @@ def _finish(spark: SparkSession, stream: DataFrame, label: str) -> DataFrame:
 
 
 @query(
-    """SELECT c_custkey, left(c_name, 1) || repeat('*', length(c_name) - 1) AS c_name, round(c_acctbal, -2)::DOUBLE AS c_acctbal, c_mktsegment
+    f"""SELECT c_custkey, left(c_name, 1) || repeat('*', length(c_name) - 1) AS c_name, {duck.hundreds('c_acctbal')} AS c_acctbal, c_mktsegment
     FROM customer WHERE c_nationkey IN (3, 7, 11)"""
 )
 def stream_masked(spark: SparkSession, base: str) -> DataFrame:

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import datetime
 import decimal
-import math
 import sys
 import time
 
@@ -29,7 +28,7 @@ def plain(value):
     if isinstance(value, decimal.Decimal):
         value = float(value)
     if isinstance(value, float):
-        return "nan" if math.isnan(value) else (value + 0.0 if value else 0.0)
+        return repr(value)  # also tells -0.0 from 0.0
     if isinstance(value, datetime.datetime):
         return value.replace(tzinfo=None).isoformat(timespec="microseconds")
     if isinstance(value, datetime.date):
