@@ -12,14 +12,12 @@ from pyspark.sql.streaming.query import StreamingQuery
 from custodia.operators.quality import Metric
 
 
-def read_stream(
-    spark: SparkSession, folder: str, schema: T.StructType, files: str = "*", files_per_trigger: int | None = None
-) -> DataFrame:
-    """Parquet files arriving in a folder, those whose name matches ``files``."""
-    reader = spark.readStream.schema(schema).option("pathGlobFilter", files)
+def read_stream(spark: SparkSession, path: str, schema: T.StructType, files_per_trigger: int | None = None) -> DataFrame:
+    """Parquet files as they arrive. ``path`` is a folder, or a pattern for files and folders."""
+    reader = spark.readStream.schema(schema)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    return reader.parquet(folder)
+    return reader.parquet(path)
 
 
 def run_available(stream: DataFrame, sink: str, checkpoint: str) -> StreamingQuery:

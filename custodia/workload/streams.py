@@ -18,7 +18,8 @@ from custodia.workload.registry import query
 
 def _stream(spark: SparkSession, base: str, table: str) -> DataFrame:
     schema = read_table(spark, base, table).schema
-    return read_stream(spark, base, schema, files=f"{table}.parquet")
+    # a pattern, because a table may be one file or a folder of files
+    return read_stream(spark, f"{base.rstrip('/')}/{table}.parquet*", schema)
 
 
 def _finish(spark: SparkSession, stream: DataFrame, label: str) -> DataFrame:

@@ -47,7 +47,7 @@ def test_observed_batches_follow_arrivals(spark, arrivals):
 def test_one_file_per_trigger(spark, arrivals):
     path, schema, arrive = arrivals
     arrive([(3, "c@x.org")])
-    stream = observe_quality(read_stream(spark, path, schema, "*.parquet", files_per_trigger=1), _metrics())
+    stream = observe_quality(read_stream(spark, path, schema, files_per_trigger=1), _metrics())
     finished = run_available(stream, fresh_path(spark, "sink"), fresh_path(spark, "checkpoint"))
     assert sorted(b["rows"] for b in observed_batches(finished)) == [1, 2]
 
@@ -65,7 +65,7 @@ def test_masks_and_redaction_on_a_stream(spark, arrivals):
 
 def test_windows_close_with_the_watermark(spark, base):
     events = spark.read.parquet(f"{base}/events.parquet")
-    stream = read_stream(spark, base, events.schema, files="events.parquet")
+    stream = read_stream(spark, f"{base}/events.parquet*", events.schema)
     sink = fresh_path(spark, "sink")
     windows = windowed_quality(stream, "ts", [dq.row_count("rows"), dq.duplicate_count("d", "user_id")], "1 day", "0 seconds")
     run_available(windows, sink, fresh_path(spark, "checkpoint"))
