@@ -68,7 +68,7 @@ class PrivateTable:
     rows: DataFrame
     policy: PrivacyPolicy
     role: str
-    secret: str = field(default_factory=fresh_secret)
+    secret: str = field(default_factory=fresh_secret, repr=False)
     ledger: Ledger | None = None
 
     def to_df(self) -> DataFrame:
@@ -97,6 +97,15 @@ class PrivateTable:
         )
         return domain.join(aggregated, group, "left")
 
+    def _publish(self, noisy: DataFrame) -> DataFrame:
+        """Run now and return only the values: one row per group of the public domain.
+
+        A lazy result would carry the secret and the way to the exact numbers in its plan, and
+        could be evaluated after the budget is gone.
+        """
+        schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in noisy.schema.fields)
+        return literal_rows(noisy.sparkSession, [tuple(r) for r in noisy.collect()], schema)
+
     def _noise(self, query_id: str, metric: str, group: str, scale: float) -> Column:
         return laplace(F.concat(F.lit(f"{query_id}|"), F.col(group), F.lit(f"|{metric}")), scale, self.secret + "|")
 
@@ -120,7 +129,7 @@ class PrivateTable:
         scale = 1.0 / self.policy.epsilon
         half = interval_half_width(scale, alpha)
         noisy = F.coalesce(F.col("_n"), F.lit(0)) + self._noise(query_id, "count", group, scale)
-        return (
+        return self._publish(
             self._all_groups(exact, group)
             .select(group, noisy.alias("_x"))
             .select(
@@ -151,7 +160,7 @@ class PrivateTable:
             query_id, "sum", group, limits.magnitude / half_epsilon
         )
         ratio = limits.clamp(F.col("_ns") / F.greatest(F.col("_nn"), F.lit(1.0)))
-        return (
+        return self._publish(
             self._all_groups(exact, group)
             .select(group, noisy_n.alias("_nn"), noisy_s.alias("_ns"))
             .select(

@@ -82,9 +82,16 @@ def test_top_k_and_group_limit(spark, base):
 
 def test_entities_are_reduced_before_the_shuffle(spark, base):
     table = PrivateTable(read_table(spark, base, "orders"), ORDER_POLICY, DATA_USER, secret="s")
-    text = plan(table.count("q", "o_orderpriority"), "simple")
+    text = plan(table._per_entity("o_orderpriority", None, None), "simple")
     assert "partial_min(o_orderpriority" in text
 
 
+def test_published_noise_carries_neither_secret_nor_data(spark, base):
+    table = PrivateTable(read_table(spark, base, "orders"), ORDER_POLICY, DATA_USER, secret="very-secret")
+    text = plan(table.count("q", "o_orderpriority"), "extended")
+    assert "very-secret" not in text and "parquet" not in text.lower()
+    assert "very-secret" not in repr(table)
+
+
 def test_quality_reads_the_table_once_plus_once_per_duplicate_metric(spark, base):
     assert plan(QUERIES["dq_orders"](spark, base), "simple").count("FileScan") == 2
