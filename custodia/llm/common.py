@@ -6,7 +6,10 @@ Words are the runs of ``[^\\x20\\x09-\\x0D]+``. On UTF-8 bytes that is exactly `
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Callable
+from pathlib import Path
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -27,6 +30,20 @@ def table(spark: SparkSession, base: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{base}/{name}.parquet")
 
 
+def in_python(df: DataFrame, function: Callable, schema: str) -> DataFrame:
+    """``mapInArrow`` with this library's code sent along, so that workers need not have it installed."""
+    context = df.sparkSession.sparkContext
+    root = Path(__file__).resolve().parents[1]
+    if not getattr(context, "_sent_code", False) and root.is_dir():
+        archive = f"{tempfile.mkdtemp()}/{root.name}.zip"
+        with zipfile.ZipFile(archive, "w") as out:
+            for source in sorted(root.rglob("*.py")):
+                out.write(source, str(source.relative_to(root.parent)))
+        context.addPyFile(archive)
+        context._sent_code = True
+    return df.mapInArrow(function, schema)
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Write to the cluster's shared folder and read again.
 

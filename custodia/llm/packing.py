@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from custodia.llm.bpe import bpe
+from custodia.llm.common import in_python
 
 PIECES = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long,"
@@ -178,6 +179,7 @@ def pack_documents(
         if packer.rows:
             yield flushed()
 
-    return documents.select(
+    texts = documents.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")
-    ).mapInArrow(run, PIECES)
+    )
+    return in_python(texts, run, PIECES)

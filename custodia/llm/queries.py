@@ -7,8 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from custodia.llm.common import table
+from custodia.llm.fingerprints import fingerprint_documents
+from custodia.llm.line_rules import judge_lines
 from custodia.llm.mixing import poisson_mix
 from custodia.llm.packing import pack_documents
+from custodia.llm.quality_ranker import rank_quality
+from custodia.llm.secrets import scan_secrets
 from custodia.llm.token_counts import count_tokens
 from custodia.llm.url_filter import judge_urls
 from custodia.sources.tables import literal_rows
@@ -34,10 +38,26 @@ def url_rules(spark: SparkSession) -> DataFrame:
     return literal_rows(spark, URL_RULES, "host string, path string, verdict string")
 
 
+def op1_scaled_fingerprints(spark: SparkSession, base: str) -> DataFrame:
+    return fingerprint_documents(table(spark, base, "documents"))
+
+
+def op2_pairwise_quality(spark: SparkSession, base: str) -> DataFrame:
+    return rank_quality(table(spark, base, "documents"), table(spark, base, "labels"))
+
+
+def op3_randomness_secrets(spark: SparkSession, base: str) -> DataFrame:
+    return scan_secrets(table(spark, base, "documents"))
+
+
 def op5_url_range_join(spark: SparkSession, base: str) -> DataFrame:
     return judge_urls(table(spark, base, "pages"), url_rules(spark))
 
 
+def op7_line_frequency(spark: SparkSession, base: str) -> DataFrame:
+    return judge_lines(table(spark, base, "documents")).drop("host", "text_key")
+
+
 def op8_tiered_packing(spark: SparkSession, base: str) -> DataFrame:
     return pack_documents(table(spark, base, "documents"), *vocabulary())
 
@@ -51,6 +71,16 @@ def op10_token_counts(spark: SparkSession, base: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op5_url_range_join, op8_tiered_packing, op9_poisson_mixing, op10_token_counts)
+    f.__name__: f
+    for f in (
+        op1_scaled_fingerprints,
+        op2_pairwise_quality,
+        op3_randomness_secrets,
+        op5_url_range_join,
+        op7_line_frequency,
+        op8_tiered_packing,
+        op9_poisson_mixing,
+        op10_token_counts,
+    )
 }
 ORACLES: dict[str, str] = {}
