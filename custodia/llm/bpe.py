@@ -53,8 +53,8 @@ class Bpe:
         self._encode = tiktoken.Encoding(
             "ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
         ).encode_ordinary
-        self._ranks = ranks
         self._known: dict[str, bytes] = {}
+        self._sizes: dict[str, int] = {}
 
     @functools.cached_property
     def _library(self):
@@ -62,19 +62,6 @@ class Bpe:
 
         return Tokenizer.from_file(self._json_path).pre_tokenizer
 
-    @functools.cached_property
-    def whole(self) -> frozenset[str]:
-        """Vocabulary entries that are one piece when they stand as a pre-token (at most the vocabulary)."""
-        found = set()
-        for piece in self._ranks:
-            try:
-                text = piece.decode()
-            except UnicodeDecodeError:
-                continue
-            if len(self._encode(text)) == 1:
-                found.add(text)
-        return frozenset(found)
-
     def segments(self, text: str) -> list[str]:
         """The text cut at the special string, which is one id by itself."""
         return text.split(SPECIAL)
@@ -99,7 +86,14 @@ class Bpe:
         return [text[a:b] for a, b in zip(at, [*at[1:], n])]
 
     def pieces(self, pre_token: str) -> int:
-        return len(self._encode(pre_token))
+        found = self._sizes.get(pre_token)
+        if found is None:
+            if len(self._sizes) >= self.LIMIT:
+                self._sizes.clear()
+            found = len(self._encode(pre_token))
+            if len(pre_token) <= 64:
+                self._sizes[pre_token] = found
+        return found
 
     def ids(self, text: str) -> bytes:
         """All ids of a text, little-endian unsigned 32 bits each."""
