@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from custodia.llm.common import table
 from custodia.llm.fingerprints import fingerprint_documents
+from custodia.llm.jaccard_join import jaccard_components
 from custodia.llm.line_rules import judge_lines
 from custodia.llm.mixing import poisson_mix
 from custodia.llm.packing import pack_documents
@@ -50,6 +51,10 @@ def op3_randomness_secrets(spark: SparkSession, base: str) -> DataFrame:
     return scan_secrets(table(spark, base, "documents"))
 
 
+def op4_signature_trees(spark: SparkSession, base: str) -> DataFrame:
+    return jaccard_components(table(spark, base, "documents"))
+
+
 def op5_url_range_join(spark: SparkSession, base: str) -> DataFrame:
     return judge_urls(table(spark, base, "pages"), url_rules(spark))
 
@@ -76,6 +81,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op1_scaled_fingerprints,
         op2_pairwise_quality,
         op3_randomness_secrets,
+        op4_signature_trees,
         op5_url_range_join,
         op7_line_frequency,
         op8_tiered_packing,
