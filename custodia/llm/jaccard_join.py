@@ -109,19 +109,25 @@ def _keys(shingles: np.ndarray, frequent: np.ndarray, rank: np.ndarray) -> np.nd
 
 
 def members(documents: DataFrame) -> DataFrame:
-    """(doc_id, class, n): the class and size of every document's set."""
+    """(doc_id, text_key, class, n): the class and size of every document's set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for batch in batches:
-            column = batch.column(1)
+            column = batch.column(2)
             sets = [shingle_set(column[i].as_py(), hashes) for i in range(len(column))]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([class_key(s) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int64())],
-                ["doc_id", "class", "n"],
+                [
+                    batch.column(0),
+                    batch.column(1),
+                    pa.array([class_key(s) for s in sets], pa.int64()),
+                    pa.array([len(s) for s in sets], pa.int64()),
+                ],
+                ["doc_id", "text_key", "class", "n"],
             )
 
-    return in_python(_texts(documents), run, "doc_id long, class long, n long")
+    texts = _texts(documents).select("doc_id", F.xxhash64("text").alias("text_key"), "text")
+    return in_python(texts, run, "doc_id long, text_key long, class long, n long")
 
 
 def prefixes(documents: DataFrame, frequent: np.ndarray, similarity: int) -> DataFrame:
@@ -381,10 +387,27 @@ def class_links(documents: DataFrame, own: DataFrame, similarity: int, frequent:
     return filled.groupBy("group", "meeting").applyInPandas(lambda g: tree_links(g, similarity), "a long, b long")
 
 
+def first_of_each(documents: DataFrame, similarity: int = 75) -> DataFrame:
+    """One document of each component, the one with the lowest id (and text hash); documents without words all stay."""
+    found = jaccard_components(documents, similarity)
+    low = F.coalesce("doc_id", F.lit(-(2**63)))
+    first = found.where("group_key is not null").groupBy("group_key").agg(F.min(F.struct(low.alias("k1"), "text_key")).alias("k"))
+    empty = found.where("group_key is null").select(low.alias("join_id"), F.col("text_key").alias("join_text"))
+    kept = first.select(F.col("k.k1").alias("join_id"), F.col("k.text_key").alias("join_text")).unionByName(empty.distinct())
+    keyed = documents.withColumns(
+        {"join_id": F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63))), "join_text": F.xxhash64(F.coalesce("text", F.lit("")))}
+    )
+    return keyed.join(kept, ["join_id", "join_text"], "left_semi").dropDuplicates(["join_id", "join_text"]).drop("join_id", "join_text")
+
+
 def jaccard_components(
     documents: DataFrame, similarity: int = 75, frequent: int = 65_536, group_shingles: int = 500_000
 ) -> DataFrame:
-    """doc_id, n_shingles, component_id for every row; ``similarity`` is a percentage."""
+    """doc_id, n_shingles, component_id for every row; ``similarity`` is a percentage.
+
+    Also ``text_key``, the hash of the row's text, and ``group_key``, which is the same for the rows of a component and
+    null for empty sets.
+    """
     own = stored(members(documents), "members")
     links = class_links(documents, own.where("n > 0"), similarity, frequent, group_shingles)
     labels = components(links)
@@ -394,10 +417,14 @@ def jaccard_components(
         .groupBy("label")
         .agg(F.min("first").alias("lowest"))
     )
-    linked = labels.join(lowest, "label").select(F.col("node").alias("class"), "lowest")
-    known = firsts.join(linked, "class", "left").select("class", F.coalesce("lowest", "first").alias("lowest"))
+    linked = labels.join(lowest, "label").select(F.col("node").alias("class"), "label", "lowest")
+    known = firsts.join(linked, "class", "left").select(
+        "class", F.coalesce("label", "class").alias("group_key"), F.coalesce("lowest", "first").alias("lowest")
+    )
     return own.join(known, "class", "left").select(
         "doc_id",
         F.col("n").alias("n_shingles"),
         F.when(F.col("n") > 0, F.col("lowest")).otherwise(F.col("doc_id")).alias("component_id"),
+        "text_key",
+        F.when(F.col("n") > 0, F.col("group_key")).alias("group_key"),
     )

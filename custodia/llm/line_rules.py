@@ -168,6 +168,16 @@ def judge_lines(
     )
 
 
+def kept_documents(documents: DataFrame, **limits) -> DataFrame:
+    """The documents that pass, with all their columns; ``limits`` as of ``judge_lines``."""
+    rejected = judge_lines(documents, **limits).where(~F.col("kept")).select("host", "text_key").distinct()
+    rejected = rejected.select(F.col("host").alias("rejected_host"), F.col("text_key").alias("rejected_text"))
+    same = (F.coalesce(documents["source"], F.lit("")) == F.col("rejected_host")) & (
+        F.xxhash64(F.coalesce(documents["text"], F.lit(""))) == F.col("rejected_text")
+    )
+    return documents.join(rejected, same, "left_anti")
+
+
 def without_frequent_lines(documents: DataFrame, min_documents: int = 100, share: float = 0.01) -> DataFrame:
     """The documents with the lines above the limits taken out of their texts."""
     base = stored(measured(documents), "line-counts")

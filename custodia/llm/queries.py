@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from custodia.llm.common import table
 from custodia.llm.fingerprints import fingerprint_documents
 from custodia.llm.jaccard_join import jaccard_components
+from custodia.llm.licenses import scan_licenses
 from custodia.llm.line_rules import judge_lines
 from custodia.llm.mixing import poisson_mix
 from custodia.llm.packing import pack_documents
@@ -52,13 +53,17 @@ def op3_randomness_secrets(spark: SparkSession, base: str) -> DataFrame:
 
 
 def op4_signature_trees(spark: SparkSession, base: str) -> DataFrame:
-    return jaccard_components(table(spark, base, "documents"))
+    return jaccard_components(table(spark, base, "documents")).drop("text_key", "group_key")
 
 
 def op5_url_range_join(spark: SparkSession, base: str) -> DataFrame:
     return judge_urls(table(spark, base, "pages"), url_rules(spark))
 
 
+def op6_license_windows(spark: SparkSession, base: str) -> DataFrame:
+    return scan_licenses(table(spark, base, "documents"))
+
+
 def op7_line_frequency(spark: SparkSession, base: str) -> DataFrame:
     return judge_lines(table(spark, base, "documents")).drop("host", "text_key")
 
@@ -83,6 +88,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op3_randomness_secrets,
         op4_signature_trees,
         op5_url_range_join,
+        op6_license_windows,
         op7_line_frequency,
         op8_tiered_packing,
         op9_poisson_mixing,
