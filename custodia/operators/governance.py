@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame
@@ -24,6 +24,29 @@ class PolicyError(Exception):
     """The query is not allowed for this role."""
 
 
+def resolved(df: DataFrame, names: Iterable[str]) -> list[str]:
+    """The columns that Spark would take ``names`` for: back-ticks removed, case ignored unless the session minds it."""
+    exact = df.sparkSession.conf.get("spark.sql.caseSensitive").lower() == "true"
+    key = (lambda c: c) if exact else str.lower
+    columns = {key(c): c for c in df.columns}
+    out = []
+    for name in names:
+        plain = name[1:-1].replace("``", "`") if len(name) > 1 and name[0] == name[-1] == "`" else name
+        if key(plain) not in columns:
+            raise PolicyError(f"no column {name!r}; name single columns")
+        out.append(columns[key(plain)])
+    return out
+
+
+def quoted(name: str) -> Column:
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def sealed(df: DataFrame, name: str) -> DataFrame:
+    """A frame whose later filters and sorts cannot fall back on columns below its last projection."""
+    return df.alias(name)
+
+
 def masked_columns(df: DataFrame, role: str, salt: str = "") -> DataFrame:
     """All columns in one projection; full-clear roles get the table itself.
 
@@ -33,7 +56,7 @@ def masked_columns(df: DataFrame, role: str, salt: str = "") -> DataFrame:
         return df
     return df.select(
         *[
-            mask(F.col(f"`{f.name}`"), f.metadata.get(METADATA_KEY), f.dataType, salt).alias(
+            mask(quoted(f.name), f.metadata.get(METADATA_KEY), f.dataType, salt).alias(
                 f.name, metadata=f.metadata
             )
             for f in df.schema.fields
@@ -43,9 +66,9 @@ def masked_columns(df: DataFrame, role: str, salt: str = "") -> DataFrame:
 
 @dataclass(frozen=True)
 class GovernedTable:
-    """One table for one role, rows already filtered. Hand out a DataFrame only via ``to_df``."""
+    """One table for one role, rows already filtered. Only ``to_df`` hands out a DataFrame."""
 
-    rows: DataFrame
+    _raw: DataFrame = field(repr=False)
     role: str
     hidden: frozenset[str] = frozenset()  # may be filtered on, not returned
     salt: str = ""
@@ -55,25 +78,29 @@ class GovernedTable:
 
         The column's owner opts in by limiting it; values can be guessed one at a time this way.
         """
+        (column,) = resolved(self._raw, [column])
         if column not in self.hidden:
             raise PolicyError(f"{column} is not projection-limited; filter the returned DataFrame")
-        test = F.col(column).isin(values)
-        return replace(self, rows=self.rows.filter(~test if negate else test))
+        test = quoted(column).isin(values)
+        return replace(self, _raw=self._raw.filter(~test if negate else test))
 
     def select(self, *columns: str) -> GovernedTable:
+        columns = resolved(self._raw, columns)
         blocked = self.hidden.intersection(columns)
         if blocked:
             raise PolicyError(f"role {self.role} may not return {sorted(blocked)}")
-        return replace(self, rows=self.rows.select(*columns), hidden=frozenset())
+        return replace(self, _raw=self._raw.select(*map(quoted, columns)), hidden=frozenset())
 
     def exclude(self, *columns: str) -> GovernedTable:
-        return replace(self, rows=self.rows.drop(*columns), hidden=self.hidden.difference(columns))
+        gone = set(resolved(self._raw, columns))
+        kept = [quoted(c) for c in self._raw.columns if c not in gone]
+        return replace(self, _raw=self._raw.select(*kept), hidden=self.hidden - gone)
 
     def to_df(self) -> DataFrame:
-        """The masked rows. Every later expression, also a filter, sees masked values only."""
+        """The masked rows. Every later expression, also a filter or sort, sees masked values only."""
         if self.hidden:
             raise PolicyError(f"role {self.role} may not return {sorted(self.hidden)}; exclude them")
-        return masked_columns(self.rows, self.role, self.salt)
+        return sealed(masked_columns(self._raw, self.role, self.salt), "governed")
 
 
 # Aggregates that do not return the value of a single row.
@@ -102,7 +129,7 @@ def build_aggregates(specs: Mapping[str, tuple[str, str]]) -> list[Column]:
 class AggregateOnlyTable:
     """A table of which this role sees groups of at least ``min_group`` rows, never rows."""
 
-    rows: DataFrame
+    _raw: DataFrame = field(repr=False)
     role: str
     min_group: int
     dimension: DataFrame | None = None
@@ -115,7 +142,7 @@ class AggregateOnlyTable:
     select = exclude = where_hidden_in = lambda self, *_, **__: self.to_df()
 
     def join_dimension(self, dimension: DataFrame, on: str, key: str) -> AggregateOnlyTable:
-        """Add the columns of a dimension; ``key`` must be unique there or groups would inflate."""
+        """Add the columns of a dimension, one row per key: repeated keys would inflate the groups."""
         if self.dimension is not None:
             raise PolicyError("one dimension at a time; join dimensions with each other first")
         return replace(self, dimension=dimension, on=on, key=key)
@@ -124,25 +151,33 @@ class AggregateOnlyTable:
         """Aggregates per group and, as ``_rows``, the protected rows in it."""
         specs = {**specs, "_rows": ("count", "*")}
         if self.dimension is None:
-            return self.rows.groupBy(*by).agg(*build_aggregates(specs))
+            return self._raw.groupBy(*by).agg(*build_aggregates(specs))
         if not all(splits(function) for function, _ in specs.values()):
-            joined = self.rows.join(self.dimension, self.rows[self.on] == self.dimension[self.key])
+            arguments = [a for _, a in specs.values() if a != "*"]
+            dimension = self._one_per_key([c for c in [*by, *arguments] if c not in self._raw.columns])
+            joined = self._raw.join(dimension, self._raw[self.on] == dimension["_key"])
             return joined.groupBy(*by).agg(*build_aggregates(specs))
-        own = [c for c in by if c in self.rows.columns]
+        own = [c for c in by if c in self._raw.columns]
         steps = [
             column
             for name, (function, argument) in specs.items()
             for column in first_step(function, F.lit(1) if argument == "*" else F.col(argument), name)
         ]
-        per_key = self.rows.groupBy(*dict.fromkeys([self.on, *own])).agg(*steps)
+        per_key = self._raw.groupBy(*dict.fromkeys([self.on, *own])).agg(*steps)
         extra = [c for c in by if c not in own]
-        dimension = self.dimension.select(F.col(self.key).alias("_key"), *extra)
+        dimension = self._one_per_key(extra)
         return (
             per_key.join(dimension, per_key[self.on] == dimension["_key"])
             .groupBy(*by)
             .agg(*[second_step(function, name).alias(name) for name, (function, _) in specs.items()])
         )
 
+    def _one_per_key(self, columns: list[str]) -> DataFrame:
+        """The dimension as ``_key`` and ``columns``; of repeated keys the smallest row counts."""
+        row = F.struct(*dict.fromkeys(columns)) if columns else F.struct(F.lit(0).alias("_none"))
+        reduced = self.dimension.groupBy(F.col(self.key).alias("_key")).agg(F.min(row).alias("_row"))
+        return reduced.select("_key", *[F.col("_row")[c].alias(c) for c in dict.fromkeys(columns)])
+
     def aggregate(self, by: list[str], merge_small: bool = False, **specs: tuple[str, str]) -> DataFrame:
         """Grouped aggregates; groups below the limit are dropped.
 
@@ -152,14 +187,15 @@ class AggregateOnlyTable:
         _check_allowed(specs)
         grouped = self._grouped(by, specs)
         if not merge_small:
-            return grouped.filter(F.col("_rows") >= self.min_group).drop("_rows")
+            large = grouped.filter(F.col("_rows") >= self.min_group)
+            return sealed(large.select(*by, *specs), "grouped")
         if any(function not in ("count", "sum") for function, _ in specs.values()):
             raise PolicyError("merge_small needs count or sum aggregates")
         small = F.col("_rows") < self.min_group
         pooled = grouped.groupBy(
             small.alias("_pooled"), *[F.when(~small, F.col(c)).alias(c) for c in by]
         ).agg(*[F.sum(name).alias(name) for name in specs], F.sum("_rows").alias("_rows"))
-        return pooled.filter(F.col("_rows") >= self.min_group).select(*by, *specs)
+        return sealed(pooled.filter(F.col("_rows") >= self.min_group).select(*by, *specs), "grouped")
 
 
 @dataclass
@@ -193,8 +229,14 @@ class Governance:
         return tags_of(self._tables[name].df)
 
     def set_tags(self, name: str, tags: Mapping[str, str]) -> None:
+        """Add or change tags; all others stay."""
         entry = self._tables[name]
-        entry.df = apply_tags(entry.df, tags)
+        entry.df = apply_tags(entry.df, {**tags_of(entry.df), **dict(zip(resolved(entry.df, tags), tags.values()))})
+
+    def unset_tags(self, name: str, *columns: str) -> None:
+        entry = self._tables[name]
+        gone = set(resolved(entry.df, columns))
+        entry.df = apply_tags(entry.df, {c: t for c, t in tags_of(entry.df).items() if c not in gone})
 
     def add_row_filter(self, name: str, row_filter: RowFilter) -> None:
         if self._tables[name].row_filter is not None:
@@ -205,7 +247,8 @@ class Governance:
         self._tables[name].row_filter = None
 
     def limit_projection(self, name: str, *columns: str) -> None:
-        self._tables[name].hidden = frozenset(columns)
+        entry = self._tables[name]
+        entry.hidden = frozenset(resolved(entry.df, columns))
 
     def limit_aggregation(self, name: str, min_group: int | None) -> None:
         self._tables[name].min_group = min_group
@@ -219,22 +262,28 @@ class Governance:
         return GovernedTable(rows, role, frozenset() if clear else entry.hidden, self.salt)
 
 
-def load_grouped(gov: Governance, name: str, role: str, key: str):
-    """Masked rows for grouping by ``key``, and the row filter to apply to the groups.
+def grouped_by_key(
+    gov: Governance, name: str, role: str, key: str, by: Sequence[Column], aggregates: Sequence[Column]
+) -> DataFrame:
+    """Masked rows grouped by ``key`` and ``by``, as the role's row filter leaves them.
 
-    A filter that looks at the grouping key alone keeps or drops whole groups, so it gives the same
-    result after the grouping, when the rows of a very frequent key have become one. The rows
-    handed out are not filtered yet: for library code that groups them, not for callers.
+    A filter that looks at ``key`` alone keeps or drops whole groups, so it runs after the grouping, when the rows of
+    a very frequent key have become one. A table whose columns or group sizes are limited for the role takes the
+    ordinary way, which refuses what the role may not see. Unfiltered rows never leave this function.
     """
     entry = gov._tables[name]
     row_filter = entry.row_filter
-    if isinstance(row_filter, ParentFilter) and row_filter.foreign_key == key and level_of(entry.df, key) is None:
-        unfiltered = GovernedTable(entry.df, role, frozenset(), gov.salt).to_df()
-        return unfiltered, lambda grouped: row_filter.apply(grouped, role)
-    return gov.table(name, role).to_df(), lambda grouped: grouped
+    limited = role not in FULL_CLEAR and bool(entry.hidden or entry.min_group)
+    late = isinstance(row_filter, ParentFilter) and row_filter.foreign_key == key and level_of(entry.df, key) is None
+    if late and not limited:
+        grouped = masked_columns(entry.df, role, gov.salt).groupBy(key, *by).agg(*aggregates)
+        return sealed(row_filter.apply(grouped, role), "grouped")
+    return gov.table(name, role).to_df().groupBy(key, *by).agg(*aggregates)
 
 
 def switch_by_role(df: DataFrame, role: str, clear: str, redacted: str, name: str) -> DataFrame:
     """Show one of two stored columns, chosen when the plan is built; the other is never read."""
+    clear, redacted = resolved(df, [clear, redacted])
     chosen = clear if role in TEXT_CLEAR else redacted
-    return df.select(*[F.col(c) for c in df.columns if c not in (clear, redacted)], F.col(chosen).alias(name))
+    shown = df.select(*[quoted(c) for c in df.columns if c not in (clear, redacted)], quoted(chosen).alias(name))
+    return sealed(shown, "switched")

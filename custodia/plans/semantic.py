@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 from custodia.operators.partials import first_step, second_step
 from custodia.sources.tables import literal_rows
 
-# rows, and what to apply once they are grouped by the key
-LateFilter = tuple[DataFrame, Callable[[DataFrame], DataFrame]]
+# groups a table by a key and further columns, and aggregates
+GroupRows = Callable[[str, str, Sequence[Column], Sequence[Column]], DataFrame]
 
 
 class SemanticError(Exception):
@@ -105,19 +105,19 @@ class SemanticModel:
         load: Callable[[str], DataFrame],
         dimensions: Sequence[str],
         metrics: Sequence[str],
-        load_grouped: Callable[[str, str], LateFilter] | None = None,
+        group: GroupRows | None = None,
     ) -> DataFrame:
         """Group ``metrics`` by ``dimensions``; only the tables that are needed are read.
 
-        ``load_grouped(table, key)`` may give the rows together with a row filter that depends on
-        ``key`` alone; that filter then runs on the groups instead of the rows.
+        ``group(table, key, by, aggregates)`` may do the grouping by a foreign key itself, so that a row filter
+        that depends on the key alone can run on the groups instead of the rows.
         """
         dims = [self.resolve(d, Dimension) for d in dimensions]
         wanted = [self.resolve(m, MetricDef) for m in metrics]
         results = []
         for table in dict.fromkeys(m.table for m in wanted):
             own = [m for m in wanted if m.table == table]
-            results.append(self._at_grain(load, load_grouped, table, dims, own))
+            results.append(self._at_grain(load, group, table, dims, own))
         names = [d.name for d in dims]
         out = reduce(lambda a, b: _join_results(a, b, names), results)
         return out.select(*names, *[m.name for m in wanted])
@@ -125,7 +125,7 @@ class SemanticModel:
     def _at_grain(
         self,
         load: Callable[[str], DataFrame],
-        load_grouped: Callable[[str, str], LateFilter] | None,
+        group: GroupRows | None,
         table: str,
         dims: Sequence[Dimension],
         metrics: Sequence[MetricDef],
@@ -153,8 +153,8 @@ class SemanticModel:
         # both steps. The join is a left join: children without a visible parent keep a NULL
         # dimension, as they do in the raw data.
         fk = rel.foreign_key
-        rows, late = load_grouped(table, fk) if load_grouped else (load(table), lambda df: df)
-        children = late(rows.groupBy(fk, *keys).agg(*partial)).withColumnRenamed(fk, "_fk")
+        grouped = group(table, fk, keys, partial) if group else load(table).groupBy(fk, *keys).agg(*partial)
+        children = grouped.withColumnRenamed(fk, "_fk")
         parent_key = next(t.primary_key for t in self.tables if t.name == rel.parent)
         parents = load(rel.parent).select(
             F.col(parent_key).alias("_pk"), *[F.expr(d.expression).alias(d.name) for d in foreign]

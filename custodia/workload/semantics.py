@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from custodia.operators.governance import DATA_USER, ENGINEER, GOVERNOR, load_grouped
+from custodia.operators.governance import DATA_USER, ENGINEER, GOVERNOR, grouped_by_key
 from custodia.plans.order_analytics import CUSTOMER_ORDER_ANALYTICS as MODEL
 from custodia.workload import duck
 from custodia.workload.registry import query
@@ -15,7 +15,7 @@ from custodia.workload.scenario import governance
 def _query(spark: SparkSession, base: str, role: str, dimensions, metrics, cascade: bool = True) -> DataFrame:
     gov = governance(spark, base, cascade)
     return MODEL.query(
-        lambda t: gov.table(t, role).to_df(), dimensions, metrics, lambda t, key: load_grouped(gov, t, role, key)
+        lambda t: gov.table(t, role).to_df(), dimensions, metrics, lambda t, *grouping: grouped_by_key(gov, t, role, *grouping)
     )
 
 

@@ -1,4 +1,5 @@
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from custodia.functions.masks import HIDDEN_TEXT
@@ -10,7 +11,7 @@ from custodia.operators.governance import (
     IT_ADMIN,
     Governance,
     PolicyError,
-    load_grouped,
+    grouped_by_key,
     switch_by_role,
 )
 from custodia.operators.row_filters import AttributeFilter, MappingFilter, ParentFilter, roles
@@ -105,6 +106,56 @@ def test_projection_limit(gov):
     assert "zip" in gov.table("customers", GOVERNOR).to_df().columns
 
 
+def test_raw_values_cannot_be_filtered_or_sorted_on(gov):
+    seen = gov.table("customers", DATA_USER).select("id").to_df()
+    for attempt in (lambda: seen.filter("email = 'a@x.com'"), lambda: seen.orderBy("zip"), lambda: seen.select("name")):
+        with pytest.raises(AnalysisException):
+            attempt().collect()
+    gov.limit_projection("customers", "zip")
+    rest = gov.table("customers", DATA_USER).exclude("zip").to_df()
+    for attempt in (lambda: rest.filter(F.col("zip") > "10050"), lambda: rest.orderBy("zip"), lambda: rest.where("zip like '9%'")):
+        with pytest.raises(AnalysisException):
+            attempt().collect()
+    assert rest.filter("state = 'CA'").orderBy("id").count() == 1  # what is visible works
+
+
+@pytest.mark.parametrize("spelling", ["zip", "ZIP", "`zip`", "`Zip`"])
+def test_limits_hold_for_every_spelling(gov, spelling):
+    gov.limit_projection("customers", "Zip")
+    table = gov.table("customers", DATA_USER)
+    with pytest.raises(PolicyError):
+        table.select("id", spelling)
+    assert "zip" not in table.exclude(spelling).to_df().columns
+    assert table.where_hidden_in(spelling, ["90210"]).exclude("zip").to_df().count() == 1
+
+
+def test_unknown_columns_are_refused(gov):
+    with pytest.raises(PolicyError):
+        gov.limit_projection("customers", "no_such")
+    for name in ("*", "no_such", "upper(zip)"):
+        with pytest.raises(PolicyError):
+            gov.table("customers", DATA_USER).select(name)
+
+
+def test_set_tags_adds_and_unset_removes(gov):
+    gov.set_tags("customers", {"STATE": "INTERNAL"})
+    assert gov.tags("customers") == {"email": "PII", "zip": "SENSITIVE", "name": "SENSITIVE", "state": "INTERNAL"}
+    gov.unset_tags("customers", "zip", "state")
+    assert gov.tags("customers") == {"email": "PII", "name": "SENSITIVE"}
+
+
+def test_grouping_by_key_keeps_the_other_limits(with_orders):
+    grouped = lambda: grouped_by_key(with_orders, "orders", DATA_USER, "customer", [], [F.sum("total").alias("t")])
+    with_orders.limit_aggregation("orders", 100)
+    with pytest.raises(PolicyError):
+        grouped()
+    with_orders.limit_aggregation("orders", None)
+    with_orders.limit_projection("orders", "total")
+    with pytest.raises(PolicyError):
+        grouped()
+    assert grouped_by_key(with_orders, "orders", GOVERNOR, "customer", [], [F.sum("total").alias("t")]).count() == 5
+
+
 def test_masked_columns_stay_tagged(gov):
     df = gov.table("customers", DATA_USER).to_df()
     derived = Governance()
@@ -144,13 +195,14 @@ def test_cascading_filter(with_orders):
 
 def test_filter_on_groups_equals_filter_on_rows(with_orders):
     rows = with_orders.table("orders", DATA_USER).to_df().groupBy("customer").agg(F.sum("total").alias("t"))
-    unfiltered, late = load_grouped(with_orders, "orders", DATA_USER, "customer")
-    groups = late(unfiltered.groupBy("customer").agg(F.sum("total").alias("t")))
+    groups = grouped_by_key(with_orders, "orders", DATA_USER, "customer", [], [F.sum("total").alias("t")])
     assert sorted(map(tuple, rows.collect())) == sorted(map(tuple, groups.collect())) == [("1", 60.0), ("3", 1.0)]
 
 
 def test_role_switched_text(spark):
     df = spark.createDataFrame([(1, "raw", "[X]")], "id int, original string, redacted string")
+    with pytest.raises(AnalysisException):
+        switch_by_role(df, DATA_USER, "original", "redacted", "text").filter("original = 'raw'").collect()
     shown = lambda role: switch_by_role(df, role, "original", "redacted", "text").first()["text"]
     assert [shown(r) for r in (GOVERNOR, ADMIN, ENGINEER, DATA_USER)] == ["raw", "raw", "[X]", "[X]"]
 

@@ -1,6 +1,6 @@
 import pytest
 
-from custodia.operators.governance import DATA_USER, GOVERNOR, load_grouped
+from custodia.operators.governance import DATA_USER, GOVERNOR, grouped_by_key
 from custodia.plans.order_analytics import CUSTOMER_ORDER_ANALYTICS as MODEL
 from custodia.plans.semantic import SemanticError
 from custodia.workload.scenario import governance
@@ -64,7 +64,7 @@ def test_null_dimension_only_without_cascade(spark, base):
             lambda t, g=gov: g.table(t, DATA_USER).to_df(),
             ["location_state"],
             ["total_orders"],
-            lambda t, key, g=gov: load_grouped(g, t, DATA_USER, key),
+            lambda t, *grouping, g=gov: grouped_by_key(g, t, DATA_USER, *grouping),
         )
         assert (None in {r["location_state"] for r in out.collect()}) is not cascade
 
@@ -73,5 +73,5 @@ def test_late_filter_changes_nothing(load, spark, base):
     gov = governance(spark, base)
     args = (["location_state", "order_year"], ["total_revenue", "average_order_value", "max_order", "min_order"])
     plain = MODEL.query(load(DATA_USER), *args)
-    late = MODEL.query(load(DATA_USER), *args, lambda t, key: load_grouped(gov, t, DATA_USER, key))
+    late = MODEL.query(load(DATA_USER), *args, lambda t, *grouping: grouped_by_key(gov, t, DATA_USER, *grouping))
     assert sorted(map(tuple, plain.collect())) == sorted(map(tuple, late.collect()))

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from custodia.operators import audit, coverage
 from custodia.operators import quality as dq
-from custodia.operators.governance import DATA_USER, FULL_CLEAR, Governance, load_grouped
+from custodia.operators.governance import DATA_USER, FULL_CLEAR, Governance, grouped_by_key
 from custodia.operators.row_filters import MappingFilter, ParentFilter
 from custodia.plans.semantic import Dimension, Fact, LogicalTable, MetricDef, Relationship, SemanticModel
 
@@ -56,7 +56,7 @@ def test_governed_semantic_query(spark, mode):
     gov.add_row_filter("orders", ParentFilter("p", "customer", gov.raw("customers"), "key", states, FULL_CLEAR))
     out = MODEL.query(
         lambda t: gov.table(t, DATA_USER).to_df(), ["state"], ["revenue", "n"],
-        lambda t, key: load_grouped(gov, t, DATA_USER, key),
+        lambda t, *grouping: grouped_by_key(gov, t, DATA_USER, *grouping),
     )
     assert {r["state"]: (r["revenue"], r["n"]) for r in out.collect()} == _expected({"S1", "S2"})
 
