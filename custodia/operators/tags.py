@@ -7,6 +7,7 @@ caller declares, and otherwise fails closed.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -48,6 +49,12 @@ def apply_tags(df: DataFrame, tags: Mapping[str, str]) -> DataFrame:
     )
 
 
+def _set_operations(df: DataFrame) -> int:
+    """How many unions, intersections and differences stand in the plan that ``explain`` shows."""
+    plan = df._jdf.queryExecution().analyzed().toString()
+    return len(re.findall(r"^[\s:|+-]*(?:Union|Intersect|Except)\b", plan, re.MULTILINE))
+
+
 def inherit(
     derived: DataFrame,
     sources: Iterable[DataFrame],
@@ -55,12 +62,15 @@ def inherit(
 ) -> dict[str, str]:
     """Tags of a table computed from tagged ``sources``.
 
-    Per output column, the most severe of: the metadata it still carries, the tags of source
-    columns of the same name, and the source columns declared for it in ``lineage`` (an empty
-    list declares a count-like column that needs no tag). A column with none of these has an
-    unknown origin and gets the most severe tag found in any source.
+    Per output column: the most severe of the source columns declared for it in ``lineage`` (an empty list
+    declares a count-like column that needs no tag), else of the metadata it still carries and the tags of
+    source columns of its name. A name alone proves nothing: a column without metadata and declaration has an
+    unknown origin and gets the most severe tag found in any source. So have all undeclared columns of a set
+    operation that the sources do not hold already, as Spark keeps the metadata of its first input only.
     """
     lineage = lineage or {}
+    sources = list(sources)
+    mixed = _set_operations(derived) > sum(_set_operations(s) for s in sources)
     source_tags: dict[str, list[str | None]] = {}
     for source in sources:
         for c in source.columns:
@@ -75,7 +85,7 @@ def inherit(
             if unknown:
                 raise ValueError(f"{name}: no source column {unknown}")
             level = most_severe(x for c in lineage[name] for x in source_tags[c.lower()])
-        elif METADATA_KEY in field.metadata or name.lower() in source_tags:
+        elif METADATA_KEY in field.metadata and not mixed:
             level = most_severe([field.metadata.get(METADATA_KEY), *source_tags.get(name.lower(), [])])
         else:
             level = worst

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from custodia.functions.masks import most_severe
+from custodia.operators.tags import METADATA_KEY, UNTAGGED, inherit, level_of
 from custodia.session import fresh_path
 
 
@@ -30,8 +32,18 @@ def create_if_absent(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def insert_rows(table: DataFrame, rows: DataFrame) -> DataFrame:
-    """Insert with a column list: columns matched by name, missing ones NULL, types of the table."""
+def insert_rows(
+    table: DataFrame,
+    rows: DataFrame,
+    sources: Iterable[DataFrame] = (),
+    lineage: Mapping[str, Iterable[str]] | None = None,
+) -> DataFrame:
+    """Insert with a column list: columns matched by name, missing ones NULL, types of the table.
+
+    Every column takes the more severe tag of target and rows. With ``sources``, the tables the rows are computed
+    from, theirs are settled as for a derived table; without, by the marks that the rows carry, and a column
+    without a mark counts as the most severe of the rows' other columns.
+    """
     unknown = set(rows.columns) - set(table.columns)
     if unknown:
         raise ValueError(f"no such columns in the target: {sorted(unknown)}")
@@ -41,7 +53,20 @@ def insert_rows(table: DataFrame, rows: DataFrame) -> DataFrame:
             for f in table.schema.fields
         ]
     )
-    return table.unionByName(aligned)
+    sources = list(sources)
+    if sources:
+        marked = {**dict.fromkeys(rows.columns), **inherit(rows, sources, lineage)}
+    else:
+        marked = {c: level_of(rows, c) for c in rows.columns if METADATA_KEY in rows.schema[c].metadata}
+    if not any(marked.values()):
+        return table.unionByName(aligned)
+    worst = most_severe(marked.values())
+    fields = []
+    for f in table.schema.fields:
+        incoming = marked.get(f.name, worst) if f.name in rows.columns else None
+        level = most_severe([level_of(table, f.name), incoming])
+        fields.append(F.col(f.name).alias(f.name, metadata={**f.metadata, METADATA_KEY: level or UNTAGGED}))
+    return table.select(*fields).unionByName(aligned.select(*fields))
 
 
 def update_where(table: DataFrame, assignments: Mapping[str, Column], predicate: Column) -> DataFrame:

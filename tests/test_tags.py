@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from custodia.operators import classify as cl
+from custodia.sources.snapshots import insert_rows
 from custodia.operators.tags import apply_tags, inherit, level_of, list_column_tags, lookup_tag, tag_rows, tags_of
 
 
@@ -26,9 +27,34 @@ def test_inherit_join_and_group(spark, source):
         F.sum("total").alias("total"), F.upper(F.min("name")).alias("who"), F.count("*").alias("n")
     )
     tags = inherit(derived, [source, orders], {"who": ["name"], "n": []})
+    assert tags == {"phone": "RESTRICTED", "total": "PII", "who": "SENSITIVE"}  # a computed total is not believed by name
+    tags = inherit(derived, [source, orders], {"who": ["name"], "n": [], "total": ["total"]})
     assert tags == {"phone": "RESTRICTED", "total": "INTERNAL", "who": "SENSITIVE"}
 
 
+def test_a_name_alone_is_not_believed(source):
+    assert inherit(source.select(F.upper("email").alias("name")), [source]) == {"name": "PII"}
+    assert inherit(source.select(F.lower("name").alias("id")), [source]) == {"id": "PII"}
+
+
+def test_set_operations_count_as_undeclared(source):
+    mixed = source.select("name").union(source.select("email"))
+    assert inherit(mixed, [source]) == {"name": "PII"}
+    assert inherit(mixed, [source], {"name": ["name", "email"]}) == {"name": "PII"}
+    assert inherit(mixed.select("name"), [mixed]) == {"name": "SENSITIVE"}  # the source's own union is no news
+
+
+def test_inserted_rows_bring_their_tags(spark, source):
+    target = apply_tags(spark.createDataFrame([("free text", 1.0)], "note string, amount double"), {})
+    more = insert_rows(target, source.select(F.col("phone").alias("note")))
+    assert tags_of(more) == {"note": "RESTRICTED"} and more.count() == 2
+    computed = source.select(F.upper("email").alias("note"), F.col("amount"))
+    assert tags_of(insert_rows(target, computed, [source])) == {"note": "PII"}
+    assert tags_of(insert_rows(target, computed, [source], {"note": ["phone"]})) == {"note": "RESTRICTED"}
+    both = spark.createDataFrame([("x", 2.0)], "note string, amount double")
+    assert tags_of(insert_rows(more, both)) == {"note": "RESTRICTED"}
+
+
 def test_undeclared_column_fails_closed(source):
     derived = source.select("id", F.length("name").alias("len"))
     assert inherit(derived, [source]) == {"len": "PII"}
@@ -39,7 +65,7 @@ def test_undeclared_column_fails_closed(source):
 def test_union_takes_most_severe(spark, source):
     other = apply_tags(spark.createDataFrame([("x",)], "name string"), {})
     both = other.union(source.select("email").withColumnRenamed("email", "name"))
-    assert inherit(both, [other, source]) == {"name": "SENSITIVE"}
+    assert inherit(both, [other, source]) == {"name": "PII"}
     renamed = source.select(F.col("email").alias("name"))
     assert inherit(other.union(renamed), [other, renamed]) == {"name": "PII"}
 
