@@ -2,9 +2,10 @@
 
 Laplace mechanism (Dwork et al. 2006) with every entity reduced to one row first, so that adding or
 removing an entity changes one group by at most the clamped range (bounded contribution, Wilson et
-al. 2020). Noise is drawn on the few aggregated rows from md5 of a secret, the query id, the group
-and the metric: a retried task draws the same noise again, so lost executors cannot be used to
-average it away. Published values are rounded (Mironov 2012).
+al. 2020). Noise is drawn on the few aggregated rows from md5 of a secret, everything that defines the query, the
+group and the metric: a retried task draws the same noise again, so lost executors cannot be used to average
+it away, and two different queries draw independently, also under one id. Published values are rounded
+(Mironov 2012).
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ import math
 import secrets
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from typing import Protocol
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -61,22 +63,46 @@ def interval_half_width(scale: float, alpha: float = DEFAULT_ALPHA) -> float:
     return scale * math.log(1.0 / alpha)
 
 
+def signature(
+    policy: PrivacyPolicy, kind: str, query_id: str, group: str, value: str | None, where: str | None, alpha: float
+) -> str:
+    """All that defines a query; the noise is bound to it."""
+    return "|".join(map(str, (kind, query_id, policy.entity_key, group, value, where, alpha, policy.epsilon)))
+
+
+class Budget(Protocol):
+    def charge(self, user: str, epsilon: float) -> None:
+        """Raise ``PolicyError`` if the budget does not allow it."""
+
+
+class SessionBudget:
+    """A budget kept in this process, for one session's queries."""
+
+    def __init__(self, policy: PrivacyPolicy):
+        self._policy, self.spent = policy, 0.0
+
+    def charge(self, user: str, epsilon: float) -> None:
+        if self.spent + epsilon > self._policy.weekly_budget + 1e-9:
+            raise PolicyError(f"privacy budget {self._policy.budget_name!r} is used up")
+        self.spent += epsilon
+
+
 @dataclass(frozen=True)
 class PrivateTable:
-    """What a role without exemption may do with a protected table: noisy grouped aggregates."""
+    """What a role without exemption may do with a protected table: noisy grouped aggregates within a budget."""
 
-    rows: DataFrame
+    _raw: DataFrame = field(repr=False)
     policy: PrivacyPolicy
     role: str
     secret: str = field(default_factory=fresh_secret, repr=False)
-    ledger: Ledger | None = None
+    ledger: Budget | None = None
 
     def to_df(self) -> DataFrame:
         if self.role in self.policy.exempt_roles:
-            return self.rows
+            return self._raw
         raise PolicyError(f"role {self.role} may not read rows of a privacy-protected table")
 
-    def _per_entity(self, group: str, value: str | None, where: Column | None) -> DataFrame:
+    def _per_entity(self, group: str, value: str | None, where: str | None) -> DataFrame:
         """One row per entity; the minimum makes the choice of its group and value reproducible.
 
         Restricted to the group column's public domain. The filter applies to the reduced row, as a
@@ -87,13 +113,13 @@ class PrivateTable:
         picked = [F.min(group).alias(group)]
         if value:
             picked.append(F.min(value).alias(value))
-        reduced = self.rows.groupBy(self.policy.entity_key).agg(*picked)
+        reduced = self._raw.groupBy(self.policy.entity_key).agg(*picked)
         return reduced if where is None else reduced.filter(where)
 
     def _all_groups(self, aggregated: DataFrame, group: str) -> DataFrame:
         """Every group of the public domain, also empty ones, and no other."""
         domain = literal_rows(
-            self.rows.sparkSession, [(g,) for g in self.policy.groups[group]], f"{group} string"
+            self._raw.sparkSession, [(g,) for g in self.policy.groups[group]], f"{group} string"
         )
         return domain.join(aggregated, group, "left")
 
@@ -106,29 +132,32 @@ class PrivateTable:
         schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in noisy.schema.fields)
         return literal_rows(noisy.sparkSession, [tuple(r) for r in noisy.collect()], schema)
 
-    def _noise(self, query_id: str, metric: str, group: str, scale: float) -> Column:
-        return laplace(F.concat(F.lit(f"{query_id}|"), F.col(group), F.lit(f"|{metric}")), scale, self.secret + "|")
+    def _noise(self, query: str, metric: str, group: str, scale: float) -> Column:
+        return laplace(F.concat(F.lit(f"{query}|"), F.col(group), F.lit(f"|{metric}")), scale, self.secret + "|")
 
     def _charge(self, user: str, epsilon: float) -> None:
         if self.ledger is not None:
             self.ledger.charge(user, epsilon)
+        elif self.role not in self.policy.exempt_roles:
+            raise PolicyError(f"role {self.role} needs a budget")
 
     def count(
         self,
         query_id: str,
         group: str,
         value: str | None = None,
-        where: Column | None = None,
+        where: str | None = None,
         user: str = "",
         alpha: float = DEFAULT_ALPHA,
     ) -> DataFrame:
-        """Noisy number of entities per group with an interval of confidence 1 - alpha."""
+        """Noisy number of entities per group with an interval of confidence 1 - alpha; ``where`` is a SQL test."""
         self._charge(user, self.policy.epsilon)
         counted = F.count(value) if value else F.count(F.lit(1))
         exact = self._per_entity(group, value, where).groupBy(group).agg(counted.alias("_n"))
         scale = 1.0 / self.policy.epsilon
         half = interval_half_width(scale, alpha)
-        noisy = F.coalesce(F.col("_n"), F.lit(0)) + self._noise(query_id, "count", group, scale)
+        query = signature(self.policy, "count", query_id, group, value, where, alpha)
+        noisy = F.coalesce(F.col("_n"), F.lit(0)) + self._noise(query, "count", group, scale)
         return self._publish(
             self._all_groups(exact, group)
             .select(group, noisy.alias("_x"))
@@ -155,9 +184,10 @@ class PrivateTable:
             )
         )
         half_epsilon = self.policy.epsilon / 2
-        noisy_n = F.coalesce(F.col("_n"), F.lit(0)) + self._noise(query_id, "count", group, 1.0 / half_epsilon)
+        query = signature(self.policy, "average", query_id, group, value, None, DEFAULT_ALPHA)
+        noisy_n = F.coalesce(F.col("_n"), F.lit(0)) + self._noise(query, "count", group, 1.0 / half_epsilon)
         noisy_s = F.coalesce(F.col("_s"), F.lit(0.0)) + self._noise(
-            query_id, "sum", group, limits.magnitude / half_epsilon
+            query, "sum", group, limits.magnitude / half_epsilon
         )
         ratio = limits.clamp(F.col("_ns") / F.greatest(F.col("_nn"), F.lit(1.0)))
         return self._publish(

@@ -7,11 +7,14 @@ from pyspark.sql import functions as F
 
 from custodia.operators.governance import DATA_USER, GOVERNOR, Governance
 from custodia.operators.privacy import (
+    DEFAULT_ALPHA,
     PrivacyPolicy,
     PrivateTable,
     Range,
+    SessionBudget,
     interval_half_width,
     remaining_aggregates,
+    signature,
     weekly_spend,
 )
 from custodia.sources import fixtures as fx
@@ -39,23 +42,25 @@ EMPLOYEE_POLICY = PrivacyPolicy(
     groups={"department": gen.DEPARTMENTS},
 )
 ORDER_POLICY = PrivacyPolicy("o_custkey", "analysts", groups={"o_orderpriority": PRIORITIES})
+_RANGE = "c_acctbal > 1000 AND c_acctbal < 5000"
 
 
 def _private(df: DataFrame, policy: PrivacyPolicy, role: str = DATA_USER) -> PrivateTable:
-    return PrivateTable(df, policy, role, secret=SECRET)
+    return PrivateTable(df, policy, role, secret=SECRET, ledger=SessionBudget(policy))
 
 
 def _domain(column: str, values) -> str:
     return f"(SELECT unnest({duck.strings(values)}) AS {column})"
 
 
-def _noise(query_id: str, metric: str, group: str, scale: float) -> str:
-    return duck.laplace(f"'{query_id}|' || {group} || '|{metric}'", scale, SECRET + "|")
+def _noise(query: str, metric: str, group: str, scale: float) -> str:
+    return duck.laplace(f"'{query}|' || {group} || '|{metric}'", scale, SECRET + "|")
 
 
-def _dp_count(entities: str, group: str, domain, query_id: str) -> str:
-    half = interval_half_width(1.0)
-    x = f"coalesce(n, 0) + {_noise(query_id, 'count', 'd.' + group, 1.0)}"
+def _dp_count(entities: str, policy: PrivacyPolicy, group: str, query_id: str, value=None, where=None) -> str:
+    half, domain = interval_half_width(1.0), policy.groups[group]
+    query = signature(policy, "count", query_id, group, value, where, DEFAULT_ALPHA)
+    x = f"coalesce(n, 0) + {_noise(query, 'count', 'd.' + group, 1.0)}"
     return f"""SELECT {group}, round(x, 2) AS noisy_count, round(x - {half!r}::DOUBLE, 2) AS count_low, round(x + {half!r}::DOUBLE, 2) AS count_high
     FROM (SELECT d.{group}, {x} AS x FROM {_domain(group, domain)} d LEFT JOIN
       (SELECT {group}, count(*) AS n FROM ({entities}) GROUP BY {group}) g ON g.{group} = d.{group})"""
@@ -100,6 +105,23 @@ def kanon_join_aggregate(spark: SparkSession, base: str) -> DataFrame:
     )
 
 
+@query(
+    """WITH keyed AS (SELECT c_custkey % 50 AS bucket, min(c_mktsegment) AS segment FROM customer GROUP BY 1)
+    SELECT segment, count(*) AS count_order, round(sum(o_totalprice), 2) AS order_total, count(DISTINCT o_custkey) AS customers
+    FROM orders JOIN keyed ON o_custkey % 50 = bucket GROUP BY segment HAVING count(*) >= 100"""
+)
+def kanon_repeated_keys(spark: SparkSession, base: str) -> DataFrame:
+    """A dimension with many rows per key: each protected row still counts once."""
+    gov = Governance()
+    gov.register("orders", read_table(spark, base, "orders").withColumn("bucket", F.expr("o_custkey % 50")))
+    gov.limit_aggregation("orders", K)
+    segments = read_table(spark, base, "customer").selectExpr("c_custkey % 50 AS key", "c_mktsegment AS segment")
+    table = gov.table("orders", DATA_USER).join_dimension(segments, on="bucket", key="key")
+    summed = table.aggregate(["segment"], count_order=("count", "o_orderkey"), order_total=("sum", "o_totalprice"))
+    counted = table.aggregate(["segment"], customers=("count_distinct", "o_custkey"))
+    return summed.withColumn("order_total", F.round("order_total", 2)).join(counted, "segment")
+
+
 @query(
     """WITH g AS (SELECT o_orderdate::DATE AS day, count(*) AS orders, sum(o_totalprice) AS total FROM orders GROUP BY 1)
     SELECT CASE WHEN orders >= 100 THEN day END AS day, sum(orders)::BIGINT AS orders, round(sum(total), 2) AS total
@@ -116,7 +138,7 @@ def kanon_merge_small(spark: SparkSession, base: str) -> DataFrame:
     return out.withColumn("total", F.round("total", 2))
 
 
-@query(_dp_count("SELECT c_custkey, c_mktsegment FROM customer", "c_mktsegment", SEGMENTS, "q-count"))
+@query(_dp_count("SELECT c_custkey, c_mktsegment FROM customer", PEOPLE_POLICY, "c_mktsegment", "q-count", "c_acctbal"))
 def dp_count(spark: SparkSession, base: str) -> DataFrame:
     customers = read_table(spark, base, "customer")
     return _private(customers, PEOPLE_POLICY).count("q-count", "c_mktsegment", "c_acctbal")
@@ -124,24 +146,24 @@ def dp_count(spark: SparkSession, base: str) -> DataFrame:
 
 @query(
     _dp_count(
-        "SELECT c_custkey, c_mktsegment FROM customer WHERE c_acctbal > 1000 AND c_acctbal < 5000",
+        f"SELECT c_custkey, c_mktsegment FROM customer WHERE {_RANGE}",
+        PEOPLE_POLICY,
         "c_mktsegment",
-        SEGMENTS,
         "q-range",
+        "c_acctbal",
+        _RANGE,
     )
 )
 def dp_count_range(spark: SparkSession, base: str) -> DataFrame:
-    balance = F.col("c_acctbal")
-    return _private(read_table(spark, base, "customer"), PEOPLE_POLICY).count(
-        "q-range", "c_mktsegment", "c_acctbal", where=(balance > 1000) & (balance < 5000)
-    )
+    customers = read_table(spark, base, "customer")
+    return _private(customers, PEOPLE_POLICY).count("q-range", "c_mktsegment", "c_acctbal", where=_RANGE)
 
 
 @query(
     _dp_count(
         "SELECT o_custkey, min(o_orderpriority) AS o_orderpriority FROM orders GROUP BY o_custkey",
+        ORDER_POLICY,
         "o_orderpriority",
-        PRIORITIES,
         "q-orders",
     )
 )
@@ -150,8 +172,9 @@ def dp_count_bounded(spark: SparkSession, base: str) -> DataFrame:
     return _private(read_table(spark, base, "orders"), ORDER_POLICY).count("q-orders", "o_orderpriority")
 
 
-_N = f"coalesce(n, 0) + {_noise('q-avg', 'count', 'd.department', 2.0)}"
-_S = f"coalesce(s, 0.0::DOUBLE) + {_noise('q-avg', 'sum', 'd.department', 400000.0)}"
+_AVERAGE = signature(EMPLOYEE_POLICY, "average", "q-avg", "department", "salary", None, DEFAULT_ALPHA)
+_N = f"coalesce(n, 0) + {_noise(_AVERAGE, 'count', 'd.department', 2.0)}"
+_S = f"coalesce(s, 0.0::DOUBLE) + {_noise(_AVERAGE, 'sum', 'd.department', 400000.0)}"
 
 
 @query(

@@ -5,7 +5,14 @@ from pyspark.sql import functions as F
 
 from custodia.functions.keyed import laplace, uniform
 from custodia.operators.governance import DATA_USER, GOVERNOR, Governance, PolicyError
-from custodia.operators.privacy import Ledger, PrivacyPolicy, PrivateTable, Range, interval_half_width
+from custodia.operators.privacy import (
+    Ledger,
+    PrivacyPolicy,
+    PrivateTable,
+    Range,
+    SessionBudget,
+    interval_half_width,
+)
 from custodia.session import fresh_path
 
 
@@ -85,7 +92,7 @@ def people(spark):
 
 
 def _table(people, role=DATA_USER, secret="s", **kw):
-    return PrivateTable(people, POLICY, role, secret=secret, **kw)
+    return PrivateTable(people, POLICY, role, secret=secret, **{"ledger": SessionBudget(POLICY), **kw})
 
 
 def test_dp_rows_are_refused(people):
@@ -116,6 +123,58 @@ def test_dp_noise_is_reproducible_per_secret_and_query(people):
     assert fresh() != fresh()
 
 
+def test_dp_needs_a_budget(people):
+    with pytest.raises(PolicyError):
+        _table(people, ledger=None).count("q", "g")
+    assert _table(people, role=GOVERNOR, ledger=None).count("q", "g").count() == 3
+    table = _table(people)
+    for i in range(3):
+        table.count(f"q{i}", "g")
+    with pytest.raises(PolicyError):
+        table.average("q", "g", "v")
+
+
+def test_noise_of_different_queries_does_not_cancel(people):
+    """Exact counts and their noise under one id and secret: no two of these queries share a draw."""
+    exact = {"x": 101, "y": 99, "empty": 0}
+    queries = {
+        "count": lambda t: t.count("q", "g"),
+        "of value": lambda t: t.count("q", "g", "v"),
+        "where": lambda t: t.count("q", "g", where="id >= 0"),
+        "other where": lambda t: t.count("q", "g", where="id > -1"),
+        "alpha": lambda t: t.count("q", "g", alpha=0.1),
+        "average": lambda t: t.average("q", "g", "v"),
+    }
+    noise = {}
+    for name, run in queries.items():
+        noise[name] = {r["g"]: r["noisy_count"] - exact[r["g"]] for r in run(_table(people)).collect()}
+    names = list(noise)
+    for i, a in enumerate(names):
+        for b in names[:i]:
+            for g in ("y", "empty"):  # group x has an entity without a value
+                for combined in (noise[a][g] - noise[b][g], noise[a][g] - 2 * noise[b][g], 2 * noise[a][g] - noise[b][g]):
+                    assert abs(combined) > 0.01, (a, b, g)
+
+
+def test_published_intervals_cover_the_truth(people):
+    exact, inside = {"x": 101, "y": 99, "empty": 0}, []
+    cached = people.cache()
+    for i in range(40):
+        for r in _table(cached, secret=f"s{i}").count("q", "g").collect():
+            inside.append(r["count_low"] <= exact[r["g"]] <= r["count_high"])
+    assert sum(inside) / len(inside) == pytest.approx(0.95, abs=0.06)
+
+
+def test_repeated_dimension_keys_do_not_inflate(spark, orders):
+    single = orders.withColumn("k", F.col("v"))  # one row per key
+    dims = spark.range(349 * 200).selectExpr("CAST(id % 349 AS DOUBLE) AS key", "CAST(id % 349 AS STRING) AS d")
+    table = _protected(single).table("orders", DATA_USER).join_dimension(dims, "k", "key")
+    assert table.aggregate(["d"], n=("count", "*"), s=("sum", "v")).count() == 0
+    assert table.aggregate(["d"], n=("count_distinct", "v")).count() == 0
+    whole = table.aggregate(["g"], n=("count", "*")).collect()
+    assert {(r["g"], r["n"]) for r in whole} == {("a", 150), ("b", 100)}
+
+
 def test_dp_average_is_clamped(people):
     rows = {r["g"]: r for r in _table(people).average("q", "g", "v").collect()}
     assert all(0.0 <= r["noisy_avg"] <= 100.0 for r in rows.values())
