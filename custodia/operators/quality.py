@@ -9,16 +9,22 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from custodia.sources.tables import literal_rows
+
 
 @dataclass(frozen=True)
 class Metric:
-    """A named count over a table. ``aggregate`` is None for duplicate counts, which need a shuffle."""
+    """A named count over a table. ``aggregate`` is None for duplicate counts, which need a shuffle.
+
+    ``additive``: the value of a table is the sum of the values of its parts.
+    """
 
     name: str
     kind: str
     aggregate: Column | None
     column: str | None = None
     schedule: str = "TRIGGER_ON_CHANGES"
+    additive: bool = True
 
 
 def null_count(name: str, column: str) -> Metric:
@@ -41,11 +47,12 @@ def accepted_values(name: str, column: str, predicate: Callable[[Column], Column
 
 def custom_metric(name: str, column: str, aggregate: Callable[[Column], Column], kind: str) -> Metric:
     """Any aggregate over one column, such as an out-of-range count."""
-    return Metric(name, kind, aggregate(F.col(column)).cast("bigint"), column)
+    return Metric(name, kind, aggregate(F.col(column)).cast("bigint"), column, additive=False)
 
 
 def out_of_range(name: str, column: str, low: float, high: float, kind: str = "OUT_OF_RANGE") -> Metric:
-    return custom_metric(name, column, lambda c: F.count_if((c < low) | (c > high)), kind)
+    outside = (F.col(column) < low) | (F.col(column) > high)
+    return Metric(name, kind, F.count_if(outside).cast("bigint"), column)
 
 
 def duplicate_count(name: str, column: str) -> Metric:
@@ -53,27 +60,37 @@ def duplicate_count(name: str, column: str) -> Metric:
     return Metric(name, "DUPLICATE_COUNT", None, column)
 
 
-def _duplicates(df: DataFrame, metric: Metric, by: Sequence[str]) -> DataFrame:
-    """Counted per value before the shuffle, so one very frequent value is no hot partition."""
-    per_value = (
-        df.filter(F.col(metric.column).isNotNull()).groupBy(*by, metric.column).agg(F.count(F.lit(1)).alias("_n"))
-    )
-    total = F.coalesce(F.sum(F.when(F.col("_n") > 1, F.col("_n"))), F.lit(0)).cast("bigint")
-    return per_value.groupBy(*by).agg(total.alias(metric.name))
+def _duplicates(df: DataFrame, metric: Metric, by: Sequence[str], along: Sequence[Metric] = ()) -> DataFrame:
+    """Counted per value before the shuffle, so one very frequent value is no hot partition.
+
+    NULLs are counted along, as no duplicates, so a group of nothing else has its row; so are additive metrics.
+    """
+    parts = [m.aggregate.cast("bigint").alias(m.name) for m in along]
+    value = F.col(metric.column).alias("_value")
+    per_value = df.groupBy(*by, value).agg(F.count(F.lit(1)).alias("_n"), *parts)
+    repeated = F.sum(F.when(F.col("_value").isNotNull() & (F.col("_n") > 1), F.col("_n")))
+    total = F.coalesce(repeated, F.lit(0)).cast("bigint")
+    sums = [F.coalesce(F.sum(m.name), F.lit(0)).cast("bigint").alias(m.name) for m in along]
+    return per_value.groupBy(*by).agg(total.alias(metric.name), *sums)
 
 
 def measure_rows(df: DataFrame, metrics: Sequence[Metric], by: Sequence[str] = ()) -> DataFrame:
-    """``(*by, metric_name, value)``: one scan for all metrics except duplicates, one more for each of those."""
+    """``(*by, metric_name, value)``. Additive metrics share the scan of the first duplicate count, if there is one;
+    every further duplicate count, and a metric that does not add up, needs a scan of its own."""
     by = list(by)
-    scan = [m for m in metrics if m.aggregate is not None]
+    metrics = list({m.name: m for m in metrics}.values())
+    repeats = [m for m in metrics if m.aggregate is None]
+    along = [m for m in metrics if m.aggregate is not None and m.additive and repeats]
+    scan = [m for m in metrics if m.aggregate is not None and m not in along]
     parts = []
     if scan:
         wide = df.groupBy(*by).agg(*[m.aggregate.cast("bigint").alias(m.name) for m in scan])
-        parts.append(wide.unpivot(by, [m.name for m in scan], "metric_name", "value"))
-    for m in metrics:
-        if m.aggregate is None:
-            parts.append(_duplicates(df, m, by).unpivot(by, [m.name], "metric_name", "value"))
-    return reduce(DataFrame.unionByName, parts)
+        parts.append((wide, scan))
+    for i, m in enumerate(repeats):
+        parts.append((_duplicates(df, m, by, () if i else along), [m, *(() if i else along)]))
+    return reduce(
+        DataFrame.unionByName, [wide.unpivot(by, [m.name for m in own], "metric_name", "value") for wide, own in parts]
+    )
 
 
 def measure(df: DataFrame, metrics: Sequence[Metric], by: Sequence[str] = ()) -> DataFrame:
@@ -95,22 +112,43 @@ class Expectation:
     operator: str
     threshold: int
 
+    def __post_init__(self):
+        if self.operator not in _TESTS:
+            raise ValueError(f"operator {self.operator!r} is none of {sorted(_TESTS)}")
+
     def holds(self, value: Column) -> Column:
-        tests = {"=": value == self.threshold, ">=": value >= self.threshold, "<=": value <= self.threshold}
-        return tests[self.operator]
+        return _TESTS[self.operator](value, self.threshold)
+
+
+_TESTS = {
+    "=": lambda v, t: v == t,
+    "<>": lambda v, t: v != t,
+    "<": lambda v, t: v < t,
+    "<=": lambda v, t: v <= t,
+    ">": lambda v, t: v > t,
+    ">=": lambda v, t: v >= t,
+}
 
 
 def report(df: DataFrame, expectations: Sequence[Expectation]) -> DataFrame:
-    """Pass or fail per expectation."""
-    metrics = [e.metric for e in expectations]
-    rows = measure_rows(df, metrics)
-    name, kind, verdict = F.lit(None), F.lit(None), F.lit(None)
+    """Pass or fail per expectation; a metric is measured once, however many expectations name it."""
+    metrics: dict[str, Metric] = {}
     for e in expectations:
-        mine = F.col("metric_name") == e.metric.name
-        name = F.when(mine, e.name).otherwise(name)
-        kind = F.when(mine, e.metric.kind).otherwise(kind)
-        verdict = F.when(mine, F.when(e.holds(F.col("value")), "PASS").otherwise("FAIL")).otherwise(verdict)
-    return rows.select(name.alias("expectation"), kind.alias("metric"), "value", verdict.alias("status"))
+        known = metrics.setdefault(e.metric.name, e.metric)
+        if (known.kind, known.column) != (e.metric.kind, e.metric.column):
+            raise ValueError(f"two metrics are called {e.metric.name!r}")
+    rows = measure_rows(df, list(metrics.values()))
+    tests = literal_rows(
+        df.sparkSession,
+        [(e.name, e.metric.name, e.metric.kind, e.operator, e.threshold) for e in expectations],
+        "expectation string, metric_name string, metric string, operator string, threshold bigint",
+    )
+    verdict = F.lit(None).cast("boolean")
+    for operator, test in _TESTS.items():
+        verdict = F.when(F.col("operator") == operator, test(F.col("value"), F.col("threshold"))).otherwise(verdict)
+    return tests.join(rows, "metric_name").select(
+        "expectation", "metric", "value", F.when(verdict, "PASS").otherwise("FAIL").alias("status")
+    )
 
 
 HISTORY_SCHEMA = "measurement_time timestamp_ntz, table_database string, table_name string, metric_name string, value bigint"

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.query import StreamingQuery
 
 from custodia.operators.quality import Metric
+from custodia.sources.tables import literal_rows
 
 
 def read_stream(spark: SparkSession, path: str, schema: T.StructType, files_per_trigger: int | None = None) -> DataFrame:
@@ -34,23 +35,38 @@ def run_available(stream: DataFrame, sink: str, checkpoint: str) -> StreamingQue
     return started
 
 
-def observe_quality(stream: DataFrame, metrics: Sequence[Metric], name: str = "quality") -> DataFrame:
-    """Measure every micro-batch on its way through, without a second scan.
+def run_measured(
+    stream: DataFrame, metrics: Sequence[Metric], sink: str, history: str, checkpoint: str
+) -> StreamingQuery:
+    """Write what has arrived and measure every micro-batch on its way, without a second scan.
 
-    Duplicate counts need a shuffle, which observation does not allow; run them as a batch job.
+    Rows and measurement of a batch go to folders named by its number, so a batch that is run again replaces both:
+    each row and each measurement is there once, however many batches there are. Duplicate counts need a shuffle,
+    which observation does not allow; run them as a batch job.
     """
     scan = [m for m in metrics if m.aggregate is not None]
-    return stream.observe(name, *[m.aggregate.cast("bigint").alias(m.name) for m in scan])
+    schema = ", ".join(f"`{m.name}` bigint" for m in scan)
 
+    def write(batch: DataFrame, number: int) -> None:
+        seen = Observation()
+        measured = batch.observe(seen, *[m.aggregate.cast("bigint").alias(m.name) for m in scan])
+        measured.write.mode("overwrite").parquet(f"{sink}/batch={number}")
+        values = literal_rows(batch.sparkSession, [tuple(seen.get[m.name] for m in scan)], schema)
+        values.write.mode("overwrite").parquet(f"{history}/batch={number}")
 
-def observed_batches(finished: StreamingQuery, name: str = "quality") -> list[dict]:
-    """Per micro-batch: its id, start time and measured values."""
-    out = []
-    for progress in finished.recentProgress:
-        row = progress.observedMetrics.get(name) if progress.numInputRows else None
-        if row is not None:
-            out.append({"batch": progress.batchId, "time": progress.timestamp, **row.asDict()})
-    return out
+    started = (
+        stream.writeStream.foreachBatch(write)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+    started.awaitTermination()
+    return started
+
+
+def measured_batches(spark: SparkSession, history: str) -> DataFrame:
+    """One row per micro-batch: its number and the measured values."""
+    return spark.read.option("basePath", history).parquet(history)
 
 
 def windowed_quality(

@@ -11,7 +11,13 @@ from custodia.operators.governance import DATA_USER, masked_columns
 from custodia.operators.tags import apply_tags
 from custodia.session import fresh_path
 from custodia.sources.tables import read_table
-from custodia.streaming.governed_stream import observe_quality, read_stream, run_available, windowed_quality
+from custodia.streaming.governed_stream import (
+    measured_batches,
+    read_stream,
+    run_available,
+    run_measured,
+    windowed_quality,
+)
 from custodia.workload import duck
 from custodia.workload.registry import query
 
@@ -48,12 +54,21 @@ def stream_redacted(spark: SparkSession, base: str) -> DataFrame:
     return _finish(spark, turns.select("conv_id", "turn", redact(F.col("text")).alias("redacted")), "redacted")
 
 
-@query("SELECT event_id, user_id, value FROM events")
+@query(
+    """SELECT count(*) AS rows, count(*) FILTER (user_id IS NULL) AS null_users, count(*) FILTER (value < 0 OR value > 100) AS large,
+    count(*) AS stored FROM events"""
+)
 def stream_quality_observed(spark: SparkSession, base: str) -> DataFrame:
-    """Rows pass unchanged while every micro-batch is measured."""
+    """What the micro-batches measured, added up, beside the rows they wrote."""
     metrics = [dq.row_count("rows"), dq.null_count("null_users", "user_id"), dq.out_of_range("large", "value", 0, 100)]
     events = _stream(spark, base, "events").select("event_id", "user_id", "value")
-    return _finish(spark, observe_quality(events, metrics), "observed")
+    sink, history = fresh_path(spark, "observed-sink"), fresh_path(spark, "observed-history")
+    run_measured(events, metrics, sink, history, fresh_path(spark, "observed-checkpoint"))
+    names = [m.name for m in metrics]
+    rows = spark.read.schema(events.schema).parquet(f"{sink}/*")
+    stored = rows.agg(F.count(F.lit(1)).alias("stored")).select(*[F.lit(0).cast("bigint").alias(n) for n in names], "stored")
+    batches = measured_batches(spark, history).select(*names, F.lit(0).cast("bigint").alias("stored"))
+    return batches.unionByName(stored).agg(*[F.sum(n).alias(n) for n in [*names, "stored"]])
 
 
 @query(

@@ -76,6 +76,33 @@ def test_by_group_includes_groups_without_duplicates(spark):
     assert sorted(map(tuple, out.collect())) == [("p", 2, 2), ("q", 2, 0)]
 
 
+def test_groups_of_nothing_but_nulls_have_rows(spark):
+    df = spark.createDataFrame([("p", 1), ("p", 1), ("q", None), ("q", None)], "g string, x int")
+    rows = dq.measure_rows(df, [dq.duplicate_count("d", "x"), dq.row_count("r"), dq.duplicate_count("d2", "x")], by=["g"])
+    want = [("p", "d", 2), ("p", "d2", 2), ("p", "r", 2), ("q", "d", 0), ("q", "d2", 0), ("q", "r", 2)]
+    assert sorted(map(tuple, rows.collect())) == want
+
+
+def test_several_expectations_on_one_metric(spark):
+    count = dq.row_count("rows")
+    tests = [("=", 5), ("<>", 5), ("<", 6), ("<=", 4), (">", 5), (">=", 5)]
+    report = dq.report(spark.range(5).toDF("x"), [dq.Expectation(f"rows {o} {n}", count, o, n) for o, n in tests])
+    assert {k: s for k, (_, s) in _values(report).items()} == {
+        "rows = 5": "PASS", "rows <> 5": "FAIL", "rows < 6": "PASS", "rows <= 4": "FAIL", "rows > 5": "FAIL", "rows >= 5": "PASS",
+    }
+    with pytest.raises(ValueError):
+        dq.Expectation("bad", count, "~", 1)
+    with pytest.raises(ValueError):
+        dq.report(spark.range(1).toDF("x"), [dq.Expectation("a", count, "=", 1), dq.Expectation("b", dq.null_count("rows", "x"), "=", 1)])
+
+
+def test_additive_metrics_share_the_scan_of_a_duplicate_count(spark, tmp_path):
+    spark.range(10).toDF("x").write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    rows = dq.measure_rows(df, [dq.row_count("r"), dq.null_count("n", "x"), dq.duplicate_count("d", "x")])
+    assert rows._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+
+
 def test_history_appends_and_trends(spark):
     path = fresh_path(spark, "history")
     metrics = [dq.row_count("rows")]

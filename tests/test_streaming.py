@@ -7,10 +7,10 @@ from custodia.operators.governance import DATA_USER, masked_columns
 from custodia.operators.tags import apply_tags
 from custodia.session import fresh_path
 from custodia.streaming.governed_stream import (
-    observe_quality,
-    observed_batches,
+    measured_batches,
     read_stream,
     run_available,
+    run_measured,
     windowed_quality,
 )
 
@@ -31,25 +31,34 @@ def arrivals(spark):
     return path, spark.read.parquet(path).schema, arrive
 
 
-def test_observed_batches_follow_arrivals(spark, arrivals):
+def _measured(spark, path, schema, paths, **more):
+    run_measured(read_stream(spark, path, schema, **more), _metrics(), *paths)
+    sink, history, _ = paths
+    return [(r["rows"], r["nulls"]) for r in measured_batches(spark, history).orderBy("batch").collect()]
+
+
+@pytest.fixture()
+def paths(spark):
+    return fresh_path(spark, "sink"), fresh_path(spark, "history"), fresh_path(spark, "checkpoint")
+
+
+def test_measurements_follow_arrivals(spark, arrivals, paths):
     path, schema, arrive = arrivals
-    sink, checkpoint = fresh_path(spark, "sink"), fresh_path(spark, "checkpoint")
-    run = lambda: run_available(observe_quality(read_stream(spark, path, schema), _metrics()), sink, checkpoint)
-    first = observed_batches(run())
-    assert [(b["rows"], b["nulls"]) for b in first] == [(2, 1)]
+    assert _measured(spark, path, schema, paths) == [(2, 1)]
     arrive([(3, None), (4, None), (5, "b@x.org")])
-    second = observed_batches(run())  # a change triggers a measurement of what is new
-    assert [(b["rows"], b["nulls"]) for b in second] == [(3, 2)]
-    assert observed_batches(run()) == []  # nothing new
-    assert spark.read.parquet(sink).count() == 5  # each row once over all runs
+    assert _measured(spark, path, schema, paths) == [(2, 1), (3, 2)]  # a change triggers a measurement of what is new
+    assert _measured(spark, path, schema, paths) == [(2, 1), (3, 2)]  # nothing new
+    assert spark.read.parquet(paths[0]).count() == 5  # each row once over all runs
 
 
-def test_one_file_per_trigger(spark, arrivals):
-    path, schema, arrive = arrivals
-    arrive([(3, "c@x.org")])
-    stream = observe_quality(read_stream(spark, path, schema, files_per_trigger=1), _metrics())
-    finished = run_available(stream, fresh_path(spark, "sink"), fresh_path(spark, "checkpoint"))
-    assert sorted(b["rows"] for b in observed_batches(finished)) == [1, 2]
+def test_more_batches_than_spark_remembers(spark, paths):
+    """Every one of 120 batches is measured and stored."""
+    source = fresh_path(spark, "files")
+    spark.range(1200).selectExpr("CAST(id AS INT) AS id", "CAST(id AS STRING) AS email").repartition(120).write.parquet(source)
+    files = spark.read.parquet(source).inputFiles()
+    got = _measured(spark, source, spark.read.parquet(source).schema, paths, files_per_trigger=1)
+    assert len(got) == len(files) > 100 and sum(n for n, _ in got) == 1200
+    assert spark.read.parquet(paths[0]).count() == 1200
 
 
 def test_masks_and_redaction_on_a_stream(spark, arrivals):
