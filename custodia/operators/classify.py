@@ -109,15 +109,22 @@ def _hit(category: str, detectors: Sequence[Detector], columns: Sequence[str]) -
     return F.when(F.col("column_name").isin(hinted), test) if hinted else F.lit(False)
 
 
+def _readable(kind: T.DataType) -> bool:
+    """Whether values have a written form that the patterns are made for."""
+    whole = isinstance(kind, T.IntegralType) or (isinstance(kind, T.DecimalType) and kind.scale == 0)
+    return whole or isinstance(kind, (T.StringType, T.DateType))
+
+
 def match_counts(df: DataFrame, detectors: Sequence[Detector]) -> DataFrame:
-    """Per string column: non-NULL values and, per category, how many of them match.
+    """Per column of text, whole numbers or dates: non-NULL values and, per category, how many of them match.
 
     Columns become rows inside the scan stage and each task aggregates before the shuffle, so what
     travels is one row per column and task, whatever the size of the table.
     """
-    columns = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+    columns = [f.name for f in df.schema.fields if _readable(f.dataType)]
     categories = list(dict.fromkeys(d.category for d in detectors))
-    long = df.unpivot([], columns, "column_name", "value")
+    written = df.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in columns])
+    long = written.unpivot([], columns, "column_name", "value")
     return long.groupBy("column_name").agg(
         F.count("value").alias("n_values"),
         *[F.count_if(_hit(c, detectors, columns)).alias(c) for c in categories],

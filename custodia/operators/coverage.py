@@ -60,10 +60,14 @@ def unmasked_sensitive(
         .join(masked, "full_table_name", "left_anti")
         .groupBy("full_table_name")
         .agg(listed(F.col("category")).alias("sensitive_types"))  # at most one entry per category
-        .withColumn("governance_status", F.lit("HIGH RISK: No masking policy"))
+        .withColumn("governance_status", F.lit(UNMASKED))
     )
 
 
+#: What the report says of a sensitive table without a masking policy.
+UNMASKED = "sensitive, unmasked"
+
+
 def sensitive_access(
     queries: DataFrame,
     access: DataFrame,
@@ -75,13 +79,14 @@ def sensitive_access(
 ) -> DataFrame:
     """Who used sensitive tables, per user, role and day.
 
-    The access log is cut down to sensitive objects before it meets the query log. What both
+    Both logs are cut to the window where they are read, the access log also to sensitive objects before they meet. What both
     aggregates count is distinct anyway, so nothing is made distinct in between: a very frequent
     object then stays splittable in the semi join.
     """
     sensitive = _sensitive(tags, database, categories).select(full_name().alias("object_name")).distinct()
     touched = (
-        access.select("query_id", F.explode(F.col("direct_objects_accessed.objectName")).alias("object_name"))
+        access.filter(since(F.col("query_start_time"), as_of, days))
+        .select("query_id", F.explode(F.col("direct_objects_accessed.objectName")).alias("object_name"))
         .join(sensitive, "object_name", "left_semi")
     )
     recent = queries.filter(since(F.col("start_time"), as_of, days)).select(
@@ -182,18 +187,32 @@ def policy_distribution(policies: DataFrame, database: str) -> DataFrame:
 
 
 def top_sensitive_users(
-    queries: DataFrame, object_names: Sequence[str], as_of: Column, days: int = 30, top: int = 10
+    queries: DataFrame,
+    object_names: Sequence[str],
+    as_of: Column,
+    days: int = 30,
+    top: int = 10,
+    access: DataFrame | None = None,
 ) -> DataFrame:
-    """Users with most successful queries whose text names one of the objects, ignoring case.
+    """Users with most successful queries that use one of the objects.
 
-    A text match also finds longer names that start alike; ``sensitive_access`` uses the access log.
+    With the access log it is what the queries really read, by exact name. Without, their text must name an object,
+    ignoring case, which also finds longer names that start alike.
     """
-    named = F.lit(False)
-    for name in object_names:
-        named = named | F.contains(F.lower("query_text"), F.lit(name.lower()))
+    recent = queries.filter(since(F.col("start_time"), as_of, days) & (F.col("execution_status") == "SUCCESS"))
+    if access is None:
+        named = F.lit(False)
+        for name in object_names:
+            named = named | F.contains(F.lower("query_text"), F.lit(name.lower()))
+        found = recent.filter(named)
+    else:
+        names = F.col("direct_objects_accessed.objectName")
+        used = access.filter(since(F.col("query_start_time"), as_of, days)).filter(
+            F.arrays_overlap(names, F.array(*map(F.lit, object_names)))
+        )
+        found = recent.join(used.select("query_id"), "query_id", "left_semi")
     return (
-        queries.filter(since(F.col("start_time"), as_of, days) & (F.col("execution_status") == "SUCCESS") & named)
-        .groupBy("user_name", "role_name")
+        found.groupBy("user_name", "role_name")
         .agg(
             F.count_distinct("query_id").alias("total_queries"),
             F.count_distinct(F.to_date("start_time")).alias("active_days"),
@@ -222,11 +241,12 @@ def columns_at_level(tags: DataFrame, database: str, tag_name: str, level: str)
     ).select(full_name().alias("table_name"), "column_name")
 
 
-def objects_used_by(access: DataFrame, view: str) -> DataFrame:
-    """Base objects reached by queries that name the given view."""
+def objects_used_by(access: DataFrame, view: str, as_of: Column, days: int | None = 60) -> DataFrame:
+    """Base objects reached by queries of the window that name the given view."""
     names = F.col("direct_objects_accessed.objectName")
     return (
-        access.filter(F.array_contains(names, view))
+        access.filter(since(F.col("query_start_time"), as_of, days))
+        .filter(F.array_contains(names, view))
         .select("query_id", F.explode(F.col("base_objects_accessed.objectName")).alias("object_name"))
         .filter(F.col("object_name") != view)
         .groupBy("object_name")

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from custodia.operators.audit import since
+
 
 def login_spikes(logins: DataFrame, trailing_days: int = 7, factor: float = 3.0, minimum: int = 3) -> DataFrame:
     """Days on which a user failed far more often than on the days before.
@@ -30,17 +32,24 @@ def login_spikes(logins: DataFrame, trailing_days: int = 7, factor: float = 3.0,
 
 
 def after_hours(
-    queries: DataFrame, access: DataFrame, sensitive_objects: DataFrame, opens: int = 7, closes: int = 19
+    queries: DataFrame,
+    access: DataFrame,
+    sensitive_objects: DataFrame,
+    as_of: Column,
+    days: int | None = 30,
+    opens: int = 7,
+    closes: int = 19,
 ) -> DataFrame:
-    """Queries on sensitive objects outside business hours, per user."""
+    """Queries on sensitive objects outside business hours, per user; both logs are cut to the window."""
     hour = F.hour("start_time")
     touched = (
-        access.select("query_id", F.explode(F.col("direct_objects_accessed.objectName")).alias("object_name"))
+        access.filter(since(F.col("query_start_time"), as_of, days))
+        .select("query_id", F.explode(F.col("direct_objects_accessed.objectName")).alias("object_name"))
         .join(sensitive_objects, "object_name", "left_semi")
         .select("query_id")
     )
     return (
-        queries.filter((hour < opens) | (hour >= closes))
+        queries.filter(since(F.col("start_time"), as_of, days) & ((hour < opens) | (hour >= closes)))
         .join(touched, "query_id", "left_semi")
         .groupBy("user_name")
         .agg(

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from custodia.sources.generators import COMPANIES
-from custodia.sources.tables import literal_rows, read_for_row_work, read_table
+from custodia.sources.tables import literal_rows, read_table
 
 AS_OF_TEXT = "2024-01-31 00:00:00"
 AS_OF_SQL = f"TIMESTAMP_NTZ '{AS_OF_TEXT}'"
@@ -58,12 +58,10 @@ PEOPLE_TAGS = {
 JOBS = ("Clerk", "Nurse", "Teacher", "Engineer", "Driver", "Analyst", "Cook")
 
 
-def people(spark: SparkSession, base: str, row_work: bool = False) -> DataFrame:
-    """Customers with personal columns; ``row_work`` if every value is going to be examined."""
+def people(spark: SparkSession, base: str) -> DataFrame:
+    """Customers with personal columns."""
     nation = read_table(spark, base, "nation").selectExpr("n_nationkey", "n_name AS state")
-    customers = (
-        read_for_row_work(spark, base, "customer", "c_custkey") if row_work else read_table(spark, base, "customer")
-    )
+    customers = read_table(spark, base, "customer")
     ssn = "lpad(CAST(c_custkey AS STRING), 9, '0')"
     born = "date_add(DATE '1950-01-01', CAST(c_custkey % 20000 AS INT))"
     return customers.join(nation, customers["c_nationkey"] == nation["n_nationkey"]).selectExpr(
@@ -109,25 +107,30 @@ def sales(spark: SparkSession, base: str) -> DataFrame:
 
 # --- feedback -----------------------------------------------------------------------------------
 
+# Notes of concert guests. Some names are not on the detector's list, one note is empty.
 FEEDBACK = (
-    "Anna {L} wrote from {E} that the parcel was great and she is very satisfied.",
-    "{E} asks for a refund, the lamp is broken. Reach Omar {L} at {P}.",
-    "Bulk quote wanted by Grace {L}, call {P}. Excellent service so far.",
-    "Urgent: SSN {S} of Karl {L} was exposed on the invoice, a privacy problem.",
-    "Expedited delivery to {A} please, said Nina {L}. Thanks for the quick answer.",
-    "Wholesale prices for Lucas {L}? Answer to {E} or {P}.",
-    "Shipping went to {A}, which is wrong. Petra {L} is unhappy.",
-    "Rosa {L} wants to change the credit card {C} on file. Her number: {P}.",
-    "Happy with everything. Date of birth for the bonus program: {B}. Yours, Mr. {L}",
-    "No remarks on this order.",
+    "The hall was cold, but the choir was wonderful. {L}",
+    "Could Yusuf {L} move my ticket to Sunday? I am at {P} after five.",
+    "",
+    "Lost my season pass; the desk mailed a new one to {E} within an hour. Impressed.",
+    "Refund the parking fee, the barrier would not open.",
+    "My son was born {B}, does he need a ticket of his own?",
+    "Expedited entry for wheelchairs was helpful, so was Svetlana {L} at the gate.",
+    "Dr. {L} of {A} offers to sponsor the summer concerts.",
+    "A wholesale block of forty seats for our school: write to {E}, Mrs. {L} decides.",
+    "The credit card reader at the bar failed twice with {C}.",
+    "Privacy: someone read out {S} from the guest list at the entrance!",
+    "A late start again and no word from the stage. Disappointed.",
+    "Sofia {L} plays the cello like nobody else, we love it.",
+    "Which programme book is for sale online?",
 )
 
 
-SURNAMES = ("Keller", "Moreau", "Santos", "Novak", "Hansen", "Rossi", "Weber")
+SURNAMES = ("Okafor", "Lindqvist", "Tanaka", "Brennan", "Petrov")
 
 
 def feedback_text(key: str) -> Column:
-    """One of ten notes with personal details that vary with the key."""
+    """One of the notes with personal details that vary with the key."""
     digits = lambda modulus, width: f"lpad(CAST({key} % {modulus} AS STRING), {width}, '0')"
     parts = {
         "{L}": pick_sql(SURNAMES, f"{key} % {len(SURNAMES)}"),
@@ -141,12 +144,12 @@ def feedback_text(key: str) -> Column:
     cases = []
     for i, template in enumerate(FEEDBACK):
         pieces = [parts.get(piece, f"'{piece}'") for piece in re.split(r"(\{[A-Z]\})", template) if piece]
-        cases.append(f"WHEN {i} THEN concat({', '.join(pieces)})")
-    return F.expr(f"CASE {key} % 10 {' '.join(cases)} END")
+        cases.append(f"WHEN {i} THEN concat({', '.join(pieces) or chr(39) * 2})")
+    return F.expr(f"CASE {key} % {len(FEEDBACK)} {' '.join(cases)} END")
 
 
 def feedback(spark: SparkSession, base: str) -> DataFrame:
-    return read_for_row_work(spark, base, "orders", "o_orderkey").select(
+    return read_table(spark, base, "orders").select(
         "o_orderkey", "o_custkey", "o_orderdate", feedback_text("o_orderkey").alias("feedback")
     )
 
@@ -165,7 +168,7 @@ _LOG_IDS = tuple(f"id{i}" for i in range(8))
 
 
 def _events(spark: SparkSession, base: str) -> DataFrame:
-    events = read_for_row_work(spark, base, "events", "event_id")
+    events = read_table(spark, base, "events")
     return events.selectExpr("*", "CAST(get_json_object(props, '$.k') AS INT) AS k")
 
 

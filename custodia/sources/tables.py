@@ -25,17 +25,6 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     )
 
 
-def read_for_row_work(spark: SparkSession, base: str, name: str, key: str) -> DataFrame:
-    """Read a table whose rows are expensive to process, such as texts.
-
-    A table of fewer splits than task slots would leave slots idle, so its rows are spread by key.
-    Anything larger is read as it lies: no shuffle.
-    """
-    df = read_table(spark, base, name)
-    slots = spark.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= slots else df.repartition(slots, key)
-
-
 def literal_rows(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
     """A few rows given in code. Unlike rows from an RDD they have a known size, so joins can broadcast them."""
     fields = T.StructType.fromDDL(schema).fields

@@ -223,8 +223,8 @@ def login_anomaly(spark: SparkSession, base: str) -> DataFrame:
         "query_history",
         "access",
         "tags",
-        sql="""SELECT user_name, count(*) AS queries, min(start_time) AS first_seen, max(start_time) AS last_seen FROM query_history
-    WHERE (hour(start_time) < 7 OR hour(start_time) >= 19) AND query_id IN (SELECT query_id FROM (SELECT query_id, unnest(direct) AS o FROM access)
+        sql=f"""SELECT user_name, count(*) AS queries, min(start_time) AS first_seen, max(start_time) AS last_seen FROM query_history
+    WHERE (hour(start_time) < 7 OR hour(start_time) >= 19) AND start_time >= {duck.AS_OF} - to_days(30) AND query_id IN (SELECT query_id FROM (SELECT query_id, unnest(direct) AS o FROM access)
       WHERE o IN (SELECT object_database || '.' || object_schema || '.' || object_name FROM tags WHERE tag_value = 'PII')) GROUP BY 1""",
     )
 )
@@ -235,7 +235,7 @@ def after_hours_access(spark: SparkSession, base: str) -> DataFrame:
         .select(F.concat_ws(".", "object_database", "object_schema", "object_name").alias("object_name"))
         .distinct()
     )
-    return insights.after_hours(fx.query_history(spark, base), fx.access_history(spark, base), sensitive)
+    return insights.after_hours(fx.query_history(spark, base), fx.access_history(spark, base), sensitive, fx.as_of())
 
 
 _COLUMNS = (

@@ -126,7 +126,10 @@ def fixed_sample(spark: SparkSession, base: str) -> DataFrame:
     return sample_rows(customers, F.col("c_custkey"), 100, "seed-1")
 
 
-_COUNTED = ("customer", "orders", "lineitem", "events", "documents", "part", "supplier")
+_COUNTED = (
+    "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages",
+    "benchmark", "labels", "conversations",
+)
 
 
 @query(" UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS n FROM {t}" for t in _COUNTED))

@@ -38,7 +38,7 @@ def policy_references(spark: SparkSession, base: str) -> DataFrame:
     duck.with_tables(
         "tags",
         "policies",
-        sql=f"""SELECT full_table_name, string_agg(tag_value, ', ' ORDER BY tag_value) AS sensitive_types, 'HIGH RISK: No masking policy' AS governance_status
+        sql=f"""SELECT full_table_name, string_agg(tag_value, ', ' ORDER BY tag_value) AS sensitive_types, '{cov.UNMASKED}' AS governance_status
     FROM (SELECT DISTINCT {_FULL} AS full_table_name, tag_value FROM tags WHERE tag_name = 'SEMANTIC_CATEGORY' AND domain = 'COLUMN'
       AND tag_value IN {duck.names(_IDENTIFYING)})
     WHERE full_table_name NOT IN (SELECT ref_entity_name FROM policies WHERE policy_kind = 'MASKING_POLICY' AND policy_status = 'ACTIVE')
@@ -130,6 +130,25 @@ def top_sensitive_users(spark: SparkSession, base: str) -> DataFrame:
     return cov.top_sensitive_users(fx.query_history(spark, base), ["LAKE.S2.T2", "LAKE.S3.T3"], fx.as_of())
 
 
+@query(
+    duck.with_tables(
+        "query_history",
+        "access",
+        sql=f"""SELECT user_name, role_name, count(DISTINCT query_id) AS total_queries, count(DISTINCT start_time::DATE) AS active_days,
+      round(avg(total_elapsed_time) / 1000, 3) AS avg_query_seconds, round(sum(bytes_scanned)::DOUBLE / 1073741824, 4) AS total_gb_scanned,
+      min(start_time) AS first_access, max(start_time) AS last_access FROM query_history
+    WHERE query_id IN (SELECT query_id FROM access WHERE list_has_any(direct, ['LAKE.S2.T2', 'LAKE.S3.T3']))
+      AND start_time >= {duck.AS_OF} - to_days(30) AND execution_status = 'SUCCESS'
+    GROUP BY 1, 2 ORDER BY total_queries DESC, user_name, role_name LIMIT 10""",
+    )
+)
+def top_sensitive_users_logged(spark: SparkSession, base: str) -> DataFrame:
+    """By the access log instead of the query text."""
+    return cov.top_sensitive_users(
+        fx.query_history(spark, base), ["LAKE.S2.T2", "LAKE.S3.T3"], fx.as_of(), access=fx.access_history(spark, base)
+    )
+
+
 @query(
     duck.with_tables(
         "policies",
@@ -143,13 +162,14 @@ def policies_on_table(spark: SparkSession, base: str) -> DataFrame:
 @query(
     duck.with_tables(
         "access",
-        sql="""SELECT object_name, count(DISTINCT query_id) AS number_of_queries FROM
-    (SELECT query_id, unnest(base) AS object_name FROM access WHERE list_contains(direct, 'LAKE.S0.T5'))
+        sql=f"""SELECT object_name, count(DISTINCT query_id) AS number_of_queries FROM
+    (SELECT query_id, unnest(base) AS object_name FROM access
+     WHERE list_contains(direct, 'LAKE.S0.T5') AND query_start_time >= {duck.AS_OF} - to_days(60))
     WHERE object_name <> 'LAKE.S0.T5' GROUP BY 1""",
     )
 )
 def semantic_lineage(spark: SparkSession, base: str) -> DataFrame:
-    return cov.objects_used_by(fx.access_history(spark, base), "LAKE.S0.T5")
+    return cov.objects_used_by(fx.access_history(spark, base), "LAKE.S0.T5", fx.as_of())
 
 
 @query(

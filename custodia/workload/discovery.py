@@ -9,6 +9,7 @@ from custodia.operators import classify as cl
 from custodia.operators.governance import Governance
 from custodia.operators.tags import TAG_NAME, apply_tags, inherit, list_column_tags, lookup_tag
 from custodia.sources import fixtures as fx
+from custodia.sources.tables import read_table
 from custodia.workload import duck
 from custodia.workload.registry import query
 
@@ -18,7 +19,7 @@ _SEVERITY = "CASE {0} WHEN 'PII' THEN 1 WHEN 'RESTRICTED' THEN 2 WHEN 'SENSITIVE
 
 def _ratio(column: str, category: str, detectors) -> str:
     tests = [
-        f"regexp_matches({column}, '{d.content}')" for d in detectors if d.category == category and d.content
+        f"regexp_matches({column}::VARCHAR, '{d.content}')" for d in detectors if d.category == category and d.content
     ]
     return f"count(CASE WHEN {' OR '.join(tests) or 'TRUE'} THEN 1 END)::DOUBLE / count({column})"
 
@@ -35,6 +36,7 @@ _EXPECTED = (
     ("email", "EMAIL", "IDENTIFIER"),
     ("ssn", "US_SOCIAL_SECURITY_NUMBER", "IDENTIFIER"),
     ("birthdate", "DATE_OF_BIRTH", "QUASI_IDENTIFIER"),
+    ("birth_date", "DATE_OF_BIRTH", "QUASI_IDENTIFIER"),
     ("job", "JOB_TITLE", "SENSITIVE"),
     ("card", "CREDIT_CARD_NUMBER", "IDENTIFIER"),
     ("company", "COMPANY", "SENSITIVE"),
@@ -59,13 +61,33 @@ _WITHOUT_CARD = [e for e in _EXPECTED if e[0] != "card"]
 @query(duck.with_tables("people", sql=_classified_sql(cl.BUILT_IN, _WITHOUT_CARD)))
 def classify_columns(spark: SparkSession, base: str) -> DataFrame:
     """The built-in detectors; they do not know the card formats used here."""
-    return cl.classify(fx.people(spark, base, row_work=True))
+    return cl.classify(fx.people(spark, base))
 
 
 @query(duck.with_tables("people", sql=_classified_sql(cl.BUILT_IN + cl.CARD_CLASSIFIER, _EXPECTED)))
 def custom_classifier(spark: SparkSession, base: str) -> DataFrame:
     """With the custom card patterns the card column is found as well."""
-    return cl.classify(fx.people(spark, base, row_work=True), cl.BUILT_IN + cl.CARD_CLASSIFIER)
+    return cl.classify(fx.people(spark, base), cl.BUILT_IN + cl.CARD_CLASSIFIER)
+
+
+@query(
+    """SELECT 'account_no' AS column_name, 'US_BANK_ACCOUNT_NUMBER' AS semantic_category, 'IDENTIFIER' AS privacy_category,
+      'HIGH' AS confidence, 1.0::DOUBLE AS match_ratio FROM customer HAVING count(*) > 0
+    UNION ALL SELECT 'dob', 'DATE_OF_BIRTH', 'QUASI_IDENTIFIER', 'HIGH', 1.0::DOUBLE FROM customer HAVING count(*) > 0
+    UNION ALL SELECT 'pay_card', 'CREDIT_CARD_NUMBER', 'IDENTIFIER', 'HIGH', 1.0::DOUBLE FROM customer HAVING count(*) > 0"""
+)
+def classify_typed_columns(spark: SparkSession, base: str) -> DataFrame:
+    """Account numbers, cards and birth dates stored as numbers and dates; plain numbers and prices are left alone."""
+    typed = read_table(spark, base, "customer").selectExpr(
+        "c_custkey",
+        "100000000000 + c_custkey AS account_no",
+        "date_add(DATE '1960-01-01', CAST(c_custkey % 15000 AS INT)) AS dob",
+        "CAST(4000123400000000 + c_custkey AS DECIMAL(20, 0)) AS pay_card",
+        "CAST(c_custkey % 7 AS INT) AS visits",
+        "c_acctbal",
+        "date_add(DATE '2020-01-01', CAST(c_custkey % 900 AS INT)) AS last_visit",
+    )
+    return cl.classify(typed)
 
 
 @query(
@@ -76,7 +98,7 @@ def custom_classifier(spark: SparkSession, base: str) -> DataFrame:
     )
 )
 def classification_levels(spark: SparkSession, base: str) -> DataFrame:
-    levels = cl.with_levels(cl.classify(fx.people(spark, base, row_work=True), cl.BUILT_IN + cl.CARD_CLASSIFIER))
+    levels = cl.with_levels(cl.classify(fx.people(spark, base), cl.BUILT_IN + cl.CARD_CLASSIFIER))
     return cl.by_severity(levels).select("column_name", "semantic_category", "classification_level")
 
 
@@ -89,7 +111,7 @@ def classification_levels(spark: SparkSession, base: str) -> DataFrame:
 )
 def classification_flatten(spark: SparkSession, base: str) -> DataFrame:
     """The result as one object per table and back to rows."""
-    found = cl.classify(fx.people(spark, base, row_work=True), cl.BUILT_IN + cl.CARD_CLASSIFIER)
+    found = cl.classify(fx.people(spark, base), cl.BUILT_IN + cl.CARD_CLASSIFIER)
     return cl.flatten_result(cl.as_result_map(found)).orderBy("column_name")
 
 

@@ -83,7 +83,7 @@ def topic(text: str) -> str:
 
 def _feedback(key: str) -> str:
     parts = {
-        "{L}": pick(("Keller", "Moreau", "Santos", "Novak", "Hansen", "Rossi", "Weber"), f"{key} % 7"),
+        "{L}": pick(fx.SURNAMES, f"{key} % {len(fx.SURNAMES)}"),
         "{E}": f"('user.' || {key} || '@mail' || ({key} % 10) || '.example.com')",
         "{P}": f"('555-' || lpad(({key} % 1000)::VARCHAR, 3, '0') || '-' || lpad(({key} % 10000)::VARCHAR, 4, '0'))",
         "{S}": f"('9' || lpad(({key} % 100)::VARCHAR, 2, '0') || '-12-' || lpad(({key} % 10000)::VARCHAR, 4, '0'))",
@@ -96,8 +96,8 @@ def _feedback(key: str) -> str:
         pieces = [
             parts[p] if p in parts else f"'{p}'" for p in re.split(r"(\{[A-Z]\})", template) if p
         ]
-        cases.append(f"WHEN {i} THEN {' || '.join(pieces)}")
-    return f"CASE {key} % 10 {' '.join(cases)} END"
+        cases.append(f"WHEN {i} THEN {' || '.join(pieces or [chr(39) * 2])}")
+    return f"CASE {key} % {len(fx.FEEDBACK)} {' '.join(cases)} END"
 
 
 _ssn = "lpad(k::VARCHAR, 9, '0')"
@@ -109,11 +109,11 @@ def _leads(source: str) -> str:
     SELECT i AS lead_id, 'Lead ' || i AS lead_name,
       CASE WHEN i % 26 = 0 THEN NULL WHEN i % 41 = 0 THEN '{gen.DUPLICATE_EMAIL}' ELSE 'contact' || i || '@example.com' END AS email,
       CASE WHEN i % 29 = 0 THEN '' ELSE '555-' || lpad((i * 7 % 10000)::VARCHAR, 4, '0') END AS phone,
-      {pick(gen.COMPANIES, 'i % 8')} AS company,
+      {pick(gen.COMPANIES, f'i % {len(gen.COMPANIES)}')} AS company,
       CASE WHEN i % 141 = 0 THEN 'tbd' WHEN i % 141 = 47 THEN 'n/a' WHEN i % 141 = 94 THEN 'ask later'
            ELSE {pick(gen.STATUSES, 'i % 5')} END AS status,
       CASE WHEN i % 158 = 0 THEN -5000.0::DOUBLE WHEN i % 79 = 0 THEN 2500000.0::DOUBLE ELSE {_lead_amount} END AS deal_amount,
-      {pick(gen.LEAD_SOURCES, 'i % 5')} AS lead_source,
+      {pick(gen.LEAD_SOURCES, f'i % {len(gen.LEAD_SOURCES)}')} AS lead_source,
       {AS_OF} - to_minutes(i % 1000000 * 15) AS created_at
     FROM ({source})"""
 
@@ -129,7 +129,7 @@ CTES = {
       TIMESTAMP '2020-01-01' + to_minutes(k % 1000000) AS created_at,
       {pick(fx.JOBS, 'k % 7')} AS job,
       CASE WHEN k % 2 = 0 THEN '34' || lpad(k::VARCHAR, 13, '0') ELSE '51' || lpad(k::VARCHAR, 14, '0') END AS card,
-      {pick(gen.COMPANIES, 'k % 8')} AS company,
+      {pick(gen.COMPANIES, f'k % {len(gen.COMPANIES)}')} AS company,
       CASE WHEN k % 10 = 9 THEN NULL WHEN k % 3 = 0 THEN 'N' ELSE 'Y' END AS optin,
       c_acctbal, c_mktsegment
     FROM (SELECT *, c_custkey AS k FROM customer) JOIN nation ON c_nationkey = n_nationkey""",

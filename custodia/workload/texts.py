@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from custodia.functions import text as tx
 from custodia.sources import fixtures as fx
-from custodia.sources.tables import read_for_row_work
+from custodia.sources.snapshots import write_snapshot
+from custodia.sources.tables import read_table
 from custodia.workload import duck
 from custodia.workload.registry import query
 
@@ -15,14 +16,14 @@ from custodia.workload.registry import query
 @query(f"SELECT doc_id, {duck.redact('text')} AS redacted FROM documents")
 def redact_full(spark: SparkSession, base: str) -> DataFrame:
     """Whole documents, all entity types."""
-    return read_for_row_work(spark, base, "documents", "doc_id").select("doc_id", tx.redact(F.col("text")).alias("redacted"))
+    return read_table(spark, base, "documents").select("doc_id", tx.redact(F.col("text")).alias("redacted"))
 
 
 @query(
     f"SELECT conv_id, turn, role, {duck.redact('text')} AS redacted FROM conversations"
 )
 def redact_conversations(spark: SparkSession, base: str) -> DataFrame:
-    return read_for_row_work(spark, base, "conversations", "conv_id").select(
+    return read_table(spark, base, "conversations").select(
         "conv_id", "turn", "role", tx.redact(F.col("text")).alias("redacted")
     )
 
@@ -52,8 +53,8 @@ def redact_partial(spark: SparkSession, base: str) -> DataFrame:
     )
 )
 def redaction_table(spark: SparkSession, base: str) -> DataFrame:
-    """Original and redacted text with provenance, for all orders."""
-    return fx.feedback(spark, base).select(
+    """Original and redacted text with provenance, for all orders: stored, and read again."""
+    redacted = fx.feedback(spark, base).select(
         "o_orderkey",
         "o_custkey",
         "o_orderdate",
@@ -62,6 +63,7 @@ def redaction_table(spark: SparkSession, base: str) -> DataFrame:
         fx.as_of().alias("redacted_at"),
         F.lit("governor").alias("redacted_by"),
     )
+    return write_snapshot(redacted, "redaction-table")
 
 
 _INVENTORY = ", ".join(f"{duck.entity_count('text', e)} AS {e}" for e in tx.LABELS)
@@ -74,7 +76,7 @@ _INVENTORY = ", ".join(f"{duck.entity_count('text', e)} AS {e}" for e in tx.LABE
 )
 def pii_inventory(spark: SparkSession, base: str) -> DataFrame:
     """Occurrences per entity type and source; each task sums before the shuffle."""
-    counted = read_for_row_work(spark, base, "documents", "doc_id").select("source", *tx.entity_counts(F.col("text")))
+    counted = read_table(spark, base, "documents").select("source", *tx.entity_counts(F.col("text")))
     sums = []
     for label in tx.LABELS:
         sums += [F.sum(label).alias(label), F.count_if(F.col(label) > 0).alias(f"{label}_documents")]
@@ -105,7 +107,7 @@ def sentiment_rows(spark: SparkSession, base: str) -> DataFrame:
 
 @query(f"SELECT doc_id, {duck.sentiment('text')} AS sentiment_score FROM documents")
 def sentiment_documents(spark: SparkSession, base: str) -> DataFrame:
-    return read_for_row_work(spark, base, "documents", "doc_id").select("doc_id", tx.sentiment(F.col("text")).alias("sentiment_score"))
+    return read_table(spark, base, "documents").select("doc_id", tx.sentiment(F.col("text")).alias("sentiment_score"))
 
 
 @query(duck.with_tables("feedback", sql=f"SELECT o_orderkey, {duck.topic('feedback')} AS topic FROM feedback"))
@@ -118,11 +120,14 @@ def topic_rules(spark: SparkSession, base: str) -> DataFrame:
         "feedback",
         sql=f"""SELECT topic, feedback_count, avg_sentiment, {duck.label('avg_sentiment', 0.3)} AS sentiment_label FROM (
       SELECT topic, count(*) AS feedback_count, round(avg(score), 4) AS avg_sentiment FROM (
-        SELECT {duck.topic('feedback')} AS topic, {duck.sentiment('feedback')} AS score FROM feedback) GROUP BY topic)""",
+        SELECT {duck.topic('feedback')} AS topic, {duck.sentiment('feedback')} AS score FROM feedback
+        WHERE trim(feedback) <> '') GROUP BY topic)""",
     )
 )
 def topic_report(spark: SparkSession, base: str) -> DataFrame:
-    redacted = fx.feedback(spark, base).select(tx.redact(F.col("feedback")).alias("t"))
+    """Notes without content are left out."""
+    written = fx.feedback(spark, base).filter(F.trim("feedback") != "")
+    redacted = written.select(tx.redact(F.col("feedback")).alias("t"))
     report = (
         redacted.select(tx.topic(F.col("t")).alias("topic"), tx.sentiment(F.col("t")).alias("score"))
         .groupBy("topic")

@@ -92,7 +92,9 @@ def test_lineage_of_tagged_columns(spark, log):
 
 
 def test_used_by_view(log):
-    assert _pairs(coverage.objects_used_by(log, "v"), "object_name", "number_of_queries") == {("a", 1)}
+    used = coverage.objects_used_by(log, "v", as_of(), None)
+    assert _pairs(used, "object_name", "number_of_queries") == {("a", 1)}
+    assert coverage.objects_used_by(log, "v", as_of(), 1).count() == 0
 
 
 def test_role_effectiveness(spark):

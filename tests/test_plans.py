@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from custodia.operators.governance import DATA_USER, GOVERNOR, Governance
 from custodia.operators.insights import first_per_group, fixed_sample
-from custodia.operators.privacy import PrivateTable
+from custodia.operators.privacy import PrivateTable, SessionBudget
 from custodia.sources.tables import read_table
 from custodia.workload import QUERIES
 from custodia.workload.privacy import ORDER_POLICY
@@ -62,6 +62,19 @@ def test_time_window_reaches_the_scan(spark, base):
     assert "GreaterThanOrEqual(ts,2023-12-02" in plan(QUERIES["audit_read_write"](spark, base))
 
 
+@pytest.mark.parametrize("name", ["sensitive_access", "after_hours_access", "top_sensitive_users_logged"])
+def test_time_window_reaches_both_logs(spark, base, name):
+    text = plan(QUERIES[name](spark, base))
+    scans = [part for part in text.split("\n\n") if "Scan parquet" in part and "events.parquet" in part]
+    assert len(scans) == 2 and all("GreaterThanOrEqual(ts,20" in s for s in scans)
+
+
+@pytest.mark.parametrize("name", sorted(n for n in QUERIES if not n.startswith("stream_")))
+def test_no_exchange_of_fixed_size(spark, base, name):
+    """Nothing that AQE may neither coalesce nor split."""
+    assert "REPARTITION_BY_NUM" not in plan(QUERIES[name](spark, base), "simple")
+
+
 def test_orders_are_summed_per_customer_before_joins(spark, base, no_broadcast):
     for name in ("semantic_governed", "kanon_join_aggregate", "customer_order_summary"):
         text = plan(QUERIES[name](spark, base), "simple")
@@ -87,11 +100,12 @@ def test_entities_are_reduced_before_the_shuffle(spark, base):
 
 
 def test_published_noise_carries_neither_secret_nor_data(spark, base):
-    table = PrivateTable(read_table(spark, base, "orders"), ORDER_POLICY, DATA_USER, secret="very-secret")
+    budget = SessionBudget(ORDER_POLICY)
+    table = PrivateTable(read_table(spark, base, "orders"), ORDER_POLICY, DATA_USER, secret="very-secret", ledger=budget)
     text = plan(table.count("q", "o_orderpriority"), "extended")
     assert "very-secret" not in text and "parquet" not in text.lower()
     assert "very-secret" not in repr(table)
 
 
-def test_quality_reads_the_table_once_plus_once_per_duplicate_metric(spark, base):
-    assert plan(QUERIES["dq_orders"](spark, base), "simple").count("FileScan") == 2
+def test_quality_reads_the_table_once_for_the_first_duplicate_metric(spark, base):
+    assert plan(QUERIES["dq_orders"](spark, base), "simple").count("FileScan") == 1

@@ -5,7 +5,7 @@ from pyspark.sql import types as T
 from custodia.operators.insights import first_per_group, fixed_sample
 from custodia.session import CHECKPOINT_CONF, fresh_path, shared_dir
 from custodia.sources import snapshots
-from custodia.sources.tables import literal_rows, read_csv, read_for_row_work
+from custodia.sources.tables import literal_rows, read_csv
 
 SCHEMA = T.StructType([T.StructField("id", T.DoubleType()), T.StructField("name", T.StringType()), T.StructField("day", T.DateType())])
 
@@ -65,19 +65,6 @@ def test_shared_dir_comes_from_the_session(spark):
     assert fresh_path(spark, "x") != fresh_path(spark, "x")
 
 
-def test_spread_only_when_slots_would_idle(spark, base, tmp_path):
-    slots = spark.sparkContext.defaultParallelism
-    assert read_for_row_work(spark, base, "documents", "doc_id").rdd.getNumPartitions() == slots
-    big = tmp_path / "big.parquet"
-    spark.range(1000).repartition(4 * slots).write.parquet(str(big))
-    spark.conf.set("spark.sql.files.openCostInBytes", str(128 * 1024 * 1024))  # one split per file
-    try:
-        plan = read_for_row_work(spark, str(tmp_path), "big", "id")._jdf.queryExecution().toString()
-    finally:
-        spark.conf.unset("spark.sql.files.openCostInBytes")
-    assert "Repartition" not in plan
-
-
 def test_first_per_group_and_sample(spark):
     df = spark.range(1000).selectExpr("id", "CASE WHEN id % 3 = 0 THEN 0 ELSE id % 7 END AS g")
     got = {r["g"]: r["id"] for r in first_per_group(df, ["g"], ["id"]).collect()}
