@@ -12,6 +12,7 @@ from custodia.llm.jaccard_join import jaccard_components
 from custodia.llm.licenses import scan_licenses
 from custodia.llm.line_rules import judge_lines
 from custodia.llm.mixing import poisson_mix
+from custodia.llm.oracles import jaccard_sql, lines_sql, mixing_sql, url_sql
 from custodia.llm.packing import pack_documents
 from custodia.llm.quality_ranker import rank_quality
 from custodia.llm.secrets import scan_secrets
@@ -95,4 +96,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_token_counts,
     )
 }
-ORACLES: dict[str, str] = {}
+#: SQL for DuckDB. The others need token ids, trained scores, 64-bit sketches or positions of regular expressions.
+ORACLES: dict[str, str] = {
+    "op4_signature_trees": jaccard_sql(),
+    "op5_url_range_join": url_sql(URL_RULES),
+    "op7_line_frequency": lines_sql(),
+    "op9_poisson_mixing": mixing_sql(),
+}
