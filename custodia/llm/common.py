@@ -6,6 +6,7 @@ Words are the runs of ``[^\\x20\\x09-\\x0D]+``. On UTF-8 bytes that is exactly `
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import zipfile
 from collections.abc import Callable
@@ -91,6 +92,45 @@ def mixed(values: np.ndarray) -> np.ndarray:
     return values ^ (values >> np.uint64(33))
 
 
+_STRETCH = 1 << 20
+
+
+@functools.cache
+def _tables() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Value of every byte (the same for A-Z and a-z, zero for white space), powers of an odd number, their inverses."""
+    values = mixed(np.arange(1, 257, dtype=np.uint64))
+    values[65:91] = values[97:123]
+    values[[*range(9, 14), 32]] = 0
+    inverse = np.uint64(pow(int(_STEP), -1, 2**64))
+    powers, inverses = (np.cumprod(np.full(_STRETCH, x)) for x in (_STEP, inverse))
+    return values, powers, inverses
+
+
+def word_hashes(raw: bytes) -> np.ndarray:
+    """64-bit hash of every word of a UTF-8 text, A-Z lowered, without making the words.
+
+    The sum of a word's byte values times consecutive powers, taken over the text and brought back to the word's
+    start by the inverse power, then finalised.
+    """
+    values, powers, inverses = _tables()
+    if len(raw) > _STRETCH:
+        cut = max(raw.rfind(c, 0, _STRETCH) for c in (b" ", b"\n", b"\t", b"\r", b"\x0b", b"\x0c"))
+        if cut > 0:
+            return np.concatenate([word_hashes(raw[:cut]), word_hashes(raw[cut:])])
+        powers, inverses = (np.cumprod(np.full(len(raw), x[0])) for x in (powers, inverses))  # one endless word
+    if not raw:
+        return np.zeros(0, np.uint64)
+    terms = values[np.frombuffer(raw, np.uint8)]
+    inside = terms != 0
+    starts = np.flatnonzero(inside[1:] > inside[:-1]) + 1
+    if inside[0]:
+        starts = np.concatenate([[0], starts])
+    if not len(starts):
+        return np.zeros(0, np.uint64)
+    terms *= powers[: len(raw)]
+    return mixed(np.add.reduceat(terms, starts) * inverses[starts])
+
+
 def windows(hashes: np.ndarray, width: int) -> np.ndarray:
     """Hash of every run of ``width`` words; of the whole sequence if it is shorter; none if empty."""
     n = len(hashes)

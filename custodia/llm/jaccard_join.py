@@ -5,8 +5,10 @@ A document's set is its distinct 5-word shingles (64-bit hashes). Two documents
 
 1. Documents with equal sets are one class; only classes are compared.
 2. Prefix filter: linked classes share one of their first ``n - ceil(t n) + 1`` shingles under any common order.
-   The order puts the (at most ``frequent``) most frequent shingles last, most frequent at the very end, so
-   passages that many documents share bring few classes together. It never changes the result.
+   The order puts the shingles whose hash lies in the lowest ``region`` of the range first, rarest first, then the
+   rest by hash. The region holds a little more than a prefix needs, so only its shingles are counted over the
+   corpus, and a prefix is filled with shingles of no other class before any that passages bring into many
+   documents. Every set of shingles and every ``region`` give the same result.
 3. Candidates: classes that share a prefix shingle with few holders are paired and kept if the number of shared
    prefix shingles allows a link; holders of a wider shingle are tied to its first holder. Connected candidates
    form groups, and linked classes are always in one group.
@@ -32,10 +34,10 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from custodia.llm.common import WordHashes, in_python, stored, windows
+from custodia.llm.common import in_python, stored, windows, word_hashes
 from custodia.llm.components import components
 
 SHINGLE = 5
@@ -45,12 +47,12 @@ _LEAF = 32
 _FAN = 8
 _BITS = 1024
 _ROWS_OUT = 400_000
-_TOP = np.uint64(1 << 63)
 
 
-def shingle_set(text: str, hashes: WordHashes) -> np.ndarray:
+def shingle_set(text: str) -> np.ndarray:
     """Sorted distinct shingle hashes of the words, A-Z lowered."""
-    return np.unique(windows(hashes.of(text.encode().lower().split()), SHINGLE))
+    found = np.sort(windows(word_hashes(text.encode()), SHINGLE))
+    return found[np.concatenate([[True], found[1:] != found[:-1]])] if len(found) else found
 
 
 def class_key(shingles: np.ndarray) -> int:
@@ -66,103 +68,65 @@ def _texts(documents: DataFrame) -> DataFrame:
     )
 
 
-def frequent_shingles(documents: DataFrame, limit: int) -> np.ndarray:
-    """At most ``limit`` shingles found in many documents, the rarest first: only an order depends on them."""
+def _bound(region: float) -> int:
+    """The first hash behind the region, as an unsigned number of at most 63 bits."""
+    return min(int(region * 2.0**64), 2**63 - 1)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
-        seen: list[np.ndarray] = []
-        held = 0
 
-        def counted() -> pa.RecordBatch:
-            values, counts = np.unique(np.concatenate(seen), return_counts=True)
-            kept = counts >= 4
-            return pa.RecordBatch.from_arrays(
-                [pa.array(values[kept].view(np.int64)), pa.array(counts[kept].astype(np.int64))], ["shingle", "n"]
-            )
+def prefix_size(n: int, similarity: int) -> int:
+    return n + (-similarity * n) // 100 + 1
 
-        for batch in batches:
-            column = batch.column(0)
-            for i in range(len(column)):
-                seen.append(shingle_set(column[i].as_py(), hashes))
-                held += len(seen[-1])
-                if held >= 4_000_000:
-                    yield counted()
-                    seen.clear()
-                    held = 0
-        if seen:
-            yield counted()
 
-    counts = in_python(_texts(documents).select("text"), run, "shingle long, n long")
-    top = counts.groupBy("shingle").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "shingle").limit(limit).toPandas()
-    return top["shingle"].to_numpy(np.int64)[::-1].view(np.uint64).copy()
-
-
-def _keys(shingles: np.ndarray, frequent: np.ndarray, rank: np.ndarray) -> np.ndarray:
-    """Sort keys of the common order, which stand for the shingles: frequent ones behind all others."""
-    keys = shingles >> np.uint64(1)
-    if len(frequent):
-        at = np.minimum(np.searchsorted(frequent, shingles), len(frequent) - 1)
-        known = frequent[at] == shingles
-        keys[known] = _TOP | rank[at[known]]
-    return np.sort(keys)
-
-
-def members(documents: DataFrame) -> DataFrame:
-    """(doc_id, text_key, class, n): the class and size of every document's set."""
+def members(documents: DataFrame, region: float) -> DataFrame:
+    """(doc_id, text_key, class, n, low): a document's class, its set's size, and how much of it lies in the region."""
+    bound = np.uint64(_bound(region))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
         for batch in batches:
             column = batch.column(2)
-            sets = [shingle_set(column[i].as_py(), hashes) for i in range(len(column))]
+            sets = [shingle_set(column[i].as_py()) for i in range(len(column))]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
                     batch.column(1),
                     pa.array([class_key(s) for s in sets], pa.int64()),
                     pa.array([len(s) for s in sets], pa.int64()),
+                    pa.array([int(np.searchsorted(s, bound)) for s in sets], pa.int64()),
                 ],
-                ["doc_id", "text_key", "class", "n"],
+                ["doc_id", "text_key", "class", "n", "low"],
             )
 
     texts = _texts(documents).select("doc_id", F.xxhash64("text").alias("text_key"), "text")
-    return in_python(texts, run, "doc_id long, text_key long, class long, n long")
+    return in_python(texts, run, "doc_id long, text_key long, class long, n long, low long")
 
 
-def prefixes(documents: DataFrame, frequent: np.ndarray, similarity: int) -> DataFrame:
-    """(shingle, class, n) for every prefix shingle, once per class and task for classes seen lately."""
-    order = np.argsort(frequent)
-    ordered, rank = frequent[order], order.astype(np.uint64)
+def low_shingles(documents: DataFrame, similarity: int, region: float) -> DataFrame:
+    """(shingle, class): all shingles of the region, and as many more by hash as a prefix needs.
+
+    Once per class and task, for the classes that the task has seen lately.
+    """
+    bound = np.uint64(_bound(region))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
         seen: set[int] = set()
         keys: list[np.ndarray] = []
         classes: list[int] = []
-        sizes: list[int] = []
         held = 0
 
         def flushed() -> pa.RecordBatch:
-            counts = [len(k) for k in keys]
+            owner = np.repeat(np.array(classes, np.int64), [len(k) for k in keys])
             batch = pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.concatenate(keys).view(np.int64)),
-                    pa.array(np.repeat(np.array(classes, np.int64), counts)),
-                    pa.array(np.repeat(np.array(sizes, np.int64), counts)),
-                ],
-                ["shingle", "class", "n"],
+                [pa.array(np.concatenate(keys).view(np.int64)), pa.array(owner)], ["shingle", "class"]
             )
-            for part in (keys, classes, sizes):
-                part.clear()
+            keys.clear()
+            classes.clear()
             return batch
 
         for batch in batches:
             column = batch.column(0)
             for i in range(len(column)):
-                shingles = shingle_set(column[i].as_py(), hashes)
-                n = len(shingles)
-                if not n:
+                shingles = shingle_set(column[i].as_py())
+                if not len(shingles):
                     continue
                 key = class_key(shingles)
                 if key in seen:
@@ -170,9 +134,9 @@ def prefixes(documents: DataFrame, frequent: np.ndarray, similarity: int) -> Dat
                 if len(seen) >= 1_000_000:
                     seen.clear()
                 seen.add(key)
-                keys.append(_keys(shingles, ordered, rank)[: n + (-similarity * n) // 100 + 1])
+                low = int(np.searchsorted(shingles, bound))
+                keys.append(shingles[: max(low, prefix_size(len(shingles), similarity))])
                 classes.append(key)
-                sizes.append(n)
                 held += len(keys[-1])
                 if held >= _ROWS_OUT:
                     yield flushed()
@@ -180,15 +144,40 @@ def prefixes(documents: DataFrame, frequent: np.ndarray, similarity: int) -> Dat
         if keys:
             yield flushed()
 
-    return in_python(_texts(documents).select("text"), run, "shingle long, class long, n long")
+    return in_python(_texts(documents).select("text"), run, "shingle long, class long")
+
+
+def prefixes(documents: DataFrame, sizes: DataFrame, similarity: int, region: float) -> DataFrame:
+    """(shingle, class, n) for the prefix shingles that more than one row holds; ``sizes`` is (class, n, low)."""
+    rows = low_shingles(documents, similarity, region)
+    # a class that several tasks have met counts as several holders, which only lengthens its prefix
+    spread = rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("holders")).where("holders > 1")
+    shared = rows.join(spread, "shingle").distinct()
+    inside = f"shingle >= 0 AND shingle < {_bound(region)}L"
+    own = Window.partitionBy("class")
+    ranked = shared.withColumns(
+        {
+            "in_region": F.expr(inside),
+            "place": F.row_number().over(own.orderBy(F.expr(f"NOT ({inside})"), "holders", "shingle")),
+            "shared_low": F.count_if(F.expr(inside)).over(own),
+        }
+    )
+    # a prefix begins with the region's shingles of this class alone, of which there are low - shared_low
+    left = f"n - cast(ceil({similarity} * n / 100.0) AS bigint) + 1 - (low - shared_low)"
+    return (
+        ranked.join(sizes, "class")
+        .where(f"(in_region AND place <= {left}) OR (NOT in_region)")
+        .select("shingle", "class", "n")
+    )
 
 
 def candidates(rows: DataFrame, similarity: int) -> DataFrame:
     """(a, b) pairs of classes whose connected components hold all linked classes; ``rows`` as of ``prefixes``."""
+    rows = stored(rows, "prefixes")
     holders = rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("holders"), F.min("class").alias("first"))
-    shared = stored(rows.join(holders.where("holders > 1"), "shingle").where("n > 0"), "prefix-blocks")
+    shared = stored(rows.join(holders.where("holders > 1"), "shingle"), "prefix-blocks")
     wide = shared.where(f"holders > {NARROW}")
-    tied = wide.where("class <> first").select(F.col("class").alias("a"), F.col("first").alias("b"))
+    tied = wide.where("class <> first").select(F.col("class").alias("a"), F.col("first").alias("b")).distinct()
     # shared prefix shingles + what stands behind the prefixes must reach the overlap that a link needs
     many = wide.groupBy("class").agg(F.count(F.lit(1)).alias("wide"))
     narrow = shared.where(f"holders <= {NARROW}").select("shingle", "class", "n")
@@ -268,8 +257,8 @@ def tree(of: Signatures, items: np.ndarray) -> Node:
     return level[0]
 
 
-def traverse(of: Signatures, left: Node, right: Node) -> Iterator[tuple[int, int]]:
-    """Links that connect what was not connected before, over all pairs of a set left and a set right."""
+def traverse(of: Signatures, left: Node, right: Node) -> None:
+    """Connect what links, over all pairs of a set left and a set right."""
     stack = [(left, right)]
     while stack:
         x, y = stack.pop()
@@ -289,10 +278,10 @@ def traverse(of: Signatures, left: Node, right: Node) -> Iterator[tuple[int, int
             wider = x.children and (not y.children or len(x.items) >= len(y.items))
             stack.extend([(c, y) for c in x.children] if wider else [(x, c) for c in y.children])
         else:
-            yield from _leaves(of, x.items, y.items, x is y)
+            _leaves(of, x.items, y.items, x is y)
 
 
-def _leaves(of: Signatures, a: np.ndarray, b: np.ndarray, same: bool) -> Iterator[tuple[int, int]]:
+def _leaves(of: Signatures, a: np.ndarray, b: np.ndarray, same: bool) -> None:
     na, nb = of.sizes[a][:, None], of.sizes[b][None, :]
     common = np.bitwise_count(of.bitmaps[a][:, None, :] & of.bitmaps[b][None, :, :]).sum(axis=2, dtype=np.int64)
     possible = common + np.minimum(of.excess[a][:, None], of.excess[b][None, :]) >= of.needed(na, nb)
@@ -304,53 +293,59 @@ def _leaves(of: Signatures, a: np.ndarray, b: np.ndarray, same: bool) -> Iterato
         i, j = int(a[p]), int(b[q])
         if of.labels[i] != of.labels[j] and of.linked(i, j):
             of.connect(i, j)
-            yield i, j
 
 
-def tree_links(group: pd.DataFrame, similarity: int) -> pd.DataFrame:
-    """Connecting links of one group (class, side, packed): side 0 and 1 against each other, or 2 with itself."""
+def tree_links(meeting: pd.DataFrame, similarity: int) -> pd.DataFrame:
+    """Connected classes of each group of a meeting (group, class, side, packed)."""
+    return pd.concat([_group_links(g, similarity) for _, g in meeting.groupby("group")], ignore_index=True)
+
+
+def _group_links(group: pd.DataFrame, similarity: int) -> pd.DataFrame:
+    """Connected classes of one group, each with the first of them: side 0 and 1 against each other, or 2 with itself."""
     group = group.drop_duplicates("class").sort_values("class", ignore_index=True)
-    hashes = WordHashes()
-    sets = [shingle_set(zlib.decompress(p).decode(), hashes) for p in group["packed"]]
+    sets = [shingle_set(zlib.decompress(p).decode()) for p in group["packed"]]
     of = Signatures(sets, similarity)
     side = group["side"].to_numpy()
     if (side == 2).all():
         root = tree(of, np.arange(len(sets)))
-        found = list(traverse(of, root, root))
+        traverse(of, root, root)
     elif (side == 0).any() and (side == 1).any():
-        found = list(traverse(of, tree(of, np.flatnonzero(side == 0)), tree(of, np.flatnonzero(side == 1))))
-    else:
-        found = []
+        traverse(of, tree(of, np.flatnonzero(side == 0)), tree(of, np.flatnonzero(side == 1)))
     keys = group["class"].to_numpy()
-    return pd.DataFrame({"a": [keys[i] for i, _ in found], "b": [keys[j] for _, j in found]}, dtype="int64")
+    first = keys[of.labels]  # as stars, which are joined up in fewer rounds than the links themselves
+    return pd.DataFrame({"a": keys[keys != first], "b": first[keys != first]}, dtype="int64")
 
 
 def packed_texts(documents: DataFrame) -> DataFrame:
-    """(doc_id, class, packed): compressed texts under the key of their set."""
+    """(text_key, packed): compressed texts under their hash, once per task for those it has seen lately."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
+        seen: set[int] = set()
         for batch in batches:
             column = batch.column(1)
             keys, packed = [], []
-            for i in range(len(column)):
-                text = column[i].as_py()
-                keys.append(class_key(shingle_set(text, hashes)))
-                packed.append(zlib.compress(text.encode(), 1))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(keys, pa.int64()), pa.array(packed, pa.binary())], ["doc_id", "class", "packed"]
-            )
+            for i, key in enumerate(batch.column(0).to_pylist()):
+                if key in seen:
+                    continue
+                if len(seen) >= 1_000_000:
+                    seen.clear()
+                seen.add(key)
+                keys.append(key)
+                packed.append(zlib.compress(column[i].as_py().encode(), 1))
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(packed, pa.binary())], ["text_key", "packed"])
 
-    return in_python(_texts(documents), run, "doc_id long, class long, packed binary")
+    texts = _texts(documents).select(F.xxhash64("text").alias("text_key"), "text")
+    return in_python(texts, run, "text_key long, packed binary")
 
 
-def class_links(documents: DataFrame, own: DataFrame, similarity: int, frequent: int, group_shingles: int) -> DataFrame:
-    """(a, b): enough links between classes to connect all that are connected."""
-    rows = prefixes(documents, frequent_shingles(documents, frequent), similarity)
+def class_links(documents: DataFrame, own: DataFrame, similarity: int, region: float, group_shingles: int) -> DataFrame:
+    """(a, b): pairs of classes that connect all that is linked; ``own`` is ``members`` without empties."""
+    classes = own.groupBy("class").agg(F.max("n").alias("n"), F.max("low").alias("low"), F.min("text_key").alias("text_key"))
+    rows = prefixes(documents, classes.select("class", "n", "low"), similarity, region)
     groups = components(candidates(rows, similarity))
-    classes = own.groupBy("class").agg(F.min("doc_id").alias("first"), F.max("n").alias("n"))
     grouped = stored(
-        groups.withColumnRenamed("node", "class").withColumnRenamed("label", "group").join(classes, "class")
+        groups.select(F.col("node").alias("class"), F.col("label").alias("group"))
+        .join(classes.drop("low"), "class")
         .withColumn("band", F.expr(f"cast(floor(ln(n) / ln(100.0 / {min(similarity, 99)})) AS int)")),
         "groups",
     )
@@ -362,29 +357,29 @@ def class_links(documents: DataFrame, own: DataFrame, similarity: int, frequent:
         bands.join(sizes.where(f"total > {group_shingles}"), "group")
         .select("group", "band", F.expr(f"cast(ceil(in_band / {group_shingles}) AS int)").alias("parts"))
     )
+    # groups that fit meet in bundles, each group by itself
+    held = sizes.where(f"total <= {group_shingles}").agg(F.sum("total")).first()[0] or 0
+    bundle = F.expr(f"pmod(xxhash64(group), {1 + int(3 * held // group_shingles)})")
     single = grouped.join(whole, "group", "left_semi").select(
-        "group", F.lit("whole").alias("meeting"), "class", "first", F.lit(2).alias("side")
+        "group", F.concat(F.lit("bundle "), bundle).alias("meeting"), "class", "text_key", F.lit(2).alias("side")
     )
     placed = grouped.join(parts, ["group", "band"]).select(
-        "group", "class", "first", "band", F.expr("cast(pmod(xxhash64(class), parts) AS int)").alias("part")
+        "group", "class", "text_key", "band", F.expr("cast(pmod(xxhash64(class), parts) AS int)").alias("part")
     )
     other = parts.select("group", F.col("band").alias("band2"), F.explode(F.expr("sequence(0, parts - 1)")).alias("part2"))
     met = placed.join(other, "group").where("abs(band - band2) <= 1")
     mine, theirs = "format_string('%05d.%07d', band, part)", "format_string('%05d.%07d', band2, part2)"
     split = met.selectExpr(
         "group",
-        f"concat(least({mine}, {theirs}), '+', greatest({mine}, {theirs})) AS meeting",
+        f"concat(group, ' ', least({mine}, {theirs}), '+', greatest({mine}, {theirs})) AS meeting",
         "class",
-        "first",
+        "text_key",
         f"CASE WHEN {mine} = {theirs} THEN 2 WHEN {mine} < {theirs} THEN 0 ELSE 1 END AS side",
     )
-    texts = packed_texts(documents)
-    wanted = single.unionByName(split)
-    filled = wanted.join(
-        texts.select(F.col("doc_id").alias("first_id"), F.col("class").alias("text_class"), "packed"),
-        (F.col("class") == F.col("text_class")) & F.col("first").eqNullSafe(F.col("first_id")),
-    ).select("group", "meeting", "class", "side", "packed")
-    return filled.groupBy("group", "meeting").applyInPandas(lambda g: tree_links(g, similarity), "a long, b long")
+    needed = grouped.select("text_key").distinct()  # one text of each class; copies of it elsewhere are left out below
+    texts = packed_texts(documents).join(needed, "text_key", "left_semi").dropDuplicates(["text_key"])
+    filled = single.unionByName(split).join(texts, "text_key").select("group", "meeting", "class", "side", "packed")
+    return filled.groupBy("meeting").applyInPandas(lambda g: tree_links(g, similarity), "a long, b long")
 
 
 def first_of_each(documents: DataFrame, similarity: int = 75) -> DataFrame:
@@ -401,15 +396,15 @@ def first_of_each(documents: DataFrame, similarity: int = 75) -> DataFrame:
 
 
 def jaccard_components(
-    documents: DataFrame, similarity: int = 75, frequent: int = 65_536, group_shingles: int = 500_000
+    documents: DataFrame, similarity: int = 75, region: float = 0.32, group_shingles: int = 1_000_000
 ) -> DataFrame:
     """doc_id, n_shingles, component_id for every row; ``similarity`` is a percentage.
 
     Also ``text_key``, the hash of the row's text, and ``group_key``, which is the same for the rows of a component and
     null for empty sets.
     """
-    own = stored(members(documents), "members")
-    links = class_links(documents, own.where("n > 0"), similarity, frequent, group_shingles)
+    own = stored(members(documents, region), "members")
+    links = class_links(documents, own.where("n > 0"), similarity, region, group_shingles)
     labels = components(links)
     firsts = own.where("n > 0").groupBy("class").agg(F.min("doc_id").alias("first"))
     lowest = (

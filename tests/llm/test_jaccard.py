@@ -64,7 +64,7 @@ def corpus(seed):
     return [(i * 3, " ".join(w).upper() if i % 5 == 0 else " ".join(w)) for i, w in enumerate(rows)]
 
 
-@pytest.mark.parametrize("more", [{}, {"group_shingles": 900, "frequent": 20}, {"frequent": 0, "similarity": 60}])
+@pytest.mark.parametrize("more", [{}, {"group_shingles": 900, "region": 0.5}, {"region": 0.0, "similarity": 60}])
 def test_against_all_pairs(spark, more):
     check(spark, corpus(len(more)), **more)
 
