@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from custodia.llm.common import stored, table
 from custodia.llm.jaccard_join import first_of_each
-from custodia.llm.line_rules import kept_documents
+from custodia.llm.line_rules import cleaned_documents
 from custodia.llm.mixing import poisson_mix
 from custodia.llm.packing import pack_documents
 from custodia.llm.queries import vocabulary
@@ -21,8 +21,8 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the per-document rules and are not mostly their host's boilerplate."""
-    return kept_documents(docs.select(*COLUMNS))
+    """Documents that pass the per-document rules and are not mostly their host's boilerplate, without the frequent lines."""
+    return cleaned_documents(docs.select(*COLUMNS))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -128,7 +128,7 @@ def frequent_lines(lines: DataFrame, min_documents: int, share: float) -> DataFr
     return counts.join(sizes, "host").where(F.col("holders") > limit).select("host", "line", "holders")
 
 
-def judge_lines(
+def _judged(
     documents: DataFrame,
     min_documents: int = 100,
     share: float = 0.01,
@@ -136,7 +136,7 @@ def judge_lines(
     min_words: int = 20,
     max_repeated: int = 30,
 ) -> DataFrame:
-    """Counts and verdict of every document, with ``removed_words``: its words in frequent lines."""
+    """Counts and verdict of every document, and which of its lines are frequent (null if none is)."""
     base = stored(measured(documents), "line-counts")
     distinct = base.groupBy("host", "text_key").agg(F.first("lines").alias("lines"))
     lines = distinct.select("host", "text_key", F.inline("lines"))
@@ -144,7 +144,7 @@ def judge_lines(
     removed = (
         lines.join(frequent.select("host", "line"), ["host", "line"])
         .groupBy("host", "text_key")
-        .agg(F.sum("words").alias("removed_words"))
+        .agg(F.sum("words").alias("removed_words"), F.collect_list("line").alias("removed_lines"))
     )
     failed = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > max_repeated * F.col("n_words"))
     lost = F.col("removed_words") > F.lit(depleted) * F.col("n_words")
@@ -164,18 +164,40 @@ def judge_lines(
             "removed_words",
             "host",
             "text_key",
+            "removed_lines",
         )
     )
 
 
-def kept_documents(documents: DataFrame, **limits) -> DataFrame:
-    """The documents that pass, with all their columns; ``limits`` as of ``judge_lines``."""
-    rejected = judge_lines(documents, **limits).where(~F.col("kept")).select("host", "text_key").distinct()
-    rejected = rejected.select(F.col("host").alias("rejected_host"), F.col("text_key").alias("rejected_text"))
-    same = (F.coalesce(documents["source"], F.lit("")) == F.col("rejected_host")) & (
-        F.xxhash64(F.coalesce(documents["text"], F.lit(""))) == F.col("rejected_text")
+def judge_lines(documents: DataFrame, **limits) -> DataFrame:
+    """Counts and verdict of every document, with ``removed_words``: its words in frequent lines; ``limits`` as of ``_judged``."""
+    return _judged(documents, **limits).drop("removed_lines")
+
+
+def cleaned_documents(documents: DataFrame, **limits) -> DataFrame:
+    """The documents that pass, without their frequent lines; ``n_chars`` is counted anew where lines went.
+
+    One row per distinct text that fails or loses lines meets the documents; ``limits`` as of ``judge_lines``.
+    """
+    judged = _judged(documents, **limits).where(~F.col("kept") | F.col("removed_lines").isNotNull())
+    touched = judged.groupBy("host", "text_key").agg(
+        F.first("kept").alias("judged_kept"),
+        F.first("removed_lines").alias("judged_lines"),
+    )
+    touched = touched.withColumnsRenamed({"host": "judged_host", "text_key": "judged_text"})
+    same = (F.coalesce(documents["source"], F.lit("")) == touched["judged_host"]) & (
+        F.xxhash64(F.coalesce(documents["text"], F.lit(""))) == touched["judged_text"]
+    )
+    joined = documents.join(touched, same, "left").where(F.coalesce(touched["judged_kept"], F.lit(True)))
+    hit = touched["judged_lines"].isNotNull()
+    left = F.filter(
+        F.split(documents["text"], "\n"), lambda line: ~F.array_contains(touched["judged_lines"], line_key(line))
     )
-    return documents.join(rejected, same, "left_anti")
+    text = F.when(hit, F.array_join(left, "\n")).otherwise(documents["text"])
+    changed = {"text": text}
+    if "n_chars" in documents.columns:
+        changed["n_chars"] = F.when(hit, F.length(text).cast("long")).otherwise(documents["n_chars"])
+    return joined.select(*[changed[c].alias(c) if c in changed else documents[c] for c in documents.columns])
 
 
 def without_frequent_lines(documents: DataFrame, min_documents: int = 100, share: float = 0.01) -> DataFrame:

@@ -7,7 +7,7 @@ import pytest
 import corpus_pipeline
 from tests.llm.helpers import ROWS, clashing, documents
 from tests.llm.test_jaccard import brute
-from tests.llm.test_quality import judged
+from tests.llm.test_quality import judged, normal
 from tests.llm.test_tokens import check_pieces, encoded, library  # noqa: F401
 
 STAGE = dict(corpus_pipeline.STAGES)
@@ -30,6 +30,23 @@ def test_quality_stage(spark, base, table):
     assert sorted(got) == sorted(r for r in rows if r.doc_id in kept)
 
 
+def test_quality_stage_takes_frequent_lines_out(spark, base):
+    footer = "Terms and  PRIVACY of this site"
+    body = lambda i: " ".join(f"w{i}x{k}" for k in range(30))
+    rows = [(i, f"{body(i)}\n{footer if i % 2 else footer.lower()}\n\nlast {i}", "en", "h", 7) for i in range(130)]
+    rows += [(500, f"{body(500)}\n{footer}", "en", "g", 7), (501, f"{footer} {body(501)}", "en", "h", 7)]
+    rows += [(502, f"{footer}\n" * 3 + "few words", "en", "h", 7), (503, rows[3][1], "fr", "h", 7), (504, None, "en", "h", 7)]
+    kept = {j[0] for j in judged([(r[0], r[1], r[3]) for r in rows], 100, 0.01) if j[7]}
+
+    def plain(doc_id, text, lang, source, n_chars):
+        lines = [x for x in text.split("\n") if source != "h" or normal(x) != normal(footer)]
+        return (doc_id, "\n".join(lines), lang, source, n_chars if "\n".join(lines) == text else len("\n".join(lines)))
+
+    got = sorted(tuple(r) for r in STAGE["quality_rules"](spark, documents(spark, rows), base).collect())
+    assert got == sorted(plain(*r) for r in rows if r[0] in kept)
+    assert {500, 501, 503} <= kept and not kept & {502, 504}
+
+
 def test_duplicate_stage(spark, base, table):
     rows = table.collect()
     firsts = {d for d, n, c in brute([(r.doc_id, r.text) for r in rows]) if d == c}
