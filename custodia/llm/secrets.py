@@ -1,7 +1,9 @@
 """Secret scans: three base patterns and a randomness test battery for everything else.
 
-Base spans are the matches of ``BASE``. The method looks at every other long run of key characters, infers its
-encoding (the smallest alphabet that holds it) and tests the symbols:
+Base spans are the matches of ``BASE``. The method looks at every other long run of key characters, which ``=`` ends
+unless it pads the run, infers its encoding (the smallest alphabet that holds it) and tests the symbols. A run that mixes
+``+/`` with ``-_`` fits no alphabet; its longest parts in base64 and in base64url are tested instead, and
+overlapping parts that are secrets make one span:
 
 * chi-squared uniformity over the alphabet, the number of runs above and below the alphabet's middle, and the
   lag-1 serial correlation; a run of which any test rejects randomness (Bonferroni at ``alpha``) is no secret;
@@ -35,7 +37,10 @@ _GATES = {
 }
 RANDOM = "random"
 BASE_SPANS, ADDED_SPANS = "base_spans", "added_spans"
-_RUN = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}"
+_PAD = r"(?:=+(?![A-Za-z0-9+/_=-]))?"
+_RUN = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}" + _PAD
+_MIXED = r"[+/].*[_-]|[_-].*[+/]"
+_PARTS = (r"[A-Za-z0-9+/]{20,}" + _PAD, r"[A-Za-z0-9_-]{20,}" + _PAD)
 #: Letter coincidence of ordinary prose, its third moment, share of digits, and of a-f among letters.
 _PAIRS, _TRIPLES, _DIGIT_SHARE, _HEX_SHARE = 0.0655, 0.0055, 0.02, 0.35
 #: Encodings from the smallest alphabet up; the first that holds the run is taken. Decimal runs are numbers, not keys.
@@ -169,9 +174,24 @@ def tested(span: Column) -> Column:
     )
 
 
+def parts(run: Column) -> Column:
+    """The run itself, or its longest parts in either base64 alphabet if it mixes them."""
+
+    def within(pattern: str) -> Column:
+        return F.transform(
+            located(run["token"], pattern),
+            lambda p: F.struct(
+                (run["start"] + p["start"]).alias("start"), (run["start"] + p["end"]).alias("end"), p["token"].alias("token")
+            ),
+        )
+
+    return F.when(run["token"].rlike(_MIXED), F.concat(*[within(p) for p in _PARTS])).otherwise(F.array(run))
+
+
 def candidates(text: Column) -> Column:
     """Tested runs of key characters; empty where a text has none."""
-    found = F.filter(F.transform(located(text, _RUN), tested), lambda c: c.isNotNull())
+    runs = F.flatten(F.transform(located(text, _RUN), parts))
+    found = F.filter(F.transform(runs, tested), lambda c: c.isNotNull())
     empty = F.array().cast(
         "array<struct<start:int,end:int,band:int,cell:int,p_random:double,encoding:string>>"
     )
@@ -205,8 +225,21 @@ def secret_spans(documents: DataFrame, rate: float = 0.01, alpha: float = 0.001)
         free = ~F.exists(base, lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"]))
         return F.coalesce((c["cell"] >= least) & (c["p_random"] >= alpha), F.lit(False)) & free
 
+    def merged(found: Column) -> Column:
+        """(start, end) of the candidates, overlapping ones as one."""
+        spans = F.sort_array(F.transform(found, lambda c: F.struct(c["start"].alias("start"), c["end"].alias("end"))))
+        empty = F.array().cast("array<struct<start:int,end:int>>")
+
+        def step(out: Column, s: Column) -> Column:
+            last = F.get(out, F.size(out) - 1)
+            longer = F.struct(last["start"].alias("start"), F.greatest(last["end"], s["end"]).alias("end"))
+            joined = F.concat(F.slice(out, F.lit(1), F.size(out) - 1), F.array(longer))
+            return F.when(last["end"] > s["start"], joined).otherwise(F.concat(out, F.array(s)))
+
+        return F.aggregate(spans, empty, step)
+
     def added(base: Column) -> Column:
-        kept = F.filter(candidates(text), lambda c: secret(c, base))
+        kept = merged(F.filter(candidates(text), lambda c: secret(c, base)))
         return F.transform(
             kept,
             lambda c: F.struct(
