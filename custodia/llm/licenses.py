@@ -4,8 +4,9 @@ Templates and texts are words in lower case without outer punctuation; shingles
 shingles belongs to the smallest stride 2, 4, 8, ... that holds it, and is looked for in windows of two strides,
 one every stride, so an occurrence always lies whole in a window. A window retrieves a template if any of ``bands``
 MinHash values agree; the number of bands is set so that the least similar window that may match is still
-retrieved with probability ``certain``. A retrieved window matches if it holds at least ``containment`` of the
-template's shingles.
+retrieved with probability ``certain``. A retrieved window matches where a stretch of it holds at least ``containment``
+of the template's shingles; the tightest such stretch is the span, so a neighbouring notice that shares shingles stays
+outside it, and what lies before and after is searched again.
 
 * Templates are a fixed, small library sent with the code; texts are read whole where they lie, in stretches of bounded
   length that overlap by a window, and nothing is shuffled.
@@ -29,6 +30,8 @@ from custodia.llm.common import WordHashes, in_python, mixed, windows
 SHINGLE = 5
 _OUTER = b".,;:!?()[]{}<>\"'`*#/|-_"
 _STRETCH = 1 << 15
+#: A shingle at the end of a span may lie behind so many places that are not the template's.
+_STRAY = 4
 
 #: Wordings of public licenses by which texts declare them.
 TEMPLATES = (
@@ -77,6 +80,57 @@ def bands_for(sizes: list[int], containment: float, certain: float) -> int:
     return math.ceil(math.log(1 - certain) / math.log(1 - worst))
 
 
+def tightest(places: np.ndarray, values: np.ndarray, least: int) -> list[tuple[int, int, int]]:
+    """(first place, last place, distinct values) of the stretches that hold ``least`` distinct values.
+
+    From the shortest stretch with all the values there are, each end moves to where ``_STRAY`` times the distinct values
+    less the strange places are most, while enough values stay; then the same before and after it.
+    """
+    out: list[tuple[int, int, int]] = []
+    todo = [(0, len(places))]
+    while todo:
+        low, high = todo.pop()
+        distinct = len(np.unique(values[low:high]))
+        if distinct < max(least, 1):
+            continue
+        a, b = _shortest(places, values, low, high, distinct)
+        before = None
+        while before != (a, b):
+            before = (a, b)
+            b = a + _best_end(places[a:high], values[a:high], least)
+            a = b - _best_end(-places[low:b][::-1], values[low:b][::-1], least)
+        out.append((int(places[a]), int(places[b - 1]), len(np.unique(values[a:b]))))
+        todo += [(low, a), (b, high)]
+    return sorted(out)
+
+
+def _shortest(places: np.ndarray, values: np.ndarray, low: int, high: int, distinct: int) -> tuple[int, int]:
+    """Bounds of the shortest stretch that holds so many distinct values; the first one at a tie."""
+    counts: dict[int, int] = {}
+    best, a = (low, high), low
+    keys = values.tolist()
+    for b in range(low, high):
+        counts[keys[b]] = counts.get(keys[b], 0) + 1
+        while len(counts) == distinct:
+            if places[b] - places[a] < places[best[1] - 1] - places[best[0]]:
+                best = (a, b + 1)
+            counts[keys[a]] -= 1
+            if not counts[keys[a]]:
+                del counts[keys[a]]
+            a += 1
+    return best
+
+
+def _best_end(places: np.ndarray, values: np.ndarray, least: int) -> int:
+    """How many of the first places to take, so that ``_STRAY`` times the distinct values less the strange places are most."""
+    fresh = np.zeros(len(values), np.int64)
+    fresh[np.unique(values, return_index=True)[1]] = 1
+    distinct = np.cumsum(fresh)
+    strange = places - places[0] - np.arange(len(places))
+    score = np.where(distinct >= least, _STRAY * distinct - strange, np.iinfo(np.int64).min)
+    return int(np.argmax(score)) + 1
+
+
 @dataclass(frozen=True)
 class Library:
     """Templates by stride, with the multipliers of the bands and each template's band values."""
@@ -113,12 +167,11 @@ class Library:
             part = shingles[start : start + _STRETCH + reach]
             for template, at, stride in self._retrieved(part):
                 window = part[at : at + 2 * stride]
-                held = np.flatnonzero(np.isin(window, self.shingles[template]))
-                share = len(np.unique(window[held])) / len(self.shingles[template])
-                if share >= self.containment:
-                    first = start + at + int(held[0])
-                    end = start + at + int(held[-1]) + SHINGLE
-                    found[template, first, end] = share
+                wanted = self.shingles[template]
+                held = np.flatnonzero(np.isin(window, wanted))
+                least = math.ceil(self.containment * len(wanted) - 1e-9)
+                for low, high, count in tightest(held, window[held], least):
+                    found[template, start + at + low, start + at + high + SHINGLE] = count / len(wanted)
         best: list[tuple[int, int, int, float]] = []
         for (template, first, end), share in sorted(found.items(), key=lambda kv: (-kv[1], kv[0])):
             if not any(first < e and f < end for _, f, e, _ in best):

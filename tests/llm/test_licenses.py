@@ -43,6 +43,26 @@ def test_the_better_version_wins(spark):
     assert (r.licenses, r.n_matches, r.containment) == ("GPL-3.0", 1, 1.0)
 
 
+def test_adjacent_notices_are_both_found():
+    library = licenses.Library.of(licenses.TEMPLATES, 0.75, 0.999)
+    sizes = [len(licenses.normal_words(t)) for _, t in licenses.TEMPLATES]
+    hashes = licenses.WordHashes()
+    for i, (_, one) in enumerate(licenses.TEMPLATES):
+        for j, (_, two) in enumerate(licenses.TEMPLATES):
+            for before in ("", "some words come first "):
+                at = len(before.split())
+                found = [m[:3] for m in library.matches(f"{before}{one} {two} and more", hashes)]
+                assert found == [(i, at, at + sizes[i]), (j, at + sizes[i], at + sizes[i] + sizes[j])], (one, two)
+
+
+def test_altered_notice_beside_another():
+    library = licenses.Library.of(licenses.TEMPLATES, 0.75, 0.999)
+    gpl = "This work is licensed under the GNU General Public License, version 3."
+    lgpl = "Our work is licensed under the GNU Lesser General Public License, version 3."
+    found = library.matches(f"{gpl} {lgpl}", licenses.WordHashes())
+    assert [(library.names[t], first, end) for t, first, end, _ in found] == [("GPL-3.0", 0, 12), ("LGPL-3.0", 13, 25)]
+
+
 def test_bands_reach_the_probability():
     for containment in (0.6, 0.75, 1.0):
         bands = licenses.bands_for(list(range(1, 200)), containment, 0.999)
