@@ -74,3 +74,28 @@ def mixing_sql(exponent: float = 0.7, seed: str = "mix", step: float = 64.0, ter
     counted AS (SELECT u.doc_id, u.text, u.lang, u.source, u.n_chars, count(c) AS copies
       FROM u LEFT JOIN cdf ON u.source IS NOT DISTINCT FROM cdf.source AND c <= u AND c < 1.0 GROUP BY ALL)
     SELECT doc_id, text, lang, source, n_chars, unnest(range(1, copies + 1)) AS copy FROM counted"""
+
+
+def collocations_sql(max_words: int = 3, least: int = 10, top: int = 2000, percent: int = 50) -> str:
+    """Every phrase of every piece as a row."""
+    pieces = r"string_split_regex(translate(coalesce(text, ''), '{0}', '{1}'), '[.,;:!?\x0A-\x0D]')".format(_UPPER, _LOWER)
+    grams = " UNION ALL ".join(
+        f"SELECT lang, array_to_string(w[i:i + {k - 1}], ' ') AS p, {k} AS k FROM"
+        f" (SELECT lang, w, unnest(range(1, len(w) - {k - 2})) AS i FROM pieces WHERE len(w) >= {k})"
+        for k in range(1, max_words + 1)
+    )
+    return f"""WITH raw AS (SELECT coalesce(lang, 'und') AS lang, unnest({pieces}) AS piece FROM documents),
+    pieces AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM raw),
+    f AS (SELECT lang, p, k, count(*) AS f FROM ({grams}) GROUP BY ALL),
+    n AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang),
+    c AS (SELECT lang, p, k, f AS a, string_split(p, ' ') AS w FROM f WHERE k > 1 AND f >= {least}),
+    cuts AS (SELECT *, unnest(range(1, k)) AS cut FROM c),
+    parts AS (SELECT cuts.*, x.f AS l, y.f AS r, ((1000000::HUGEINT * a * a) // (x.f::HUGEINT * y.f))::BIGINT AS score FROM cuts
+      JOIN f x ON x.lang = cuts.lang AND x.p = array_to_string(w[1:cut], ' ')
+      JOIN f y ON y.lang = cuts.lang AND y.p = array_to_string(w[cut + 1:], ' ')),
+    best AS (SELECT * FROM parts QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, cut) = 1),
+    inside AS (SELECT lang, array_to_string(w[i:i + m - 1], ' ') AS p, max(a) AS longer
+      FROM (SELECT lang, w, k, a, m, unnest(range(1, k - m + 2)) AS i FROM (SELECT *, unnest(range(2, k)) AS m FROM c)) GROUP BY 1, 2),
+    kept AS (SELECT best.* FROM best LEFT JOIN inside USING (lang, p) WHERE longer IS NULL OR 100 * longer < {percent} * a),
+    ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, p) AS rank FROM kept)
+    SELECT lang, rank, p AS phrase, a, l, r, n, score FROM ranked JOIN n USING (lang) WHERE rank <= {top}"""

@@ -4,16 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from custodia.llm.common import table
+from custodia.llm.byte_pairs import decode_documents, encode_documents
+from custodia.llm.collocations import mine_collocations
+from custodia.llm.common import let, table
 from custodia.llm.fingerprints import fingerprint_documents
 from custodia.llm.jaccard_join import jaccard_components
 from custodia.llm.licenses import scan_licenses
 from custodia.llm.line_rules import judge_lines
 from custodia.llm.mixing import poisson_mix
-from custodia.llm.oracles import jaccard_sql, lines_sql, mixing_sql, url_sql
+from custodia.llm.oracles import collocations_sql, jaccard_sql, lines_sql, mixing_sql, url_sql
 from custodia.llm.packing import pack_documents
+from custodia.llm.periodic_runs import periodic_runs
 from custodia.llm.quality_ranker import rank_quality
 from custodia.llm.secrets import scan_secrets
 from custodia.llm.token_counts import count_tokens
@@ -81,6 +85,66 @@ def op10_token_counts(spark: SparkSession, base: str) -> DataFrame:
     return count_tokens(table(spark, base, "documents"), *vocabulary())
 
 
+def with_periodic_tails(documents: DataFrame) -> DataFrame:
+    """The texts of the run query: where the id's checksum ends in 0, the words from one on repeat with one period."""
+    checksum = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(1).cast("long"))
+
+    def repeated(words: Column) -> Column:
+        g = F.floor(checksum / 10)
+        start = F.pmod(g, F.size(words))
+        period = 1 + F.floor((F.size(words) - start) / (3 + F.pmod(g, F.lit(8))))
+        return let(
+            F.struct(start.alias("a"), period.alias("p")),
+            lambda x: F.array_join(
+                F.transform(
+                    words,
+                    lambda word, i: F.when(i < x["a"], word).otherwise(
+                        F.get(words, (x["a"] + F.pmod(i - x["a"], x["p"])).cast("int"))
+                    ),
+                ),
+                " ",
+            ),
+        )
+
+    words = F.regexp_extract_all("text", F.lit(r"([^\x20\x09-\x0D]+)"), F.lit(1))
+    touched = (F.pmod(checksum, F.lit(10)) == 0) & F.col("text").rlike(r"[^\x20\x09-\x0D]")
+    return documents.select("doc_id", F.when(touched, let(words, repeated)).otherwise(F.col("text")).alias("text"))
+
+
+def op11_maximal_pair_runs(spark: SparkSession, base: str) -> DataFrame:
+    found = periodic_runs(with_periodic_tails(table(spark, base, "documents")))
+    first = F.array_max(F.transform("runs", lambda x: F.struct(x["length"], -x["start"], -x["period"])))
+    lines = F.transform("runs", lambda x: F.concat(F.concat_ws(",", x["start"], x["length"], x["period"]), F.lit("\n")))
+    longest = F.struct(first["length"].alias("length"), (-first["col2"]).alias("start"), (-first["col3"]).alias("period"))
+    return found.withColumn("longest", F.when(F.size("runs") > 0, longest)).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "longest.start",
+        "longest.length",
+        "longest.period",
+        F.expr("1000 * longest.length div longest.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op12_trie_collocations(spark: SparkSession, base: str) -> DataFrame:
+    return mine_collocations(table(spark, base, "documents"))
+
+
+def op13_scanned_byte_pairs(spark: SparkSession, base: str) -> DataFrame:
+    import public_tokenizers
+
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    coded = decode_documents(encode_documents(table(spark, base, "documents"), ranks), ranks)
+    return coded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -94,6 +158,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_tiered_packing,
         op9_poisson_mixing,
         op10_token_counts,
+        op11_maximal_pair_runs,
+        op12_trie_collocations,
+        op13_scanned_byte_pairs,
     )
 }
 #: SQL for DuckDB. The others need token ids, trained scores, 64-bit sketches or positions of regular expressions.
@@ -102,4 +169,5 @@ ORACLES: dict[str, str] = {
     "op5_url_range_join": url_sql(URL_RULES),
     "op7_line_frequency": lines_sql(),
     "op9_poisson_mixing": mixing_sql(),
+    "op12_trie_collocations": collocations_sql(),
 }
