@@ -217,9 +217,9 @@ class Governance:
         """A base table; without ``tags`` those in its column metadata count."""
         self._tables[name] = _Entry(apply_tags(df, tags if tags is not None else tags_of(df)))
 
-    def register_derived(self, name: str, df: DataFrame, sources: list[str], lineage=None) -> None:
+    def register_derived(self, name: str, df: DataFrame, sources: list[str], lineage=None, kept=()) -> None:
         """A copy or transformation: inherits tags, hence masks. Row filters are not inherited."""
-        tags = inherit(df, [self._tables[s].df for s in sources], lineage)
+        tags = inherit(df, [self._tables[s].df for s in sources], lineage, kept)
         self._tables[name] = _Entry(apply_tags(df, tags))
 
     def raw(self, name: str) -> DataFrame:

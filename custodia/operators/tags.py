@@ -1,14 +1,15 @@
 """Classification tags on columns: kept in column metadata, listed as rows, inherited by derived tables.
 
 Spark carries column metadata through select, alias, group keys, joins and parquet. It drops it for
-computed columns and for INSERT into another table, so ``inherit`` settles those from what the
-caller declares, and otherwise fails closed.
+computed columns and for INSERT into another table, and of the inputs of a set operation it keeps the first
+one's. So ``inherit`` believes what the caller declares and what is a plain copy, and otherwise fails closed;
+``union``, ``intersect`` and ``difference`` merge the tags of their inputs.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterable, Mapping
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -49,28 +50,78 @@ def apply_tags(df: DataFrame, tags: Mapping[str, str]) -> DataFrame:
     )
 
 
-def _set_operations(df: DataFrame) -> int:
-    """How many unions, intersections and differences stand in the plan that ``explain`` shows."""
-    plan = df._jdf.queryExecution().analyzed().toString()
-    return len(re.findall(r"^[\s:|+-]*(?:Union|Intersect|Except)\b", plan, re.MULTILINE))
+def _merged(result: DataFrame, frames: list[DataFrame]) -> DataFrame:
+    """Columns of ``result`` with the most severe tag that stands at their place in any of the frames.
+
+    In a frame with tags, a column without a mark counts as the most severe of the frame's tags.
+    """
+    fields = []
+    for i, field in enumerate(result.schema.fields):
+        levels = []
+        for frame in frames:
+            mark = frame.schema.fields[i].metadata.get(METADATA_KEY)
+            levels.append(mark if mark else most_severe(tags_of(frame).values()))
+        fields.append(_labelled(F.col(f"`{field.name.replace('`', '``')}`"), field.name, field.metadata, most_severe(levels)))
+    return result.select(*fields)
+
+
+def _same_width(frames: tuple[DataFrame, ...]) -> list[DataFrame]:
+    if len({len(f.columns) for f in frames}) > 1:
+        raise ValueError("set operations take frames of equally many columns")
+    return list(frames)
+
+
+def union(*frames: DataFrame, by_name: bool = False) -> DataFrame:
+    """All rows of all frames; columns go by their place, or by name, and take the most severe tag of their inputs."""
+    inputs = _same_width(frames)
+    if by_name:
+        inputs = [inputs[0], *(f.select(*[f[f"`{c.replace('`', '``')}`"] for c in inputs[0].columns]) for f in inputs[1:])]
+    return _merged(reduce(DataFrame.unionAll, inputs), inputs)
+
+
+def intersect(left: DataFrame, right: DataFrame, keep_duplicates: bool = False) -> DataFrame:
+    """Rows that both hold."""
+    inputs = _same_width((left, right))
+    return _merged(left.intersectAll(right) if keep_duplicates else left.intersect(right), inputs)
+
+
+def difference(left: DataFrame, right: DataFrame, keep_duplicates: bool = False) -> DataFrame:
+    """Rows of ``left`` that ``right`` does not hold. They tell what is absent there, so its tags count as well."""
+    inputs = _same_width((left, right))
+    return _merged(left.exceptAll(right) if keep_duplicates else left.subtract(right), inputs)
+
+
+def _plain_copy(derived: DataFrame, sources: Iterable[DataFrame]) -> bool:
+    """Is it one of the sources, or a choice of its columns?"""
+    for source in sources:
+        if set(derived.columns) <= set(source.columns):
+            chosen = source.select(*[F.col(f"`{c.replace('`', '``')}`") for c in derived.columns])
+            if derived.sameSemantics(source) or derived.sameSemantics(chosen):
+                return True
+    return False
 
 
 def inherit(
     derived: DataFrame,
     sources: Iterable[DataFrame],
     lineage: Mapping[str, Iterable[str]] | None = None,
+    kept: Iterable[str] = (),
 ) -> dict[str, str]:
     """Tags of a table computed from tagged ``sources``.
 
     Per output column: the most severe of the source columns declared for it in ``lineage`` (an empty list
-    declares a count-like column that needs no tag), else of the metadata it still carries and the tags of
-    source columns of its name. A name alone proves nothing: a column without metadata and declaration has an
-    unknown origin and gets the most severe tag found in any source. So have all undeclared columns of a set
-    operation that the sources do not hold already, as Spark keeps the metadata of its first input only.
+    declares a count-like column that needs no tag); or, for columns named in ``kept`` (passed through unchanged:
+    selected, grouped by, joined on) and for plain copies of a source, of the metadata it carries and the tags of
+    source columns of its name. Any other column has an unknown origin and gets the most severe tag found in any
+    source: a name proves nothing, and metadata neither, as Spark keeps that of the first input of a set operation.
     """
     lineage = lineage or {}
+    kept = set(kept)
+    unknown = kept - set(derived.columns)
+    if unknown:
+        raise ValueError(f"no such columns: {sorted(unknown)}")
     sources = list(sources)
-    mixed = _set_operations(derived) > sum(_set_operations(s) for s in sources)
+    copied = _plain_copy(derived, sources)
     source_tags: dict[str, list[str | None]] = {}
     for source in sources:
         for c in source.columns:
@@ -85,7 +136,7 @@ def inherit(
             if unknown:
                 raise ValueError(f"{name}: no source column {unknown}")
             level = most_severe(x for c in lineage[name] for x in source_tags[c.lower()])
-        elif METADATA_KEY in field.metadata and not mixed:
+        elif METADATA_KEY in field.metadata and (copied or name in kept):
             level = most_severe([field.metadata.get(METADATA_KEY), *source_tags.get(name.lower(), [])])
         else:
             level = worst

@@ -197,6 +197,24 @@ def access_history(spark: SparkSession, base: str) -> DataFrame:
     )
 
 
+def movement_history(spark: SparkSession, base: str) -> DataFrame:
+    """The access log of copies between part tables, one row per line item: C1 and C2 of a table go into the next one.
+
+    Six tables in a row form a chain (crossing columns on the way); the fifth also flows back into the second.
+    """
+    named = lambda i: f"concat('{DATABASE}.S', ({i}) % 5, '.T', {i})"
+    source = lambda i, c: f"named_struct('objectId', concat('id', {i}), 'objectName', {named(i)}, 'columnName', '{c}')"
+    nothing = "CAST(array() AS ARRAY<STRUCT<objectId: STRING, objectName: STRING, columnName: STRING>>)"
+    column = lambda c, *sources: (
+        f"named_struct('columnName', '{c}', 'directSources', array({', '.join(sources)}), 'baseSources', {nothing})"
+    )
+    onward = f"named_struct('objectName', {named('p + 1')}, 'columns', array({column('C1', source('p', 'C2'))}, {column('C2', source('p', 'C1'), source('p', 'C3'))}))"
+    back_again = f"named_struct('objectName', {named('p - 3')}, 'columns', array({column('C1', source('p', 'C1'))}))"
+    moved = f"CASE WHEN p % 6 = 4 THEN array({onward}, {back_again}) WHEN p % 6 <> 5 THEN array({onward}) END"
+    copies = read_table(spark, base, "lineitem").selectExpr("l_orderkey AS query_id", "l_partkey AS p")
+    return copies.selectExpr("query_id", f"{moved} AS objects_modified")
+
+
 def query_history(spark: SparkSession, base: str) -> DataFrame:
     return _events(spark, base).selectExpr(
         "event_id AS query_id",

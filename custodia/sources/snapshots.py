@@ -37,6 +37,7 @@ def insert_rows(
     rows: DataFrame,
     sources: Iterable[DataFrame] = (),
     lineage: Mapping[str, Iterable[str]] | None = None,
+    kept: Iterable[str] = (),
 ) -> DataFrame:
     """Insert with a column list: columns matched by name, missing ones NULL, types of the table.
 
@@ -55,7 +56,7 @@ def insert_rows(
     )
     sources = list(sources)
     if sources:
-        marked = {**dict.fromkeys(rows.columns), **inherit(rows, sources, lineage)}
+        marked = {**dict.fromkeys(rows.columns), **inherit(rows, sources, lineage, kept)}
     else:
         marked = {c: level_of(rows, c) for c in rows.columns if METADATA_KEY in rows.schema[c].metadata}
     if not any(marked.values()):

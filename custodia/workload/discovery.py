@@ -5,12 +5,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from custodia.functions.masks import LEVELS
 from custodia.operators import classify as cl
 from custodia.operators.governance import Governance
-from custodia.operators.tags import TAG_NAME, apply_tags, inherit, list_column_tags, lookup_tag
+from custodia.operators.audit import column_lineage
+from custodia.operators.propagation import column_levels, propagate_levels
+from custodia.operators.tags import (
+    TAG_NAME,
+    apply_tags,
+    difference,
+    inherit,
+    intersect,
+    list_column_tags,
+    lookup_tag,
+    tags_of,
+    union,
+)
 from custodia.sources import fixtures as fx
 from custodia.sources.tables import read_table
 from custodia.workload import duck
+from custodia.workload.duck import strings
 from custodia.workload.registry import query
 
 _LEVEL_CASES = " ".join(f"WHEN '{c}' THEN '{v}'" for c, v in cl.LEVEL_OF_CATEGORY.items())
@@ -129,11 +143,11 @@ def tag_listing(spark: SparkSession, base: str) -> DataFrame:
 @query(
     duck.with_tables(
         "tags",
-        sql="SELECT tag_value FROM tags WHERE tag_name = 'DATA_CLASSIFICATION' AND object_name = 'T3' AND column_name = 'C2'",
+        sql="SELECT tag_value FROM tags WHERE tag_name = 'DATA_CLASSIFICATION' AND object_name = 'T16' AND column_name = 'C3'",
     )
 )
 def tag_lookup(spark: SparkSession, base: str) -> DataFrame:
-    return lookup_tag(fx.tag_references(spark, base), TAG_NAME, "T3", "C2")
+    return lookup_tag(fx.tag_references(spark, base), TAG_NAME, "T16", "C3")
 
 
 _PROPAGATED = (
@@ -162,7 +176,7 @@ _PROPAGATED = (
 def tag_propagation(spark: SparkSession, base: str) -> DataFrame:
     """Tags of a table computed from the customers, with the values each tag now covers.
 
-    Grouping columns keep their metadata; computed ones are declared; the undeclared one fails closed.
+    Grouping columns are kept as they are; computed ones are declared; the undeclared one fails closed.
     """
     source = apply_tags(fx.people(spark, base), fx.PEOPLE_TAGS)
     derived = source.groupBy("state", "city").agg(
@@ -178,8 +192,13 @@ def tag_propagation(spark: SparkSession, base: str) -> DataFrame:
         "born_first": ["birth_date"],
         "customers": [],
     }
-    tags = inherit(derived, [source], lineage)
-    tagged = apply_tags(derived, tags)
+    tags = inherit(derived, [source], lineage, kept=["state", "city"])
+    return _covered(apply_tags(derived, tags))
+
+
+def _covered(tagged: DataFrame) -> DataFrame:
+    """Every tagged column with its level and the number of values under it."""
+    tags = tags_of(tagged)
     level = F.lit(None)
     for column, value in tags.items():
         level = F.when(F.col("column_name") == column, value).otherwise(level)
@@ -190,6 +209,64 @@ def tag_propagation(spark: SparkSession, base: str) -> DataFrame:
     )
 
 
+def _two_sides(spark: SparkSession, base: str) -> tuple[DataFrame, DataFrame]:
+    """Customers as number, place and remark, and people of even numbers as number, mail and job."""
+    people = apply_tags(fx.people(spark, base), fx.PEOPLE_TAGS)
+    left = people.select("c_custkey", F.col("city").alias("place"), F.col("job").alias("remark"))
+    right = people.filter("c_custkey % 2 = 0").select(
+        "c_custkey", F.when(F.col("c_custkey") % 4 == 0, F.col("city")).otherwise(F.col("email")).alias("mail"), "job"
+    )
+    return left, apply_tags(right, {"mail": "PII"})
+
+
+def _set_sql(operation: str) -> str:
+    return duck.with_tables(
+        "people",
+        sql=f"""WITH d AS (SELECT c_custkey, city AS place, job AS remark FROM people {operation}
+      SELECT c_custkey, CASE WHEN c_custkey % 4 = 0 THEN city ELSE email END, job FROM people WHERE c_custkey % 2 = 0)
+    SELECT 'place' AS column_name, 'PII' AS classification_level, count(place) AS n_values FROM d
+    UNION ALL SELECT 'remark', 'INTERNAL', count(remark) FROM d""",
+    )
+
+
+@query(_set_sql("UNION ALL"))
+def tags_of_union(spark: SparkSession, base: str) -> DataFrame:
+    """Places and mails in one column: it takes the more severe tag, though the first input has the milder one."""
+    left, right = _two_sides(spark, base)
+    return _covered(union(left, right))
+
+
+@query(_set_sql("INTERSECT"))
+def tags_of_intersection(spark: SparkSession, base: str) -> DataFrame:
+    left, right = _two_sides(spark, base)
+    return _covered(intersect(left, right))
+
+
+@query(_set_sql("EXCEPT"))
+def tags_of_difference(spark: SparkSession, base: str) -> DataFrame:
+    left, right = _two_sides(spark, base)
+    return _covered(difference(left, right))
+
+
+@query(
+    duck.with_tables(
+        "tags",
+        "moved_columns",
+        sql=f"""WITH RECURSIVE own AS (SELECT object_database || '.' || object_schema || '.' || object_name AS object_name, column_name,
+        min({_SEVERITY.format('tag_value')}) AS rank FROM tags WHERE tag_name = 'DATA_CLASSIFICATION' AND domain = 'COLUMN' GROUP BY 1, 2),
+    reach(object_name, column_name, rank) AS (SELECT * FROM own UNION SELECT target_object_name, target_column_name, rank
+      FROM reach JOIN moved_columns ON object_name = source_object_name AND column_name = source_column_name),
+    settled AS (SELECT object_name, column_name, min(rank) AS rank FROM reach GROUP BY 1, 2)
+    SELECT object_name, column_name, {strings(LEVELS)}[settled.rank] AS classification_level, {strings(LEVELS)}[own.rank] AS own_level
+    FROM settled LEFT JOIN own USING (object_name, column_name)""",
+    )
+)
+def tag_movement(spark: SparkSession, base: str) -> DataFrame:
+    """Levels of all columns after everything that the log says has moved, over chains and cycles."""
+    lineage = column_lineage(fx.movement_history(spark, base))
+    return propagate_levels(column_levels(fx.tag_references(spark, base)), lineage)
+
+
 @query(
     duck.with_tables(
         "catalog_tables",

@@ -181,6 +181,12 @@ CTES = {
              CASE WHEN k % 3 <> 0 THEN 'C2' END, 'DIRECT', {obj('(k + 3) % 8')}, 'C2' FROM ev WHERE event_type = 'purchase'
       UNION SELECT CASE WHEN k % 3 <> 0 THEN 'id' || (k % 4) END, CASE WHEN k % 3 <> 0 THEN {obj('k % 4')} END,
              CASE WHEN k % 3 <> 0 THEN 'C3' END, 'BASE', {obj('(k + 3) % 8')}, 'C2' FROM ev WHERE event_type = 'purchase')""",
+    "moved_columns": f"""
+    SELECT DISTINCT s AS source_object_name, sc AS source_column_name, t AS target_object_name, tc AS target_column_name FROM (
+      SELECT {obj('p')} AS s, 'C2' AS sc, {obj('(p + 1)')} AS t, 'C1' AS tc FROM (SELECT l_partkey AS p FROM lineitem) WHERE p % 6 <> 5
+      UNION ALL SELECT {obj('p')}, 'C1', {obj('(p + 1)')}, 'C2' FROM (SELECT l_partkey AS p FROM lineitem) WHERE p % 6 <> 5
+      UNION ALL SELECT {obj('p')}, 'C3', {obj('(p + 1)')}, 'C2' FROM (SELECT l_partkey AS p FROM lineitem) WHERE p % 6 <> 5
+      UNION ALL SELECT {obj('p')}, 'C1', {obj('(p - 3)')}, 'C1' FROM (SELECT l_partkey AS p FROM lineitem) WHERE p % 6 = 4)""",
     "query_history": f"""
     SELECT event_id AS query_id, 'user_' || user_id AS user_name,
       CASE WHEN event_id < 4 THEN 'R_RARE' ELSE 'R_' || (user_id % 4) END AS role_name, ts AS start_time,
@@ -234,6 +240,8 @@ def with_tables(*tables: str, sql: str) -> str:
         for needed in (*_NEEDS.get(t, ()), t):
             if needed not in ordered:
                 ordered.append(needed)
-    listed = "WITH " + ",\n".join(f"{t} AS ({CTES[t]})" for t in ordered)
     # a query with named parts of its own continues the list
-    return listed + (",\n" + sql[len("WITH ") :] if sql.startswith("WITH ") else "\n" + sql)
+    for start in ("WITH RECURSIVE ", "WITH "):
+        if sql.startswith(start):
+            return start + ",\n".join(f"{t} AS ({CTES[t]})" for t in ordered) + ",\n" + sql[len(start) :]
+    return "WITH " + ",\n".join(f"{t} AS ({CTES[t]})" for t in ordered) + "\n" + sql

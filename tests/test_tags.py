@@ -3,7 +3,20 @@ from pyspark.sql import functions as F
 
 from custodia.operators import classify as cl
 from custodia.sources.snapshots import insert_rows
-from custodia.operators.tags import apply_tags, inherit, level_of, list_column_tags, lookup_tag, tag_rows, tags_of
+from custodia.operators.governance import Governance
+from custodia.operators.propagation import levels_of_object, propagate_levels
+from custodia.operators.tags import (
+    apply_tags,
+    difference,
+    inherit,
+    intersect,
+    level_of,
+    list_column_tags,
+    lookup_tag,
+    tag_rows,
+    tags_of,
+    union,
+)
 
 
 @pytest.fixture()
@@ -26,9 +39,9 @@ def test_inherit_join_and_group(spark, source):
     derived = source.join(orders, "id").groupBy("phone").agg(
         F.sum("total").alias("total"), F.upper(F.min("name")).alias("who"), F.count("*").alias("n")
     )
-    tags = inherit(derived, [source, orders], {"who": ["name"], "n": []})
+    tags = inherit(derived, [source, orders], {"who": ["name"], "n": []}, kept=["phone"])
     assert tags == {"phone": "RESTRICTED", "total": "PII", "who": "SENSITIVE"}  # a computed total is not believed by name
-    tags = inherit(derived, [source, orders], {"who": ["name"], "n": [], "total": ["total"]})
+    tags = inherit(derived, [source, orders], {"who": ["name"], "n": [], "total": ["total"]}, kept=["phone"])
     assert tags == {"phone": "RESTRICTED", "total": "INTERNAL", "who": "SENSITIVE"}
 
 
@@ -49,17 +62,21 @@ def test_inserted_rows_bring_their_tags(spark, source):
     more = insert_rows(target, source.select(F.col("phone").alias("note")))
     assert tags_of(more) == {"note": "RESTRICTED"} and more.count() == 2
     computed = source.select(F.upper("email").alias("note"), F.col("amount"))
-    assert tags_of(insert_rows(target, computed, [source])) == {"note": "PII"}
-    assert tags_of(insert_rows(target, computed, [source], {"note": ["phone"]})) == {"note": "RESTRICTED"}
+    assert tags_of(insert_rows(target, computed, [source])) == {"note": "PII", "amount": "PII"}
+    assert tags_of(insert_rows(target, computed, [source], kept=["amount"])) == {"note": "PII"}
+    assert tags_of(insert_rows(target, computed, [source], {"note": ["phone"]}, ["amount"])) == {"note": "RESTRICTED"}
     both = spark.createDataFrame([("x", 2.0)], "note string, amount double")
     assert tags_of(insert_rows(more, both)) == {"note": "RESTRICTED"}
 
 
 def test_undeclared_column_fails_closed(source):
     derived = source.select("id", F.length("name").alias("len"))
-    assert inherit(derived, [source]) == {"len": "PII"}
-    assert inherit(derived, [source], {"len": ["name"]}) == {"len": "SENSITIVE"}
-    assert inherit(derived, [source], {"len": []}) == {}
+    assert inherit(derived, [source]) == {"id": "PII", "len": "PII"}
+    assert inherit(derived, [source], kept=["id"]) == {"len": "PII"}
+    assert inherit(derived, [source], {"len": ["name"]}, kept=["id"]) == {"len": "SENSITIVE"}
+    assert inherit(derived, [source], {"len": []}, kept=["id"]) == {}
+    with pytest.raises(ValueError):
+        inherit(derived, [source], kept=["nope"])
 
 
 def test_union_takes_most_severe(spark, source):
@@ -70,6 +87,103 @@ def test_union_takes_most_severe(spark, source):
     assert inherit(other.union(renamed), [other, renamed]) == {"name": "PII"}
 
 
+def test_plain_copies_keep_their_tags(source):
+    want = {"email": "PII", "phone": "RESTRICTED", "name": "SENSITIVE"}
+    assert inherit(source, [source]) == inherit(source.select("*"), [source]) == want
+    assert inherit(source.select("phone", "id"), [source]) == {"phone": "RESTRICTED"}
+    swapped = source.select("id", F.col("email").alias("name"))
+    assert inherit(swapped, [source]) == {"id": "PII", "name": "PII"}
+
+
+@pytest.mark.parametrize("length", ["100", "2000000"])
+def test_set_operations_merge_tags(spark, source, length):
+    """However long the plan is and however much of it is printed."""
+    before = spark.conf.get("spark.sql.maxPlanStringLength")
+    spark.conf.set("spark.sql.maxPlanStringLength", length)
+    try:
+        low = source.select("id", F.col("name").alias("text"))
+        high = source.select("id", F.col("email").alias("mail"))
+        for _ in range(20):
+            high = high.filter("id > 0")
+        plain = spark.createDataFrame([(1, "x")], "id int, other string")
+        for result in (
+            union(low, high), union(high, low), intersect(low, high), difference(low, high), union(plain, low, high),
+            union(low, high.toDF("id", "text"), by_name=True), intersect(low, high, True), difference(low, high, True),
+        ):
+            assert list(tags_of(result).values()) == ["PII"] and len(result.columns) == 2
+        assert tags_of(union(plain, plain)) == {}
+        assert inherit(low.union(high), [source]) == {"id": "PII", "text": "PII"}  # not said how: nothing is believed
+        assert union(low, high).count() == 2 and intersect(low, low).count() == 1 and difference(low, low).count() == 0
+        partly = apply_tags(low, {"text": "RESTRICTED"}).withColumn("id", F.col("id") + 1)
+        assert tags_of(union(plain, partly)) == {"id": "RESTRICTED", "other": "RESTRICTED"}  # a lost mark
+        with pytest.raises(ValueError):
+            union(low, low.select("id"))
+    finally:
+        spark.conf.set("spark.sql.maxPlanStringLength", before)
+
+
+EDGES = "source_object_name string, source_column_name string, target_object_name string, target_column_name string"
+
+
+def _settled(spark, tagged, edges):
+    found = propagate_levels(
+        spark.createDataFrame(tagged, "object_name string, column_name string, classification_level string"),
+        spark.createDataFrame(edges, EDGES),
+    )
+    return {(r.object_name, r.column_name): (r.classification_level, r.own_level) for r in found.collect()}
+
+
+def test_levels_move_over_paths_and_cycles(spark):
+    path = [(f"t{i}", "c", f"t{i + 1}", "c") for i in range(6)]
+    cycle = [("t6", "c", "t4", "c"), ("t2", "c", "t2", "c"), ("u", "x", "t5", "c")]
+    odd = [(None, "c", "t9", "c"), ("t0", None, "t9", "c"), ("t0", "c", None, None)]
+    tagged = [("t0", "c", "SENSITIVE"), ("t3", "c", "INTERNAL"), ("u", "x", "PII"), ("t1", "d", "PUBLIC"), ("t9", "c", "odd")]
+    got = _settled(spark, tagged, [*path, *cycle, *odd, path[0]])
+    assert got == {
+        ("t0", "c"): ("SENSITIVE", "SENSITIVE"),
+        ("t1", "c"): ("SENSITIVE", None),
+        ("t1", "d"): ("PUBLIC", "PUBLIC"),
+        ("t2", "c"): ("SENSITIVE", None),
+        ("t3", "c"): ("SENSITIVE", "INTERNAL"),
+        ("t4", "c"): ("PII", None),
+        ("t5", "c"): ("PII", None),
+        ("t6", "c"): ("PII", None),
+        ("u", "x"): ("PII", "PII"),
+    }
+    assert _settled(spark, [], path) == {} and _settled(spark, tagged[:1], []) == {("t0", "c"): ("SENSITIVE", "SENSITIVE")}
+
+
+def test_levels_move_in_random_graphs(spark):
+    import random
+
+    from custodia.functions.masks import LEVELS, severity
+
+    pick = random.Random(4)
+    edges = [(f"t{pick.randrange(40)}", "c", f"t{pick.randrange(40)}", "c") for _ in range(60)]
+    edges += [("t0", "c", f"t{i}", "c") for i in range(20, 40)]  # one source of a quarter of all edges
+    tagged = [(f"t{pick.randrange(40)}", "c", pick.choice(LEVELS)) for _ in range(12)]
+    want = {}
+    for name, _, level in tagged:
+        want[name] = min(want.get(name, 9), severity(level))
+    for _ in range(50):
+        for a, _, b, _ in edges:
+            if a in want:
+                want[b] = min(want.get(b, 9), want[a])
+    got = _settled(spark, tagged, edges)
+    assert {k[0]: v[0] for k, v in got.items()} == {k: LEVELS[v - 1] for k, v in want.items()}
+
+
+def test_moved_levels_mask_the_copy(spark, source):
+    """End to end: a log row says that mails went into a note; the note is masked."""
+    found = propagate_levels(
+        spark.createDataFrame([("db.s.people", "email", "PII")], "object_name string, column_name string, classification_level string"),
+        spark.createDataFrame([("db.s.people", "email", "db.s.copy", "note")], EDGES),
+    )
+    gov = Governance()
+    gov.register("copy", source.select(F.lower("email").alias("note")), levels_of_object(found, "db.s.copy"))
+    assert gov.table("copy", "DATA_USER").to_df().first()["note"] == "***PII-REDACTED***"
+
+
 def test_declared_unknown_column(source):
     with pytest.raises(ValueError):
         inherit(source, [source], {"email": ["nope"]})
