@@ -14,13 +14,17 @@ import math
 import secrets
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from datetime import datetime, timedelta
 from typing import Protocol
+from urllib.parse import quote
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from custodia.functions.keyed import laplace
 from custodia.operators.governance import FULL_CLEAR, PolicyError
+from custodia.sources.claims import Claims
 from custodia.sources.tables import literal_rows
 
 DEFAULT_ALPHA = 0.05
@@ -216,43 +220,52 @@ def remaining_aggregates(spend: DataFrame, policy: PrivacyPolicy) -> DataFrame:
 
 
 class Ledger:
-    """Charges against a budget as an append-only table. Check-then-append: one writer at a time."""
+    """Charges against a budget, shared by any number of writers.
+
+    Every charge of a week is a record with the next free number, written once (``Claims``). A writer adds up the records
+    it sees and claims the number after them; if another one was faster, it reads again. So whoever holds a number has
+    counted all before it, and the week's budget is never overspent.
+    """
 
     SCHEMA = "budget_name string, user_name string, epsilon double, charged_at timestamp_ntz"
 
     def __init__(self, spark: SparkSession, path: str, policy: PrivacyPolicy, as_of: str):
-        self._spark, self._path, self._policy, self._as_of = spark, path, policy, as_of
-        literal_rows(spark, [], self.SCHEMA).write.mode("ignore").parquet(path)
+        self._spark, self._path, self._policy, self._as_of = spark, path.rstrip("/"), policy, as_of
 
-    def charges(self) -> DataFrame:
-        return self._spark.read.schema(self.SCHEMA).parquet(self._path)
+    def _week(self) -> Claims:
+        time = datetime.fromisoformat(self._as_of)
+        monday = (time - timedelta(days=time.weekday())).date()
+        return Claims(self._spark, f"{self._path}/budget={quote(self._policy.budget_name, safe='')}/week={monday}")
 
-    def _now(self) -> Column:
-        return F.lit(self._as_of).cast("timestamp_ntz")
+    def charges(self) -> DataFrame:
+        """All charges of all budgets and weeks."""
+        empty = literal_rows(self._spark, [], self.SCHEMA)
+        reader = self._spark.read.schema(self.SCHEMA).option("recursiveFileLookup", True).option("pathGlobFilter", "*.json")
+        try:
+            return reader.json(self._path)
+        except AnalysisException as error:
+            if error.getCondition() == "PATH_NOT_FOUND":  # nothing charged yet
+                return empty
+            raise
 
     def spent_this_week(self) -> float:
-        row = (
-            self.charges()
-            .filter(F.col("budget_name") == self._policy.budget_name)
-            .filter(F.date_trunc("week", "charged_at") == F.date_trunc("week", self._now()))
-            .agg(F.coalesce(F.sum("epsilon"), F.lit(0.0)).alias("spent"))
-            .first()
-        )
-        return float(row["spent"])
+        return float(sum(r["epsilon"] for r in self._week().records()))
 
     def charge(self, user: str, epsilon: float) -> None:
-        if self.spent_this_week() + epsilon > self._policy.weekly_budget + 1e-9:
-            raise PolicyError(f"privacy budget {self._policy.budget_name!r} is used up for this week")
-        (
-            literal_rows(
-                self._spark,
-                [(self._policy.budget_name, user, float(epsilon))],
-                "budget_name string, user_name string, epsilon double",
-            )
-            .withColumn("charged_at", self._now())
-            .write.mode("append")
-            .parquet(self._path)
-        )
+        week = self._week()
+        record = {
+            "budget_name": self._policy.budget_name,
+            "user_name": user,
+            "epsilon": float(epsilon),
+            "charged_at": datetime.fromisoformat(self._as_of).isoformat(),
+        }
+        while True:
+            numbers = week.numbers()
+            spent = sum(week.read(n)["epsilon"] for n in numbers)
+            if spent + epsilon > self._policy.weekly_budget + 1e-9:
+                raise PolicyError(f"privacy budget {self._policy.budget_name!r} is used up for this week")
+            if week.put(len(numbers) + 1, record):
+                return
 
     def at(self, as_of: str) -> Ledger:
         """The same ledger seen at another time; a new week starts with a full budget."""

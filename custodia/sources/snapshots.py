@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from custodia.functions.masks import most_severe
 from custodia.operators.tags import METADATA_KEY, UNTAGGED, inherit, level_of
 from custodia.session import fresh_path
+from custodia.sources.claims import Versions
 
 
 def write_snapshot(df: DataFrame, label: str) -> DataFrame:
@@ -21,15 +22,22 @@ def write_snapshot(df: DataFrame, label: str) -> DataFrame:
 
 
 def replace_snapshot(df: DataFrame, path: str) -> DataFrame:
-    """Create-or-replace at a known path. ``df`` must not read from ``path``."""
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """Create-or-replace at a known place, also from what lies there. A write that fails leaves the old table."""
+    folder = Versions(df.sparkSession, path).replace(df)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
+def read_current(spark: SparkSession, path: str) -> DataFrame:
+    """The newest version of what ``replace_snapshot`` wrote."""
+    folder = Versions(spark, path).current()
+    if folder is None:
+        raise ValueError(f"no table at {path}")
+    return spark.read.parquet(folder)
 
 
 def create_if_absent(df: DataFrame, path: str) -> DataFrame:
     """Create-if-not-exists: an existing table at ``path`` wins and is returned unchanged."""
-    df.write.mode("ignore").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.parquet(Versions(df.sparkSession, path).create(df))
 
 
 def insert_rows(

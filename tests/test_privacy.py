@@ -213,5 +213,70 @@ def test_budget(spark, people):
     assert ledger.charges().count() == 3
 
 
+def test_interleaved_charges_never_overspend(spark, monkeypatch):
+    """Between reading and claiming, another writer charges; the slower one reads again."""
+    from custodia.sources.claims import Claims
+
+    path, time = fresh_path(spark, "ledger"), "2024-01-30 12:00:00"
+    slow, fast = (Ledger(spark, path, POLICY, time) for _ in range(2))  # the budget is 3
+    put, pending = Claims.put, ["x", "y"]
+
+    def late(self, number, record):
+        if record["user_name"] == "slow" and pending:
+            pending.pop()
+            fast.charge("fast", 1.0)
+        return put(self, number, record)
+
+    monkeypatch.setattr(Claims, "put", late)
+    slow.charge("slow", 1.0)
+    assert slow.spent_this_week() == 3.0 and not pending
+    with pytest.raises(PolicyError):
+        fast.charge("fast", 0.5)
+    pending.append("z")
+    assert sorted(r.user_name for r in slow.charges().collect()) == ["fast", "fast", "slow"]
+
+
+def test_many_writers_share_one_budget(spark):
+    from concurrent.futures import ThreadPoolExecutor
+    from dataclasses import replace
+
+    policy = replace(POLICY, weekly_budget=20.0)
+    path = fresh_path(spark, "ledger")
+
+    def spend(user):
+        mine, paid = Ledger(spark, path, policy, "2024-01-30 12:00:00"), 0
+        for _ in range(5):
+            try:
+                mine.charge(f"u{user}", 0.7)
+                paid += 1
+            except PolicyError:
+                pass
+        return paid
+
+    with ThreadPoolExecutor(8) as pool:
+        paid = sum(pool.map(spend, range(8)))
+    ledger = Ledger(spark, path, policy, "2024-01-30 12:00:00")
+    assert paid == 28 == ledger.charges().count() and ledger.spent_this_week() == pytest.approx(19.6)
+
+
+def test_a_charge_that_arrives_too_late_is_refused(spark, monkeypatch):
+    from custodia.sources.claims import Claims
+
+    path, time = fresh_path(spark, "ledger"), "2024-01-30 12:00:00"
+    slow, fast = (Ledger(spark, path, POLICY, time) for _ in range(2))
+    put, pending = Claims.put, ["x"]
+
+    def late(self, number, record):
+        if record["user_name"] == "slow" and pending:
+            pending.pop()
+            fast.charge("fast", 2.5)
+        return put(self, number, record)
+
+    monkeypatch.setattr(Claims, "put", late)
+    with pytest.raises(PolicyError):
+        slow.charge("slow", 1.0)
+    assert slow.spent_this_week() == 2.5
+
+
 def test_secret_does_not_reach_a_result_schema(people):
     assert _table(people).count("q", "g").columns == ["g", "noisy_count", "count_low", "count_high"]

@@ -34,6 +34,45 @@ def test_snapshots(spark):
     assert snapshots.replace_snapshot(two, path).count() == 5
 
 
+def test_replace_survives_a_failed_write(spark):
+    """The old table stays until the new one is whole, and may be what the new one is computed from."""
+    path = fresh_path(spark, "named")
+    with pytest.raises(ValueError):
+        snapshots.read_current(spark, path)
+    old = snapshots.replace_snapshot(spark.range(4), path)
+    bad = spark.range(100, numPartitions=8).select((F.lit(1) / F.when(F.col("id") == 77, 0).otherwise(1)).alias("id"))
+    with pytest.raises(Exception, match="DIVIDE_BY_ZERO|zero"):
+        snapshots.replace_snapshot(bad, path)
+    assert snapshots.read_current(spark, path).count() == 4
+    more = snapshots.replace_snapshot(snapshots.read_current(spark, path).union(spark.range(3)), path)
+    assert snapshots.read_current(spark, path).count() == more.count() == 7 and old.count() == 4
+    assert snapshots.create_if_absent(spark.range(1), path).count() == 7
+
+
+@pytest.mark.parametrize("through_hadoop", [False, True])
+def test_claims_are_written_once(spark, monkeypatch, through_hadoop):
+    from concurrent.futures import ThreadPoolExecutor
+
+    from custodia.sources import claims
+
+    if through_hadoop:
+        monkeypatch.setattr(claims, "_local", lambda path: None)
+    log = claims.Claims(spark, fresh_path(spark, "claims"))
+    assert log.numbers() == [] and log.put(1, {"who": "a"}) and not log.put(1, {"who": "b"})
+    assert log.records() == [{"who": "a"}]
+    if not through_hadoop:  # the local rename of Hadoop is no atomic one
+        with ThreadPoolExecutor(8) as pool:
+            won = list(pool.map(lambda i: log.put(2, {"who": i}), range(32)))
+        assert sum(won) == 1 and log.read(2) == {"who": won.index(True)}
+    versions = claims.Versions(spark, fresh_path(spark, "versions"))
+    first = versions.create(spark.range(2))
+    assert versions.create(spark.range(3)) == first
+    second = versions.replace(spark.range(3), expected=first)
+    with pytest.raises(RuntimeError):
+        versions.replace(spark.range(9), expected=first)
+    assert versions.current() == second
+
+
 def test_insert_update_delete(spark):
     table = spark.createDataFrame([(1, "a"), (2, None)], "id bigint, x string")
     more = snapshots.insert_rows(table, spark.createDataFrame([(3,)], "id int"))
