@@ -16,7 +16,8 @@ from custodia.sources.tables import literal_rows
 class Metric:
     """A named count over a table. ``aggregate`` is None for duplicate counts, which need a shuffle.
 
-    ``additive``: the value of a table is the sum of the values of its parts.
+    ``additive``: the value of a table is the sum of the values of its parts. ``test``: the value is the number of
+    rows for which it is true; streams count such metrics.
     """
 
     name: str
@@ -25,24 +26,29 @@ class Metric:
     column: str | None = None
     schedule: str = "TRIGGER_ON_CHANGES"
     additive: bool = True
+    test: Column | None = None
+
+
+def _counting(name: str, kind: str, test: Column, column: str | None = None) -> Metric:
+    return Metric(name, kind, F.count_if(test), column, test=test)
 
 
 def null_count(name: str, column: str) -> Metric:
-    return Metric(name, "NULL_COUNT", F.count_if(F.col(column).isNull()), column)
+    return _counting(name, "NULL_COUNT", F.col(column).isNull(), column)
 
 
 def blank_count(name: str, column: str) -> Metric:
     """Empty or all-blank strings; NULL is not blank."""
-    return Metric(name, "BLANK_COUNT", F.count_if(F.trim(F.col(column)) == ""), column)
+    return _counting(name, "BLANK_COUNT", F.trim(F.col(column)) == "", column)
 
 
 def row_count(name: str) -> Metric:
-    return Metric(name, "ROW_COUNT", F.count(F.lit(1)))
+    return Metric(name, "ROW_COUNT", F.count(F.lit(1)), test=F.lit(True))
 
 
 def accepted_values(name: str, column: str, predicate: Callable[[Column], Column]) -> Metric:
     """Values for which the predicate is false; NULLs are left to ``null_count``."""
-    return Metric(name, "ACCEPTED_VALUES", F.count_if(~predicate(F.col(column))), column)
+    return _counting(name, "ACCEPTED_VALUES", ~predicate(F.col(column)), column)
 
 
 def custom_metric(name: str, column: str, aggregate: Callable[[Column], Column], kind: str) -> Metric:
@@ -51,8 +57,7 @@ def custom_metric(name: str, column: str, aggregate: Callable[[Column], Column],
 
 
 def out_of_range(name: str, column: str, low: float, high: float, kind: str = "OUT_OF_RANGE") -> Metric:
-    outside = (F.col(column) < low) | (F.col(column) > high)
-    return Metric(name, kind, F.count_if(outside).cast("bigint"), column)
+    return _counting(name, kind, (F.col(column) < low) | (F.col(column) > high), column)
 
 
 def duplicate_count(name: str, column: str) -> Metric:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from custodia.functions.text import redact
@@ -12,6 +12,7 @@ from custodia.operators.tags import apply_tags
 from custodia.session import fresh_path
 from custodia.sources.tables import read_table
 from custodia.streaming.governed_stream import (
+    DuplicateCounts,
     measured_batches,
     read_stream,
     run_available,
@@ -65,12 +66,33 @@ def stream_quality_observed(spark: SparkSession, base: str) -> DataFrame:
     sink, history = fresh_path(spark, "observed-sink"), fresh_path(spark, "observed-history")
     run_measured(events, metrics, sink, history, fresh_path(spark, "observed-checkpoint"))
     names = [m.name for m in metrics]
-    rows = spark.read.schema(events.schema).parquet(f"{sink}/*")
+    rows = spark.read.schema(events.schema).parquet(sink)
     stored = rows.agg(F.count(F.lit(1)).alias("stored")).select(*[F.lit(0).cast("bigint").alias(n) for n in names], "stored")
     batches = measured_batches(spark, history).select(*names, F.lit(0).cast("bigint").alias("stored"))
     return batches.unionByName(stored).agg(*[F.sum(n).alias(n) for n in [*names, "stored"]])
 
 
+@query(
+    """WITH arrived AS (SELECT 1 AS step, user_id FROM events UNION ALL SELECT 2, user_id FROM events UNION ALL SELECT 2, event_id + 1000000000 FROM events
+      UNION ALL SELECT 3, event_id + 1000000000 FROM events),
+    seen AS (SELECT s.step AS up_to, user_id, count(*) AS n FROM arrived JOIN (SELECT unnest([1, 2, 3]) AS step) s ON arrived.step <= s.step GROUP BY ALL)
+    SELECT up_to AS after_batch, coalesce(sum(n) FILTER (user_id IS NOT NULL AND n > 1), 0)::BIGINT AS duplicates FROM seen GROUP BY up_to"""
+)
+def stream_duplicates(spark: SparkSession, base: str) -> DataFrame:
+    """Duplicate users after each of three micro-batches, whose values repeat those of earlier batches."""
+    events = read_table(spark, base, "events")
+    users = events.select(F.col("user_id").cast("bigint").alias("user_id"))
+    fresh = events.select((F.col("event_id") + 1_000_000_000).alias("user_id"))
+    arrivals = fresh_path(spark, "arriving-users")
+    tracker = DuplicateCounts(spark, fresh_path(spark, "duplicate-users"), "user_id")
+    for rows in (users, users.unionAll(fresh), fresh):
+        rows.write.mode("append").parquet(arrivals)
+        tracker.arrive(read_stream(spark, arrivals, users.schema))
+        tracker.merge()
+    number = F.row_number().over(Window.orderBy("batch")).cast("bigint")
+    return tracker.history().select(number.alias("after_batch"), "duplicates")
+
+
 @query(
     """SELECT date_trunc('day', ts)::TIMESTAMP AS window_start, count(*) AS rows, count(*) FILTER (value < 0 OR value > 100) AS large
     FROM events WHERE date_trunc('day', ts) + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR GROUP BY 1"""

@@ -7,6 +7,7 @@ from custodia.operators.governance import DATA_USER, masked_columns
 from custodia.operators.tags import apply_tags
 from custodia.session import fresh_path
 from custodia.streaming.governed_stream import (
+    DuplicateCounts,
     measured_batches,
     read_stream,
     run_available,
@@ -61,6 +62,71 @@ def test_more_batches_than_spark_remembers(spark, paths):
     assert spark.read.parquet(paths[0]).count() == 1200
 
 
+def test_measuring_opens_no_callback(spark, arrivals, paths):
+    path, schema, _ = arrivals
+    gateway = spark.sparkContext._gateway
+    before = getattr(gateway, "_callback_server", None)
+    _measured(spark, path, schema, paths)
+    assert getattr(gateway, "_callback_server", None) is before
+    with pytest.raises(ValueError):
+        ratio = dq.custom_metric("avg", "id", F.avg, "AVG")
+        run_measured(read_stream(spark, path, schema), [ratio], *paths)
+
+
+def test_lost_counts_are_measured_again(spark, arrivals, paths):
+    """Rows are there but their counts are not, as after a crash between the two: the next run adds them once."""
+    path, schema, _ = arrivals
+    run_available(read_stream(spark, path, schema), paths[0], f"{paths[2]}/rows")
+    assert _measured(spark, path, schema, paths) == [(2, 1)]
+    assert spark.read.parquet(paths[0]).count() == 2
+
+
+def _brute_duplicates(batches):
+    from collections import Counter
+
+    seen, out = Counter(), []
+    for batch in batches:
+        seen.update(x for x in batch if x is not None)
+        out.append(sum(n for n in seen.values() if n > 1))
+    return out
+
+
+@pytest.mark.parametrize("max_runs", [2, 3, 100])
+def test_duplicates_over_batches(spark, max_runs):
+    import random
+
+    pick = random.Random(max_runs)
+    path = fresh_path(spark, "values")
+    tracker = DuplicateCounts(spark, fresh_path(spark, "duplicates"), "v", max_runs)
+    batches = []
+    for size in (1, 30, 1, 0, 50):
+        batch = [pick.choice([None, "hot", "hot", *map(str, range(25))]) for _ in range(size)] or [None]
+        batches.append(batch)
+        spark.createDataFrame([(x,) for x in batch], "v string").coalesce(2).write.mode("append").parquet(path)
+        tracker.arrive(read_stream(spark, path, spark.read.parquet(path).schema))
+        if size != 1:  # two batches at one merge
+            tracker.merge()
+            tracker.merge()  # a rerun changes nothing
+        tracker.arrive(read_stream(spark, path, spark.read.parquet(path).schema))
+    got = [r["duplicates"] for r in tracker.history().orderBy("batch").collect()]
+    assert got == _brute_duplicates(batches)
+    assert len(tracker._current()[1]["runs"]) <= max_runs
+
+
+def test_a_merge_that_dies_changes_nothing(spark, monkeypatch):
+    path = fresh_path(spark, "values")
+    spark.createDataFrame([("a",), ("a",), ("b",)], "v string").write.parquet(path)
+    tracker = DuplicateCounts(spark, fresh_path(spark, "duplicates"), "v")
+    tracker.arrive(read_stream(spark, path, spark.read.parquet(path).schema))
+    with monkeypatch.context() as broken:
+        broken.setattr(tracker._state, "put", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            tracker.merge()
+    assert tracker.history().count() == 0
+    tracker.merge()
+    assert [r["duplicates"] for r in tracker.history().collect()] == [2]
+
+
 def test_masks_and_redaction_on_a_stream(spark, arrivals):
     path, schema, _ = arrivals
     sink = fresh_path(spark, "sink")
