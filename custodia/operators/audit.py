@@ -11,6 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from custodia.operators.distinct import distinct_counts
+
 # Layout of the access log.
 _SOURCE = "struct<objectId: string, objectName: string, columnName: string>"
 ACCESS_HISTORY_SCHEMA = (
@@ -28,14 +30,18 @@ def since(time: Column, as_of: Column, days: int | None) -> Column:
     return time >= as_of - F.make_dt_interval(F.lit(days))
 
 
-def _queries(one_row_per_query: bool) -> Column:
-    """Number of queries in a group of rows that name each object once.
+def _per_object(rows: DataFrame, by: Sequence[str], one_row_per_query: bool, along=None) -> DataFrame:
+    """Number of queries in a group of rows that name each object once, and other aggregates.
 
-    Counting distinct ids shuffles every (group, id) pair. Where the log is known to hold one row per
-    query, rows can be counted instead and only one number per group and task travels.
+    Where the log is known to hold one row per query, rows are counted and only one number per group and task
+    travels; else ids are, as bitmaps if the log's schema calls them dense.
     """
-    counted = F.count(F.lit(1)) if one_row_per_query else F.count_distinct("query_id")
-    return counted.alias("number_of_queries")
+    along = along or {}
+    if one_row_per_query:
+        kinds = {"max": F.max}
+        others = [kinds[function](argument).alias(name) for name, (function, argument) in along.items()]
+        return rows.groupBy(*by).agg(F.count(F.lit(1)).alias("number_of_queries"), *others)
+    return distinct_counts(rows, by, {"number_of_queries": "query_id"}, along)
 
 
 def _direct(access: DataFrame) -> DataFrame:
@@ -55,7 +61,7 @@ def direct_access(
     rows = _direct(access.filter(since(F.col("query_start_time"), as_of, days)))
     if name_prefix is not None:
         rows = rows.filter(F.startswith(F.col("object_name"), F.lit(name_prefix)))
-    return rows.groupBy("object_name").agg(_queries(one_row_per_query))
+    return _per_object(rows, ["object_name"], one_row_per_query)
 
 
 def read_write(
@@ -72,11 +78,10 @@ def read_write(
     write = F.col("object_modified_by_ddl").isNotNull()
     if dml_as_write:
         write = write | (F.coalesce(F.size("objects_modified"), F.lit(0)) > 0)
-    return (
-        _direct(access.filter(since(F.col("query_start_time"), as_of, days)))
-        .groupBy("object_name", F.when(write, "write").otherwise("read").alias("query_type"))
-        .agg(_queries(one_row_per_query), F.max("query_start_time").alias("last_access"))
-    )
+    rows = _direct(access.filter(since(F.col("query_start_time"), as_of, days)))
+    rows = rows.withColumn("query_type", F.when(write, "write").otherwise("read"))
+    last = {"last_access": ("max", F.col("query_start_time"))}
+    return _per_object(rows, ["object_name", "query_type"], one_row_per_query, last)
 
 
 def indirect_access(
@@ -100,7 +105,7 @@ def indirect_access(
         other = (F.size("_direct") > 0) & ~F.array_contains("_direct", F.col("object_name"))
     else:
         other = F.exists("_direct", lambda d: d != F.col("object_name"))
-    return rows.filter(other).groupBy("object_name").agg(_queries(one_row_per_query))
+    return _per_object(rows.filter(other), ["object_name"], one_row_per_query)
 
 
 def column_lineage(access: DataFrame) -> DataFrame:
@@ -200,16 +205,10 @@ def role_grants(grants: DataFrame, pattern: str) -> DataFrame:
 
 
 def active_roles(queries: DataFrame, as_of: Column, days: int = 30) -> DataFrame:
-    return (
-        queries.filter(since(F.col("start_time"), as_of, days))
-        .groupBy("role_name")
-        .agg(
-            F.count_distinct("query_id").alias("query_count"),
-            F.count_distinct("user_name").alias("user_count"),
-            F.min("start_time").alias("first_used"),
-            F.max("start_time").alias("last_used"),
-        )
-    )
+    times = {"first_used": ("min", F.col("start_time")), "last_used": ("max", F.col("start_time"))}
+    recent = queries.filter(since(F.col("start_time"), as_of, days))
+    counted = distinct_counts(recent, ["role_name"], {"query_count": "query_id", "user_count": "user_name"}, times)
+    return counted.select("role_name", "query_count", "user_count", *times)
 
 
 def role_effectiveness(grants: DataFrame, queries: DataFrame, as_of: Column, days: int = 30) -> DataFrame:
@@ -219,11 +218,7 @@ def role_effectiveness(grants: DataFrame, queries: DataFrame, as_of: Column, day
         .groupBy(F.col("grantee_name").alias("role_name"))
         .agg(F.count(F.lit(1)).alias("total_grants"))
     )
-    used = (
-        queries.filter(since(F.col("start_time"), as_of, days))
-        .groupBy("role_name")
-        .agg(F.count_distinct("query_id").alias("_used"))
-    )
+    used = distinct_counts(queries.filter(since(F.col("start_time"), as_of, days)), ["role_name"], {"_used": "query_id"})
     recent = F.coalesce(F.col("_used"), F.lit(0).cast("bigint"))
     return granted.join(used, "role_name", "left").select(
         "role_name",

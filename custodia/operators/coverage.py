@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from custodia.operators.audit import since
+from custodia.operators.distinct import distinct_counts
 
 CATEGORY_TAG = "SEMANTIC_CATEGORY"
 
@@ -211,15 +212,24 @@ def top_sensitive_users(
             F.arrays_overlap(names, F.array(*map(F.lit, object_names)))
         )
         found = recent.join(used.select("query_id"), "query_id", "left_semi")
+    figures = {
+        "_time": ("avg", F.col("total_elapsed_time")),
+        "_bytes": ("sum", F.col("bytes_scanned")),
+        "first_access": ("min", F.col("start_time")),
+        "last_access": ("max", F.col("start_time")),
+    }
+    counts = {"total_queries": "query_id", "active_days": F.to_date("start_time")}
     return (
-        found.groupBy("user_name", "role_name")
-        .agg(
-            F.count_distinct("query_id").alias("total_queries"),
-            F.count_distinct(F.to_date("start_time")).alias("active_days"),
-            F.round(F.avg("total_elapsed_time") / 1000, 3).alias("avg_query_seconds"),
-            F.round(F.sum("bytes_scanned") / (1024 * 1024 * 1024), 4).alias("total_gb_scanned"),
-            F.min("start_time").alias("first_access"),
-            F.max("start_time").alias("last_access"),
+        distinct_counts(found, ["user_name", "role_name"], counts, figures)
+        .select(
+            "user_name",
+            "role_name",
+            "total_queries",
+            "active_days",
+            F.round(F.col("_time") / 1000, 3).alias("avg_query_seconds"),
+            F.round(F.col("_bytes") / (1024 * 1024 * 1024), 4).alias("total_gb_scanned"),
+            "first_access",
+            "last_access",
         )
         .orderBy(F.desc("total_queries"), "user_name", "role_name")
         .limit(top)

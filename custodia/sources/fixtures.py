@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from custodia.operators.distinct import mark_dense
 from custodia.sources.generators import COMPANIES
 from custodia.sources.tables import literal_rows, read_table
 
@@ -185,7 +186,7 @@ def access_history(spark: SparkSession, base: str) -> DataFrame:
     c2 = f"""named_struct('columnName', 'C2',
              'directSources', CASE WHEN k % 3 = 0 THEN {nothing} ELSE array({source('k % 8', 'C2')}) END,
              'baseSources', CASE WHEN k % 3 = 0 THEN {nothing} ELSE array({source('k % 4', 'C3')}) END)"""
-    return _events(spark, base).selectExpr(
+    log = _events(spark, base).selectExpr(
         "event_id AS query_id",
         "ts AS query_start_time",
         "CASE WHEN event_type = 'signup' THEN 'CREATE' END AS object_modified_by_ddl",
@@ -195,6 +196,7 @@ def access_history(spark: SparkSession, base: str) -> DataFrame:
         f"""CASE WHEN event_type = 'purchase' THEN
             array(named_struct('objectName', {pick_sql(LOG_OBJECTS, '(k + 3) % 8')}, 'columns', array({c1}, {c2}))) END AS objects_modified""",
     )
+    return mark_dense(log, "query_id")
 
 
 def movement_history(spark: SparkSession, base: str) -> DataFrame:
@@ -216,7 +218,7 @@ def movement_history(spark: SparkSession, base: str) -> DataFrame:
 
 
 def query_history(spark: SparkSession, base: str) -> DataFrame:
-    return _events(spark, base).selectExpr(
+    log = _events(spark, base).selectExpr(
         "event_id AS query_id",
         "concat('user_', user_id) AS user_name",
         "CASE WHEN event_id < 4 THEN 'R_RARE' ELSE concat('R_', user_id % 4) END AS role_name",
@@ -226,6 +228,7 @@ def query_history(spark: SparkSession, base: str) -> DataFrame:
         "CAST(round(value * 100) AS BIGINT) AS total_elapsed_time",
         "CAST(round(value * 1000000) AS BIGINT) AS bytes_scanned",
     )
+    return mark_dense(log, "query_id")
 
 
 def login_history(spark: SparkSession, base: str) -> DataFrame:
