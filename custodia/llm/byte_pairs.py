@@ -289,17 +289,34 @@ def vocabulary_of(ranks_path: str) -> Vocabulary:
     return Vocabulary(ranks_path)
 
 
-def encode_documents(documents: DataFrame, ranks_path: str, block_chars: int = 1_000_000) -> DataFrame:
-    """doc_id, ids, offsets (the byte of the text at which each id starts) for every row of ``documents``."""
+def encode_documents(
+    documents: DataFrame, ranks_path: str, block_chars: int = 1_000_000, decoded: bool = False
+) -> DataFrame:
+    """doc_id, ids, offsets (the byte of the text at which each id starts) for every row of ``documents``.
+
+    With ``decoded`` also the bytes that the ids stand for, put together from the vocabulary on the same way.
+    """
+    names = ["doc_id", "ids", "offsets", *(["decoded"] if decoded else [])]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = vocabulary_of(ranks_path)
 
         def encoded(ids: list, texts: list[str]) -> pa.RecordBatch:
             flat, offsets, counts = vocabulary.encode(texts)
-            bounds = pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32))
-            lists = [pa.ListArray.from_arrays(bounds, pa.array(values)) for values in (flat, offsets)]
-            return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), *lists], ["doc_id", "ids", "offsets"])
+            ends = np.cumsum(counts)
+            bounds = pa.array(np.concatenate([[0], ends]).astype(np.int32))
+            columns = [pa.ListArray.from_arrays(bounds, pa.array(values)) for values in (flat, offsets)]
+            if decoded:
+                sizes = np.zeros(len(counts), np.int64)  # the last id of a text ends where the text does
+                filled = counts > 0
+                last = ends[filled] - 1
+                sizes[filled] = offsets[last] + vocabulary.lengths[flat[last]]
+                text_ends = np.cumsum(sizes)
+                places = np.repeat(text_ends - sizes, counts) + offsets
+                raw = vocabulary.decode(flat, places, int(sizes.sum()))
+                text_bounds = np.concatenate([[0], text_ends]).astype(np.int32)
+                columns.append(pa.BinaryArray.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(text_bounds), pa.py_buffer(raw)]))
+            return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), *columns], names)
 
         ids, texts, chars = [], [], 0
         for batch in batches:
@@ -314,7 +331,7 @@ def encode_documents(documents: DataFrame, ranks_path: str, block_chars: int = 1
             yield encoded(ids, texts)
 
     texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    return in_python(texts, run, "doc_id long, ids array<int>, offsets array<int>")
+    return in_python(texts, run, f"doc_id long, ids array<int>, offsets array<int>{', decoded binary' if decoded else ''}")
 
 
 def decode_documents(encoded: DataFrame, ranks_path: str) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from custodia.llm.byte_pairs import decode_documents, encode_documents
+from custodia.llm.byte_pairs import encode_documents
 from custodia.llm.collocations import mine_collocations
 from custodia.llm.common import let, table
 from custodia.llm.fingerprints import fingerprint_documents
@@ -136,7 +136,7 @@ def op13_scanned_byte_pairs(spark: SparkSession, base: str) -> DataFrame:
     import public_tokenizers
 
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    coded = decode_documents(encode_documents(table(spark, base, "documents"), ranks), ranks)
+    coded = encode_documents(table(spark, base, "documents"), ranks, decoded=True)
     return coded.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),

@@ -81,7 +81,8 @@ def test_awkward_rows(spark, library):
     got = rows(decode_documents(coded, RANKS), "doc_id", "ids", "decoded")
     want = [(r[0], library.encode_ordinary(r[1] or ""), bytearray((r[1] or "").encode())) for r in ROWS]
     assert got == sorted(want, key=repr)
-    assert encode_documents(documents(spark, []), RANKS).count() == 0
+    assert rows(encode_documents(df, RANKS, 300, decoded=True), "doc_id", "ids", "decoded") == got
+    assert encode_documents(documents(spark, []), RANKS, decoded=True).count() == 0
     assert decode_documents(coded.limit(0), RANKS).count() == 0
 
 
