@@ -8,9 +8,9 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from custodia.functions.masks import severity_rank
+from custodia.operators.paths import Leaf, leaves, readable, texts, written
 from custodia.operators.tags import apply_tags, tags_of
 from custodia.sources.tables import literal_rows
 
@@ -85,12 +85,12 @@ def detector_list(detectors: Sequence[Detector]) -> list[tuple[str, str, str | N
     return [(d.name, d.category, d.content) for d in detectors]
 
 
-def _hinted_columns(category: str, detectors: Sequence[Detector], columns: Sequence[str]) -> list[str]:
+def _hinted_columns(category: str, detectors: Sequence[Detector], places: Sequence[Leaf]) -> list[str]:
     hints = [d.hint for d in detectors if d.category == category]
-    return [c for c in columns if any(re.search(h, c.lower()) for h in hints)]
+    return [p.path for p in places if any(re.search(h, p.name.lower()) for h in hints)]
 
 
-def _hit(category: str, detectors: Sequence[Detector], columns: Sequence[str]) -> Column:
+def _hit(category: str, detectors: Sequence[Detector], places: Sequence[Leaf]) -> Column:
     """Whether a (column_name, value) row counts for a category.
 
     Categories that need a matching name are only tested on columns that have one; which these are
@@ -105,39 +105,39 @@ def _hit(category: str, detectors: Sequence[Detector], columns: Sequence[str]) -
     test = F.col("value").isNotNull() if test is None else test
     if not own[0].needs_hint:
         return test
-    hinted = _hinted_columns(category, detectors, columns)
+    hinted = _hinted_columns(category, detectors, places)
     return F.when(F.col("column_name").isin(hinted), test) if hinted else F.lit(False)
 
 
-def _readable(kind: T.DataType) -> bool:
-    """Whether values have a written form that the patterns are made for."""
-    whole = isinstance(kind, T.IntegralType) or (isinstance(kind, T.DecimalType) and kind.scale == 0)
-    return whole or isinstance(kind, (T.StringType, T.DateType))
-
-
 def match_counts(df: DataFrame, detectors: Sequence[Detector]) -> DataFrame:
-    """Per column of text, whole numbers or dates: non-NULL values and, per category, how many of them match.
+    """Per column, and per path inside nested ones: non-NULL values and, per category, how many of them match.
 
-    Columns become rows inside the scan stage and each task aggregates before the shuffle, so what
-    travels is one row per column and task, whatever the size of the table.
+    Columns and what lies in them become rows inside the scan stage and each task aggregates before the shuffle, so
+    what travels is one row per place and task, whatever the size of the table.
     """
-    columns = [f.name for f in df.schema.fields if _readable(f.dataType)]
+    places = [p for p in leaves(df.schema) if readable(p.kind)]
     categories = list(dict.fromkeys(d.category for d in detectors))
-    written = df.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in columns])
-    long = written.unpivot([], columns, "column_name", "value")
+    plain = [p for p in places if not p.steps]
+    if len(plain) == len(places):
+        shown = df.select(*[written(F.col(f"`{p.column}`"), p.kind).alias(p.column) for p in plain])
+        long = shown.unpivot([], [p.column for p in plain], "column_name", "value")
+    else:
+        each = [F.struct(F.lit(p.path).alias("column_name"), texts(p).alias("values")) for p in places]
+        long = df.select(F.inline(F.array(*each))).select("column_name", F.explode("values").alias("value"))
     return long.groupBy("column_name").agg(
         F.count("value").alias("n_values"),
-        *[F.count_if(_hit(c, detectors, columns)).alias(c) for c in categories],
+        *[F.count_if(_hit(c, detectors, places)).alias(c) for c in categories],
     )
 
 
 def classify(df: DataFrame, detectors: Sequence[Detector] = BUILT_IN) -> DataFrame:
-    """Recommended category per column. A preview: nothing is tagged."""
+    """Recommended category per column or path inside a nested one. A preview: nothing is tagged."""
+    places = leaves(df.schema)
     categories = list(dict.fromkeys(d.category for d in detectors))
     candidates = []
     for priority, category in enumerate(categories):
         own = [d for d in detectors if d.category == category]
-        hinted = F.col("column_name").isin(_hinted_columns(category, detectors, df.columns))
+        hinted = F.col("column_name").isin(_hinted_columns(category, detectors, places))
         ratio = F.when(hinted | F.lit(not own[0].needs_hint), F.col(category) / F.col("n_values"))
         # a matching name breaks ties between categories that fit the content equally well
         candidates.append(

@@ -7,11 +7,13 @@ from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from custodia.functions.masks import mask
 from custodia.operators.partials import first_step, second_step, splits
+from custodia.operators.paths import masked_inside, nested_paths
 from custodia.operators.row_filters import ParentFilter, RowFilter, roles
-from custodia.operators.tags import METADATA_KEY, apply_tags, inherit, level_of, tags_of
+from custodia.operators.tags import METADATA_KEY, apply_tags, inherit, level_of, levels_inside, tags_of
 
 # The roles of the reference scenario.
 ENGINEER, GOVERNOR, ADMIN = "DATA_ENGINEER", "DATA_GOVERNOR", "ACCOUNTADMIN"
@@ -54,14 +56,16 @@ def masked_columns(df: DataFrame, role: str, salt: str = "") -> DataFrame:
     """
     if role in FULL_CLEAR:
         return df
-    return df.select(
-        *[
-            mask(quoted(f.name), f.metadata.get(METADATA_KEY), f.dataType, salt).alias(
-                f.name, metadata=f.metadata
-            )
-            for f in df.schema.fields
-        ]
-    )
+    paths = nested_paths(df.schema) if any(levels_inside(df, c) for c in df.columns) else {}
+
+    def masked(f: T.StructField) -> Column:
+        shown = mask(quoted(f.name), f.metadata.get(METADATA_KEY), f.dataType, salt)
+        inside = {paths[p].steps: level for p, level in levels_inside(df, f.name).items() if p in paths}
+        if len(inside) < len(levels_inside(df, f.name)):  # the column has changed its shape below a tag
+            return F.lit(None).cast(f.dataType)
+        return masked_inside(shown, f.dataType, inside, salt) if inside else shown
+
+    return df.select(*[masked(f).alias(f.name, metadata=f.metadata) for f in df.schema.fields])
 
 
 @dataclass(frozen=True)
@@ -231,11 +235,14 @@ class Governance:
     def set_tags(self, name: str, tags: Mapping[str, str]) -> None:
         """Add or change tags; all others stay."""
         entry = self._tables[name]
-        entry.df = apply_tags(entry.df, {**tags_of(entry.df), **dict(zip(resolved(entry.df, tags), tags.values()))})
+        plain = [c for c in tags if c not in nested_paths(entry.df.schema)]
+        named = {**{p: tags[p] for p in tags if p not in plain}, **dict(zip(resolved(entry.df, plain), map(tags.get, plain)))}
+        entry.df = apply_tags(entry.df, {**tags_of(entry.df), **named})
 
     def unset_tags(self, name: str, *columns: str) -> None:
         entry = self._tables[name]
-        gone = set(resolved(entry.df, columns))
+        inside = [c for c in columns if c in nested_paths(entry.df.schema)]
+        gone = {*inside, *resolved(entry.df, [c for c in columns if c not in inside])}
         entry.df = apply_tags(entry.df, {c: t for c, t in tags_of(entry.df).items() if c not in gone})
 
     def add_row_filter(self, name: str, row_filter: RowFilter) -> None:

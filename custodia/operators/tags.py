@@ -15,9 +15,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from custodia.functions.masks import most_severe, severity_rank
+from custodia.operators.paths import nested_paths
 from custodia.sources.tables import literal_rows
 
 METADATA_KEY = "classification"
+PATHS_KEY = "classification_inside"  # path -> level of values inside a nested column
 UNTAGGED = "NONE"  # a column known to need no tag, as opposed to one whose tag was lost
 TAG_NAME = "DATA_CLASSIFICATION"
 
@@ -32,8 +34,22 @@ def level_of(df: DataFrame, column: str) -> str | None:
     return None if level == UNTAGGED else level
 
 
+def levels_inside(df: DataFrame, column: str) -> dict[str, str]:
+    """Tagged paths inside a nested column."""
+    return dict(df.schema[column].metadata.get(PATHS_KEY, {}))
+
+
 def tags_of(df: DataFrame) -> dict[str, str]:
-    return {c: level for c in df.columns if (level := level_of(df, c))}
+    """Level per tagged column, and per tagged path inside one."""
+    tags = {c: level for c in df.columns if (level := level_of(df, c))}
+    for c in df.columns:
+        tags |= levels_inside(df, c)
+    return tags
+
+
+def _severest(df: DataFrame, column: str) -> str | None:
+    """The most severe of a column's own level and those inside it."""
+    return most_severe([level_of(df, column), *levels_inside(df, column).values()])
 
 
 def _labelled(column: Column, name: str, field_metadata: Mapping, level: str | None) -> Column:
@@ -41,13 +57,17 @@ def _labelled(column: Column, name: str, field_metadata: Mapping, level: str | N
 
 
 def apply_tags(df: DataFrame, tags: Mapping[str, str]) -> DataFrame:
-    """Mark every column: with its level, or as known to be untagged."""
-    missing = set(tags) - set(df.columns)
+    """Mark every column: with its level, or as known to be untagged. A tag may be on a path inside a nested column."""
+    inside = nested_paths(df.schema) if set(tags) - set(df.columns) else {}
+    missing = set(tags) - set(df.columns) - set(inside)
     if missing:
         raise ValueError(f"no such columns: {sorted(missing)}")
-    return df.select(
-        *[_labelled(F.col(f.name), f.name, f.metadata, tags.get(f.name)) for f in df.schema.fields]
-    )
+    fields = []
+    for f in df.schema.fields:
+        metadata = {k: v for k, v in f.metadata.items() if k != PATHS_KEY}
+        own = {p: tags[p] for p, leaf in inside.items() if leaf.column == f.name and p in tags and p not in df.columns}
+        fields.append(_labelled(F.col(f.name), f.name, {**metadata, PATHS_KEY: own} if own else metadata, tags.get(f.name)))
+    return df.select(*fields)
 
 
 def _merged(result: DataFrame, frames: list[DataFrame]) -> DataFrame:
@@ -59,9 +79,14 @@ def _merged(result: DataFrame, frames: list[DataFrame]) -> DataFrame:
     for i, field in enumerate(result.schema.fields):
         levels = []
         for frame in frames:
-            mark = frame.schema.fields[i].metadata.get(METADATA_KEY)
-            levels.append(mark if mark else most_severe(tags_of(frame).values()))
-        fields.append(_labelled(F.col(f"`{field.name.replace('`', '``')}`"), field.name, field.metadata, most_severe(levels)))
+            metadata = frame.schema.fields[i].metadata
+            inside = metadata.get(PATHS_KEY, {})
+            mark = metadata.get(METADATA_KEY)
+            levels += [mark, *inside.values()] if mark else [most_severe(tags_of(frame).values())]
+        same = METADATA_KEY in field.metadata and all(f.schema.fields[i].metadata == field.metadata for f in frames)
+        level = field.metadata.get(METADATA_KEY) if same else most_severe(levels)
+        metadata = field.metadata if same else {k: v for k, v in field.metadata.items() if k != PATHS_KEY}
+        fields.append(_labelled(F.col(f"`{field.name.replace('`', '``')}`"), field.name, metadata, level))
     return result.select(*fields)
 
 
@@ -122,11 +147,11 @@ def inherit(
         raise ValueError(f"no such columns: {sorted(unknown)}")
     sources = list(sources)
     copied = _plain_copy(derived, sources)
-    source_tags: dict[str, list[str | None]] = {}
+    source_tags: dict[str, list[tuple[str | None, str | None]]] = {}  # own level, and with those inside
     for source in sources:
         for c in source.columns:
-            source_tags.setdefault(c.lower(), []).append(level_of(source, c))
-    worst = most_severe(level for levels in source_tags.values() for level in levels)
+            source_tags.setdefault(c.lower(), []).append((level_of(source, c), _severest(source, c)))
+    worst = most_severe(level for levels in source_tags.values() for _, level in levels)
 
     result: dict[str, str] = {}
     for field in derived.schema.fields:
@@ -135,9 +160,10 @@ def inherit(
             unknown = [c for c in lineage[name] if c.lower() not in source_tags]
             if unknown:
                 raise ValueError(f"{name}: no source column {unknown}")
-            level = most_severe(x for c in lineage[name] for x in source_tags[c.lower()])
+            level = most_severe(x for c in lineage[name] for _, x in source_tags[c.lower()])
         elif METADATA_KEY in field.metadata and (copied or name in kept):
-            level = most_severe([field.metadata.get(METADATA_KEY), *source_tags.get(name.lower(), [])])
+            level = most_severe([field.metadata.get(METADATA_KEY), *(x for x, _ in source_tags.get(name.lower(), []))])
+            result |= levels_inside(derived, name)
         else:
             level = worst
         if level:

@@ -89,6 +89,19 @@ def people(spark: SparkSession, base: str) -> DataFrame:
     )
 
 
+def nested_people(spark: SparkSession, base: str) -> DataFrame:
+    """People with an address as a struct, contacts as an array of structs, numbers as a map, and a card as a double."""
+    return people(spark, base).selectExpr(
+        "c_custkey",
+        "named_struct('street', street_address, 'city', city, 'floor', CAST(c_custkey % 9 AS INT)) AS home",
+        "array(named_struct('kind', 'work', 'mail', email), named_struct('kind', 'home', 'mail', concat('own.', email))) AS contacts",
+        "map('desk', phone, 'mobile', phone) AS numbers",
+        "CAST(concat('4', lpad(CAST(c_custkey AS STRING), 15, '0')) AS DOUBLE) AS paid_with",
+        "CAST(birth_date AS TIMESTAMP_NTZ) AS birth_time",
+        "c_acctbal / 3 AS share",
+    )
+
+
 def row_policy_map(spark: SparkSession) -> DataFrame:
     """Which states each role may see."""
     rows = [("DATA_USER", "NATION_3"), ("DATA_USER", "NATION_7"), ("DATA_USER", "NATION_11")]

@@ -104,6 +104,58 @@ def classify_typed_columns(spark: SparkSession, base: str) -> DataFrame:
     return cl.classify(typed)
 
 
+# What lies in the nested people, stated by hand.
+_INSIDE = (
+    ("home.street", "STREET_ADDRESS", "IDENTIFIER"),
+    ("home.city", "CITY", "QUASI_IDENTIFIER"),
+    ("contacts[].mail", "EMAIL", "IDENTIFIER"),
+    ("numbers{}", "PHONE_NUMBER", "IDENTIFIER"),
+    ("paid_with", "CREDIT_CARD_NUMBER", "IDENTIFIER"),
+    ("birth_time", "DATE_OF_BIRTH", "QUASI_IDENTIFIER"),
+)
+
+
+@query(
+    duck.with_tables(
+        "people",
+        sql=" UNION ALL ".join(
+            f"SELECT '{path}' AS column_name, '{category}' AS semantic_category, '{privacy}' AS privacy_category, "
+            "'HIGH' AS confidence, 1.0::DOUBLE AS match_ratio FROM people HAVING count(*) > 0"
+            for path, category, privacy in _INSIDE
+        ),
+    )
+)
+def classify_nested(spark: SparkSession, base: str) -> DataFrame:
+    """Places inside structs, arrays and maps, and sensitive numbers and times of other types."""
+    return cl.classify(fx.nested_people(spark, base))
+
+
+@query(
+    duck.with_tables(
+        "people",
+        sql="""SELECT c_custkey, left(street_address, 1) || repeat('*', length(street_address) - 1) AS street, (c_custkey % 9)::INT AS floor,
+      '***PII-REDACTED***' AS mail, 'home' AS kind, '***-' || right(phone, 4) AS mobile, NULL::DOUBLE AS paid_with,
+      date_trunc('day', birth_date)::TIMESTAMP AS birth_time, c_acctbal / 3 AS share FROM people""",
+    )
+)
+def classify_and_mask_nested(spark: SparkSession, base: str) -> DataFrame:
+    """Found, tagged and masked by path: mails inside an array of structs, numbers inside a map."""
+    nested = fx.nested_people(spark, base)
+    gov = Governance()
+    gov.register("people", cl.apply_classification(nested, cl.classify(nested)))
+    return gov.table("people", "DATA_USER").to_df().select(
+        "c_custkey",
+        "home.street",
+        "home.floor",
+        F.col("contacts")[1]["mail"].alias("mail"),
+        F.col("contacts")[1]["kind"].alias("kind"),
+        F.col("numbers")["mobile"].alias("mobile"),
+        "paid_with",
+        "birth_time",
+        "share",
+    )
+
+
 @query(
     duck.with_tables(
         "people",
