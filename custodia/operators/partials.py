@@ -25,6 +25,9 @@ _SECOND = {
 }
 
 
+_MERGE = {"count": (F.sum,), "sum": (F.sum,), "min": (F.min,), "max": (F.max,), "avg": (F.sum, F.sum)}
+
+
 def splits(function: str) -> bool:
     return function in _FIRST
 
@@ -34,6 +37,11 @@ def first_step(function: str, argument: Column, name: str) -> list[Column]:
     return [c.alias(f"_{name}_{i}") for i, c in enumerate(_FIRST[function](argument))]
 
 
+def merge_step(function: str, name: str) -> list[Column]:
+    """Partial results of several groups as those of their union, under the same names."""
+    return [merge(f"_{name}_{i}").alias(f"_{name}_{i}") for i, merge in enumerate(_MERGE[function])]
+
+
 def second_step(function: str, name: str) -> Column:
     """The aggregate from its partial results."""
     return _SECOND[function]([F.col(f"_{name}_{i}") for i in range(2)])

@@ -9,7 +9,7 @@ CUSTOMER_ORDER_ANALYTICS = SemanticModel(
         LogicalTable("customers", "c_custkey", ("customer", "clients", "buyers")),
         LogicalTable("orders", "o_orderkey", ("sales orders", "transactions", "purchases")),
     ),
-    relationship=Relationship("orders", "o_custkey", "customers"),
+    relationships=(Relationship("orders", "o_custkey", "customers"),),
     facts=(
         Fact("order_amount_fact", "orders", "order_amount", "Before tax"),
         Fact("order_tax_fact", "orders", "order_tax", "Tax"),

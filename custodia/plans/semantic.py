@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from custodia.operators.partials import first_step, second_step
+from custodia.operators.partials import first_step, merge_step, second_step
 from custodia.sources.tables import literal_rows
 
 # groups a table by a key and further columns, and aggregates
@@ -21,11 +21,13 @@ GroupRows = Callable[[str, str, Sequence[Column], Sequence[Column]], DataFrame]
 
 
 class SemanticError(Exception):
-    """Unknown name, or a metric that the requested dimensions would multiply."""
+    """Unknown name, a metric that the requested dimensions would multiply, or more than one way to a dimension."""
 
 
 @dataclass(frozen=True)
 class LogicalTable:
+    """``primary_key`` is a column or an expression; one row per value."""
+
     name: str
     primary_key: str
     synonyms: tuple[str, ...] = ()
@@ -38,6 +40,11 @@ class Relationship:
     child: str
     foreign_key: str
     parent: str
+    label: str = ""
+
+    @property
+    def name(self) -> str:
+        return self.label or f"{self.child}_to_{self.parent}"
 
 
 @dataclass(frozen=True)
@@ -74,7 +81,7 @@ class MetricDef:
 class SemanticModel:
     name: str
     tables: Sequence[LogicalTable]
-    relationship: Relationship
+    relationships: Sequence[Relationship]
     facts: Sequence[Fact]
     dimensions: Sequence[Dimension]
     metrics: Sequence[MetricDef]
@@ -89,6 +96,39 @@ class SemanticModel:
             for synonym in item.synonyms:
                 names.setdefault(synonym.lower(), item)  # a real name beats a synonym
         object.__setattr__(self, "_names", names)
+        known = {t.name for t in self.tables}
+        labels = [r.name for r in self.relationships]
+        if len(set(labels)) < len(labels) or not {t for r in self.relationships for t in (r.child, r.parent)} <= known:
+            raise SemanticError(f"{self.name}: relationships need names of their own and known tables")
+
+    def paths(self, start: str, target: str) -> list[list[Relationship]]:
+        """All ways from a table to another one that lead from many rows to one, without a table twice."""
+        found: list[list[Relationship]] = []
+
+        def walk(table: str, path: list[Relationship], seen: frozenset[str]) -> None:
+            if table == target:
+                found.append(path)
+                return
+            for r in self.relationships:
+                if r.child == table and r.parent not in seen:
+                    walk(r.parent, [*path, r], seen | {r.parent})
+
+        walk(start, [], frozenset([start]))
+        return found
+
+    def _path(self, start: str, target: str, via: Sequence[str], what: str) -> list[Relationship]:
+        """The one way; of several, the one that takes a relationship named in ``via``."""
+        paths = self.paths(start, target)
+        if not paths:
+            reason = "would multiply" if self.paths(target, start) else "is not related to"
+            raise SemanticError(f"{what} {reason} {start}: no way from one {start} row to one {target} row")
+        if len(paths) > 1:
+            named = [p for p in paths if any(r.name in via for r in p)]
+            if len(named) != 1:
+                ways = "; ".join(" > ".join(r.name for r in p) for p in paths)
+                raise SemanticError(f"{what} can be reached from {start} in {len(paths)} ways ({ways}); name one in via")
+            paths = named
+        return paths[0]
 
     def resolve(self, name: str, kind: type):
         item = self._names.get(name.lower())
@@ -106,18 +146,25 @@ class SemanticModel:
         dimensions: Sequence[str],
         metrics: Sequence[str],
         group: GroupRows | None = None,
+        via: Sequence[str] = (),
     ) -> DataFrame:
         """Group ``metrics`` by ``dimensions``; only the tables that are needed are read.
 
+        Tables are joined along the relationships that lead from a metric's table to a dimension's. Where there are
+        several ways, ``via`` names relationships to take; without it the query is refused.
+
         ``group(table, key, by, aggregates)`` may do the grouping by a foreign key itself, so that a row filter
         that depends on the key alone can run on the groups instead of the rows.
         """
         dims = [self.resolve(d, Dimension) for d in dimensions]
         wanted = [self.resolve(m, MetricDef) for m in metrics]
+        unknown = set(via) - {r.name for r in self.relationships}
+        if unknown:
+            raise SemanticError(f"{self.name} has no relationship {sorted(unknown)}")
         results = []
         for table in dict.fromkeys(m.table for m in wanted):
             own = [m for m in wanted if m.table == table]
-            results.append(self._at_grain(load, group, table, dims, own))
+            results.append(self._at_grain(load, group, table, dims, own, via))
         names = [d.name for d in dims]
         out = reduce(lambda a, b: _join_results(a, b, names), results)
         return out.select(*names, *[m.name for m in wanted])
@@ -129,38 +176,71 @@ class SemanticModel:
         table: str,
         dims: Sequence[Dimension],
         metrics: Sequence[MetricDef],
+        via: Sequence[str],
     ) -> DataFrame:
         """Metrics of one table at its own grain, so that a join never multiplies them."""
-        rel = self.relationship
-        foreign = [d for d in dims if d.table != table]
-        if foreign and table != rel.child:
-            raise SemanticError(
-                f"{[d.name for d in foreign]} would multiply {[m.name for m in metrics]}: one {table} row, many of theirs"
-            )
-        own_dims = [d for d in dims if d.table == table]
-        keys = [F.expr(d.expression).alias(d.name) for d in own_dims]
-        partial, final = [], []
+        steps: dict[str, Relationship] = {}  # by the table they lead to, in an order that can be walked
+        for d in dims:
+            if d.table != table:
+                for r in self._path(table, d.table, via, f"{d.name} for {[m.name for m in metrics]}"):
+                    if steps.setdefault(r.parent, r) != r:
+                        raise SemanticError(f"{r.parent} would be reached in two ways in one query")
+        of = lambda name: [d for d in dims if d.table == name]
+        key = lambda r: f"_key_{r.name}"
+        partial = [p for m in metrics for p in first_step(m.function, self._argument(m), m.name)]
+        merged = [p for m in metrics for p in merge_step(m.function, m.name)]
+        final = []
         for m in metrics:
-            partial += first_step(m.function, self._argument(m), m.name)
             value = second_step(m.function, m.name)
             final.append((value if m.digits is None else F.round(value, m.digits)).alias(m.name))
 
-        if not foreign:
-            return load(table).groupBy(*keys).agg(*partial).groupBy(*[d.name for d in own_dims]).agg(*final)
-
         # Aggregate the many side per foreign key before joining: the join then sees one row per
         # parent, a parent with very many children is no hot key, and the shuffle on the key serves
-        # both steps. The join is a left join: children without a visible parent keep a NULL
-        # dimension, as they do in the raw data.
-        fk = rel.foreign_key
-        grouped = group(table, fk, keys, partial) if group else load(table).groupBy(fk, *keys).agg(*partial)
-        children = grouped.withColumnRenamed(fk, "_fk")
-        parent_key = next(t.primary_key for t in self.tables if t.name == rel.parent)
-        parents = load(rel.parent).select(
-            F.col(parent_key).alias("_pk"), *[F.expr(d.expression).alias(d.name) for d in foreign]
-        )
-        joined = children.join(parents, children["_fk"] == parents["_pk"], "left")
-        return joined.groupBy(*[d.name for d in dims]).agg(*final)
+        # both steps. After every join the rows are grouped again by what the next ones need. Joins are
+        # left joins: children without a visible parent keep a NULL dimension, as they do in the raw data.
+        own = [F.expr(d.expression).alias(d.name) for d in of(table)]
+        first = [r for r in steps.values() if r.child == table]
+        if len(first) == 1 and group:
+            rows = group(table, first[0].foreign_key, own, partial).withColumnRenamed(first[0].foreign_key, key(first[0]))
+        else:
+            rows = load(table).groupBy(*own, *[F.expr(r.foreign_key).alias(key(r)) for r in first]).agg(*partial)
+        have = [d.name for d in of(table)]
+        pending = first
+        while pending:
+            r, *pending = pending
+            primary = next(t.primary_key for t in self.tables if t.name == r.parent)
+            onward = [s for s in steps.values() if s.child == r.parent]
+            parents = load(r.parent).select(
+                F.expr(primary).alias("_primary"),
+                *[F.expr(s.foreign_key).alias(key(s)) for s in onward],
+                *[F.expr(d.expression).alias(d.name) for d in of(r.parent)],
+            )
+            rows = rows.join(parents, rows[key(r)] == parents["_primary"], "left").drop(key(r), "_primary")
+            have += [d.name for d in of(r.parent)]
+            pending = [*pending, *onward]
+            if pending:
+                rows = rows.groupBy(*have, *[key(s) for s in pending]).agg(*merged)
+        return rows.groupBy(*[d.name for d in dims]).agg(*final)
+
+    def check_keys(self, load: Callable[[str], DataFrame]) -> DataFrame:
+        """Per relationship: rows of the child, those without a parent, and parent keys that stand twice.
+
+        A metric is right only if no key stands twice; children without a parent come out under NULL.
+        """
+        keys = {t.name: t.primary_key for t in self.tables}
+        reports = []
+        for r in self.relationships:
+            children = load(r.child).groupBy(F.expr(r.foreign_key).alias("_key")).agg(F.count(F.lit(1)).alias("_n"))
+            parents = load(r.parent).groupBy(F.expr(keys[r.parent]).alias("_primary")).agg(F.count(F.lit(1)).alias("_times"))
+            met = children.join(parents, F.col("_key") == F.col("_primary"), "full")
+            reports.append(
+                met.agg(
+                    F.coalesce(F.sum("_n"), F.lit(0)).alias("child_rows"),
+                    F.coalesce(F.sum(F.when(F.col("_times").isNull(), F.col("_n"))), F.lit(0)).alias("without_parent"),
+                    F.count_if(F.col("_times") > 1).alias("repeated_keys"),
+                ).select(F.lit(r.name).alias("relationship"), "child_rows", "without_parent", "repeated_keys")
+            )
+        return reduce(DataFrame.unionAll, reports)
 
     def catalog(self) -> list[tuple[str, str, str, str, str]]:
         """Kind, table, name, definition and synonyms of everything in the model."""

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from custodia.operators.governance import DATA_USER, ENGINEER, GOVERNOR, grouped_by_key
 from custodia.plans.order_analytics import CUSTOMER_ORDER_ANALYTICS as MODEL
+from custodia.plans.trade_analytics import TRADE_ANALYTICS as TRADE
+from custodia.sources.tables import read_table
 from custodia.workload import duck
 from custodia.workload.registry import query
 from custodia.workload.scenario import governance
@@ -125,6 +127,80 @@ def semantic_no_fanout(spark: SparkSession, base: str) -> DataFrame:
     return _query(spark, base, ENGINEER, ["location_state"], ["customer_count", "total_revenue", "total_orders"])
 
 
+def _trade(spark: SparkSession, base: str, dimensions, metrics, via=()) -> DataFrame:
+    return TRADE.query(lambda t: read_table(spark, base, t), dimensions, metrics, via=via)
+
+
+_LINES = """FROM lineitem LEFT JOIN orders ON l_orderkey = o_orderkey LEFT JOIN customer ON o_custkey = c_custkey
+    LEFT JOIN nation ON c_nationkey = n_nationkey LEFT JOIN region ON n_regionkey = r_regionkey"""
+_NET = "round(sum(l_extendedprice * (1 - l_discount)), 2) AS net_revenue"
+
+
+@query(f"SELECT r_name AS region_name, {_NET}, round(avg(l_quantity), 4) AS average_quantity, count(*) AS line_count {_LINES} GROUP BY 1")
+def trade_by_buyer_region(spark: SparkSession, base: str) -> DataFrame:
+    """Four joins up from the line items, by way of the order."""
+    metrics = ["turnover", "average_quantity", "line_count"]
+    return _trade(spark, base, ["continent"], metrics, ["lineitem_to_orders"])
+
+
+@query(
+    f"""SELECT r_name AS region_name, n_name AS nation_name, {_NET} FROM lineitem LEFT JOIN supplier ON l_suppkey = s_suppkey
+    LEFT JOIN nation ON s_nationkey = n_nationkey LEFT JOIN region ON n_regionkey = r_regionkey GROUP BY 1, 2"""
+)
+def trade_by_vendor_nation(spark: SparkSession, base: str) -> DataFrame:
+    """The same dimensions by the other way."""
+    return _trade(spark, base, ["region_name", "nation_name"], ["net_revenue"], ["lineitem_to_supplier"])
+
+
+@query(f"SELECT c_mktsegment AS segment, year(o_orderdate)::INT AS order_year, l_returnflag AS return_flag, count(*) AS line_count {_LINES} GROUP BY 1, 2, 3")
+def trade_by_segment_and_year(spark: SparkSession, base: str) -> DataFrame:
+    """Dimensions of three tables on one way."""
+    return _trade(spark, base, ["segment", "order_year", "return_flag"], ["line_count"])
+
+
+@query(
+    """SELECT s_name AS supplier_name, c_mktsegment AS segment, count(*) AS line_count FROM lineitem
+    LEFT JOIN supplier ON l_suppkey = s_suppkey LEFT JOIN orders ON l_orderkey = o_orderkey LEFT JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2"""
+)
+def trade_by_vendor_and_segment(spark: SparkSession, base: str) -> DataFrame:
+    """Two ways at once, to different tables."""
+    return _trade(spark, base, ["supplier_name", "segment"], ["line_count"])
+
+
+@query(
+    f"""SELECT nation_name, net_revenue, order_count, largest_order, buyer_count FROM
+      (SELECT n_name AS nation_name, {_NET} {_LINES} GROUP BY 1)
+      FULL JOIN (SELECT n_name AS nation_name, count(o_orderkey) AS order_count, max(o_totalprice) AS largest_order FROM orders
+        LEFT JOIN customer ON o_custkey = c_custkey LEFT JOIN nation ON c_nationkey = n_nationkey GROUP BY 1) USING (nation_name)
+      FULL JOIN (SELECT n_name AS nation_name, count(c_custkey) AS buyer_count FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey
+        GROUP BY 1) USING (nation_name)"""
+)
+def trade_at_three_grains(spark: SparkSession, base: str) -> DataFrame:
+    """Lines, orders and customers per nation, each counted at its own grain."""
+    metrics = ["net_revenue", "order_count", "largest_order", "buyer_count"]
+    return _trade(spark, base, ["country"], metrics, ["lineitem_to_orders"])
+
+
+@query(
+    " UNION ALL ".join(
+        f"""SELECT '{c}_to_{p}' AS relationship, (SELECT count(*) FROM {c}) AS child_rows,
+      (SELECT count(*) FROM {c} WHERE {fk} IS NULL OR {fk} NOT IN (SELECT {pk} FROM {p})) AS without_parent,
+      (SELECT count(*) FROM (SELECT {pk} FROM {p} GROUP BY 1 HAVING count(*) > 1)) AS repeated_keys"""
+        for c, fk, p, pk in (
+            ("lineitem", "l_orderkey", "orders", "o_orderkey"),
+            ("orders", "o_custkey", "customer", "c_custkey"),
+            ("customer", "c_nationkey", "nation", "n_nationkey"),
+            ("lineitem", "l_suppkey", "supplier", "s_suppkey"),
+            ("supplier", "s_nationkey", "nation", "n_nationkey"),
+            ("nation", "n_regionkey", "region", "r_regionkey"),
+        )
+    )
+)
+def trade_key_check(spark: SparkSession, base: str) -> DataFrame:
+    """What the model claims of its keys, counted."""
+    return TRADE.check_keys(lambda t: read_table(spark, base, t))
+
+
 def _catalog_sql() -> str:
     rows = []
     for kind, table, name, definition, synonyms in MODEL.catalog():

@@ -3,6 +3,7 @@ import pytest
 from custodia.operators.governance import DATA_USER, GOVERNOR, grouped_by_key
 from custodia.plans.order_analytics import CUSTOMER_ORDER_ANALYTICS as MODEL
 from custodia.plans.semantic import SemanticError
+from custodia.plans.trade_analytics import TRADE_ANALYTICS as TRADE
 from custodia.workload.scenario import governance
 
 
@@ -75,3 +76,80 @@ def test_late_filter_changes_nothing(load, spark, base):
     plain = MODEL.query(load(DATA_USER), *args)
     late = MODEL.query(load(DATA_USER), *args, lambda t, *grouping: grouped_by_key(gov, t, DATA_USER, *grouping))
     assert sorted(map(tuple, plain.collect())) == sorted(map(tuple, late.collect()))
+
+
+def _tables(spark, base, seen=None):
+    def load(table):
+        if seen is not None:
+            seen.append(table)
+        return spark.read.parquet(f"{base}/{table}.parquet")
+
+    return load
+
+
+def test_ways_through_the_model():
+    names = lambda a, b: [[r.name for r in p] for p in TRADE.paths(a, b)]
+    assert names("orders", "region") == [["orders_to_customer", "customer_to_nation", "nation_to_region"]]
+    assert len(names("lineitem", "region")) == 2 and names("nation", "orders") == [] and names("orders", "orders") == [[]]
+
+
+def test_two_ways_are_refused_unless_one_is_named(spark, base):
+    load = _tables(spark, base)
+    for via in ((), ("nation_to_region",), ("lineitem_to_orders", "lineitem_to_supplier")):
+        with pytest.raises(SemanticError, match="2 ways"):
+            TRADE.query(load, ["region_name"], ["net_revenue"], via=via)
+    with pytest.raises(SemanticError, match="no relationship"):
+        TRADE.query(load, ["region_name"], ["net_revenue"], via=["nope"])
+    one, two = (TRADE.query(load, ["nation_name"], ["line_count"], via=[v]) for v in ("orders_to_customer", "lineitem_to_supplier"))
+    assert sorted(map(tuple, one.collect())) != sorted(map(tuple, two.collect()))
+
+
+def test_no_way_from_one_to_many(spark, base):
+    load = _tables(spark, base)
+    with pytest.raises(SemanticError, match="would multiply"):
+        TRADE.query(load, ["order_year"], ["buyer_count"])
+    with pytest.raises(SemanticError, match="not related"):
+        TRADE.query(load, ["supplier_name"], ["order_count"])
+
+
+def test_a_join_multiplies_nothing(spark, base):
+    """Totals over any dimension add up to the table's rows, however many joins there are; only needed tables are read."""
+    lines = spark.read.parquet(f"{base}/lineitem.parquet").count()
+    for dims, via, tables in (
+        (["region_name"], ["lineitem_to_orders"], ["lineitem", "orders", "customer", "nation", "region"]),
+        (["region_name", "supplier_name"], ["lineitem_to_supplier"], ["lineitem", "supplier", "nation", "region"]),
+        (["supplier_name", "segment", "order_year"], [], ["lineitem", "supplier", "orders", "customer"]),
+        (["return_flag"], [], ["lineitem"]),
+    ):
+        seen = []
+        out = TRADE.query(_tables(spark, base, seen), dims, ["line_count"], via=via).collect()
+        assert sum(r["line_count"] for r in out) == lines and sorted(seen) == sorted(tables)
+
+
+def test_children_without_a_parent_keep_null(spark):
+    tables = {
+        "orders": spark.createDataFrame([(1, 10, 5.0), (2, None, 1.0), (3, 77, 2.0)], "o_orderkey int, o_custkey int, o_totalprice double"),
+        "customer": spark.createDataFrame([(10, 4), (11, None)], "c_custkey int, c_nationkey int"),
+        "nation": spark.createDataFrame([(4, 9, "X")], "n_nationkey int, n_regionkey int, n_name string"),
+    }
+    out = TRADE.query(tables.get, ["nation_name"], ["order_count", "largest_order", "buyer_count"])
+    assert {tuple(r) for r in out.collect()} == {("X", 1, 5.0, 1), (None, 2, 2.0, 1)}
+
+
+def test_a_model_names_its_relationships_once():
+    from dataclasses import replace
+
+    with pytest.raises(SemanticError):
+        replace(TRADE, relationships=[*TRADE.relationships, TRADE.relationships[0]])
+
+
+def test_groups_shrink_before_every_join(spark, base):
+    from tests.test_plans import plan
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = TRADE.query(_tables(spark, base), ["region_name"], ["net_revenue"], via=["lineitem_to_orders"])
+        joins = plan(out, "simple").count("SortMergeJoin")
+        assert joins == 4 and plan(out, "simple").count("HashAggregate") >= 2 * 4
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
