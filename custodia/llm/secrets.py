@@ -12,8 +12,10 @@ overlapping parts that are secrets make one span:
   control (Benjamini-Hochberg at ``rate``) within each class of lengths, over the candidates of the whole corpus.
 
 All native. Positions come from the gaps between matches (``split``) and the matches themselves, so they are code
-points. Texts without the marks of a pattern skip it. The corpus control is one histogram of at most 4 x 4,001
-cells. Null text: empty. Repeated rows and null ids are scanned and returned as they are; empty tables give no rows.
+points; running sums and maxima over a text's matches are built by doubling steps, so a text with very many of them costs
+n log n. Texts without the marks of a pattern skip it. Texts are read once: spans and tested candidates are stored with
+what the caller needs of a document, and the corpus control is one histogram over them of at most 4 x 4,001 cells.
+Null text: empty. Repeated rows and null ids are scanned and returned as they are; empty tables give no rows.
 """
 
 from __future__ import annotations
@@ -21,13 +23,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from custodia.llm.common import let
+from custodia.llm.common import let, stored
 
 #: Kind, pattern, group whose length counts, least length.
 BASE = (
     ("assign", r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 8),
-    ("access", r"AKIA[A-Z0-9]+", 0, 16),
-    ("hex", r"[0-9a-f]+", 0, 32),
+    ("access", r"AKIA[A-Z0-9]{12,}", 0, 16),  # as AKIA[A-Z0-9]+ of that length: a later start in a run is shorter
+    ("hex", r"[0-9a-f]{32,}", 0, 32),  # runs are maximal, so short ones need not be matched to be dropped
 )
 #: What a text must hold for a pattern to match with the least length; cheap to look for.
 _GATES = {
@@ -62,24 +64,37 @@ LENGTHS = (20, 28, 40, 64)
 _CELLS = 4000
 
 
+def running(values: Column, combine) -> Column:
+    """``combine`` over every value and all before it: distances 1, 2, 4, ... are taken in one after another."""
+    rounds = F.when(F.size(values) > 1, F.ceil(F.log2(F.size(values).cast("double"))).cast("int")).otherwise(0)
+
+    def doubled(x: Column, step: Column) -> Column:
+        return F.transform(
+            x, lambda v, i: F.when(i >= step, combine(v, F.get(x, (i - step).cast("int")))).otherwise(v)
+        )
+
+    steps = F.transform(
+        F.slice(F.sequence(F.lit(0), rounds), F.lit(1), rounds), lambda r: F.pow(F.lit(2.0), r.cast("double")).cast("int")
+    )
+    return F.aggregate(steps, values, doubled)
+
+
 def located(text: Column, pattern: str) -> Column:
     """(start, end, token) of all leftmost non-overlapping matches, in code points."""
     gaps = F.transform(F.split(text, pattern, -1), lambda g: F.length(g))
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
 
     def placed(gap: Column, tokens: Column) -> Column:
-        empty = F.array().cast("array<struct<start:int,end:int,token:string>>")
-        start = F.struct(F.lit(0).alias("at"), empty.alias("spans"))
-
-        def step(state: Column, i: Column) -> Column:
-            begin = state["at"] + F.get(gap, i)
-            token = F.get(tokens, i)
-            end = begin + F.length(token)
-            span = F.struct(begin.alias("start"), end.alias("end"), token.alias("token"))
-            return F.struct(end.alias("at"), F.concat(state["spans"], F.array(span)).alias("spans"))
-
-        order = F.slice(F.sequence(F.lit(0), F.size(tokens)), F.lit(1), F.size(tokens))
-        return F.aggregate(order, start, step, lambda s: s["spans"])
+        ends = running(F.transform(tokens, lambda t, i: F.get(gap, i) + F.length(t)), lambda v, before: v + before)
+        return let(
+            ends,
+            lambda e: F.transform(
+                tokens,
+                lambda t, i: F.struct(
+                    (F.get(e, i) - F.length(t)).alias("start"), F.get(e, i).alias("end"), t.alias("token")
+                ),
+            ),
+        )
 
     return let(gaps, lambda g: let(found, lambda t: placed(g, t)))
 
@@ -129,9 +144,10 @@ def tested(span: Column) -> Column:
 
     def battery(x: Column, size: Column) -> Column:
         n = F.size(x).cast("double")
-        squares = F.aggregate(
-            F.array_distinct(x), F.lit(0.0), lambda s, d: s + F.pow(F.size(F.filter(x, lambda c: c == d)).cast("double"), F.lit(2.0))
+        times = F.transform(  # of every letter of the alphabet
+            F.split(alphabet, ""), lambda c: (F.length(token) - F.length(F.replace(token, c, F.lit("")))).cast("double")
         )
+        squares = F.aggregate(times, F.lit(0.0), lambda s, k: s + k * k)
         chi = size / n * squares - n
         uniform = (chi - (size - 1)) / F.sqrt(2 * (size - 1) * (1 - 1 / n))
         high = F.aggregate(x, F.lit(0.0), lambda s, c: s + F.when(c >= size / 2, 1.0).otherwise(0.0))
@@ -198,10 +214,9 @@ def candidates(text: Column) -> Column:
     return F.when(text.rlike(_RUN), found).otherwise(empty)
 
 
-def discovery_cells(documents: DataFrame, rate: float) -> dict[int, int]:
+def discovery_cells(scanned: DataFrame, rate: float) -> dict[int, int]:
     """Per length class the lowest cell that Benjamini-Hochberg accepts, over all candidates of the corpus."""
-    text = F.coalesce("text", F.lit(""))
-    cells = documents.select(F.explode(candidates(text)).alias("c")).groupBy("c.band", "c.cell").count().collect()
+    cells = scanned.select(F.explode("candidates").alias("c")).groupBy("c.band", "c.cell").count().collect()
     lowest = {}
     for band in {r.band for r in cells}:
         own = sorted(((r.cell, r["count"]) for r in cells if r.band == band), reverse=True)
@@ -213,45 +228,88 @@ def discovery_cells(documents: DataFrame, rate: float) -> dict[int, int]:
     return lowest
 
 
+def united(spans: Column) -> Column:
+    """(start, end) of sorted spans, those that overlap as one."""
+
+    def heads(sorted_spans: Column, reach: Column) -> Column:
+        first = F.filter(
+            F.transform(sorted_spans, lambda s, i: F.when((i == 0) | (s["start"] >= F.get(reach, i - 1)), i)),
+            lambda i: i.isNotNull(),
+        )
+        return let(
+            first,
+            lambda at: F.transform(
+                at,
+                lambda i, k: F.struct(
+                    F.get(sorted_spans, i)["start"].alias("start"),
+                    F.get(reach, F.coalesce(F.get(at, k + 1), F.size(sorted_spans)) - 1).alias("end"),
+                ),
+            ),
+        )
+
+    return let(
+        spans,
+        lambda x: let(running(F.transform(x, lambda s: s["end"]), lambda v, before: F.greatest(v, before)), lambda reach: heads(x, reach)),
+    )
+
+
+def apart(found: Column, base: Column) -> Column:
+    """Those of ``found`` that overlap nothing in ``base``; both are (start, end, ...) in any order."""
+    place = lambda spans, own: F.transform(
+        spans, lambda s: F.struct(s["start"].alias("start"), F.lit(own).alias("own"), s["end"].alias("end"))
+    )
+    far = F.lit(2**31 - 1)
+
+    def clear(both: Column) -> Column:
+        ends = running(F.transform(both, lambda s: F.when(s["own"], 0).otherwise(s["end"])), lambda v, b: F.greatest(v, b))
+        starts = F.reverse(
+            running(
+                F.reverse(F.transform(both, lambda s: F.when(s["own"], far).otherwise(s["start"]))), lambda v, b: F.least(v, b)
+            )
+        )
+        return let(
+            ends,
+            lambda before: let(
+                starts,
+                lambda after: F.filter(
+                    both, lambda s, i: s["own"] & (F.get(before, i) <= s["start"]) & (F.get(after, i) >= s["end"])
+                ),
+            ),
+        )
+
+    return let(F.sort_array(F.concat(place(found, True), place(base, False))), clear)  # base first where starts are equal
+
+
 def secret_spans(documents: DataFrame, rate: float = 0.01, alpha: float = 0.001) -> DataFrame:
     """The documents' columns and two arrays of (start, rank, end, kind), which replace columns of their names."""
-    lowest = discovery_cells(documents, rate)
     text = F.coalesce(documents["text"], F.lit(""))
+    kept = [documents[f"`{c.replace('`', '``')}`"] for c in documents.columns if c not in (BASE_SPANS, ADDED_SPANS)]
+    return _settled(
+        stored(documents.select(F.struct(*kept).alias("row"), base_spans(text).alias("base"), candidates(text).alias("candidates")), "spans"),
+        rate,
+        alpha,
+    )
 
-    def secret(c: Column, base: Column) -> Column:
+
+def _settled(scanned: DataFrame, rate: float, alpha: float) -> DataFrame:
+    """row.*, base and added spans of scanned documents (row, base, candidates)."""
+    lowest = discovery_cells(scanned, rate)
+
+    def significant(c: Column) -> Column:
         least = F.lit(None).cast("int")
         for band, cell in lowest.items():
             least = F.when(c["band"] == band, F.lit(cell)).otherwise(least)
-        free = ~F.exists(base, lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"]))
-        return F.coalesce((c["cell"] >= least) & (c["p_random"] >= alpha), F.lit(False)) & free
-
-    def merged(found: Column) -> Column:
-        """(start, end) of the candidates, overlapping ones as one."""
-        spans = F.sort_array(F.transform(found, lambda c: F.struct(c["start"].alias("start"), c["end"].alias("end"))))
-        empty = F.array().cast("array<struct<start:int,end:int>>")
-
-        def step(out: Column, s: Column) -> Column:
-            last = F.get(out, F.size(out) - 1)
-            longer = F.struct(last["start"].alias("start"), F.greatest(last["end"], s["end"]).alias("end"))
-            joined = F.concat(F.slice(out, F.lit(1), F.size(out) - 1), F.array(longer))
-            return F.when(last["end"] > s["start"], joined).otherwise(F.concat(out, F.array(s)))
-
-        return F.aggregate(spans, empty, step)
-
-    def added(base: Column) -> Column:
-        kept = merged(F.filter(candidates(text), lambda c: secret(c, base)))
-        return F.transform(
-            kept,
-            lambda c: F.struct(
-                c["start"].alias("start"), F.lit(len(BASE)).alias("rank"), c["end"].alias("end"), F.lit(RANDOM).alias("kind")
-            ),
-        )
+        return F.coalesce((c["cell"] >= least) & (c["p_random"] >= alpha), F.lit(False))
 
-    spans = let(base_spans(text), lambda base: F.struct(base.alias("base"), added(base).alias("added")))
-    kept = [c for c in documents.columns if c not in (BASE_SPANS, ADDED_SPANS, "found_spans")]
-    return documents.select(*kept, spans.alias("found_spans")).select(
-        *kept, F.col("found_spans.base").alias(BASE_SPANS), F.col("found_spans.added").alias(ADDED_SPANS)
+    added = F.transform(
+        united(apart(F.filter("candidates", significant), F.col("base"))),
+        lambda c: F.struct(
+            c["start"].alias("start"), F.lit(len(BASE)).alias("rank"), c["end"].alias("end"), F.lit(RANDOM).alias("kind")
+        ),
     )
+    empty = F.array().cast("array<struct<start:int,rank:int,end:int,kind:string>>")
+    added = F.when(F.size("candidates") > 0, added).otherwise(empty)
+    return scanned.select("row.*", F.col("base").alias(BASE_SPANS), added.alias(ADDED_SPANS))
 
 
 def listed(spans: Column) -> Column:
@@ -261,7 +319,10 @@ def listed(spans: Column) -> Column:
 
 def scan_secrets(documents: DataFrame, rate: float = 0.01, alpha: float = 0.001) -> DataFrame:
     """Counts and spans of every document."""
-    found = secret_spans(documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), rate, alpha)
+    text = F.coalesce("text", F.lit(""))
+    row = F.struct(F.col("doc_id").cast("long").alias("doc_id"))
+    scanned = documents.select(row.alias("row"), base_spans(text).alias("base"), candidates(text).alias("candidates"))
+    found = _settled(stored(scanned, "spans"), rate, alpha)
     count = lambda kind: F.size(F.filter(BASE_SPANS, lambda s: s["kind"] == kind)).cast("long")
     return found.select(
         "doc_id",
@@ -272,25 +333,35 @@ def scan_secrets(documents: DataFrame, rate: float = 0.01, alpha: float = 0.001)
     )
 
 
-def redacted(documents: DataFrame, mark: str = "[SECRET]", rate: float = 0.01, alpha: float = 0.001) -> DataFrame:
-    """The documents with every span replaced by ``mark`` and ``n_chars`` counted anew where that happened."""
-    found = secret_spans(documents, rate, alpha)
-    spans = F.sort_array(F.concat(BASE_SPANS, ADDED_SPANS))
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+#: Up to so many spans a text is cut by position, which is read from the start each time; beyond, it is taken apart once.
+_FEW = 16
 
-    def step(state: Column, s: Column) -> Column:
-        fresh = s["start"] >= state["at"]
-        gap = F.col("text").substr(state["at"] + 1, s["start"] - state["at"])
-        return F.struct(
-            F.greatest(state["at"], s["end"]).alias("at"),
-            F.when(fresh, F.concat(state["out"], gap, F.lit(mark))).otherwise(state["out"]).alias("out"),
+
+def without_spans(text: Column, spans: Column, mark: str) -> Column:
+    """The text with ``mark`` for each of the spans, which are in order and do not overlap."""
+
+    def joined(piece) -> Column:
+        between = F.transform(
+            spans, lambda s, i: F.when(i == 0, piece(F.lit(0), s["start"])).otherwise(piece(F.get(spans, i - 1)["end"], s["start"]))
         )
+        tail = piece(F.get(spans, F.size(spans) - 1)["end"], F.length(text))
+        return F.concat(F.array_join(between, mark), F.lit(mark), tail)
 
-    rebuilt = F.aggregate(
-        spans, start, step, lambda s: F.concat(s["out"], F.col("text").substr(s["at"] + 1, F.length("text")))
-    )
-    hit = F.size(BASE_SPANS) + F.size(ADDED_SPANS) > 0
-    changed = found.withColumn("text", F.when(hit, rebuilt).otherwise(F.col("text")))
+    by_position = joined(lambda a, b: F.substring(text, a + 1, b - a))
+    apart_once = let(F.split(text, ""), lambda c: joined(lambda a, b: F.array_join(F.slice(c, a + 1, b - a), "")))
+    return F.when(F.size(spans) == 0, text).when(F.size(spans) <= _FEW, by_position).otherwise(apart_once)
+
+
+def redacted(documents: DataFrame, mark: str = "[SECRET]", rate: float = 0.01, alpha: float = 0.001) -> DataFrame:
+    """The documents with every span replaced by ``mark`` and ``n_chars`` counted anew where that happened.
+
+    Spans that overlap are one; equal rows are changed alike. Columns called like the two arrays of spans are dropped.
+    """
+    found = secret_spans(documents, rate, alpha)
+    spans = F.concat(BASE_SPANS, ADDED_SPANS)
+    hit = F.size(spans) > 0
+    text = F.when(hit, let(united(F.sort_array(spans)), lambda s: without_spans(F.col("text"), s, mark))).otherwise(F.col("text"))
+    changed = found.withColumn("text", text)
     if "n_chars" in documents.columns:
         changed = changed.withColumn(
             "n_chars", F.when(hit, F.length("text").cast("long")).otherwise(F.col("n_chars"))

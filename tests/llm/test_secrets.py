@@ -2,8 +2,11 @@
 
 import base64
 import hashlib
+import math
 import random
 import re
+import time
+from collections import Counter
 
 from custodia.llm import secrets
 from custodia.llm.queries import QUERIES
@@ -105,3 +108,135 @@ def test_redaction(spark):
     nested = [(1, "é token=" + "0f" * 20 + ".", "en", "a", 0)]
     (r,) = secrets.redacted(documents(spark, nested)).collect()
     assert r.text == "é [SECRET]"
+
+
+ALPHABETS = [
+    ("decimal", "0123456789", "", ""), ("hex", "0123456789abcdef", "0123456789", ""), ("HEX", "0123456789ABCDEF", "0123456789", ""),
+    ("lower", "abcdefghijklmnopqrstuvwxyz", "", ""), ("upper", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "", ""),
+    ("base32", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", "", ""), ("lower36", "0123456789abcdefghijklmnopqrstuvwxyz", "", ""),
+    ("upper36", "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ", "", ""),
+    ("base62", "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz", "", ""),
+    ("base64", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", "", ""),
+    ("base64url", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789-_", "", ""),
+]
+
+
+def plain_candidates(text):
+    """Runs of key characters, cut as the docstring says, with the battery's figures in plain Python."""
+    found = []
+    for m in re.finditer(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}(?:=+(?![A-Za-z0-9+/_=-]))?", text):
+        parts = [(m.start(), m.group())]
+        if set(m.group()) & set("+/") and set(m.group()) & set("_-"):
+            parts = []
+            for letters in ("A-Za-z0-9+/", "A-Za-z0-9_-"):
+                parts += [
+                    (m.start() + p.start(), p.group())
+                    for p in re.finditer(f"[{letters}]{{20,}}(?:=+(?![A-Za-z0-9+/_=-]))?", m.group())
+                ]
+        for start, run in parts:
+            token = run.rstrip("=")
+            name, alphabet = next((n, a) for n, a, needs, _ in ALPHABETS if set(token) <= set(a) and (not needs or set(token) & set(needs)))
+            if name != "decimal" and len(token) >= 20:
+                found.append((start, start + len(run), len(token), *battery(token, name, alphabet)))
+    return found
+
+
+def tail(z):
+    z = max(z, 0.0)
+    return 0.5 * math.exp(-0.717 * z - 0.416 * z * z)
+
+
+def battery(token, name, alphabet):
+    x, n, size = [alphabet.index(c) for c in token], len(token), len(alphabet)
+    chi = size / n * sum(k * k for k in Counter(token).values()) - n
+    uniform = (chi - (size - 1)) / math.sqrt(2 * (size - 1) * (1 - 1 / n))
+    high = [c >= size / 2 for c in x]
+    changes = sum(a != b for a, b in zip(high, high[1:]))
+    expected = 2 * sum(high) * (n - sum(high)) / n + 1
+    runs = abs(changes + 1 - expected) / math.sqrt(max((expected - 1) * (expected - 2) / (n - 1), 1e-9))
+    mean = sum(x) / n
+    power = sum((c - mean) ** 2 for c in x)
+    serial = abs(sum((a - mean) * (b - mean) for a, b in zip(x, x[1:])) / max(power, 1e-9) + 1 / n) * math.sqrt(n)
+    p_random = min(1.0, 3 * min(tail(uniform), 2 * tail(runs), 2 * tail(serial)))
+    text_mean = (size - 1) + (n - 1) * (size * 0.0655 - 1)
+    text_spread = math.sqrt(2 * size * size * 0.0655**2 + 4 * n * size * size * (0.0055 - 0.0655**2))
+    digits, rare = sum(c.isdigit() for c in token), 0.02 * n
+    extra = (digits - rare) + digits * math.log(rare / digits) if digits > rare else 0.0
+    extra = n * math.log(0.35) if name.lower() == "hex" else extra
+    return p_random, math.log(2 * tail((text_mean - chi) / text_spread)) + extra
+
+
+def plain_added(texts, rate=0.01, alpha=0.001):
+    """Added spans of every text: Benjamini-Hochberg per length class on p-values of tenths of a decade."""
+    candidates = {i: plain_candidates(t or "") for i, t in texts.items()}
+    band = lambda n: sum(n >= low for low in (20, 28, 40, 64))
+    cell = lambda log_p: int(min(4000, max(0, math.floor(-10 * log_p / math.log(10)))))
+    least = {}
+    for b in range(1, 5):
+        own = sorted((cell(c[4]) for cs in candidates.values() for c in cs if band(c[2]) == b), reverse=True)
+        for k, value in enumerate(own):
+            if (k + 1 == len(own) or own[k + 1] != value) and 10 ** (-value / 10) <= rate * (k + 1) / len(own):
+                least[b] = value
+    out = {}
+    for i, cs in candidates.items():
+        base = [tuple(map(int, s.split(":")[1:])) for s in base_spans(texts[i] or "")]
+        spans = sorted(
+            (s, e) for s, e, n, p, log_p in cs
+            if p >= alpha and cell(log_p) >= least.get(band(n), 5000) and not any(a < e and s < z for a, z in base)
+        )
+        merged = []
+        for s, e in spans:
+            if merged and s < merged[-1][1]:
+                merged[-1] = (merged[-1][0], max(merged[-1][1], e))
+            else:
+                merged.append((s, e))
+        out[i] = merged
+    return out
+
+
+def test_added_spans_against_plain_python(spark):
+    """Keys of every encoding and length among names, words, numbers and mixed runs."""
+    rng = random.Random(21)
+    texts = {}
+    for i in range(400):
+        parts = []
+        for _ in range(rng.randrange(6)):
+            _, alphabet, _, _ = rng.choice(ALPHABETS)
+            key = "".join(rng.choice(alphabet) for _ in range(rng.choice([18, 20, 24, 32, 45, 64, 90])))
+            parts.append(
+                rng.choice(
+                    [key, key + "=", f"{key}/{key[::-1]}_x", f"token={key}", f"{words(rng, 14)}_{words(rng, 12)}", words(rng, 25),
+                     f"x={key}", f"{key}+{words(rng, 22)}-{key[:25]}", "ab" * 15, "é" + key]
+                )
+            )
+        texts[i] = rng.choice(["\U0001f600 ", ""]) + " ".join(parts)
+    rows = [(i, t, "en", "a", 0) for i, t in texts.items()]
+    got = {}
+    for r in secrets.scan_secrets(spark.createDataFrame(rows, DOCUMENTS)).collect():
+        got[r.doc_id] = [tuple(map(int, s.split(":")[1:])) for s in r.spans.split(",") if s.startswith("random:")]
+    want = plain_added(texts)
+    assert sum(map(len, want.values())) > 100 and got == want
+
+
+def test_long_texts_with_many_matches(spark):
+    """80,000 words, 10,000 assignments, 2,000 keys: each in seconds, with every span and the text between them."""
+    rng = random.Random(3)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    cases = [
+        " ".join(words(rng, 6) for _ in range(80_000)) + " " + "0f" * 16,
+        " ".join(f"token=abcdefgh{i}" for i in range(10_000)),
+        " ".join("".join(rng.choice(letters) for _ in range(40)) for _ in range(2_000)),
+    ]
+    rows = [(i, t, "en", "a", 0) for i, t in enumerate(cases)]
+    df = spark.createDataFrame(rows, DOCUMENTS)
+    secrets.scan_secrets(df.limit(0)).collect()  # code generation
+    start = time.perf_counter()
+    got = {r.doc_id: r for r in secrets.scan_secrets(df).collect()}
+    assert time.perf_counter() - start < 20
+    check(list(got.values()), dict(enumerate(cases)))
+    assert [(r.n_assign, r.n_hex) for _, r in sorted(got.items())] == [(0, 1), (10_000, 0), (0, 0)] and got[2].n_random > 1_900
+    redacted = {r.doc_id: r.text for r in secrets.redacted(df).collect()}
+    assert redacted[0] == cases[0][:-32] + "[SECRET]" and redacted[1] == " ".join(["[SECRET]"] * 10_000)
+    spans = [tuple(map(int, s.split(":")[1:])) for s in got[2].spans.split(",")]
+    ends = [0, *[e for _, e in spans]]
+    assert redacted[2] == "[SECRET]".join([cases[2][e:s] for e, (s, _) in zip(ends, spans)] + [cases[2][ends[-1]:]])
