@@ -1,11 +1,13 @@
 """Quality rules by cross-document line frequency.
 
 Lines are normalised (A-Z lowered, white space collapsed) and hashed. For every host the distinct documents
-that hold a line are counted; lines in more than ``max(min_documents, share * documents of the host)`` are
-boilerplate and taken out. A document that loses more than ``depleted`` of its words by that is rejected,
-besides those that fail the per-document rules.
+that hold a line are counted; lines in more than ``share`` of the host's documents, and in more than ``few``
+(a line of that few documents is no habit of the host), are boilerplate and taken out: the same rule at every size.
+A document that loses more than ``depleted`` of its words by that is rejected, besides those that fail the
+per-document rules.
 
-* Distinct documents are distinct texts: copies of a document do not make its lines frequent.
+* Distinct documents are distinct texts: copies of a document do not make its lines frequent. A text without a line
+  of words is a document of its host like any other.
 * Texts are read once; what is stored per document are numbers and line hashes. Counting goes through
   (host, line, document) rows without texts, so a line in a third of all documents is summed per task first.
 * A host has at most (lines per document) / ``share`` frequent lines, however large it grows.
@@ -120,18 +122,18 @@ def measured(documents: DataFrame) -> DataFrame:
     return in_python(texts.select("doc_id", "host", F.xxhash64("text").alias("text_key"), "text"), run, _SCHEMA)
 
 
-def frequent_lines(lines: DataFrame, min_documents: int, share: float) -> DataFrame:
-    """(host, line) above the limits; ``lines`` has one row per host, distinct document and line."""
-    counts = lines.groupBy("host", "line").agg(F.count(F.lit(1)).alias("holders")).where(f"holders > {min_documents}")
-    sizes = lines.select("host", "text_key").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("documents"))
-    limit = F.greatest(F.lit(float(min_documents)), F.lit(float(share)) * F.col("documents"))
+def frequent_lines(lines: DataFrame, documents: DataFrame, few: int, share: float) -> DataFrame:
+    """(host, line) above the limits; one row per host, distinct document and line, and per host and distinct document."""
+    counts = lines.groupBy("host", "line").agg(F.count(F.lit(1)).alias("holders")).where(f"holders > {few}")
+    sizes = documents.groupBy("host").agg(F.count(F.lit(1)).alias("documents"))
+    limit = F.lit(float(share)) * F.col("documents")
     return counts.join(sizes, "host").where(F.col("holders") > limit).select("host", "line", "holders")
 
 
 def _judged(
     documents: DataFrame,
-    min_documents: int = 100,
-    share: float = 0.01,
+    few: int = 3,
+    share: float = 0.05,
     depleted: float = 0.8,
     min_words: int = 20,
     max_repeated: int = 30,
@@ -140,7 +142,7 @@ def _judged(
     base = stored(measured(documents), "line-counts")
     distinct = base.groupBy("host", "text_key").agg(F.first("lines").alias("lines"))
     lines = distinct.select("host", "text_key", F.inline("lines"))
-    frequent = frequent_lines(lines, min_documents, share)
+    frequent = frequent_lines(lines, distinct, few, share)
     removed = (
         lines.join(frequent.select("host", "line"), ["host", "line"])
         .groupBy("host", "text_key")
@@ -198,20 +200,3 @@ def cleaned_documents(documents: DataFrame, **limits) -> DataFrame:
     if "n_chars" in documents.columns:
         changed["n_chars"] = F.when(hit, F.length(text).cast("long")).otherwise(documents["n_chars"])
     return joined.select(*[changed[c].alias(c) if c in changed else documents[c] for c in documents.columns])
-
-
-def without_frequent_lines(documents: DataFrame, min_documents: int = 100, share: float = 0.01) -> DataFrame:
-    """The documents with the lines above the limits taken out of their texts."""
-    base = stored(measured(documents), "line-counts")
-    distinct = base.groupBy("host", "text_key").agg(F.first("lines").alias("lines"))
-    lines = distinct.select("host", "text_key", F.inline("lines"))
-    bounded = frequent_lines(lines, min_documents, share).groupBy("host").agg(F.collect_list("line").alias("lines"))
-    bounded = bounded.select(F.col("host").alias("line_host"), F.col("lines").alias("line_list"))
-    kept = F.filter(
-        F.split("text", "\n"),
-        lambda line: ~F.coalesce(F.array_contains(F.col("line_list"), line_key(line)), F.lit(False)),
-    )
-    named = F.coalesce(documents["source"], F.lit(""))
-    cleaned = F.when(F.col("line_list").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
-    joined = documents.join(bounded, named == bounded["line_host"], "left")
-    return joined.select(*[cleaned.alias(c) if c == "text" else documents[c] for c in documents.columns])

@@ -35,7 +35,7 @@ def url_sql(rules: tuple[tuple[str, str, str], ...], default: str = "allow") ->
     SELECT page_id, host, path, best[3] AS rule, coalesce(best[4], '{default}') AS verdict FROM u LEFT JOIN f USING (host, path)"""
 
 
-def lines_sql(least: int = 100, share: float = 0.01, depleted: float = 0.8, min_words: int = 20, repeated: int = 30) -> str:
+def lines_sql(few: int = 3, share: float = 0.05, depleted: float = 0.8, min_words: int = 20, repeated: int = 30) -> str:
     """Word windows and lines as rows."""
     line = r"trim(regexp_replace(translate(l, '{0}', '{1}'), '[\x20\x09-\x0D]+', ' ', 'g'))".format(_UPPER, _LOWER)
     return f"""WITH d AS (SELECT doc_id, coalesce(text, '') AS text, coalesce(source, '') AS host, {_WORDS.format("coalesce(text, '')")} AS w
@@ -49,7 +49,7 @@ def lines_sql(least: int = 100, share: float = 0.01, depleted: float = 0.8, min_
     dup AS (SELECT doc_id, count(*) - count(DISTINCT l) AS n_dup_lines FROM lines GROUP BY doc_id),
     size AS (SELECT host, count(DISTINCT text) AS documents FROM d GROUP BY host),
     frequent AS (SELECT host, line FROM (SELECT host, line, count(DISTINCT text) AS holders FROM lines GROUP BY host, line) JOIN size USING (host)
-      WHERE holders > greatest({least}, {share} * documents)),
+      WHERE holders > greatest({few}, {share} * documents)),
     removed AS (SELECT doc_id, sum(n) AS n FROM lines SEMI JOIN frequent USING (host, line) GROUP BY doc_id),
     m AS (SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::BIGINT AS word_chars,
         length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols, coalesce(n_dup_lines, 0)::BIGINT AS n_dup_lines,

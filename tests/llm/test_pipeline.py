@@ -7,7 +7,7 @@ import pytest
 import corpus_pipeline
 from tests.llm.helpers import ROWS, clashing, documents
 from tests.llm.test_jaccard import brute
-from tests.llm.test_quality import judged, normal
+from tests.llm.test_quality import frequent_lines, judged, normal
 from tests.llm.test_tokens import check_pieces, encoded, library  # noqa: F401
 
 STAGE = dict(corpus_pipeline.STAGES)
@@ -23,11 +23,20 @@ def stored(df, tmp):
     return df.sparkSession.read.parquet(str(tmp))
 
 
-def test_quality_stage(spark, base, table):
-    rows = table.collect()
-    kept = {j[0] for j in judged([(r.doc_id, r.text, r.source) for r in rows], 100, 0.01) if j[7]}
-    got = STAGE["quality_rules"](spark, table, base).collect()
-    assert sorted(got) == sorted(r for r in rows if r.doc_id in kept)
+def test_quality_stage(spark):
+    base = "/root/testdata/sf0.01"
+    table = spark.read.parquet(f"{base}/documents.parquet")
+    rows = [(r.doc_id, r.text, r.lang, r.source, r.n_chars) for r in table.collect()]
+    short = [(r[0], r[1], r[3]) for r in rows]
+    kept, frequent = {j[0] for j in judged(short) if j[7]}, frequent_lines(short, 3, 0.05)
+
+    def plain(doc_id, text, lang, source, n_chars):
+        left = "\n".join(x for x in text.split("\n") if normal(x) not in frequent[source])
+        return (doc_id, left, lang, source, n_chars if left == text else len(left))
+
+    got = sorted(tuple(r) for r in STAGE["quality_rules"](spark, table, base).collect())
+    assert got == sorted(plain(*r) for r in rows if r[0] in kept)
+    assert sum(plain(*r)[1] != r[1] for r in rows if r[0] in kept) > 50
 
 
 def test_quality_stage_takes_frequent_lines_out(spark, base):
@@ -36,7 +45,7 @@ def test_quality_stage_takes_frequent_lines_out(spark, base):
     rows = [(i, f"{body(i)}\n{footer if i % 2 else footer.lower()}\n\nlast {i}", "en", "h", 7) for i in range(130)]
     rows += [(500, f"{body(500)}\n{footer}", "en", "g", 7), (501, f"{footer} {body(501)}", "en", "h", 7)]
     rows += [(502, f"{footer}\n" * 3 + "few words", "en", "h", 7), (503, rows[3][1], "fr", "h", 7), (504, None, "en", "h", 7)]
-    kept = {j[0] for j in judged([(r[0], r[1], r[3]) for r in rows], 100, 0.01) if j[7]}
+    kept = {j[0] for j in judged([(r[0], r[1], r[3]) for r in rows]) if j[7]}
 
     def plain(doc_id, text, lang, source, n_chars):
         lines = [x for x in text.split("\n") if source != "h" or normal(x) != normal(footer)]
