@@ -6,11 +6,12 @@ its id and a seed, is exploded by it, and the copies are shuffled by another has
 
 * Rates above ``STEP`` are drawn as sums of several smaller Poisson values, which is exact, so no rate
   underflows and no count is capped.
-* Rates are one row per source; joining them is an equi-join that Spark broadcasts when small and splits
-  at a hot source otherwise. The copies move once, dealt by a hash that no source or document dominates.
+* Rates are one row per source, written before texts are read, so Spark knows their size: it broadcasts them below its
+  threshold and no text moves by source; beyond it the equi-join is split at a hot source. The copies move once, dealt
+  by a hash that no source or document dominates.
 * Null source: a source of its own. Rows with equal ids draw alike; rows without an id draw by their
-  text. Null text stays null. Empty tables give empty results. Other columns are kept; a column called
-  as the copy number is replaced.
+  text. Null text stays null. Empty tables give empty results. Other columns are kept, whatever they are called; a
+  column called as the copy number is replaced.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from custodia.functions.keyed import hash_long, uniform
-from custodia.llm.common import let
+from custodia.llm.common import let, stored
 
 STEP = 64.0
 #: Terms of the distribution at rate ``STEP``; beyond them the rest is below 2**-53.
@@ -63,13 +64,14 @@ def poisson_mix(
     copy: str = "copy",
 ) -> DataFrame:
     """Every document as often as drawn, with the copy's number from 1, in hashed order."""
-    rates = repetition_rates(documents, exponent, weights).select(
+    rates = stored(repetition_rates(documents, exponent, weights), "rates").select(
         "mix_source",
         F.greatest(F.ceil(F.col("rate") / STEP), F.lit(1)).cast("int").alias("mix_draws"),
         F.col("rate").alias("mix_rate"),
     )
     rates = rates.withColumn("mix_cdf", cumulative(F.col("mix_rate") / F.col("mix_draws")))
-    kept = [c for c in documents.columns if c != copy]
+    quoted = lambda c: F.col("`" + c.replace("`", "``") + "`")
+    row = F.struct(*[quoted(c) for c in documents.columns if c != copy])  # the caller's names stay inside
     name = F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("text:"), F.md5(F.coalesce("text", F.lit("")))))
 
     def drawn(number: Column) -> Column:
@@ -79,17 +81,17 @@ def poisson_mix(
     counts = F.aggregate(
         F.sequence(F.lit(1), F.col("mix_draws")), F.lit(0), lambda total, number: total + drawn(number)
     )
-    left = documents.select(*kept, name.alias("mix_name"))
+    left = documents.select(row.alias("row"), name.alias("mix_name"), F.col("source").alias("own_source"))
     copies = (
-        left.join(rates, left.source.eqNullSafe(rates.mix_source))
+        left.join(rates, left.own_source.eqNullSafe(rates.mix_source))
         .withColumn("mix_count", counts)
         .where("mix_count > 0")
-        .select(*kept, "mix_name", F.explode(F.expr("sequence(1L, cast(mix_count AS bigint))")).alias(copy))
+        .select("row", "mix_name", F.explode(F.expr("sequence(1L, cast(mix_count AS bigint))")).alias("number"))
     )
-    order = hash_long(F.concat_ws(":", F.col("mix_name"), F.col(copy).cast("string")), f"{seed} order")
+    order = hash_long(F.concat_ws(":", F.col("mix_name"), F.col("number").cast("string")), f"{seed} order")
     return (
-        copies.select(*kept, copy, order.alias("mix_order"))
+        copies.select("row", "number", order.alias("mix_order"))
         .repartition("mix_order")
         .sortWithinPartitions("mix_order")
-        .drop("mix_order")
+        .select("row.*", F.col("number").alias(copy))
     )

@@ -58,6 +58,28 @@ def test_copies_are_numbered_and_rerun_alike(spark):
     assert all(r.copy >= 1 for r in first)
 
 
+def test_texts_move_once(spark, base):
+    """Rates meet the texts by broadcast; the only exchange that texts pass is the global shuffle."""
+    import re
+
+    from tests.test_plans import plan
+
+    text = plan(poisson_mix(spark.read.parquet(f"{base}/documents.parquet")))
+    exchanges = re.findall(r"\(\d+\) Exchange\nInput \[[^\n]*\n(?:Arguments: )?[^\n]*", text)
+    assert len(exchanges) == 1 and "mix_order" in exchanges[0], exchanges
+    assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
+
+
+def test_rates_beyond_a_broadcast(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    want = sorted(map(repr, poisson_mix(documents(spark), 0.5).collect()))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert sorted(map(repr, poisson_mix(documents(spark), 0.5).collect())) == want
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_empty(spark):
     assert poisson_mix(documents(spark, [])).count() == 0
 
