@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from custodia.functions import text as tx
+from custodia.operators import names as nm
 from custodia.sources import fixtures as fx
 from custodia.sources.snapshots import write_snapshot
 from custodia.sources.tables import read_table
@@ -66,6 +67,69 @@ def redaction_table(spark: SparkSession, base: str) -> DataFrame:
     return write_snapshot(redacted, "redaction-table")
 
 
+def _learned_sql(rounds: int = 3, least: float = 0.5) -> str:
+    """Name parts of the notes, counted position by position."""
+    q = lambda pattern: pattern.replace("'", "''")
+    capital, lower = f"regexp_matches({{0}}, '{q(nm.CAPITALISED)}')", f"regexp_matches({{0}}, '{q(nm.LOWER)}')"
+    titles = duck.names(nm.HONORIFICS)
+    steps = [
+        f"""toks AS (SELECT regexp_extract_all(feedback, '{q(nm.TOKEN)}') AS t FROM feedback),
+    tok AS (SELECT t[i] AS word, CASE WHEN i > 1 THEN t[i - 1] END AS b, CASE WHEN i > 2 THEN t[i - 2] END AS bb, t[i + 1] AS a, i
+      FROM (SELECT t, unnest(range(1, len(t) + 1)) AS i FROM toks)),
+    marked AS (SELECT *, {capital.format('word')} AND word NOT IN {titles} AS cap,
+      coalesce(b IN {titles} OR (b = '.' AND bb IN {titles}), FALSE) AS title FROM tok),
+    occ AS (SELECT word, CASE WHEN b NOT IN {titles} AND ({capital.format('b')} OR {lower.format('b')}) THEN b END AS before,
+      CASE WHEN {capital.format('a')} OR {lower.format('a')} THEN a END AS after, title AS titled,
+      NOT title AND (i = 1 OR coalesce(regexp_matches(b, '{nm.SENTENCE_END}'), FALSE)) AS start FROM marked WHERE cap),
+    lows AS (SELECT word, count(*) AS low FROM tok WHERE {lower.format('word')} GROUP BY 1),
+    spelled AS (SELECT occ.word, count(*) AS caps, count(*) FILTER (NOT start) AS mid, count(*) FILTER (titled) AS titled_n,
+      coalesce(any_value(low), 0) AS low FROM occ LEFT JOIN lows ON lower(occ.word) = lows.word GROUP BY 1),
+    known0 AS (SELECT word, 1.0::DOUBLE AS score FROM spelled WHERE titled_n > 0 AND mid >= 9 * low)"""
+    ]
+    for r in range(rounds):
+        for side in ("before", "after"):
+            steps.append(
+                f"""{side}{r} AS (SELECT {side} AS c, count(k.word)::DOUBLE / (count(*) + 2) AS share FROM occ LEFT JOIN known{r} k USING (word)
+      WHERE {lower.format(side)} GROUP BY 1 HAVING count(k.word) > 0)"""
+            )
+        steps.append(
+            f"""sums{r} AS (SELECT occ.word, count(*) FILTER (kb.word IS NOT NULL OR ka.word IS NOT NULL) AS beside_n,
+      count(DISTINCT coalesce(kb.word, ka.word)) AS neighbours, count(*) FILTER (NOT start AND NOT titled) AS placed_n,
+      coalesce(sum(greatest(coalesce(b.share, 0), coalesce(a.share, 0))) FILTER (NOT start AND NOT titled), 0)::DOUBLE AS context
+      FROM occ LEFT JOIN known{r} kb ON kb.word = before LEFT JOIN known{r} ka ON ka.word = after
+      LEFT JOIN before{r} b ON b.c = before LEFT JOIN after{r} a ON a.c = after GROUP BY 1),
+    usual{r} AS (SELECT sum(context) / sum(placed_n) AS u FROM sums{r} WHERE word IN (SELECT word FROM known{r})),
+    scored{r} AS (SELECT word, CASE WHEN mid > 0 THEN mid::DOUBLE / (mid + low) WHEN neighbours >= 3 AND beside_n >= 0.9 * caps
+        THEN caps::DOUBLE / (caps + low) ELSE 0 END * (1 - (1 - titled_n::DOUBLE / caps) * (1 - beside_n::DOUBLE / caps)
+        * (1 - CASE WHEN u > 0 THEN least(context / (placed_n + 1) / u, 1.0::DOUBLE) ELSE 0 END)) AS score FROM spelled JOIN sums{r} USING (word), usual{r}),
+    known{r + 1} AS (SELECT word, max(score) AS score FROM (SELECT * FROM scored{r} WHERE score >= {least} UNION ALL SELECT * FROM known0) GROUP BY 1)"""
+        )
+    return "WITH " + ",\n    ".join(steps) + f",\n    parts AS (SELECT * FROM known{rounds}) "
+
+
+@query(duck.with_tables("feedback", sql=_learned_sql() + "SELECT word, round(score, 6) AS score FROM parts"))
+def learned_names(spark: SparkSession, base: str) -> DataFrame:
+    """Name parts that the notes give away by titles, company and context."""
+    return nm.name_parts(fx.feedback(spark, base), "feedback").select("word", F.round("score", 6).alias("score"))
+
+
+_LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ''-"
+
+
+@query(
+    duck.with_tables(
+        "feedback",
+        sql=_learned_sql()
+        + f"""SELECT o_orderkey, regexp_replace(feedback, '(^|[^{_LETTERS}])(?:(?:{'|'.join(nm.HONORIFICS)})[.]? )?(?:' || names || ')(?: (?:' || names || '))*',
+      '\\1[NAME]', 'g') AS redacted FROM feedback, (SELECT string_agg(word, '|' ORDER BY word DESC) AS names FROM parts)""",
+    )
+)
+def redact_learned_names(spark: SparkSession, base: str) -> DataFrame:
+    """The notes without names, none of which is taken from a list."""
+    notes = fx.feedback(spark, base).select("o_orderkey", F.col("feedback").alias("redacted"))
+    return nm.redact_names(notes, "redacted", nm.name_parts(notes, "redacted"))
+
+
 _INVENTORY = ", ".join(f"{duck.entity_count('text', e)} AS {e}" for e in tx.LABELS)
 
 
