@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from custodia.functions import text as tx
 from custodia.operators import names as nm
+from custodia.operators import valence as vl
 from custodia.sources import fixtures as fx
 from custodia.sources.snapshots import write_snapshot
 from custodia.sources.tables import read_table
@@ -169,6 +170,46 @@ def sentiment_rows(spark: SparkSession, base: str) -> DataFrame:
     return scored.withColumn("sentiment_category", tx.sentiment_label(F.col("sentiment_score"), 0.5))
 
 
+def _scored_sql(text: str) -> str:
+    """The score of one text column ``note`` per ``k``, word by word."""
+    times = " ".join(f"WHEN '{w}' THEN {vl.TURN}::DOUBLE" for w in map(lambda w: w.replace("'", "''"), vl.NEGATIONS))
+    times += " " + " ".join(f"WHEN '{w}' THEN {x}::DOUBLE" for w, x in vl.DEGREES)
+    factor = "1.0::DOUBLE"
+    for back in range(vl.WINDOW, 0, -1):
+        word = f"w[i - {back}]"
+        factor = f"CASE WHEN i <= {back} THEN {factor} WHEN regexp_matches({word}, '{vl._MARK}') THEN 1.0::DOUBLE ELSE {factor} * (CASE {word} {times} ELSE 1.0::DOUBLE END) END"
+    words = vl._WORD.replace("'", "''")
+    listed = ", ".join([f"('{w}', 1.0::DOUBLE)" for w in tx.POSITIVE] + [f"('{w}', -1.0::DOUBLE)" for w in tx.NEGATIVE])
+    return f"""v(word, valence) AS (VALUES {listed}),
+    ws AS (SELECT o_orderkey AS k, regexp_extract_all(lower(regexp_replace({text}, '\\[[A-Z_]+\\]', ' ', 'g')), '{words}') AS w FROM feedback),
+    hits AS (SELECT k, valence * ({factor}) AS x FROM (SELECT k, w, unnest(range(1, len(w) + 1)) AS i FROM ws) JOIN v ON word = w[i]),
+    totals AS (SELECT k, sum(x) AS t FROM hits GROUP BY k)"""
+
+
+@query(
+    duck.with_tables(
+        "feedback",
+        sql=f"""WITH {_scored_sql(duck.redact('feedback'))} SELECT o_orderkey, round(coalesce(t, 0) / sqrt(coalesce(t, 0) * coalesce(t, 0) + 4), 4) AS sentiment
+    FROM feedback LEFT JOIN totals ON k = o_orderkey""",
+    )
+)
+def sentiment_scored(spark: SparkSession, base: str) -> DataFrame:
+    """With negation and degree, from a table of valences."""
+    notes = fx.feedback(spark, base).select("o_orderkey", "feedback")
+    return vl.score_texts(notes, "feedback", vl.seed_table(spark)).select("o_orderkey", "sentiment")
+
+
+@query("SELECT count(*) AS notes, 0::BIGINT AS differing FROM orders")
+def sentiment_scored_invariance(spark: SparkSession, base: str) -> DataFrame:
+    """Redaction must not move a scored sentiment either."""
+    notes = fx.feedback(spark, base).select("feedback", tx.redact(F.col("feedback")).alias("hidden"))
+    table = vl.seed_table(spark)
+    both = vl.score_texts(vl.score_texts(notes, "feedback", table, "original"), "hidden", table, "redacted")
+    return both.agg(
+        F.count(F.lit(1)).alias("notes"), F.count_if(F.col("original") != F.col("redacted")).alias("differing")
+    )
+
+
 @query(f"SELECT doc_id, {duck.sentiment('text')} AS sentiment_score FROM documents")
 def sentiment_documents(spark: SparkSession, base: str) -> DataFrame:
     return read_table(spark, base, "documents").select("doc_id", tx.sentiment(F.col("text")).alias("sentiment_score"))
