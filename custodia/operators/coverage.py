@@ -95,14 +95,9 @@ def sensitive_access(
     )
     who = ["user_name", "role_name", "access_date"]
     # the list holds each table once, so it is bounded by the number of sensitive tables
-    return (
-        recent.join(touched, "query_id")
-        .groupBy(*who)
-        .agg(
-            F.count_distinct("query_id").alias("query_count"),
-            listed(F.col("object_name")).alias("tables_accessed"),
-        )
-    )
+    tables = {"_tables": ("set", F.col("object_name"))}
+    counted = distinct_counts(recent.join(touched, "query_id"), who, {"query_count": "query_id"}, tables)
+    return counted.select(*who, "query_count", F.array_join("_tables", ", ").alias("tables_accessed"))
 
 
 def governance_coverage(tables: DataFrame, tags: DataFrame, policies: DataFrame, database: str) -> DataFrame:
@@ -217,10 +212,10 @@ def top_sensitive_users(
         "_bytes": ("sum", F.col("bytes_scanned")),
         "first_access": ("min", F.col("start_time")),
         "last_access": ("max", F.col("start_time")),
+        "active_days": ("days", F.to_date("start_time")),  # of a window of days
     }
-    counts = {"total_queries": "query_id", "active_days": F.to_date("start_time")}
     return (
-        distinct_counts(found, ["user_name", "role_name"], counts, figures)
+        distinct_counts(found, ["user_name", "role_name"], {"total_queries": "query_id"}, figures)
         .select(
             "user_name",
             "role_name",

@@ -15,6 +15,10 @@ _FIRST = {
     "min": lambda x: [F.min(x)],
     "max": lambda x: [F.max(x)],
     "avg": lambda x: [F.sum(x), F.count(x)],
+    # distinct days, of dates less than 32,768 days apart: one bit each
+    "days": lambda x: [F.bitmap_construct_agg(F.pmod(F.unix_date(x), F.lit(32768)).cast("bigint"))],
+    # distinct values, of which a group has few
+    "set": lambda x: [F.collect_set(x)],
 }
 _SECOND = {
     "count": lambda p: F.coalesce(F.sum(p[0]), F.lit(0)),
@@ -22,10 +26,20 @@ _SECOND = {
     "min": lambda p: F.min(p[0]),
     "max": lambda p: F.max(p[0]),
     "avg": lambda p: F.sum(p[0]) / F.nullif(F.sum(p[1]), F.lit(0)),
+    "days": lambda p: F.bitmap_count(F.bitmap_or_agg(p[0])),
+    "set": lambda p: F.array_sort(F.array_distinct(F.flatten(F.collect_list(p[0])))),
 }
 
 
-_MERGE = {"count": (F.sum,), "sum": (F.sum,), "min": (F.min,), "max": (F.max,), "avg": (F.sum, F.sum)}
+_MERGE = {
+    "count": (F.sum,),
+    "sum": (F.sum,),
+    "min": (F.min,),
+    "max": (F.max,),
+    "avg": (F.sum, F.sum),
+    "days": (F.bitmap_or_agg,),
+    "set": (lambda c: F.array_distinct(F.flatten(F.collect_list(c))),),
+}
 
 
 def splits(function: str) -> bool:

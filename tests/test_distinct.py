@@ -41,6 +41,13 @@ def test_counts(spark, dense):
     assert {r.ids for r in nothing.collect()} == {0}
 
 
+def test_distinct_days(spark):
+    rows = [("a", "2024-01-01", 1), ("a", "2024-01-01", 70_000), ("a", "1969-12-31", 3), ("a", None, 4), ("b", None, 5), ("c", "2038-05-05", 6)]
+    df = mark_dense(spark.createDataFrame(rows, "g string, d string, id bigint").withColumn("d", F.to_date("d")), "id")
+    got = distinct_counts(df, ["g"], {"n": "id"}, {"days": ("days", F.col("d"))})
+    assert {tuple(r) for r in got.select("g", "n", "days").collect()} == {("a", 4, 2), ("b", 1, 0), ("c", 1, 1)}
+
+
 def test_only_integers_are_dense(spark):
     with pytest.raises(ValueError):
         mark_dense(spark.createDataFrame([("a",)], "id string"), "id")
