@@ -81,7 +81,7 @@ class MetricDef:
 class SemanticModel:
     name: str
     tables: Sequence[LogicalTable]
-    relationships: Sequence[Relationship]
+    relationships: Sequence[Relationship] | Relationship
     facts: Sequence[Fact]
     dimensions: Sequence[Dimension]
     metrics: Sequence[MetricDef]
@@ -96,6 +96,8 @@ class SemanticModel:
             for synonym in item.synonyms:
                 names.setdefault(synonym.lower(), item)  # a real name beats a synonym
         object.__setattr__(self, "_names", names)
+        if isinstance(self.relationships, Relationship):
+            object.__setattr__(self, "relationships", (self.relationships,))
         known = {t.name for t in self.tables}
         labels = [r.name for r in self.relationships]
         if len(set(labels)) < len(labels) or not {t for r in self.relationships for t in (r.child, r.parent)} <= known:
