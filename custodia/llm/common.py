@@ -57,11 +57,65 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def free_name(name: str, taken: list[str]) -> str:
+    """``name``, made longer until no column is called so; Spark minds no case."""
+    known = {c.lower() for c in taken}
+    while name.lower() in known:
+        name += "_"
+    return name
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body(value)`` with ``value`` computed once per row, also inside array functions."""
     return F.transform(F.array(value), body).getItem(0)
 
 
+def bit_table(rows: DataFrame, number: Column, bits: int) -> np.ndarray:
+    """One bit for every number below ``2 ** bits``, packed: does it occur? The driver gets at most that many bits."""
+    place = number.cast("long") + 1
+    pieces = (
+        rows.groupBy(F.bitmap_bucket_number(place).alias("piece"))
+        .agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bitmap"))
+        .collect()
+    )
+    out = np.zeros((max((1 << bits) // 32768, 1), 4096), np.uint8)
+    for row in pieces:
+        out[row.piece - 1] = np.frombuffer(row.bitmap, np.uint8)
+    return out.reshape(-1)
+
+
+def bits_at(table: np.ndarray, numbers: np.ndarray) -> np.ndarray:
+    """Whether each number's bit is set."""
+    return (table[numbers >> 3] >> (numbers & 7).astype(np.uint8)) & 1 == 1
+
+
+#: A key of a join may have so many rows, and so many keys at most may have more.
+_HOT_ROWS, _HOT_KEYS = 200_000, 100_000
+
+
+def spread_join(many: DataFrame, one: DataFrame, key: str, by: str, how: str = "inner") -> DataFrame:
+    """``many`` joined to ``one`` (at most one row per ``key``), with the rows of very frequent keys dealt over several tasks.
+
+    Keys of ``many`` with more rows than a limit are cut into parts by the hash of ``by``, and their row of ``one`` is
+    repeated for every part. The limit grows with the table, so that the list of such keys, which is broadcast, never has
+    more than ``_HOT_KEYS`` rows. Null keys meet nothing.
+    """
+    total = many.count()
+    limit = max(_HOT_ROWS, total // _HOT_KEYS)
+    hot = (
+        many.groupBy(key).agg(F.count(F.lit(1)).alias("rows_of_key")).where(F.col("rows_of_key") > limit)
+        .select(F.col(key), F.ceil(F.col("rows_of_key") / limit).cast("int").alias("parts_of_key"))
+    )
+    if hot.isEmpty():
+        return many.join(one, key, how)
+    hot = F.broadcast(stored(hot, "hot-keys"))
+    part = F.coalesce(F.pmod(F.xxhash64(by), F.col("parts_of_key")), F.lit(0)).cast("int")
+    dealt = many.join(hot, key, "left").withColumn("part_of_key", part).drop("parts_of_key")
+    parts = F.sequence(F.lit(0), F.coalesce("parts_of_key", F.lit(1)) - 1)
+    repeated = one.join(hot, key, "left").withColumn("part_of_key", F.explode(parts)).drop("parts_of_key")
+    return dealt.join(repeated, [key, "part_of_key"], how).drop("part_of_key")
+
+
 class WordHashes(dict):
     """64-bit hash of each word, remembered up to a bound."""
 

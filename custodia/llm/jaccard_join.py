@@ -8,7 +8,9 @@ A document's set is its distinct 5-word shingles (64-bit hashes). Two documents
    The order puts the shingles whose hash lies in the lowest ``region`` of the range first, rarest first, then the
    rest by hash. The region holds a little more than a prefix needs, so only its shingles are counted over the
    corpus, and a prefix is filled with shingles of no other class before any that passages bring into many
-   documents. Every set of shingles and every ``region`` give the same result.
+   documents. Every set of shingles and every ``region`` give the same result. Counting moves difference-coded
+   blocks; then rows move of shingles with several holders, and of a few that share a bit with one in a table of
+   fixed size.
 3. Candidates: classes that share a prefix shingle with few holders are paired and kept if the number of shared
    prefix shingles allows a link; holders of a wider shingle are tied to its first holder. Connected candidates
    form groups, and linked classes are always in one group.
@@ -37,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from custodia.llm.common import in_python, stored, windows, word_hashes
+from custodia.llm.common import bit_table, bits_at, free_name, in_python, spread_join, stored, windows, word_hashes
 from custodia.llm.components import components
 
 SHINGLE = 5
@@ -100,59 +102,129 @@ def members(documents: DataFrame, region: float) -> DataFrame:
     return in_python(texts, run, "doc_id long, text_key long, class long, n long, low long")
 
 
-def low_shingles(documents: DataFrame, similarity: int, region: float) -> DataFrame:
-    """(shingle, class): all shingles of the region, and as many more by hash as a prefix needs.
+def _low_parts(batches: Iterator[pa.RecordBatch], similarity: int, region: float, most: int):
+    """(hashes, classes, how many each class has): all shingles of the region, and as many more by hash as a prefix needs.
 
-    Once per class and task, for the classes that the task has seen lately.
+    Once per class and task, for the classes that the task has seen lately, in parts of about ``most`` hashes.
     """
     bound = np.uint64(_bound(region))
+    seen: set[int] = set()
+    keys: list[np.ndarray] = []
+    classes: list[int] = []
+    held = 0
+    for batch in batches:
+        column = batch.column(0)
+        for i in range(len(column)):
+            shingles = shingle_set(column[i].as_py())
+            if not len(shingles):
+                continue
+            key = class_key(shingles)
+            if key in seen:
+                continue
+            if len(seen) >= 1_000_000:
+                seen.clear()
+            seen.add(key)
+            low = int(np.searchsorted(shingles, bound))
+            keys.append(shingles[: max(low, prefix_size(len(shingles), similarity))])
+            classes.append(key)
+            held += len(keys[-1])
+            if held >= most:
+                yield keys, classes
+                keys, classes, held = [], [], 0
+    if keys:
+        yield keys, classes
+
+
+#: Bits of the tables that keep most shingles of one holder, and most texts that no task compares, from moving; 32 MB each,
+#: whatever the corpus.
+_KNOWN_BITS = 28
+
+
+def low_shingles(documents: DataFrame, similarity: int, region: float, known) -> DataFrame:
+    """(shingle, class) as of ``_low_parts``, of shingles whose bit in the broadcast table ``known`` is set."""
+    mask = np.uint64((1 << _KNOWN_BITS) - 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
-        keys: list[np.ndarray] = []
-        classes: list[int] = []
-        held = 0
-
-        def flushed() -> pa.RecordBatch:
+        table = known.value
+        for keys, classes in _low_parts(batches, similarity, region, _ROWS_OUT):
             owner = np.repeat(np.array(classes, np.int64), [len(k) for k in keys])
-            batch = pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(keys).view(np.int64)), pa.array(owner)], ["shingle", "class"]
-            )
-            keys.clear()
-            classes.clear()
-            return batch
-
-        for batch in batches:
-            column = batch.column(0)
-            for i in range(len(column)):
-                shingles = shingle_set(column[i].as_py())
-                if not len(shingles):
-                    continue
-                key = class_key(shingles)
-                if key in seen:
-                    continue
-                if len(seen) >= 1_000_000:
-                    seen.clear()
-                seen.add(key)
-                low = int(np.searchsorted(shingles, bound))
-                keys.append(shingles[: max(low, prefix_size(len(shingles), similarity))])
-                classes.append(key)
-                held += len(keys[-1])
-                if held >= _ROWS_OUT:
-                    yield flushed()
-                    held = 0
-        if keys:
-            yield flushed()
+            shingles = np.concatenate(keys)
+            held = bits_at(table, ((shingles >> np.uint64(8)) & mask).astype(np.int64))
+            if held.any():
+                columns = [pa.array(shingles[held].view(np.int64)), pa.array(owner[held])]
+                yield pa.RecordBatch.from_arrays(columns, ["shingle", "class"])
 
     return in_python(_texts(documents).select("text"), run, "shingle long, class long")
 
 
+_BLOCK = ["part", "first", "deltas", "width", "counts", "count_width"]
+_BLOCK_SCHEMA = "part int, first long, deltas binary, width int, counts binary, count_width int"
+
+
+def _block(part: int, keys: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
+    """Sorted hashes as differences in as few bytes each as the largest needs, with their counts."""
+    deltas = np.diff(keys, prepend=keys[:1])
+    width = max((int(deltas.max()).bit_length() + 7) // 8, 1)
+    packed = deltas.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].tobytes()
+    kind = np.min_scalar_type(int(counts.max()))
+    values = [part, int(keys[:1].view(np.int64)[0]), packed, width, counts.astype(kind).tobytes(), kind.itemsize]
+    types = [pa.int32(), pa.int64(), pa.binary(), pa.int32(), pa.binary(), pa.int32()]
+    return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(values, types)], _BLOCK)
+
+
+def _unblocked(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes and counts of all blocks of a table."""
+    keys, counts = [], []
+    for first, deltas, width, times, count_width in zip(*(table.column(c) for c in _BLOCK[1:])):
+        raw = np.frombuffer(deltas.as_buffer(), np.uint8).reshape(-1, width.as_py())
+        wide = np.zeros((len(raw), 8), np.uint8)
+        wide[:, : raw.shape[1]] = raw
+        wide = wide.view("<u8").reshape(-1).astype(np.uint64)
+        keys.append(np.cumsum(wide, dtype=np.uint64) + np.array([first.as_py()], np.int64).view(np.uint64)[0])
+        counts.append(np.frombuffer(times.as_buffer(), f"u{count_width.as_py()}").astype(np.int64))
+    return np.concatenate(keys), np.concatenate(counts)
+
+
+def shared_shingles(documents: DataFrame, similarity: int, region: float, total: int, part_keys: int = 1_000_000) -> DataFrame:
+    """(shingle, holders) of all low shingles that more than one row holds.
+
+    What moves are sorted, difference-coded blocks: a shingle once per task and part, however many rows of the task hold
+    it. Parts are ranges of hashes, as many as keep one at about ``part_keys`` of the ``total`` hashes.
+    """
+    parts = 1 + total // part_keys
+    span = max(_bound(region), int(2.0**64 * (100 - similarity) / 100), 1)
+    bounds = np.array([span * k // parts for k in range(1, parts)], np.uint64)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for keys, _ in _low_parts(batches, similarity, region, part_keys):
+            found, counts = np.unique(np.concatenate(keys), return_counts=True)
+            ends = [*np.searchsorted(found, bounds).tolist(), len(found)]
+            for part, (begin, end) in enumerate(zip([0, *ends], ends)):
+                if end > begin:
+                    yield _block(part, found[begin:end], counts[begin:end])
+
+    def count(table: pa.Table) -> pa.Table:
+        keys, counts = _unblocked(table)
+        order = np.argsort(keys, kind="stable")
+        keys, counts = keys[order], counts[order]
+        starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+        holders = np.add.reduceat(counts, starts)
+        many = holders > 1
+        return pa.table({"shingle": keys[starts][many].view(np.int64), "holders": holders[many]})
+
+    blocks = in_python(_texts(documents).select("text"), run, _BLOCK_SCHEMA)
+    return blocks.groupBy("part").applyInArrow(count, "shingle long, holders long")
+
+
 def prefixes(documents: DataFrame, sizes: DataFrame, similarity: int, region: float) -> DataFrame:
-    """(shingle, class, n) for the prefix shingles that more than one row holds; ``sizes`` is (class, n, low)."""
-    rows = low_shingles(documents, similarity, region)
+    """(shingle, class, n, holders) for the prefix shingles that more than one row holds; ``sizes`` is (class, n, low)."""
     # a class that several tasks have met counts as several holders, which only lengthens its prefix
-    spread = rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("holders")).where("holders > 1")
-    shared = rows.join(spread, "shingle").distinct()
+    needed = f"greatest(low, n - cast(ceil({similarity} * n / 100.0) AS bigint) + 1)"
+    total = sizes.agg(F.sum(F.expr(needed))).first()[0] or 0
+    spread = stored(shared_shingles(documents, similarity, region, int(total)), "shared-shingles")
+    bits = F.shiftrightunsigned("shingle", 8).bitwiseAND((1 << _KNOWN_BITS) - 1)
+    known = documents.sparkSession.sparkContext.broadcast(bit_table(spread, bits, _KNOWN_BITS))
+    shared = low_shingles(documents, similarity, region, known).join(spread, "shingle").distinct()
     inside = f"shingle >= 0 AND shingle < {_bound(region)}L"
     own = Window.partitionBy("class")
     ranked = shared.withColumns(
@@ -167,20 +239,19 @@ def prefixes(documents: DataFrame, sizes: DataFrame, similarity: int, region: fl
     return (
         ranked.join(sizes, "class")
         .where(f"(in_region AND place <= {left}) OR (NOT in_region)")
-        .select("shingle", "class", "n")
+        .select("shingle", "class", "n", F.col("holders").cast("int").alias("holders"))
     )
 
 
 def candidates(rows: DataFrame, similarity: int) -> DataFrame:
     """(a, b) pairs of classes whose connected components hold all linked classes; ``rows`` as of ``prefixes``."""
     rows = stored(rows, "prefixes")
-    holders = rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("holders"), F.min("class").alias("first"))
-    shared = stored(rows.join(holders.where("holders > 1"), "shingle"), "prefix-blocks")
-    wide = shared.where(f"holders > {NARROW}")
-    tied = wide.where("class <> first").select(F.col("class").alias("a"), F.col("first").alias("b")).distinct()
+    wide = rows.where(f"holders > {NARROW}")
+    first = wide.groupBy("shingle").agg(F.min("class").alias("first"))
+    tied = wide.join(first, "shingle").where("class <> first").select(F.col("class").alias("a"), F.col("first").alias("b")).distinct()
     # shared prefix shingles + what stands behind the prefixes must reach the overlap that a link needs
     many = wide.groupBy("class").agg(F.count(F.lit(1)).alias("wide"))
-    narrow = shared.where(f"holders <= {NARROW}").select("shingle", "class", "n")
+    narrow = rows.where(f"holders <= {NARROW}").select("shingle", "class", "n")
     a = narrow.select("shingle", F.col("class").alias("a"), F.col("n").alias("na"))
     b = narrow.select("shingle", F.col("class").alias("b"), F.col("n").alias("nb"))
     pairs = (
@@ -214,19 +285,51 @@ class Signatures:
             bit = s % np.uint64(_BITS)
             np.bitwise_or.at(self.bitmaps[i], (bit >> np.uint64(6)).astype(np.int64), np.uint64(1) << (bit & np.uint64(63)))
         self.excess = self.sizes - np.bitwise_count(self.bitmaps).sum(axis=1).astype(np.int64)
-        self.labels = np.arange(len(sets))
+        self.parents = np.arange(len(sets))
+        self.arrays = sets
+        self.references: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+    def labels(self, items: np.ndarray) -> np.ndarray:
+        """The first set of what each of the sets is connected with."""
+        found = self.parents[items]
+        while (found != (above := self.parents[found])).any():
+            found = above
+        return found
+
+    def label(self, i: int) -> int:
+        parents = self.parents
+        while parents[i] != i:
+            parents[i] = parents[parents[i]]
+            i = parents[i]
+        return int(i)
 
     def needed(self, a, b):
         """The least overlap of a link between sets of these sizes."""
         return -(-(self.similarity * (a + b)) // (100 + self.similarity))
 
+    def reference(self, items: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """All hashes of a leaf's sets, sorted, and which of them each set holds, as bits."""
+        key = int(items[0])
+        if key not in self.references:
+            all_of_it = np.unique(np.concatenate([self.arrays[i] for i in items]))
+            self.references[key] = (all_of_it, self.bits(items, all_of_it))
+        return self.references[key]
+
+    def bits(self, items: np.ndarray, of_these: np.ndarray) -> np.ndarray:
+        flat = np.concatenate([self.arrays[i] for i in items])
+        place = np.minimum(np.searchsorted(of_these, flat), len(of_these) - 1)
+        held = of_these[place] == flat
+        table = np.zeros((len(items), -(-len(of_these) // 64) * 64), bool)
+        table[np.repeat(np.arange(len(items)), self.sizes[items])[held], place[held]] = True
+        return np.packbits(table, axis=1).view(np.uint64)
+
     def linked(self, i: int, j: int) -> bool:
         both = len(self.sets[i] & self.sets[j])
         return 100 * both >= self.similarity * (len(self.sets[i]) + len(self.sets[j]) - both)
 
     def connect(self, i: int, j: int) -> None:
-        low, high = sorted((self.labels[i], self.labels[j]))
-        self.labels[self.labels == high] = low
+        low, high = sorted((self.label(i), self.label(j)))
+        self.parents[high] = low
 
 
 class Node:
@@ -257,8 +360,13 @@ def tree(of: Signatures, items: np.ndarray) -> Node:
     return level[0]
 
 
-def traverse(of: Signatures, left: Node, right: Node) -> None:
-    """Connect what links, over all pairs of a set left and a set right."""
+def traverse(of: Signatures, left: Node, right: Node, weights: np.ndarray | None = None) -> np.ndarray | None:
+    """Connect what links, over all pairs of a set left and a set right.
+
+    With ``weights`` no pair is passed over because it is connected already: returned is, per set, the weight of all
+    that it links with.
+    """
+    sums = None if weights is None else np.zeros(len(of.sizes), np.int64)
     stack = [(left, right)]
     while stack:
         x, y = stack.pop()
@@ -268,30 +376,49 @@ def traverse(of: Signatures, left: Node, right: Node) -> None:
         most = int(np.bitwise_count(x.bitmap & y.bitmap).sum()) + min(x.excess, y.excess)
         if min(most, x.high, y.high) < of.needed(x.low, y.low):
             continue
-        labels_x, labels_y = of.labels[x.items], of.labels[y.items]
-        if (labels_x == labels_x[0]).all() and (labels_y == labels_x[0]).all():
-            continue
+        if sums is None:
+            labels_x, labels_y = of.labels(x.items), of.labels(y.items)
+            if (labels_x == labels_x[0]).all() and (labels_y == labels_x[0]).all():
+                continue
         if x is y and x.children:
             kids = x.children
             stack.extend((kids[i], kids[j]) for i in range(len(kids)) for j in range(i, len(kids)))
         elif x.children or y.children:
             wider = x.children and (not y.children or len(x.items) >= len(y.items))
             stack.extend([(c, y) for c in x.children] if wider else [(x, c) for c in y.children])
-        else:
+        elif sums is None:
             _leaves(of, x.items, y.items, x is y)
+        else:
+            _count_leaves(of, x.items, y.items, x is y, weights, sums)
+    return sums
 
 
-def _leaves(of: Signatures, a: np.ndarray, b: np.ndarray, same: bool) -> None:
+def _possible(of: Signatures, a: np.ndarray, b: np.ndarray, same: bool) -> np.ndarray:
+    """Pairs of two leaves that sizes and bitmaps allow to link."""
     na, nb = of.sizes[a][:, None], of.sizes[b][None, :]
     common = np.bitwise_count(of.bitmaps[a][:, None, :] & of.bitmaps[b][None, :, :]).sum(axis=2, dtype=np.int64)
     possible = common + np.minimum(of.excess[a][:, None], of.excess[b][None, :]) >= of.needed(na, nb)
     possible &= (100 * na >= of.similarity * nb) & (100 * nb >= of.similarity * na)
-    possible &= of.labels[a][:, None] != of.labels[b][None, :]
-    if same:
-        possible = np.triu(possible, 1)
+    return np.triu(possible, 1) if same else possible
+
+
+def _count_leaves(of: Signatures, a: np.ndarray, b: np.ndarray, same: bool, weights: np.ndarray, sums: np.ndarray) -> None:
+    possible = _possible(of, a, b, same)
+    if not possible.any():
+        return
+    every, mine = of.reference(a)
+    common = np.bitwise_count(mine[:, None, :] & of.bits(b, every)[None, :, :]).sum(axis=2, dtype=np.int64)
+    linked = possible & (100 * common >= of.similarity * (of.sizes[a][:, None] + of.sizes[b][None, :] - common))
+    sums[a] += linked @ weights[b]
+    sums[b] += linked.T @ weights[a]
+
+
+def _leaves(of: Signatures, a: np.ndarray, b: np.ndarray, same: bool) -> None:
+    possible = _possible(of, a, b, same)
+    possible &= of.labels(a)[:, None] != of.labels(b)[None, :]
     for p, q in zip(*np.nonzero(possible)):
         i, j = int(a[p]), int(b[q])
-        if of.labels[i] != of.labels[j] and of.linked(i, j):
+        if of.label(i) != of.label(j) and of.linked(i, j):
             of.connect(i, j)
 
 
@@ -312,19 +439,46 @@ def _group_links(group: pd.DataFrame, similarity: int) -> pd.DataFrame:
     elif (side == 0).any() and (side == 1).any():
         traverse(of, tree(of, np.flatnonzero(side == 0)), tree(of, np.flatnonzero(side == 1)))
     keys = group["class"].to_numpy()
-    first = keys[of.labels]  # as stars, which are joined up in fewer rounds than the links themselves
+    first = keys[of.labels(np.arange(len(keys)))]  # as stars, which are joined up in fewer rounds than the links themselves
     return pd.DataFrame({"a": keys[keys != first], "b": first[keys != first]}, dtype="int64")
 
 
-def packed_texts(documents: DataFrame) -> DataFrame:
-    """(text_key, packed): compressed texts under their hash, once per task for those it has seen lately."""
+def tree_link_counts(meeting: pd.DataFrame, similarity: int) -> pd.DataFrame:
+    """(class, links): for each class of a meeting the documents of all classes of its group that it links with."""
+    out = []
+    for _, group in meeting.groupby("group"):
+        group = group.drop_duplicates("class").reset_index(drop=True)
+        of = Signatures([shingle_set(zlib.decompress(p).decode()) for p in group["packed"]], similarity)
+        side, weights = group["side"].to_numpy(), group["documents"].to_numpy(np.int64)
+        if (side == 2).all():
+            root = tree(of, np.arange(len(group)))
+            sums = traverse(of, root, root, weights)
+        elif (side == 0).any() and (side == 1).any():
+            sums = traverse(of, tree(of, np.flatnonzero(side == 0)), tree(of, np.flatnonzero(side == 1)), weights)
+        else:
+            continue
+        out.append(pd.DataFrame({"class": group["class"], "links": sums}))
+    return pd.concat(out, ignore_index=True) if out else pd.DataFrame({"class": [], "links": []}, dtype="int64")
+
+
+def packed_texts(documents: DataFrame, needed: DataFrame) -> DataFrame:
+    """(text_key, packed): compressed texts of the needed keys, and of a few that share a bit with one in a table of fixed size.
+
+    Once per task for those it has seen lately.
+    """
+    bits = F.shiftrightunsigned("text_key", 8).bitwiseAND((1 << _KNOWN_BITS) - 1)
+    known = documents.sparkSession.sparkContext.broadcast(bit_table(needed, bits, _KNOWN_BITS))
+    mask = np.int64((1 << _KNOWN_BITS) - 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = known.value
         seen: set[int] = set()
         for batch in batches:
-            column = batch.column(1)
+            numbers, column = batch.column(0).to_numpy(), batch.column(1)
+            held = bits_at(table, (numbers >> np.int64(8)) & mask)
             keys, packed = [], []
-            for i, key in enumerate(batch.column(0).to_pylist()):
+            for i in np.flatnonzero(held).tolist():
+                key = int(numbers[i])
                 if key in seen:
                     continue
                 if len(seen) >= 1_000_000:
@@ -340,6 +494,34 @@ def packed_texts(documents: DataFrame) -> DataFrame:
 
 def class_links(documents: DataFrame, own: DataFrame, similarity: int, region: float, group_shingles: int) -> DataFrame:
     """(a, b): pairs of classes that connect all that is linked; ``own`` is ``members`` without empties."""
+    met = meetings(documents, own, similarity, region, group_shingles)
+    return met.groupBy("meeting").applyInPandas(lambda g: tree_links(g, similarity), "a long, b long")
+
+
+def link_counts(documents: DataFrame, similarity: int = 75, region: float = 0.32, group_shingles: int = 1_000_000) -> DataFrame:
+    """doc_id, n_shingles, n_links for every row: how many other rows it links with, copies among them.
+
+    Every pair of different sets of a group that sizes and bitmaps allow is compared, leaf by leaf, also where other
+    links connect the two: the work of a group of near copies grows with the square of its different texts, cut into
+    meetings of bounded chunks. Pairs are counted where they meet and never listed.
+    """
+    own = stored(members(documents, region), "members")
+    filled = own.where("n > 0")
+    sizes = filled.groupBy("class").agg(F.count(F.lit(1)).alias("documents"))
+    met = meetings(documents, filled, similarity, region, group_shingles).join(sizes, "class")
+    met = met.select("group", "meeting", "class", "side", "packed", "documents")
+    counts = met.groupBy("meeting").applyInPandas(lambda g: tree_link_counts(g, similarity), "class long, links long")
+    others = counts.groupBy("class").agg(F.sum("links").alias("links"))
+    per_class = sizes.join(others, "class", "left").select(
+        "class", (F.col("documents") - 1 + F.coalesce("links", F.lit(0))).alias("n_links")
+    )
+    return spread_join(own, per_class, "class", "doc_id", "left").select(
+        "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("n_links")).otherwise(0).alias("n_links")
+    )
+
+
+def meetings(documents: DataFrame, own: DataFrame, similarity: int, region: float, group_shingles: int) -> DataFrame:
+    """(group, meeting, class, side, packed): the classes that a task compares, with the text of each."""
     classes = own.groupBy("class").agg(F.max("n").alias("n"), F.max("low").alias("low"), F.min("text_key").alias("text_key"))
     rows = prefixes(documents, classes.select("class", "n", "low"), similarity, region)
     groups = components(candidates(rows, similarity))
@@ -377,9 +559,8 @@ def class_links(documents: DataFrame, own: DataFrame, similarity: int, region: f
         f"CASE WHEN {mine} = {theirs} THEN 2 WHEN {mine} < {theirs} THEN 0 ELSE 1 END AS side",
     )
     needed = grouped.select("text_key").distinct()  # one text of each class; copies of it elsewhere are left out below
-    texts = packed_texts(documents).join(needed, "text_key", "left_semi").dropDuplicates(["text_key"])
-    filled = single.unionByName(split).join(texts, "text_key").select("group", "meeting", "class", "side", "packed")
-    return filled.groupBy("meeting").applyInPandas(lambda g: tree_links(g, similarity), "a long, b long")
+    texts = packed_texts(documents, needed).dropDuplicates(["text_key"])  # a text that is not needed meets nothing below
+    return single.unionByName(split).join(texts, "text_key").select("group", "meeting", "class", "side", "packed")
 
 
 def first_of_each(documents: DataFrame, similarity: int = 75) -> DataFrame:
@@ -388,11 +569,11 @@ def first_of_each(documents: DataFrame, similarity: int = 75) -> DataFrame:
     low = F.coalesce("doc_id", F.lit(-(2**63)))
     first = found.where("group_key is not null").groupBy("group_key").agg(F.min(F.struct(low.alias("k1"), "text_key")).alias("k"))
     empty = found.where("group_key is null").select(low.alias("join_id"), F.col("text_key").alias("join_text"))
-    kept = first.select(F.col("k.k1").alias("join_id"), F.col("k.text_key").alias("join_text")).unionByName(empty.distinct())
-    keyed = documents.withColumns(
-        {"join_id": F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63))), "join_text": F.xxhash64(F.coalesce("text", F.lit("")))}
-    )
-    return keyed.join(kept, ["join_id", "join_text"], "left_semi").dropDuplicates(["join_id", "join_text"]).drop("join_id", "join_text")
+    key = [free_name(c, documents.columns) for c in ("join_id", "join_text")]
+    kept = first.select("k.k1", "k.text_key").toDF(*key).unionByName(empty.distinct().toDF(*key))
+    own = [F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63))), F.xxhash64(F.coalesce("text", F.lit("")))]
+    keyed = documents.withColumns(dict(zip(key, own)))
+    return keyed.join(kept, key, "left_semi").dropDuplicates(key).drop(*key)
 
 
 def jaccard_components(
@@ -416,7 +597,7 @@ def jaccard_components(
     known = firsts.join(linked, "class", "left").select(
         "class", F.coalesce("label", "class").alias("group_key"), F.coalesce("lowest", "first").alias("lowest")
     )
-    return own.join(known, "class", "left").select(
+    return spread_join(own, known, "class", "doc_id", "left").select(
         "doc_id",
         F.col("n").alias("n_shingles"),
         F.when(F.col("n") > 0, F.col("lowest")).otherwise(F.col("doc_id")).alias("component_id"),

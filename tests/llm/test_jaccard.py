@@ -69,6 +69,30 @@ def test_against_all_pairs(spark, more):
     check(spark, corpus(len(more)), **more)
 
 
+def brute_links(rows, similarity=75):
+    sets = [shingles(t) for _, t in rows]
+    counts = [0] * len(rows)
+    for i, a in enumerate(sets):
+        for j in range(i):
+            b = sets[j]
+            if a and b and 100 * len(a & b) >= similarity * len(a | b):
+                counts[i] += 1
+                counts[j] += 1
+    return sorted(((d, len(s), n) for (d, _), s, n in zip(rows, sets, counts)), key=repr)
+
+
+@pytest.mark.parametrize("more", [{}, {"group_shingles": 900, "region": 0.5}, {"region": 0.0, "similarity": 60}])
+def test_numbers_of_links(spark, more):
+    """Also of a group of near copies that all link with each other, and of exact copies."""
+    rows = corpus(7 + len(more)) + [(10_000 + r[0], r[1]) for r in corpus(7 + len(more))[:20]]
+    frame = documents(spark, [(d, t, "en", "a", 0) for d, t in rows])
+    got = jj.link_counts(clashing(frame, "class", "links", "documents", "side"), **more).collect()
+    want = brute_links(rows, more.get("similarity", 75))
+    assert sorted(map(tuple, got), key=repr) == want and max(n for *_, n in want) > 40
+    assert sorted(map(tuple, jj.link_counts(documents(spark)).collect()), key=repr) == brute_links([(r[0], r[1]) for r in ROWS])
+    assert jj.link_counts(documents(spark, [])).count() == 0
+
+
 def test_awkward_rows(spark):
     check(spark, [(r[0], r[1]) for r in ROWS])
     assert jj.jaccard_components(documents(spark, [])).count() == 0
@@ -94,3 +118,26 @@ def test_components_of_long_paths(spark):
     got = {r.node: r.label for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert got == {**{i: 0 for i in range(61)}, 100: 100, 101: 100, 103: 100}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_a_star_of_very_many_links(spark, monkeypatch):
+    """One centre with 300,000 links and a chain to another star; rows of the hot keys go to many tasks."""
+    from custodia.llm import common
+
+    monkeypatch.setattr(common, "_HOT_ROWS", 5_000)
+    star = spark.range(10, 300_000).selectExpr("5L AS a", "id AS b")
+    more = spark.createDataFrame([(5, 4), (4, 3), (3, 2), (1_000_000, 1_000_001)], "a long, b long")
+    got = components(star.unionAll(more)).groupBy("label").count().collect()
+    assert {r.label: r["count"] for r in got} == {2: 299_990 + 4, 1_000_000: 2}
+
+
+@pytest.mark.parametrize("limit", [3, 10**6])
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_spread_join(spark, monkeypatch, limit, how):
+    from custodia.llm import common
+
+    monkeypatch.setattr(common, "_HOT_ROWS", limit)
+    many = spark.createDataFrame([(1, i) for i in range(50)] + [(2, 90), (3, 91), (None, 92)] + [(4, i) for i in range(9)], "k long, x long")
+    one = spark.createDataFrame([(1, "a"), (2, "b"), (4, "d"), (5, "e")], "k long, v string")
+    got = sorted(map(repr, map(tuple, common.spread_join(many, one, "k", "x", how).select("k", "x", "v").collect())))
+    assert got == sorted(map(repr, map(tuple, many.join(one, "k", how).select("k", "x", "v").collect())))
