@@ -4,11 +4,13 @@ A document is its ids and an end id. Full windows are cut off its head; the rest
 smallest context size (tier) that holds it. Long tiers are packed first: a window opens with the longest
 waiting piece of its tier, its gap is filled with the longest shorter pieces that fit, and what then is
 still open is filled by cutting a piece. Windows of the short tiers are filled to the last id, so they
-need no padding. Full windows of a size are counted off into step groups of equal token numbers.
+need no padding. Sequences of a window size are counted off into step groups of equal token numbers, over all
+tasks, so at most one group of each size is short.
 
-* Everything happens where the text is read: no shuffle, no ids between tasks. A task holds at most
-  ``pool_tokens`` of ids and one document, and numbers its sequences with its partition in the high
-  bits, so a repeated task gives the same pieces again.
+* Texts and ids stay where they are read. A task holds at most ``pool_tokens`` of ids and one document, and numbers
+  its sequences with its partition in the high bits, so a repeated task gives the same pieces again. The pieces are
+  stored; the sequences of each task and size are counted, one row each, and every piece gets its group from the
+  count of the tasks before its own.
 * Padding: up to ``tolerance`` ids in a window of the longest tier, and one last sequence per task.
 * Null text: empty, one piece with the end id. Rows with equal or null ids are documents of their own.
   Empty tables give no pieces. Other columns are not read.
@@ -22,11 +24,11 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from custodia.llm.bpe import bpe
-from custodia.llm.common import in_python
+from custodia.llm.common import in_python, stored
 
 PIECES = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long,"
@@ -40,9 +42,8 @@ _ROWS_OUT = 50_000
 class Packer:
     """Packs the pieces of one task. A piece is (length, order, doc, start); doc is (id, ids, tokens)."""
 
-    def __init__(self, tiers: tuple[int, ...], tolerance: int, pool_tokens: int, group_tokens: int) -> None:
+    def __init__(self, tiers: tuple[int, ...], tolerance: int, pool_tokens: int) -> None:
         self.tiers, self.tolerance, self.pool_tokens = tuple(sorted(tiers)), tolerance, pool_tokens
-        self.group_tokens = group_tokens
         self.pool: list[tuple] = []
         self.held = self.order = self.sequences = 0
         self.full = dict.fromkeys(self.tiers, 0)
@@ -130,11 +131,11 @@ class Packer:
         return out
 
     def _close(self, window: int, pieces: list[tuple]) -> None:
-        offset, group = 0, self.full[window] * window // self.group_tokens
+        offset, place = 0, self.full[window]
         self.full[window] += 1
         for length, _, (doc_id, ids, tokens), start in pieces:
             crc = zlib.crc32(memoryview(ids)[4 * start : 4 * (start + length)])
-            self.rows.append((doc_id, start, length, crc, tokens, self.sequences, offset, window, group))
+            self.rows.append((doc_id, start, length, crc, tokens, self.sequences, offset, window, place))
             offset += length
         self.sequences += 1
 
@@ -152,20 +153,18 @@ def pack_documents(
     """Pieces of all ``documents`` (doc_id, text); ``window`` is a sequence's padded length.
 
     ``step_group`` numbers the groups of ``group_tokens // window`` sequences of one window size, with
-    the size's position in ``tiers`` in the bits from 32 and the task's number in those from 40.
+    the size's position in ``tiers`` in the bits from 40.
     """
     names = [c.split()[0] for c in PIECES.split(",")]
-    position = {t: i for i, t in enumerate(sorted(tiers))}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         state, end = bpe(json_path, ranks_path), end_id.to_bytes(4, "little")
         base = TaskContext.get().partitionId() << _TASK_SHIFT
-        packer = Packer(tiers, tolerance, pool_tokens, group_tokens)
+        packer = Packer(tiers, tolerance, pool_tokens)
 
         def flushed() -> pa.RecordBatch:
             columns = list(zip(*packer.rows))
             columns[5] = [base + s for s in columns[5]]
-            columns[8] = [base + (position[w] << 32) + g for w, g in zip(columns[7], columns[8])]
             packer.rows.clear()
             return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names)
 
@@ -182,4 +181,22 @@ def pack_documents(
     texts = documents.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")
     )
-    return in_python(texts, run, PIECES)
+    pieces = stored(in_python(texts, run, PIECES), "pieces")  # step_group: the place among the task's sequences of a size
+    return _grouped(pieces, tuple(sorted(tiers)), group_tokens)
+
+
+def _grouped(pieces: DataFrame, tiers: tuple[int, ...], group_tokens: int) -> DataFrame:
+    """Step groups over all tasks: a sequence's place among all of its size, counted off by tokens."""
+    task = F.shiftrightunsigned("sequence_id", _TASK_SHIFT)
+    counted = pieces.where("offset = 0").groupBy("window", task.alias("task")).agg(F.count(F.lit(1)).alias("n"))
+    earlier = Window.partitionBy("window").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)  # a row per task
+    before = counted.select("window", "task", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
+    position = F.array_position(F.array(*[F.lit(t).cast("long") for t in tiers]), F.col("window")) - 1
+    group = F.expr(f"((before + step_group) * window) div {group_tokens}") + F.shiftleft(position, _TASK_SHIFT)
+    columns = [c.split()[0] for c in PIECES.split(",")]
+    return (
+        pieces.withColumn("task", task)
+        .join(before, ["window", "task"])
+        .withColumn("step_group", group)
+        .select(*columns)
+    )

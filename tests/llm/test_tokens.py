@@ -75,6 +75,20 @@ def test_packing_of_the_table(spark, base, library):
         assert sum(w for w, _ in group) <= 32_768
 
 
+def test_step_groups_are_counted_off_over_all_tasks(spark):
+    """However many tasks there are, one group of each window size is short at most."""
+    rows = [(i, " ".join(f"word{i}x{k}" for k in range(20 + 37 * i % 400)), "en", "a", 0) for i in range(300)]
+    pieces = pack_documents(documents(spark, rows).repartition(7, "doc_id"), *vocabulary(), group_tokens=4096).collect()
+    assert len({p.sequence_id >> 40 for p in pieces}) > 3
+    groups = defaultdict(set)
+    for p in pieces:
+        groups[p.window, p.step_group].add(p.sequence_id)
+    for window in {w for w, _ in groups}:
+        sizes = sorted(len(s) for (w, _), s in groups.items() if w == window)
+        assert all(n == 4096 // window for n in sizes[1:]) and sizes[-1] <= 4096 // window
+    assert len({g for _, g in groups}) == len(groups)
+
+
 def test_small_pools_pack_alike(spark, library):
     df = documents(spark, [r for i, r in enumerate(ROWS) if i not in (8, 11)]).coalesce(1)
     pieces = pack_documents(df, *vocabulary(), pool_tokens=500, tolerance=0).collect()
