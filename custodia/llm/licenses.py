@@ -8,7 +8,9 @@ retrieved with probability ``certain``. A retrieved window matches where a stret
 of the template's shingles; the tightest such stretch is the span, so a neighbouring notice that shares shingles stays
 outside it, and what lies before and after is searched again.
 
-* Templates are a fixed, small library sent with the code; texts are read whole where they lie, in stretches of bounded
+* Templates are a table of wordings, ``license_texts`` if none is given; its size is checked, as all of it goes with the
+  code. Of wordings that overlap in a text the one most like the stretch that holds it counts, the longest of equals,
+  which tells versions apart. Texts are read whole where they lie, in stretches of bounded
   length that overlap by a window, and nothing is shuffled.
 * Null text: empty, no licenses. Repeated rows and null ids are scanned and returned as they are; empty tables give no
   rows. Other columns are not read.
@@ -26,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from custodia.llm.common import WordHashes, in_python, mixed, windows
+from custodia.llm.license_texts import TEMPLATES
 
 SHINGLE = 5
 _OUTER = b".,;:!?()[]{}<>\"'`*#/|-_"
@@ -33,34 +36,6 @@ _STRETCH = 1 << 15
 #: A shingle at the end of a span may lie behind so many places that are not the template's.
 _STRAY = 4
 
-#: Wordings of public licenses by which texts declare them.
-TEMPLATES = (
-    ("MIT", "Released under the MIT License."),
-    ("MIT", "Licensed under the MIT License."),
-    ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated"
-            " documentation files, to deal in the Software without restriction, including without limitation the rights to"
-            " use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software"),
-    ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
-    ("Apache-2.0", "you may not use this file except in compliance with the License. You may obtain a copy of the License at"
-                   " http://www.apache.org/licenses/LICENSE-2.0"),
-    ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
-    ("GPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General"
-                " Public License as published by the Free Software Foundation, either version 3 of the License, or (at your"
-                " option) any later version."),
-    ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2."),
-    ("LGPL-3.0", "This work is licensed under the GNU Lesser General Public License, version 3."),
-    ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
-    ("CC-BY-4.0", "Licensed under CC BY 4.0."),
-    ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
-    ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
-    ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided"
-                     " that the following conditions are met"),
-    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby"
-            " granted, provided that the above copyright notice and this permission notice appear in all copies."),
-    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
-)
-
-
 def normal_words(text: str) -> list[bytes]:
     return [w for w in (x.strip(_OUTER) for x in text.encode().lower().split()) if w]
 
@@ -173,7 +148,14 @@ class Library:
                 for low, high, count in tightest(held, window[held], least):
                     found[template, start + at + low, start + at + high + SHINGLE] = count / len(wanted)
         best: list[tuple[int, int, int, float]] = []
-        for (template, first, end), share in sorted(found.items(), key=lambda kv: (-kv[1], kv[0])):
+
+        def fit(match: tuple) -> tuple:
+            """Likeness of the wording and the stretch that holds it, then the wording's length."""
+            (template, first, end), share = match
+            size, stretch = len(self.shingles[template]), end - first - SHINGLE + 1
+            return -(share * size) / (size + stretch - share * size), -size, match[0]
+
+        for (template, first, end), share in sorted(found.items(), key=fit):
             if not any(first < e and f < end for _, f, e, _ in best):
                 best.append((template, first, end, share))
         return sorted(best, key=lambda m: (m[1], m[0]))
@@ -198,10 +180,24 @@ class Library:
                     yield template, window * stride, stride
 
 
+def listed(templates: DataFrame, most_characters: int = 20_000_000) -> tuple[tuple[str, str], ...]:
+    """The rows of a table of (license, wording), which must fit a task; wordings without a word are left out."""
+    wanted = templates.select("license", "wording").where("license IS NOT NULL AND wording IS NOT NULL")
+    total = wanted.agg(F.sum(F.length("wording"))).first()[0] or 0
+    if total > most_characters:
+        raise ValueError(f"templates of {total} characters; at most {most_characters} go with the code")
+    return tuple(sorted((n, w) for n, w in map(tuple, wanted.distinct().collect()) if normal_words(w)))
+
+
 def scan_licenses(
     documents: DataFrame, templates=TEMPLATES, containment: float = 0.75, certain: float = 0.999
 ) -> DataFrame:
-    """doc_id, licenses (distinct, sorted), n_matches, best containment, and spans as name:first word:end word."""
+    """doc_id, licenses (distinct, sorted), n_matches, best containment, and spans as name:first word:end word.
+
+    ``templates``: pairs of license and wording, or a table of them.
+    """
+    if isinstance(templates, DataFrame):
+        templates = listed(templates)
     library = Library.of(templates, containment, certain)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
