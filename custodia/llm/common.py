@@ -84,6 +84,11 @@ def bit_table(rows: DataFrame, number: Column, bits: int) -> np.ndarray:
     return out.reshape(-1)
 
 
+def bits_for(rows: int, most: int = 28) -> int:
+    """Width of a bit table in which so many numbers set about one bit in 32; at most ``2 ** most`` bits, fuller beyond."""
+    return max(15, min(most, (32 * rows).bit_length()))
+
+
 def bits_at(table: np.ndarray, numbers: np.ndarray) -> np.ndarray:
     """Whether each number's bit is set."""
     return (table[numbers >> 3] >> (numbers & 7).astype(np.uint8)) & 1 == 1

@@ -18,7 +18,8 @@ A document's set is its distinct 5-word shingles (64-bit hashes). Two documents
    traversal drops node pairs whose largest possible overlap is too small, and pairs already connected. What
    is left is compared set by set. Groups beyond ``group_shingles`` are cut into chunks by size and hash, and the
    trees of every two chunks of fitting sizes are traversed against each other.
-5. The links that connect classes give the components.
+5. The links that connect classes give the components. If links are to be counted, the traversal passes over no pair
+   because it is connected, and leaves are compared with exact bitmaps over their own shingles.
 
 Nothing is capped: all classes of a group meet. No task holds more than two chunks, one class at the least; rows that
 move before step 4 are ids and hashes. Texts move compressed, once to their class and once to their group.
@@ -39,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from custodia.llm.common import bit_table, bits_at, free_name, in_python, spread_join, stored, windows, word_hashes
+from custodia.llm.common import bit_table, bits_at, bits_for, free_name, in_python, spread_join, stored, windows, word_hashes
 from custodia.llm.components import components
 
 SHINGLE = 5
@@ -135,23 +136,30 @@ def _low_parts(batches: Iterator[pa.RecordBatch], similarity: int, region: float
         yield keys, classes
 
 
-#: Bits of the tables that keep most shingles of one holder, and most texts that no task compares, from moving; 32 MB each,
-#: whatever the corpus.
+#: Bits at most of the tables that keep most shingles of one holder, and most texts that no task compares, from moving:
+#: 32 MB each, whatever the corpus.
 _KNOWN_BITS = 28
 
 
+def known_numbers(rows: DataFrame, column: str):
+    """The broadcast bit table of a column of hashes, and what finds the bits of numpy hashes in it."""
+    bits = bits_for(rows.count(), _KNOWN_BITS)
+    number = F.shiftrightunsigned(column, 8).bitwiseAND((1 << bits) - 1)
+    table = rows.sparkSession.sparkContext.broadcast(bit_table(rows, number, bits))
+    mask = np.int64((1 << bits) - 1)
+    return lambda hashes: bits_at(table.value, (hashes >> np.int64(8)) & mask)
+
+
 def low_shingles(documents: DataFrame, similarity: int, region: float, known) -> DataFrame:
-    """(shingle, class) as of ``_low_parts``, of shingles whose bit in the broadcast table ``known`` is set."""
-    mask = np.uint64((1 << _KNOWN_BITS) - 1)
+    """(shingle, class) as of ``_low_parts``, of shingles that ``known`` finds."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = known.value
         for keys, classes in _low_parts(batches, similarity, region, _ROWS_OUT):
             owner = np.repeat(np.array(classes, np.int64), [len(k) for k in keys])
-            shingles = np.concatenate(keys)
-            held = bits_at(table, ((shingles >> np.uint64(8)) & mask).astype(np.int64))
+            shingles = np.concatenate(keys).view(np.int64)
+            held = known(shingles)
             if held.any():
-                columns = [pa.array(shingles[held].view(np.int64)), pa.array(owner[held])]
+                columns = [pa.array(shingles[held]), pa.array(owner[held])]
                 yield pa.RecordBatch.from_arrays(columns, ["shingle", "class"])
 
     return in_python(_texts(documents).select("text"), run, "shingle long, class long")
@@ -189,22 +197,24 @@ def shared_shingles(documents: DataFrame, similarity: int, region: float, total:
     """(shingle, holders) of all low shingles that more than one row holds.
 
     What moves are sorted, difference-coded blocks: a shingle once per task and part, however many rows of the task hold
-    it. Parts are ranges of hashes, as many as keep one at about ``part_keys`` of the ``total`` hashes.
+    it. A hash is dealt to a part by its remainder and coded by its quotient, so parts are alike however hashes lie;
+    there are as many as keep one at about ``part_keys`` of the ``total`` hashes.
     """
-    parts = 1 + total // part_keys
-    span = max(_bound(region), int(2.0**64 * (100 - similarity) / 100), 1)
-    bounds = np.array([span * k // parts for k in range(1, parts)], np.uint64)
+    parts = np.uint64(1 + total // part_keys)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for keys, _ in _low_parts(batches, similarity, region, part_keys):
             found, counts = np.unique(np.concatenate(keys), return_counts=True)
-            ends = [*np.searchsorted(found, bounds).tolist(), len(found)]
-            for part, (begin, end) in enumerate(zip([0, *ends], ends)):
-                if end > begin:
-                    yield _block(part, found[begin:end], counts[begin:end])
+            part = found % parts
+            order = np.argsort(part, kind="stable")
+            found, counts, part = found[order] // parts, counts[order], part[order]
+            begins = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]])).tolist()
+            for begin, end in zip(begins, [*begins[1:], len(part)]):
+                yield _block(int(part[begin]), found[begin:end], counts[begin:end])
 
     def count(table: pa.Table) -> pa.Table:
         keys, counts = _unblocked(table)
+        keys = keys * parts + np.uint64(table.column("part")[0].as_py())
         order = np.argsort(keys, kind="stable")
         keys, counts = keys[order], counts[order]
         starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
@@ -222,8 +232,7 @@ def prefixes(documents: DataFrame, sizes: DataFrame, similarity: int, region: fl
     needed = f"greatest(low, n - cast(ceil({similarity} * n / 100.0) AS bigint) + 1)"
     total = sizes.agg(F.sum(F.expr(needed))).first()[0] or 0
     spread = stored(shared_shingles(documents, similarity, region, int(total)), "shared-shingles")
-    bits = F.shiftrightunsigned("shingle", 8).bitwiseAND((1 << _KNOWN_BITS) - 1)
-    known = documents.sparkSession.sparkContext.broadcast(bit_table(spread, bits, _KNOWN_BITS))
+    known = known_numbers(spread, "shingle")
     shared = low_shingles(documents, similarity, region, known).join(spread, "shingle").distinct()
     inside = f"shingle >= 0 AND shingle < {_bound(region)}L"
     own = Window.partitionBy("class")
@@ -363,8 +372,8 @@ def tree(of: Signatures, items: np.ndarray) -> Node:
 def traverse(of: Signatures, left: Node, right: Node, weights: np.ndarray | None = None) -> np.ndarray | None:
     """Connect what links, over all pairs of a set left and a set right.
 
-    With ``weights`` no pair is passed over because it is connected already: returned is, per set, the weight of all
-    that it links with.
+    With ``weights`` no pair is passed over because it is connected already, and the weight of all that a set links
+    with is returned for every set.
     """
     sums = None if weights is None else np.zeros(len(of.sizes), np.int64)
     stack = [(left, right)]
@@ -411,6 +420,9 @@ def _count_leaves(of: Signatures, a: np.ndarray, b: np.ndarray, same: bool, weig
     linked = possible & (100 * common >= of.similarity * (of.sizes[a][:, None] + of.sizes[b][None, :] - common))
     sums[a] += linked @ weights[b]
     sums[b] += linked.T @ weights[a]
+    while (new := linked & (of.labels(a)[:, None] != of.labels(b)[None, :])).any():
+        p, q = np.unravel_index(int(new.argmax()), new.shape)
+        of.connect(int(a[p]), int(b[q]))
 
 
 def _leaves(of: Signatures, a: np.ndarray, b: np.ndarray, same: bool) -> None:
@@ -423,42 +435,30 @@ def _leaves(of: Signatures, a: np.ndarray, b: np.ndarray, same: bool) -> None:
 
 
 def tree_links(meeting: pd.DataFrame, similarity: int) -> pd.DataFrame:
-    """Connected classes of each group of a meeting (group, class, side, packed)."""
+    """class, first, links for every class of a meeting (group, class, side, packed, documents).
+
+    ``first`` is the first class that a class is connected with in its group; ``links``, with numbers of documents, how many
+    documents of other classes it links with, else 0.
+    """
     return pd.concat([_group_links(g, similarity) for _, g in meeting.groupby("group")], ignore_index=True)
 
 
 def _group_links(group: pd.DataFrame, similarity: int) -> pd.DataFrame:
-    """Connected classes of one group, each with the first of them: side 0 and 1 against each other, or 2 with itself."""
+    """One group: side 0 and 1 against each other, or 2 with itself."""
     group = group.drop_duplicates("class").sort_values("class", ignore_index=True)
     sets = [shingle_set(zlib.decompress(p).decode()) for p in group["packed"]]
     of = Signatures(sets, similarity)
     side = group["side"].to_numpy()
+    weights = group["documents"].to_numpy(np.int64) if group["documents"].notna().all() else None
+    sums = None
     if (side == 2).all():
         root = tree(of, np.arange(len(sets)))
-        traverse(of, root, root)
+        sums = traverse(of, root, root, weights)
     elif (side == 0).any() and (side == 1).any():
-        traverse(of, tree(of, np.flatnonzero(side == 0)), tree(of, np.flatnonzero(side == 1)))
+        sums = traverse(of, tree(of, np.flatnonzero(side == 0)), tree(of, np.flatnonzero(side == 1)), weights)
     keys = group["class"].to_numpy()
-    first = keys[of.labels(np.arange(len(keys)))]  # as stars, which are joined up in fewer rounds than the links themselves
-    return pd.DataFrame({"a": keys[keys != first], "b": first[keys != first]}, dtype="int64")
-
-
-def tree_link_counts(meeting: pd.DataFrame, similarity: int) -> pd.DataFrame:
-    """(class, links): for each class of a meeting the documents of all classes of its group that it links with."""
-    out = []
-    for _, group in meeting.groupby("group"):
-        group = group.drop_duplicates("class").reset_index(drop=True)
-        of = Signatures([shingle_set(zlib.decompress(p).decode()) for p in group["packed"]], similarity)
-        side, weights = group["side"].to_numpy(), group["documents"].to_numpy(np.int64)
-        if (side == 2).all():
-            root = tree(of, np.arange(len(group)))
-            sums = traverse(of, root, root, weights)
-        elif (side == 0).any() and (side == 1).any():
-            sums = traverse(of, tree(of, np.flatnonzero(side == 0)), tree(of, np.flatnonzero(side == 1)), weights)
-        else:
-            continue
-        out.append(pd.DataFrame({"class": group["class"], "links": sums}))
-    return pd.concat(out, ignore_index=True) if out else pd.DataFrame({"class": [], "links": []}, dtype="int64")
+    first = keys[of.labels(np.arange(len(keys)))]
+    return pd.DataFrame({"class": keys, "first": first, "links": 0 if sums is None else sums}, dtype="int64")
 
 
 def packed_texts(documents: DataFrame, needed: DataFrame) -> DataFrame:
@@ -466,18 +466,14 @@ def packed_texts(documents: DataFrame, needed: DataFrame) -> DataFrame:
 
     Once per task for those it has seen lately.
     """
-    bits = F.shiftrightunsigned("text_key", 8).bitwiseAND((1 << _KNOWN_BITS) - 1)
-    known = documents.sparkSession.sparkContext.broadcast(bit_table(needed, bits, _KNOWN_BITS))
-    mask = np.int64((1 << _KNOWN_BITS) - 1)
+    known = known_numbers(needed, "text_key")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = known.value
         seen: set[int] = set()
         for batch in batches:
             numbers, column = batch.column(0).to_numpy(), batch.column(1)
-            held = bits_at(table, (numbers >> np.int64(8)) & mask)
             keys, packed = [], []
-            for i in np.flatnonzero(held).tolist():
+            for i in np.flatnonzero(known(numbers)).tolist():
                 key = int(numbers[i])
                 if key in seen:
                     continue
@@ -492,37 +488,30 @@ def packed_texts(documents: DataFrame, needed: DataFrame) -> DataFrame:
     return in_python(texts, run, "text_key long, packed binary")
 
 
-def class_links(documents: DataFrame, own: DataFrame, similarity: int, region: float, group_shingles: int) -> DataFrame:
-    """(a, b): pairs of classes that connect all that is linked; ``own`` is ``members`` without empties."""
-    met = meetings(documents, own, similarity, region, group_shingles)
-    return met.groupBy("meeting").applyInPandas(lambda g: tree_links(g, similarity), "a long, b long")
-
-
-def link_counts(documents: DataFrame, similarity: int = 75, region: float = 0.32, group_shingles: int = 1_000_000) -> DataFrame:
-    """doc_id, n_shingles, n_links for every row: how many other rows it links with, copies among them.
+def class_links(
+    documents: DataFrame, own: DataFrame, similarity: int, region: float, group_shingles: int, count: bool = False
+) -> DataFrame:
+    """class, first, links of every meeting, as of ``tree_links``; ``own`` is ``members`` without empties.
 
-    Every pair of different sets of a group that sizes and bitmaps allow is compared, leaf by leaf, also where other
-    links connect the two: the work of a group of near copies grows with the square of its different texts, cut into
-    meetings of bounded chunks. Pairs are counted where they meet and never listed.
+    With ``count`` every pair of different sets of a group that sizes and bitmaps allow is compared, also where other links
+    connect the two: for a group of near copies that grows with the square of its different texts, cut into meetings of
+    bounded chunks. Pairs are counted where they meet and never listed.
     """
-    own = stored(members(documents, region), "members")
-    filled = own.where("n > 0")
-    sizes = filled.groupBy("class").agg(F.count(F.lit(1)).alias("documents"))
-    met = meetings(documents, filled, similarity, region, group_shingles).join(sizes, "class")
-    met = met.select("group", "meeting", "class", "side", "packed", "documents")
-    counts = met.groupBy("meeting").applyInPandas(lambda g: tree_link_counts(g, similarity), "class long, links long")
-    others = counts.groupBy("class").agg(F.sum("links").alias("links"))
-    per_class = sizes.join(others, "class", "left").select(
-        "class", (F.col("documents") - 1 + F.coalesce("links", F.lit(0))).alias("n_links")
-    )
-    return spread_join(own, per_class, "class", "doc_id", "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("n_links")).otherwise(0).alias("n_links")
-    )
+    met = meetings(documents, own, similarity, region, group_shingles)
+    if not count:
+        met = met.withColumn("documents", F.lit(None).cast("long"))
+    found = met.groupBy("meeting").applyInPandas(lambda g: tree_links(g, similarity), "class long, first long, links long")
+    return stored(found, "class-links")
 
 
 def meetings(documents: DataFrame, own: DataFrame, similarity: int, region: float, group_shingles: int) -> DataFrame:
-    """(group, meeting, class, side, packed): the classes that a task compares, with the text of each."""
-    classes = own.groupBy("class").agg(F.max("n").alias("n"), F.max("low").alias("low"), F.min("text_key").alias("text_key"))
+    """(group, meeting, class, documents, side, packed): the classes that a task compares, with the text of each."""
+    classes = own.groupBy("class").agg(
+        F.max("n").alias("n"),
+        F.max("low").alias("low"),
+        F.min("text_key").alias("text_key"),
+        F.count(F.lit(1)).alias("documents"),
+    )
     rows = prefixes(documents, classes.select("class", "n", "low"), similarity, region)
     groups = components(candidates(rows, similarity))
     grouped = stored(
@@ -543,10 +532,10 @@ def meetings(documents: DataFrame, own: DataFrame, similarity: int, region: floa
     held = sizes.where(f"total <= {group_shingles}").agg(F.sum("total")).first()[0] or 0
     bundle = F.expr(f"pmod(xxhash64(group), {1 + int(3 * held // group_shingles)})")
     single = grouped.join(whole, "group", "left_semi").select(
-        "group", F.concat(F.lit("bundle "), bundle).alias("meeting"), "class", "text_key", F.lit(2).alias("side")
+        "group", F.concat(F.lit("bundle "), bundle).alias("meeting"), "class", "documents", "text_key", F.lit(2).alias("side")
     )
     placed = grouped.join(parts, ["group", "band"]).select(
-        "group", "class", "text_key", "band", F.expr("cast(pmod(xxhash64(class), parts) AS int)").alias("part")
+        "group", "class", "documents", "text_key", "band", F.expr("cast(pmod(xxhash64(class), parts) AS int)").alias("part")
     )
     other = parts.select("group", F.col("band").alias("band2"), F.explode(F.expr("sequence(0, parts - 1)")).alias("part2"))
     met = placed.join(other, "group").where("abs(band - band2) <= 1")
@@ -555,12 +544,14 @@ def meetings(documents: DataFrame, own: DataFrame, similarity: int, region: floa
         "group",
         f"concat(group, ' ', least({mine}, {theirs}), '+', greatest({mine}, {theirs})) AS meeting",
         "class",
+        "documents",
         "text_key",
         f"CASE WHEN {mine} = {theirs} THEN 2 WHEN {mine} < {theirs} THEN 0 ELSE 1 END AS side",
     )
     needed = grouped.select("text_key").distinct()  # one text of each class; copies of it elsewhere are left out below
     texts = packed_texts(documents, needed).dropDuplicates(["text_key"])  # a text that is not needed meets nothing below
-    return single.unionByName(split).join(texts, "text_key").select("group", "meeting", "class", "side", "packed")
+    met = single.unionByName(split).join(texts, "text_key")
+    return met.select("group", "meeting", "class", "documents", "side", "packed")
 
 
 def first_of_each(documents: DataFrame, similarity: int = 75) -> DataFrame:
@@ -577,30 +568,47 @@ def first_of_each(documents: DataFrame, similarity: int = 75) -> DataFrame:
 
 
 def jaccard_components(
-    documents: DataFrame, similarity: int = 75, region: float = 0.32, group_shingles: int = 1_000_000
+    documents: DataFrame,
+    similarity: int = 75,
+    region: float = 0.32,
+    group_shingles: int = 1_000_000,
+    count_links: bool = False,
 ) -> DataFrame:
     """doc_id, n_shingles, component_id for every row; ``similarity`` is a percentage.
 
-    Also ``text_key``, the hash of the row's text, and ``group_key``, which is the same for the rows of a component and
-    null for empty sets.
+    With ``count_links`` also n_links, the number of other rows that the row links with, copies among them. Also
+    ``text_key``, the hash of the row's text, and ``group_key``, which is the same for the rows of a component and null for
+    empty sets.
     """
     own = stored(members(documents, region), "members")
-    links = class_links(documents, own.where("n > 0"), similarity, region, group_shingles)
-    labels = components(links)
-    firsts = own.where("n > 0").groupBy("class").agg(F.min("doc_id").alias("first"))
+    found = class_links(documents, own.where("n > 0"), similarity, region, group_shingles, count_links)
+    # stars, which are joined up in fewer rounds than the links themselves
+    labels = components(found.where("class <> first").select(F.col("class").alias("a"), F.col("first").alias("b")))
+    firsts = own.where("n > 0").groupBy("class").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("copies"))
     lowest = (
         labels.join(firsts, labels.node == firsts["class"])
         .groupBy("label")
         .agg(F.min("first").alias("lowest"))
     )
     linked = labels.join(lowest, "label").select(F.col("node").alias("class"), "label", "lowest")
-    known = firsts.join(linked, "class", "left").select(
-        "class", F.coalesce("label", "class").alias("group_key"), F.coalesce("lowest", "first").alias("lowest")
+    known = firsts.join(linked, "class", "left")
+    number = F.lit(0).cast("long")
+    if count_links:
+        known = known.join(found.groupBy("class").agg(F.sum("links").alias("links")), "class", "left")
+        number = F.col("copies") - 1 + F.coalesce("links", F.lit(0))
+    known = known.select(
+        "class",
+        F.coalesce("label", "class").alias("group_key"),
+        F.coalesce("lowest", "first").alias("lowest"),
+        number.alias("n_links"),
     )
-    return spread_join(own, known, "class", "doc_id", "left").select(
+    columns = [
         "doc_id",
         F.col("n").alias("n_shingles"),
         F.when(F.col("n") > 0, F.col("lowest")).otherwise(F.col("doc_id")).alias("component_id"),
         "text_key",
         F.when(F.col("n") > 0, F.col("group_key")).alias("group_key"),
-    )
+    ]
+    if count_links:
+        columns.append(F.when(F.col("n") > 0, F.col("n_links")).otherwise(0).alias("n_links"))
+    return spread_join(own, known, "class", "doc_id", "left").select(*columns)

@@ -17,9 +17,11 @@ def jaccard_sql(similarity: int = 75, shingle: int = 5) -> str:
     links AS (SELECT a, b FROM c JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
               WHERE 100 * shared >= {similarity} * (x.n + y.n - shared)),
     reach(a, b) AS (SELECT a, b FROM links UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
-    low AS (SELECT a, min(b) AS b FROM reach GROUP BY a)
-    SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, least(d.doc_id, coalesce(low.b, d.doc_id)) AS component_id
-    FROM d LEFT JOIN n USING (doc_id) LEFT JOIN low ON low.a = d.doc_id"""
+    low AS (SELECT a, min(b) AS b FROM reach GROUP BY a),
+    many AS (SELECT a, count(*) AS n_links FROM links GROUP BY a)
+    SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, least(d.doc_id, coalesce(low.b, d.doc_id)) AS component_id,
+      coalesce(n_links, 0)::BIGINT AS n_links
+    FROM d LEFT JOIN n USING (doc_id) LEFT JOIN low ON low.a = d.doc_id LEFT JOIN many ON many.a = d.doc_id"""
 
 
 def url_sql(rules: tuple[tuple[str, str, str], ...], default: str = "allow") -> str:

@@ -58,7 +58,7 @@ def op3_randomness_secrets(spark: SparkSession, base: str) -> DataFrame:
 
 
 def op4_signature_trees(spark: SparkSession, base: str) -> DataFrame:
-    return jaccard_components(table(spark, base, "documents")).drop("text_key", "group_key")
+    return jaccard_components(table(spark, base, "documents"), count_links=True).drop("text_key", "group_key")
 
 
 def op5_url_range_join(spark: SparkSession, base: str) -> DataFrame:

@@ -86,11 +86,13 @@ def test_numbers_of_links(spark, more):
     """Also of a group of near copies that all link with each other, and of exact copies."""
     rows = corpus(7 + len(more)) + [(10_000 + r[0], r[1]) for r in corpus(7 + len(more))[:20]]
     frame = documents(spark, [(d, t, "en", "a", 0) for d, t in rows])
-    got = jj.link_counts(clashing(frame, "class", "links", "documents", "side"), **more).collect()
+    got = jj.jaccard_components(clashing(frame, "class", "links", "documents", "side"), count_links=True, **more).collect()
     want = brute_links(rows, more.get("similarity", 75))
-    assert sorted(map(tuple, got), key=repr) == want and max(n for *_, n in want) > 40
-    assert sorted(map(tuple, jj.link_counts(documents(spark)).collect()), key=repr) == brute_links([(r[0], r[1]) for r in ROWS])
-    assert jj.link_counts(documents(spark, [])).count() == 0
+    assert sorted(((r.doc_id, r.n_shingles, r.n_links) for r in got), key=repr) == want and max(n for *_, n in want) > 40
+    assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got), key=repr) == brute(rows, more.get("similarity", 75))
+    odd = jj.jaccard_components(documents(spark), count_links=True).select("doc_id", "n_shingles", "n_links")
+    assert sorted(map(tuple, odd.collect()), key=repr) == brute_links([(r[0], r[1]) for r in ROWS])
+    assert jj.jaccard_components(documents(spark, []), count_links=True).count() == 0
 
 
 def test_awkward_rows(spark):
