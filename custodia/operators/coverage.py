@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from custodia.operators.audit import since
-from custodia.operators.distinct import distinct_counts
 
 CATEGORY_TAG = "SEMANTIC_CATEGORY"
 
@@ -82,7 +81,8 @@ def sensitive_access(
 
     Both logs are cut to the window where they are read, the access log also to sensitive objects before they meet. What both
     aggregates count is distinct anyway, so nothing is made distinct in between: a very frequent
-    object then stays splittable in the semi join.
+    object then stays splittable in the semi join. A user's ids are few among all, so they are counted as values: a
+    bitmap per user, day and bucket would be nearly empty.
     """
     sensitive = _sensitive(tags, database, categories).select(full_name().alias("object_name")).distinct()
     touched = (
@@ -95,9 +95,11 @@ def sensitive_access(
     )
     who = ["user_name", "role_name", "access_date"]
     # the list holds each table once, so it is bounded by the number of sensitive tables
-    tables = {"_tables": ("set", F.col("object_name"))}
-    counted = distinct_counts(recent.join(touched, "query_id"), who, {"query_count": "query_id"}, tables)
-    return counted.select(*who, "query_count", F.array_join("_tables", ", ").alias("tables_accessed"))
+    return (
+        recent.join(touched, "query_id")
+        .groupBy(*who)
+        .agg(F.count_distinct("query_id").alias("query_count"), listed(F.col("object_name")).alias("tables_accessed"))
+    )
 
 
 def governance_coverage(tables: DataFrame, tags: DataFrame, policies: DataFrame, database: str) -> DataFrame:
@@ -193,7 +195,8 @@ def top_sensitive_users(
     """Users with most successful queries that use one of the objects.
 
     With the access log it is what the queries really read, by exact name. Without, their text must name an object,
-    ignoring case, which also finds longer names that start alike.
+    ignoring case, which also finds longer names that start alike. Ids and days of a user are counted as values, not by
+    bitmaps: users grow with the log, and each has few of its ids.
     """
     recent = queries.filter(since(F.col("start_time"), as_of, days) & (F.col("execution_status") == "SUCCESS"))
     if access is None:
@@ -207,15 +210,17 @@ def top_sensitive_users(
             F.arrays_overlap(names, F.array(*map(F.lit, object_names)))
         )
         found = recent.join(used.select("query_id"), "query_id", "left_semi")
-    figures = {
-        "_time": ("avg", F.col("total_elapsed_time")),
-        "_bytes": ("sum", F.col("bytes_scanned")),
-        "first_access": ("min", F.col("start_time")),
-        "last_access": ("max", F.col("start_time")),
-        "active_days": ("days", F.to_date("start_time")),  # of a window of days
-    }
+    time = F.col("total_elapsed_time")
     return (
-        distinct_counts(found, ["user_name", "role_name"], {"total_queries": "query_id"}, figures)
+        found.groupBy("user_name", "role_name")
+        .agg(
+            F.count_distinct("query_id").alias("total_queries"),
+            F.count_distinct(F.to_date("start_time")).alias("active_days"),
+            (F.sum(time) / F.nullif(F.count(time), F.lit(0))).alias("_time"),
+            F.sum("bytes_scanned").alias("_bytes"),
+            F.min("start_time").alias("first_access"),
+            F.max("start_time").alias("last_access"),
+        )
         .select(
             "user_name",
             "role_name",

@@ -2,13 +2,16 @@
 
 import random
 import re
+from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
 
 from custodia.operators import audit
+from custodia.operators import coverage as cov
 from custodia.operators.distinct import distinct_counts, is_dense, mark_dense
 from custodia.sources import fixtures as fx
+from custodia.workload import QUERIES
 from tests.test_plans import plan
 
 
@@ -87,3 +90,35 @@ def test_rows_moved(spark):
         assert written and max(written) <= 4
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+@pytest.mark.parametrize("name", ["top_sensitive_users", "top_sensitive_users_logged", "sensitive_access"])
+def test_users_have_no_bitmaps(spark, base, name):
+    """Users grow with the log: a bitmap of 4 KB per user and bucket would hold a few ids."""
+    assert "bitmap" not in plan(QUERIES[name](spark, base))
+
+
+def test_figures_of_users(spark):
+    """Repeated and missing ids, times, users and amounts; days far apart."""
+    pick = random.Random(8)
+    times = [None, *(datetime(y, 1, d, 23, 59) for y in (2024, 2199) for d in (1, 2, 30))]
+    rows = [
+        (pick.choice([None, 1, 2, 40_000, 2**40]), pick.choice(["a", "b", None]), pick.choice(["r", None]), pick.choice(times), pick.choice([None, 7, 1000]))
+        for _ in range(300)
+    ]
+    rows += [(5, "z", "r", times[1], None)]
+    df = spark.createDataFrame(rows, "query_id bigint, user_name string, role_name string, start_time timestamp_ntz, total_elapsed_time bigint")
+    df = df.selectExpr("*", "total_elapsed_time AS bytes_scanned", "'SUCCESS' AS execution_status", "'select LAKE.X' AS query_text")
+    got = cov.top_sensitive_users(mark_dense(df, "query_id"), ["lake.x"], fx.as_of()).collect()
+    groups = {}
+    for r in rows:
+        if r[3] is not None:
+            groups.setdefault(r[1:3], []).append(r)
+    want = set()
+    for who, own in groups.items():
+        known = [r[4] for r in own if r[4] is not None]
+        mean = round(sum(known) / len(known) / 1000, 3) if known else None
+        days = {r[3].date() for r in own}
+        want.add((*who, len({r[0] for r in own} - {None}), len(days), mean, min(r[3] for r in own), max(r[3] for r in own)))
+    columns = ("user_name", "role_name", "total_queries", "active_days", "avg_query_seconds", "first_access", "last_access")
+    assert {tuple(r[c] for c in columns) for r in got} == want and len(got) == len(want) == 7
